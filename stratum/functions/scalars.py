@@ -38,7 +38,9 @@ def pow10(n) -> Column:
 
 def bit(i) -> Column:
     """BIGINT with only bit ``i`` set."""
-    return F.shiftleft(F.lit(1).cast("bigint"), _c(i).cast("int"))
+    if isinstance(i, int):
+        return F.shiftleft(F.lit(1).cast("bigint"), i)
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), _c(i).cast("int"))
 
 
 def cents(value) -> Column:
