@@ -3,6 +3,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from stratum.functions import cents
@@ -58,29 +60,33 @@ def q_circuit_product(spark, sf_dir):
 
 def q_spanning_edge(spark, sf_dir):
     pts = _points3(spark, sf_dir, "supplier", "s")
-    # the heaviest spanning-tree edge lies within any radius at which the
-    # pair graph is connected; grow the radius until it is
-    edges = _connected_pair_graph(pts)
-    top = op.spanning_edge(edges, "i", "j", "d2")
+    top = op.heaviest_edge(_spanning_tree(pts))
     xs = pts.select("id", "x")
     return (top.join(xs.withColumnRenamed("id", "i").withColumnRenamed("x", "xi"), "i")
             .join(xs.withColumnRenamed("id", "j").withColumnRenamed("x", "xj"), "j")
             .select("i", "j", "d2", (F.col("xi") * F.col("xj")).alias("x_product")))
 
 
-def _connected_pair_graph(pts):
-    """The k closest pairs for the smallest doubling k whose graph is connected.
+def _spanning_tree(pts):
+    """Spanning tree over the k closest pairs, k doubling until it spans.
 
-    Kruskal adds edges in the same total order, so every spanning-tree edge
-    is among them: the candidate cut is exact.
+    Kruskal adds edges in the same total order, so once the k closest pairs
+    connect every point, every tree edge is among them: the candidate cut is
+    exact.  The spanning check is the component count of the forest.
     """
     n = pts.count()
-    k = max(n, 1)
+    # first guess: about 2 log2(n) nearest pairs per point usually connect
+    # the points; doubling covers the rest exactly
+    k = max(1, min(n * (n - 1) // 2, 2 * n * max(1, math.ceil(math.log2(max(n, 2))))))
     while True:
-        pairs = spatial.closest_pairs(pts, "id", ["x", "y", "z"], k).checkpoint()
-        labels = op.connected_components(pairs, "i", "j", nodes=pts, node="id")
-        if n <= 1 or k >= n * (n - 1) // 2 or labels.select("component").distinct().count() == 1:
-            return pairs
+        pairs = spatial.closest_pairs(pts, "id", ["x", "y", "z"], k)
+        tree, comp = op.spanning_forest(pairs, "i", "j", "d2")
+        if n <= 1 or k >= n * (n - 1) // 2:
+            return tree
+        covered = comp.agg(F.count(F.lit(1)).alias("nodes"),
+                           F.countDistinct("comp").alias("comps")).first()
+        if covered["nodes"] == n and covered["comps"] == 1:
+            return tree
         k *= 2
 
 

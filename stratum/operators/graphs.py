@@ -94,16 +94,34 @@ def top_component_product(labels: DataFrame, k: int = 3, out: str = "product") -
     return folded.select(F.when(F.col("_n") == k, F.col("_p")).cast(dec).alias(out))
 
 
-def spanning_edge(edges: DataFrame, i: str = "i", j: str = "j", w: str = "d2",
-                  max_rounds: int = 64) -> DataFrame:
-    """The heaviest edge of the minimum spanning forest (Boruvka).
-
-    Edges are totally ordered by (w, min(i,j), max(i,j)), so the tree is
-    unique.  Each round every component picks its lightest outgoing edge,
-    the picked edges merge components (``connected_components`` on the
-    component graph), and rounds stop when no edge leaves a component --
-    at most log2(#nodes) rounds.  Returns one row ``(i, j, w)`` (the edge
-    whose addition completes the last merge), empty for edgeless input.
+def _resolve_pointers(parent: DataFrame, lineage: Lineage, max_rounds: int = 64) -> DataFrame:
+    """Roots of a pointer forest ``(c, p)`` by pointer jumping (p <- p(p)).
+
+    Borůvka picks form a forest whose only cycles are mutual picks; those
+    are broken first by making the smaller id the root.
+    """
+    pp = parent.join(parent.select(F.col("c").alias("p"), F.col("p").alias("_pp")), "p", "left")
+    parent = lineage.cut(pp.select("c", F.when((F.col("_pp") == F.col("c")) & (F.col("c") < F.col("p")),
+                                               F.col("c")).otherwise(F.col("p")).alias("p")), force=True)
+    for _ in range(max_rounds):
+        jumped = parent.join(parent.select(F.col("c").alias("p"), F.col("p").alias("_pp")), "p", "left")
+        moved = jumped.where(F.col("_pp").isNotNull() & (F.col("_pp") != F.col("p")))
+        if moved.isEmpty():
+            return parent
+        parent = lineage.cut(jumped.select("c", F.coalesce("_pp", "p").alias("p")), force=True)
+    raise RuntimeError("pointer jumping did not converge")
+
+
+def spanning_forest(edges: DataFrame, i: str = "i", j: str = "j", w: str = "d2",
+                    max_rounds: int = 64) -> tuple[DataFrame, DataFrame]:
+    """U20 core: minimum spanning forest by Borůvka rounds.
+
+    Edges are totally ordered by (w, min(i,j), max(i,j)), so the forest is
+    unique.  Each round every component picks its lightest outgoing edge
+    (a grouped ``min(struct)``), the picks form a pointer forest over
+    components that pointer jumping collapses, and nodes are relabelled --
+    at most log2(#nodes) rounds.  Returns ``(tree_edges(i, j, w),
+    labels(node, comp))``.
     """
     lineage = Lineage(edges.sparkSession, 1)
     e = lineage.cut(edges.select(F.least(i, j).alias("_a"), F.greatest(i, j).alias("_b"),
@@ -116,27 +134,33 @@ def spanning_edge(edges: DataFrame, i: str = "i", j: str = "j", w: str = "d2",
         ce = (e.join(comp.select(F.col("node").alias("_a"), F.col("comp").alias("_ca")), "_a")
               .join(comp.select(F.col("node").alias("_b"), F.col("comp").alias("_cb")), "_b")
               .where(F.col("_ca") != F.col("_cb")))
-        best_edge = F.min(F.struct("_w", "_a", "_b")).alias("_e")
-        picks = (ce.select(F.col("_ca").alias("_c"), "_w", "_a", "_b")
-                 .unionByName(ce.select(F.col("_cb").alias("_c"), "_w", "_a", "_b"))
-                 .groupBy("_c").agg(best_edge))
-        picks = lineage.cut(picks.select("_c", "_e._w", "_e._a", "_e._b",
-                                         F.col("_e").alias("_e")), force=True)
+        ends = (ce.select(F.col("_ca").alias("c"), F.col("_cb").alias("_o"), "_w", "_a", "_b")
+                .unionByName(ce.select(F.col("_cb").alias("c"), F.col("_ca").alias("_o"), "_w", "_a", "_b")))
+        picks = lineage.cut(ends.groupBy("c").agg(F.min(F.struct("_w", "_a", "_b", "_o")).alias("_e"))
+                            .select("c", "_e._w", "_e._a", "_e._b", F.col("_e._o").alias("p")), force=True)
         if picks.isEmpty():
             break
-        chosen.append(picks.select("_a", "_b", "_w").distinct())
-        # merge: components joined by picked edges
-        cedges = (picks.join(comp.select(F.col("node").alias("_a"), F.col("comp").alias("_x")), "_a")
-                  .join(comp.select(F.col("node").alias("_b"), F.col("comp").alias("_y")), "_b")
-                  .select("_x", "_y"))
-        merged = connected_components(cedges, "_x", "_y", node="comp").withColumnRenamed(
-            "component", "_new")
-        comp = lineage.cut(comp.join(merged, "comp", "left").select(
-            "node", F.coalesce("_new", "comp").alias("comp")), force=True)
-    if not chosen:
-        return e.limit(0).select(F.col("_a").alias(i), F.col("_b").alias(j), F.col("_w").alias(w))
-    tree = chosen[0]
-    for c in chosen[1:]:
-        tree = tree.unionByName(c)
-    top = tree.orderBy(F.col("_w").desc(), F.col("_a").desc(), F.col("_b").desc()).limit(1)
-    return top.select(F.col("_a").alias(i), F.col("_b").alias(j), F.col("_w").alias(w))
+        chosen.append(picks.select("_a", "_b", "_w"))
+        roots = _resolve_pointers(picks.select("c", "p"), lineage)
+        comp = lineage.cut(comp.join(roots.withColumnRenamed("c", "comp"), "comp", "left")
+                           .select("node", F.coalesce("p", "comp").alias("comp")), force=True)
+    if chosen:
+        tree = chosen[0]
+        for c in chosen[1:]:
+            tree = tree.unionByName(c)
+        tree = tree.distinct()
+    else:
+        tree = e.limit(0)
+    return (tree.select(F.col("_a").alias(i), F.col("_b").alias(j), F.col("_w").alias(w)),
+            comp.select("node", "comp"))
+
+
+def heaviest_edge(tree: DataFrame, i: str = "i", j: str = "j", w: str = "d2") -> DataFrame:
+    """The last edge Kruskal adds: the maximum under the (w, i, j) order."""
+    return tree.orderBy(F.col(w).desc(), F.col(i).desc(), F.col(j).desc()).limit(1)
+
+
+def spanning_edge(edges: DataFrame, i: str = "i", j: str = "j", w: str = "d2") -> DataFrame:
+    """The heaviest edge of the minimum spanning forest, one row."""
+    tree, _ = spanning_forest(edges, i, j, w)
+    return heaviest_edge(tree, i, j, w)
