@@ -113,3 +113,21 @@ def suffix_max(df: DataFrame, order: list, value: str, keys: list[str] = (),
     w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(
         0 if include_current else 1, Window.unboundedFollowing)
     return df.withColumn(out, F.max(value).over(w))
+
+
+def previous_value(df: DataFrame, order: list[str], value: str | Column, out: str,
+                   keys: list[str] = (), bucket: str | None = None, default=None) -> DataFrame:
+    """LAG(value, 1, default) without a key-wide window.
+
+    The previous row under a total order is the exclusive running maximum of
+    ``struct(order..., value)``, so the bucketed two-level scan applies and a
+    hot key or the keyless case is split across tasks.
+    """
+    val = F.col(value) if isinstance(value, str) else value
+    packed = F.struct(*[F.col(o).alias(f"_o{k}") for k, o in enumerate(order)], val.alias("_v"))
+    scanned = ordered_scan(df.withColumn("_pk", packed), order, "_pk", "_prev", "max", keys,
+                           bucket, exclusive=True)
+    prev = F.col("_prev._v")
+    if default is not None:
+        prev = F.coalesce(prev, F.lit(default))
+    return scanned.withColumn(out, prev).drop("_pk", "_prev")
