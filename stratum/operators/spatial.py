@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.functions import floor_div
-from stratum.plans import ordered_scan, quantile_bucket
+from stratum.plans import Lineage, ordered_scan, quantile_bucket
+from stratum.plans.prefix import ordered_scans
 
 
 def _cell_offsets(dims: int):
@@ -84,14 +85,13 @@ def staircases(points: DataFrame, x: str, y: str) -> DataFrame:
     and likewise for the other three corners (running min/max over x).
     Returns ``(kind, x, y)`` with kind in {'ll','lr','ul','ur'}.
     """
+    lineage = Lineage(points.sparkSession, 1)
     col = points.groupBy(F.col(x).alias("x")).agg(F.min(y).alias("ylo"), F.max(y).alias("yhi"))
-    col = col.withColumn("nx", -F.col("x"))
+    col = lineage.cut(col.withColumn("nx", -F.col("x")), force=True)
     col = col.withColumn("bx", quantile_bucket(col, "x")).withColumn("bn", quantile_bucket(col, "nx"))
     # running extremes over smaller x (before) and larger x (after), two-level
-    s = ordered_scan(col, ["x"], "ylo", "lo_b", "min", [], "bx", exclusive=True)
-    s = ordered_scan(s, ["x"], "yhi", "hi_b", "max", [], "bx", exclusive=True)
-    s = ordered_scan(s, ["nx"], "ylo", "lo_a", "min", [], "bn", exclusive=True)
-    s = ordered_scan(s, ["nx"], "yhi", "hi_a", "max", [], "bn", exclusive=True)
+    s = ordered_scans(col, ["x"], [("ylo", "lo_b", "min"), ("yhi", "hi_b", "max")], [], "bx", True)
+    s = ordered_scans(s, ["nx"], [("ylo", "lo_a", "min"), ("yhi", "hi_a", "max")], [], "bn", True)
     parts = [
         s.where(F.col("lo_b").isNull() | (F.col("ylo") < F.col("lo_b"))).select(F.lit("ll").alias("kind"), "x", F.col("ylo").alias("y")),
         s.where(F.col("hi_b").isNull() | (F.col("yhi") > F.col("hi_b"))).select(F.lit("ul").alias("kind"), "x", F.col("yhi").alias("y")),
@@ -113,7 +113,7 @@ def max_rectangle(points: DataFrame, x: str, y: str, out: str = "area") -> DataF
     holds at most one point per distinct x and, for points in general
     position, O(log n) points.
     """
-    st = staircases(points, x, y)
+    st = Lineage(points.sparkSession, 1).cut(staircases(points, x, y), force=True)
 
     def side(kind, tag):
         return st.where(F.col("kind") == kind).select(F.col("x").alias(f"x{tag}"), F.col("y").alias(f"y{tag}"))
@@ -133,3 +133,132 @@ def compress(values: DataFrame, value: str, keys: list[str] = (), out: str = "id
     # keyless: value buckets keep the ranking off a single partition
     d = d.withColumn("_vb", quantile_bucket(d, value))
     return ordered_scan(d, [value], "_one", out, "sum", [], "_vb").drop("_one", "_vb")
+
+
+# ---------------------------------------------------------------------------
+# Rectilinear polygons (U23-U28).  Polygons are rings of integer vertices
+# ``(poly, k, x, y)`` in ring order; a vertex stands for a unit tile and an
+# edge covers the tiles it passes.  "Inside" means on the boundary or
+# enclosed, i.e. the tile semantics of the reference.
+# ---------------------------------------------------------------------------
+
+
+def ring_edges(vertices: DataFrame, poly: str, order: str, x: str = "x", y: str = "y") -> DataFrame:
+    """One edge per vertex to the next one, the last wrapping to the first."""
+    w = Window.partitionBy(poly).orderBy(order)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return vertices.select(
+        poly, order, x, y,
+        F.coalesce(F.lead(x).over(w), F.first(x).over(whole)).alias("nx"),
+        F.coalesce(F.lead(y).over(w), F.first(y).over(whole)).alias("ny"))
+
+
+def compressed_axis(vertices: DataFrame, poly: str, coord: str) -> DataFrame:
+    """U22 (tile form): per polygon, the distinct vertex coordinates become
+    odd indices 1, 3, 5, ... ("lines", one tile wide) and the open gaps
+    between them even indices ("strips", holding ``next - v - 1`` tiles,
+    possibly none).  Every compressed cell is then wholly inside or wholly
+    outside the polygon.  Returns ``(poly, c, v, tiles, is_line)``.
+    """
+    ranks = compress(vertices.select(poly, F.col(coord).alias("v")), "v", [poly], "rank")
+    nxt = F.lead("v").over(Window.partitionBy(poly).orderBy("v"))
+    r = ranks.withColumn("_next", nxt)
+    lines = r.select(poly, (F.col("rank") * 2 - 1).alias("c"), "v", F.lit(1).cast("bigint").alias("tiles"),
+                     F.lit(True).alias("is_line"))
+    strips = r.where(F.col("_next").isNotNull()).select(
+        poly, (F.col("rank") * 2).alias("c"), "v", (F.col("_next") - F.col("v") - 1).alias("tiles"),
+        F.lit(False).alias("is_line"))
+    return lines.unionByName(strips)
+
+
+def _polygon_parts(vertices: DataFrame, poly: str, order: str, x: str, y: str):
+    lineage = Lineage(vertices.sparkSession, 1)
+    v = lineage.cut(vertices.select(poly, order, x, y), force=True)
+    xs = lineage.cut(compressed_axis(v, poly, x), force=True)
+    ys = lineage.cut(compressed_axis(v, poly, y), force=True)
+    return v, xs, ys
+
+
+def polygon_cells(vertices: DataFrame, poly: str, order: str, x: str = "x", y: str = "y",
+                  parts=None) -> DataFrame:
+    """The compressed grid of every polygon with an inside flag.
+
+    Returns ``(poly, cx, cy, tiles, inside)``.  Edges are rasterised in
+    compressed units (U25): vertical edges give wall marks on the half-open
+    row range (the crossing-number rule that makes vertices count once),
+    and both edge kinds mark their closed range as boundary.  A cell is
+    inside when it is boundary or has an odd number of walls to its left
+    (U26, a running sum per compressed row).  All windows are per
+    (polygon, row) or (polygon, column), bounded by the polygon's size.
+    """
+    vertices, xs, ys = parts or _polygon_parts(vertices, poly, order, x, y)
+    e = ring_edges(vertices, poly, order, x, y)
+    xl = xs.where("is_line").select(poly, "v", "c")
+    yl = ys.where("is_line").select(poly, "v", "c")
+    ce = (e.join(xl.withColumnRenamed("v", x).withColumnRenamed("c", "c0"), [poly, x])
+          .join(xl.withColumnRenamed("v", "nx").withColumnRenamed("c", "c1"), [poly, "nx"])
+          .join(yl.withColumnRenamed("v", y).withColumnRenamed("c", "r0"), [poly, y])
+          .join(yl.withColumnRenamed("v", "ny").withColumnRenamed("c", "r1"), [poly, "ny"]))
+    vert = ce.where(F.col("c0") == F.col("c1")).select(
+        poly, F.col("c0").alias("cx"), F.least("r0", "r1").alias("lo"), F.greatest("r0", "r1").alias("hi"))
+    horiz = ce.where(F.col("r0") == F.col("r1")).select(
+        poly, F.col("r0").alias("cy"), F.least("c0", "c1").alias("lo"), F.greatest("c0", "c1").alias("hi"))
+    walls = vert.where(F.col("lo") < F.col("hi")).select(
+        poly, "cx", F.explode(F.sequence("lo", F.col("hi") - 1)).alias("cy")).groupBy(poly, "cx", "cy").agg(
+        F.count(F.lit(1)).alias("_walls"))
+    border = (vert.select(poly, "cx", F.explode(F.sequence("lo", "hi")).alias("cy"))
+              .unionByName(horiz.select(poly, F.explode(F.sequence("lo", "hi")).alias("cx"), "cy"))
+              .distinct().withColumn("_edge", F.lit(True)))
+    grid = (xs.select(poly, F.col("c").alias("cx"), F.col("tiles").alias("tx"))
+            .join(ys.select(poly, F.col("c").alias("cy"), F.col("tiles").alias("ty")), poly))
+    g = grid.join(walls, [poly, "cx", "cy"], "left").join(border, [poly, "cx", "cy"], "left")
+    left = Window.partitionBy(poly, "cy").orderBy("cx").rowsBetween(Window.unboundedPreceding, -1)
+    g = g.withColumn("_par", F.coalesce(F.sum(F.coalesce("_walls", F.lit(0))).over(left), F.lit(0)) % 2)
+    inside = F.coalesce(F.col("_edge"), F.lit(False)) | (F.col("_par") == 1)
+    return g.select(poly, "cx", "cy", (F.col("tx") * F.col("ty")).alias("tiles"), inside.alias("inside"))
+
+
+def outside_table(cells: DataFrame, poly: str) -> DataFrame:
+    """Summed-area table of outside tiles, ``(poly, cx, cy, s)``."""
+    w_out = F.when(F.col("inside"), F.lit(0)).otherwise(F.col("tiles")).cast("bigint")
+    row = Window.partitionBy(poly, "cy").orderBy("cx").rowsBetween(Window.unboundedPreceding, 0)
+    col = Window.partitionBy(poly, "cx").orderBy("cy").rowsBetween(Window.unboundedPreceding, 0)
+    s1 = cells.select(poly, "cx", "cy", F.sum(w_out).over(row).alias("_s1"))
+    return s1.select(poly, "cx", "cy", F.sum("_s1").over(col).alias("s"))
+
+
+def max_interior_rectangle(vertices: DataFrame, poly: str, order: str, x: str = "x", y: str = "y",
+                           out: str = "area") -> DataFrame:
+    """Per polygon, the largest (|dx|+1)(|dy|+1) rectangle with two
+    vertices as opposite corners and no outside tile.
+
+    Each vertex pair costs four summed-area lookups (equi joins on the
+    compressed cell).  Pairs are formed per polygon, so the work is
+    quadratic in the vertex count of one polygon, never in the table.
+    """
+    parts = _polygon_parts(vertices, poly, order, x, y)
+    vertices, xs, ys = parts
+    cells = polygon_cells(vertices, poly, order, x, y, parts)
+    sat = Lineage(vertices.sparkSession, 1).cut(outside_table(cells, poly), force=True)
+    xl = xs.where("is_line").select(poly, F.col("v").alias(x), F.col("c").alias("cx"))
+    yl = ys.where("is_line").select(poly, F.col("v").alias(y), F.col("c").alias("cy"))
+    v = vertices.join(xl, [poly, x]).join(yl, [poly, y])
+    a = v.select(poly, F.col(order).alias("_ka"), F.col(x).alias("xa"), F.col(y).alias("ya"),
+                 F.col("cx").alias("cxa"), F.col("cy").alias("cya"))
+    b = v.select(poly, F.col(order).alias("_kb"), F.col(x).alias("xb"), F.col(y).alias("yb"),
+                 F.col("cx").alias("cxb"), F.col("cy").alias("cyb"))
+    pairs = a.join(b, poly).where(F.col("_ka") < F.col("_kb")).select(
+        poly, (F.abs(F.col("xa") - F.col("xb")) + 1) * (F.abs(F.col("ya") - F.col("yb")) + 1),
+        F.least("cxa", "cxb").alias("c1"), F.greatest("cxa", "cxb").alias("c2"),
+        F.least("cya", "cyb").alias("r1"), F.greatest("cya", "cyb").alias("r2"))
+    pairs = pairs.withColumnRenamed(pairs.columns[1], "_area")
+
+    q = pairs
+    for cxe, cye, name in [(F.col("c2"), F.col("r2"), "_s22"), (F.col("c1") - 1, F.col("r2"), "_s12"),
+                           (F.col("c2"), F.col("r1") - 1, "_s21"), (F.col("c1") - 1, F.col("r1") - 1, "_s11")]:
+        look = sat.select(poly, F.col("cx").alias("_jx"), F.col("cy").alias("_jy"), F.col("s").alias(name))
+        q = (q.withColumn("_jx", cxe).withColumn("_jy", cye)
+             .join(look, [poly, "_jx", "_jy"], "left").drop("_jx", "_jy"))
+    z = lambda c: F.coalesce(F.col(c), F.lit(0))
+    outside = z("_s22") - z("_s12") - z("_s21") + z("_s11")
+    return q.where(outside == 0).groupBy(poly).agg(F.max("_area").cast("bigint").alias(out))

@@ -52,28 +52,40 @@ def ordered_scan(df: DataFrame, order: list[str | Column], value: str | Column,
     With ``bucket`` set, the two-level plan above is used; without it, a plain
     window partitioned by ``keys`` (fine when keys are many and small).
     """
-    fn = _AGG[agg]
+    return ordered_scans(df, order, [(value, out, agg)], keys, bucket, exclusive)
+
+
+def ordered_scans(df: DataFrame, order: list[str | Column], specs: list[tuple],
+                  keys: list[str] = (), bucket: str | None = None,
+                  exclusive: bool = False) -> DataFrame:
+    """Several running aggregates ``(value, out, agg)`` over one ordering,
+    sharing one local window, one bucket-total aggregate, one carry window
+    and one join."""
     keys = list(keys)
-    val = F.col(value) if isinstance(value, str) else value
     end = -1 if exclusive else Window.currentRow
+    specs = [((F.col(v) if isinstance(v, str) else v), o, a) for v, o, a in specs]
     if bucket is None:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
-        return df.withColumn(out, fn(val).over(w))
+        return df.select("*", *[_AGG[a](v).over(w).alias(o) for v, o, a in specs])
 
     part = keys + [bucket]
     w_loc = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
-    local = df.withColumn("_scan_loc", fn(val).over(w_loc))
-    totals = df.groupBy(*part).agg(fn(val).alias("_scan_tot"))
+    local = df.select("*", *[_AGG[a](v).over(w_loc).alias(f"_loc_{o}") for v, o, a in specs])
+    totals = df.groupBy(*part).agg(*[_AGG[a](v).alias(f"_tot_{o}") for v, o, a in specs])
     w_off = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.select(*part, fn("_scan_tot").over(w_off).alias("_scan_off"))
+    carry = totals.select(*part, *[_AGG[a](f"_tot_{o}").over(w_off).alias(f"_off_{o}")
+                                   for v, o, a in specs])
     joined = local.join(carry, part, "left")
-    off, loc = F.col("_scan_off"), F.col("_scan_loc")
-    if agg == "sum":
-        combined = F.when(off.isNull() & loc.isNull(), F.lit(None)).otherwise(
-            F.coalesce(off, F.lit(0)) + F.coalesce(loc, F.lit(0)))
-    elif agg == "max":
-        combined = F.greatest(off, loc)
-    else:
-        combined = F.least(off, loc)
-    return joined.withColumn(out, combined.cast(df.select(fn(val)).schema[0].dataType)
-                             ).drop("_scan_loc", "_scan_off")
+    outs = []
+    for v, o, a in specs:
+        off, loc = F.col(f"_off_{o}"), F.col(f"_loc_{o}")
+        if a == "sum":
+            combined = F.when(off.isNull() & loc.isNull(), F.lit(None)).otherwise(
+                F.coalesce(off, F.lit(0)) + F.coalesce(loc, F.lit(0)))
+        elif a == "max":
+            combined = F.greatest(off, loc)
+        else:
+            combined = F.least(off, loc)
+        outs.append(combined.cast(df.select(_AGG[a](v)).schema[0].dataType).alias(o))
+    drop = [f"_{k}_{o}" for v, o, a in specs for k in ("loc", "off")]
+    return joined.select("*", *outs).drop(*drop)
