@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stratum.operators import ordered as op
+from stratum.plans import quantile_bucket
 from stratum.sources import recipes
 
 # Fixed parameters of the running-total operators (the reference's start and
@@ -64,7 +65,15 @@ def q_delimiter_groups(spark, sf_dir):
                                            F.sum("delta").cast("bigint").alias("net_delta"))
 
 
+def q_suffix_max(spark, sf_dir):
+    d = recipes.digits(spark, sf_dir).withColumn("_np", -F.col("pos"))
+    d = d.withColumn("rb", quantile_bucket(d, "_np"))
+    return op.suffix_max(d, ["pos"], "digit", ["user_id"], "later_max", "rb").select(
+        "user_id", "pos", "digit", "later_max")
+
+
 QUERIES = {
+    "suffix_max": q_suffix_max,
     "running_residue_hits": q_running_residue_hits,
     "running_residue_hits_global": q_running_residue_hits_global,
     "modulus_crossings": q_modulus_crossings,
@@ -86,6 +95,9 @@ _CROSS = f"""CASE WHEN delta > 0 THEN {_FL('total')} - {_FL('total - delta')}
               ELSE 0 END"""
 
 SQL = {
+    "suffix_max": f"""WITH {DIGITS_SQL}
+SELECT user_id, pos, digit, max(digit) OVER (PARTITION BY user_id ORDER BY pos
+  ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS later_max FROM digits""",
     "running_residue_hits": f"""WITH {STEPS_SQL}, {_TOTALS('user_id, ')}
 SELECT user_id, CAST(count(*) FILTER (WHERE ((total % {MOD}) + {MOD}) % {MOD} = {RESIDUE}) AS BIGINT) AS hits
 FROM totals GROUP BY user_id""",

@@ -106,13 +106,14 @@ def delimiter_groups(df: DataFrame, order: list, is_break: Column | str, keys: l
     return ordered_scan(df.withColumn("_brk", flag), order, "_brk", out, "sum", keys, bucket).drop("_brk")
 
 
-def suffix_max(df: DataFrame, order: list, value: str, keys: list[str] = (),
-               out: str = "suffix_max", include_current: bool = False) -> DataFrame:
-    """Max of the elements after (or from) the current one, per key."""
-    from pyspark.sql import Window
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(
-        0 if include_current else 1, Window.unboundedFollowing)
-    return df.withColumn(out, F.max(value).over(w))
+def suffix_max(df: DataFrame, order: list[str], value: str, keys: list[str] = (),
+               out: str = "suffix_max", bucket: str | None = None) -> DataFrame:
+    """Max of the elements after the current one (NULL for the last),
+    per key.  Evaluated as an exclusive running max in reversed order, so
+    the bucketed two-level scan applies; ``bucket`` must be non-increasing
+    in ``order`` (e.g. a quantile bucket of the negated order column)."""
+    rev = [F.col(o).desc() for o in order]
+    return ordered_scan(df, rev, value, out, "max", keys, bucket, exclusive=True)
 
 
 def previous_value(df: DataFrame, order: list[str], value: str | Column, out: str,

@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference defines no stream, watermark, event-time window, state or
+late-data rule; every operator in this package is a batch DataFrame
+operator.  (Ordered scans and fixpoints would map to ``foreachBatch`` over a
+checkpointed state table if streams were ever needed.)
+"""
