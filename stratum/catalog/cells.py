@@ -45,7 +45,7 @@ def q_stencil_sparse(spark, sf_dir):
 
 def q_grid_peel(spark, sf_dir):
     cells = _cells(spark, sf_dir)
-    left = op.peel(cells, THRESHOLD).withColumn("_kept", F.lit(1))
+    left = op.peel_blocked(cells, THRESHOLD).withColumn("_kept", F.lit(1))
     marked = cells.join(left, ["r", "c"], "left")
     return marked.agg(F.count_if(F.col("_kept").isNull()).alias("n_removed"),
                       F.count("_kept").alias("n_remaining"))

@@ -25,16 +25,18 @@ from pyspark.sql import functions as F
 _AGG = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
-def quantile_bucket(df: DataFrame, col: str, n_buckets: int = 64,
-                    rel_error: float = 0.001) -> Column:
-    """Bucket number (0..n) of ``col`` from approximate quantile splits."""
+def quantile_splits(df: DataFrame, col: str, n_buckets: int = 64,
+                    rel_error: float = 0.001) -> list:
+    """Sorted distinct approximate quantiles of ``col`` (n_buckets - 1 probes)."""
     probs = [i / n_buckets for i in range(1, n_buckets)]
     splits = df.approxQuantile(col, probs, rel_error) if n_buckets > 1 else []
-    splits = sorted(set(s for s in splits if s is not None))
-    c = F.col(col)
+    return sorted(set(s for s in splits if s is not None))
+
+
+def bucket_of(c: Column, splits: list) -> Column:
+    """Bucket index (number of splits <= value) as a balanced CASE tree."""
 
     def tree(lo: int, hi: int) -> Column:
-        # bucket index in [lo, hi]: number of splits <= value
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi + 1) // 2
@@ -43,6 +45,12 @@ def quantile_bucket(df: DataFrame, col: str, n_buckets: int = 64,
     return tree(0, len(splits))
 
 
+def quantile_bucket(df: DataFrame, col: str, n_buckets: int = 64,
+                    rel_error: float = 0.001) -> Column:
+    """Bucket number (0..n) of ``col`` from approximate quantile splits."""
+    return bucket_of(F.col(col), quantile_splits(df, col, n_buckets, rel_error))
+
+
 def ordered_scan(df: DataFrame, order: list[str | Column], value: str | Column,
                  out: str, agg: str = "sum", keys: list[str] = (),
                  bucket: str | None = None, exclusive: bool = False) -> DataFrame:

@@ -226,3 +226,15 @@ def test_tokens_squeeze_and_pack(spark):
     assert rows(tok, "row", "pos", "token") == [(1, 1, "a"), (1, 2, "bb"), (1, 3, "c"), (2, 1, "dd"), (2, 2, "e")]
     cols = reshape.ordered_concat(tok, ["g", "pos"], "token", "row", "", "col")
     assert rows(cols, "pos", "col") == [(1, "add"), (2, "bbe"), (3, "c")]
+
+
+def test_blocked_peel_matches_rounds(spark):
+    import random
+    rnd = random.Random(11)
+    pts = {(r, c) for r in range(60) for c in range(30) if rnd.random() < 0.75}
+    df = spark.createDataFrame(sorted(pts), "r long, c long")
+    a = rows(cells.peel(df, 4), "r", "c")
+    b = rows(cells.peel_blocked(df, 4, cells_per_tile=100), "r", "c")
+    assert a == b and 0 < len(a) < len(pts)
+    iso = spark.createDataFrame([(1, 1), (5, 5)], "r long, c long")
+    assert cells.peel_blocked(iso, 4).count() == 0
