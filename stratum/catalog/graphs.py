@@ -68,26 +68,18 @@ def q_spanning_edge(spark, sf_dir):
 
 
 def _spanning_tree(pts):
-    """Spanning tree over the k closest pairs, k doubling until it spans.
+    """Spanning tree over pairs within a radius h, h doubling until the
+    tree spans every point (``growing_spanning_tree``).
 
-    Kruskal adds edges in the same total order, so once the k closest pairs
-    connect every point, every tree edge is among them: the candidate cut is
-    exact.  The spanning check is the component count of the forest.
+    Candidate pairs come from the cell-blocked join, never from a global
+    top-k; the first radius is the one expected to hold about 2 log2(n)
+    pairs per point.
     """
-    n = pts.count()
-    # first guess: about 2 log2(n) nearest pairs per point usually connect
-    # the points; doubling covers the rest exactly
-    k = max(1, min(n * (n - 1) // 2, 2 * n * max(1, math.ceil(math.log2(max(n, 2))))))
-    while True:
-        pairs = spatial.closest_pairs(pts, "id", ["x", "y", "z"], k)
-        tree, comp = op.spanning_forest(pairs, "i", "j", "d2")
-        if n <= 1 or k >= n * (n - 1) // 2:
-            return tree
-        covered = comp.agg(F.count(F.lit(1)).alias("nodes"),
-                           F.countDistinct("comp").alias("comps")).first()
-        if covered["nodes"] == n and covered["comps"] == 1:
-            return tree
-        k *= 2
+    coords = ["x", "y", "z"]
+    n0 = pts.count()
+    h, diag, _ = spatial.radius_guess(pts, coords, 2 * n0 * max(1, math.ceil(math.log2(max(n0, 2)))))
+    return op.growing_spanning_tree(pts, "id", lambda r: spatial.pairs_within(pts, "id", coords, int(r)),
+                                    h, diag)
 
 
 QUERIES = {

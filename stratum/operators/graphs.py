@@ -112,23 +112,10 @@ def _resolve_pointers(parent: DataFrame, lineage: Lineage, max_rounds: int = 64)
     raise RuntimeError("pointer jumping did not converge")
 
 
-def spanning_forest(edges: DataFrame, i: str = "i", j: str = "j", w: str = "d2",
-                    max_rounds: int = 64) -> tuple[DataFrame, DataFrame]:
-    """U20 core: minimum spanning forest by Borůvka rounds.
-
-    Edges are totally ordered by (w, min(i,j), max(i,j)), so the forest is
-    unique.  Each round every component picks its lightest outgoing edge
-    (a grouped ``min(struct)``), the picks form a pointer forest over
-    components that pointer jumping collapses, and nodes are relabelled --
-    at most log2(#nodes) rounds.  Returns ``(tree_edges(i, j, w),
-    labels(node, comp))``.
-    """
-    lineage = Lineage(edges.sparkSession, 1)
-    e = lineage.cut(edges.select(F.least(i, j).alias("_a"), F.greatest(i, j).alias("_b"),
-                                 F.col(w).alias("_w")).where(F.col("_a") != F.col("_b")).distinct(),
-                    force=True)
-    comp = lineage.cut(_undirected(e, "_a", "_b").select(F.col("_u").alias("node")).distinct()
-                       .select("node", F.col("node").alias("comp")), force=True)
+def _boruvka(e: DataFrame, comp: DataFrame, lineage: Lineage, max_rounds: int = 64):
+    """Borůvka rounds over edges ``(_a, _b, _w)`` from component labels
+    ``(node, comp)`` until no edge leaves a component.  Returns the picked
+    edges (one DataFrame per round) and the final labels."""
     chosen = []
     for _ in range(max_rounds):
         ce = (e.join(comp.select(F.col("node").alias("_a"), F.col("comp").alias("_ca")), "_a")
@@ -144,15 +131,66 @@ def spanning_forest(edges: DataFrame, i: str = "i", j: str = "j", w: str = "d2",
         roots = _resolve_pointers(picks.select("c", "p"), lineage)
         comp = lineage.cut(comp.join(roots.withColumnRenamed("c", "comp"), "comp", "left")
                            .select("node", F.coalesce("p", "comp").alias("comp")), force=True)
+    return chosen, comp
+
+
+def _ordered_edges(edges: DataFrame, i: str, j: str, w: str) -> DataFrame:
+    return edges.select(F.least(i, j).alias("_a"), F.greatest(i, j).alias("_b"),
+                        F.col(w).alias("_w")).where(F.col("_a") != F.col("_b")).distinct()
+
+
+def _tree(chosen: list, like: DataFrame, i: str, j: str, w: str) -> DataFrame:
     if chosen:
         tree = chosen[0]
         for c in chosen[1:]:
             tree = tree.unionByName(c)
         tree = tree.distinct()
     else:
-        tree = e.limit(0)
-    return (tree.select(F.col("_a").alias(i), F.col("_b").alias(j), F.col("_w").alias(w)),
-            comp.select("node", "comp"))
+        tree = like.select("_a", "_b", "_w").limit(0)
+    return tree.select(F.col("_a").alias(i), F.col("_b").alias(j), F.col("_w").alias(w))
+
+
+def spanning_forest(edges: DataFrame, i: str = "i", j: str = "j", w: str = "d2",
+                    max_rounds: int = 64) -> tuple[DataFrame, DataFrame]:
+    """U20 core: minimum spanning forest by Borůvka rounds.
+
+    Edges are totally ordered by (w, min(i,j), max(i,j)), so the forest is
+    unique.  Each round every component picks its lightest outgoing edge
+    (a grouped ``min(struct)``), the picks form a pointer forest over
+    components that pointer jumping collapses, and nodes are relabelled --
+    at most log2(#nodes) rounds.  Returns ``(tree_edges(i, j, w),
+    labels(node, comp))``.
+    """
+    lineage = Lineage(edges.sparkSession, 1)
+    e = lineage.cut(_ordered_edges(edges, i, j, w), force=True)
+    comp = lineage.cut(_undirected(e, "_a", "_b").select(F.col("_u").alias("node")).distinct()
+                       .select("node", F.col("node").alias("comp")), force=True)
+    chosen, comp = _boruvka(e, comp, lineage, max_rounds)
+    return _tree(chosen, e, i, j, w), comp.select("node", "comp")
+
+
+def growing_spanning_tree(nodes: DataFrame, node: str, edges_upto, start: float, limit: float,
+                          i: str = "i", j: str = "j", w: str = "d2") -> DataFrame:
+    """Minimum spanning tree over edge sets that grow with a threshold.
+
+    ``edges_upto(t)`` must return every edge of weight <= t (``w`` compared
+    against t's own scale).  Borůvka runs on the edges up to t; a component
+    that picks an edge there has picked its true lightest edge (everything
+    left out is heavier), so labels and picks carry over when t doubles.
+    Stops when one component holds every node or t reaches ``limit``.
+    """
+    spark = nodes.sparkSession
+    lineage = Lineage(spark, 1)
+    comp = lineage.cut(nodes.select(F.col(node).alias("node")).distinct()
+                       .select("node", F.col("node").alias("comp")), force=True)
+    chosen_all, t, e = [], start, None
+    while True:
+        e = lineage.cut(_ordered_edges(edges_upto(t), i, j, w), force=True)
+        chosen, comp = _boruvka(e, comp, lineage)
+        chosen_all += chosen
+        if t >= limit or comp.select("comp").distinct().limit(2).count() <= 1:
+            return _tree(chosen_all, e, i, j, w)
+        t *= 2
 
 
 def heaviest_edge(tree: DataFrame, i: str = "i", j: str = "j", w: str = "d2") -> DataFrame:

@@ -47,6 +47,21 @@ def pairs_within(points: DataFrame, pid: str, coords: list[str], h: int) -> Data
     return joined.select("i", "j", d2.cast("bigint").alias("d2")).where(F.col("d2") <= h * h)
 
 
+def radius_guess(points: DataFrame, coords: list[str], target_pairs: int) -> tuple[int, int, int]:
+    """``(h, diag, n)``: a radius expected to hold about ``target_pairs``
+    pairs under uniform density, the bounding-box diagonal and the point
+    count (one aggregate row to the driver)."""
+    ext = points.agg(F.count(F.lit(1)).alias("n"),
+                     *[(F.max(c) - F.min(c) + 1).alias(f"e{k}") for k, c in enumerate(coords)]).first()
+    cnt = ext["n"]
+    spans = [ext[f"e{k}"] or 1 for k in range(len(coords))]
+    dims = len(coords)
+    ball = math.pi ** (dims / 2) / math.gamma(dims / 2 + 1)
+    h = (2.0 * max(target_pairs, 1) * math.prod(spans) / (ball * max(cnt, 1) ** 2)) ** (1.0 / dims)
+    diag = int(math.isqrt(sum(s * s for s in spans))) + 1
+    return max(1, int(h)), diag, cnt
+
+
 def closest_pairs(points: DataFrame, pid: str, coords: list[str], n: int,
                   start_h: int | None = None) -> DataFrame:
     """The ``n`` closest unordered pairs, ties broken by (i, j).
@@ -54,21 +69,12 @@ def closest_pairs(points: DataFrame, pid: str, coords: list[str], n: int,
     Exact: once at least ``n`` pairs lie within distance h, the n closest
     pairs all do, and every pair within h is found by ``pairs_within``.  h
     starts from a uniform-density estimate and doubles until the count
-    (an aggregate, not a collect) reaches n or h spans the whole box.
+    (an aggregate, not a collect) reaches n or h spans the whole box.  The
+    final top-n is the report itself (TakeOrderedAndProject of n rows).
     """
-    ext = points.agg(F.count(F.lit(1)).alias("n"),
-                     *[(F.max(c) - F.min(c) + 1).alias(f"e{k}") for k, c in enumerate(coords)]).first()
-    cnt = ext["n"]
-    spans = [ext[f"e{k}"] or 1 for k in range(len(coords))]
-    total_pairs = cnt * (cnt - 1) // 2
-    need = min(n, total_pairs)
-    if start_h is None:
-        vol = math.prod(spans)
-        dims = len(coords)
-        ball = math.pi ** (dims / 2) / math.gamma(dims / 2 + 1)
-        start_h = (2.0 * need * vol / (ball * max(cnt, 1) ** 2)) ** (1.0 / dims) if cnt else 1
-    h = max(1, int(start_h))
-    diag = int(math.isqrt(sum(s * s for s in spans))) + 1
+    h0, diag, cnt = radius_guess(points, coords, n)
+    need = min(n, cnt * (cnt - 1) // 2)
+    h = start_h or h0
     while True:
         cand = pairs_within(points, pid, coords, h)
         if h >= diag or cand.count() >= need:
