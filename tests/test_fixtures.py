@@ -238,3 +238,27 @@ def test_blocked_peel_matches_rounds(spark):
     assert a == b and 0 < len(a) < len(pts)
     iso = spark.createDataFrame([(1, 1), (5, 5)], "r long, c long")
     assert cells.peel_blocked(iso, 4).count() == 0
+
+
+def test_growing_spanning_tree_matches_prim(spark):
+    import random
+    from stratum.operators import spatial as sp
+    rnd = random.Random(21)
+    pts = [(i, rnd.randint(0, 400), rnd.randint(0, 60), rnd.randint(0, 9)) for i in range(60)]
+    df = spark.createDataFrame(pts, "id long, x long, y long, z long")
+    coords = ["x", "y", "z"]
+    h, diag, _ = sp.radius_guess(df, coords, 30)
+    tree = graphs.growing_spanning_tree(df, "id", lambda r: sp.pairs_within(df, "id", coords, int(r)), h, diag)
+    top = graphs.heaviest_edge(tree).first()
+
+    def d2(a, b):
+        return sum((a[k] - b[k]) ** 2 for k in (1, 2, 3))
+    # Prim with the (w, min id, max id) total order
+    seen, best = {pts[0][0]}, []
+    while len(seen) < len(pts):
+        e = min((d2(a, b), min(a[0], b[0]), max(a[0], b[0]), b[0])
+                for a in pts if a[0] in seen for b in pts if b[0] not in seen)
+        best.append(e[:3])
+        seen.add(e[3])
+    assert tree.count() == len(pts) - 1
+    assert (top["d2"], top["i"], top["j"]) == max(best)
