@@ -61,16 +61,15 @@ def min_subset_xor(masks: DataFrame, targets: DataFrame, group: str, mask: str =
     solved = [t.where(F.col("_t") == 0).select(group, F.lit(0).cast("bigint").alias(out))]
     front = lineage.cut(t.where(F.col("_t") != 0).select(group, F.lit(0).cast("bigint").alias("_x")),
                         force=True)
+    front = front.join(t, group)  # carry target and mask count with the frontier
     d = 0
     while not front.isEmpty():
         d += 1
-        nxt = (front.join(m, group).select(group, (F.col("_x").bitwiseXOR(F.col("_m"))).alias("_x"))
-               .distinct().join(t, group))
-        nxt = lineage.cut(nxt, force=True)
-        solved.append(nxt.where(F.col("_x") == F.col("_t"))
-                      .select(group, F.lit(d).cast("bigint").alias(out)).distinct())
-        front = (nxt.join(nxt.where(F.col("_x") == F.col("_t")).select(group), group, "left_anti")
-                 .where(F.col("_k") > d).select(group, "_x"))
+        nxt = lineage.cut(front.join(m, group).select(
+            group, (F.col("_x").bitwiseXOR(F.col("_m"))).alias("_x"), "_t", "_k").distinct(), force=True)
+        hit = nxt.where(F.col("_x") == F.col("_t")).select(group).distinct()
+        solved.append(hit.select(group, F.lit(d).cast("bigint").alias(out)))
+        front = nxt.join(hit, group, "left_anti").where(F.col("_k") > d)
     res = solved[0]
     for s in solved[1:]:
         res = res.unionByName(s)
