@@ -110,24 +110,71 @@ def staircases(points: DataFrame, x: str, y: str) -> DataFrame:
     return out
 
 
+def _ranked(st: DataFrame, kind: str, ysign: int) -> DataFrame:
+    """One staircase as ``(r, x, y)`` with r = 1.. in x order (two-level count)."""
+    s = st.where(F.col("kind") == kind).select("x", (F.col("y") * ysign).alias("y"),
+                                               F.lit(1).cast("bigint").alias("_one"))
+    s = s.withColumn("_b", quantile_bucket(s, "x", 16))
+    return ordered_scan(s, ["x"], "_one", "r", "sum", [], "_b").select("r", "x", "y")
+
+
+def _monge_best(p: DataFrame, q: DataFrame) -> DataFrame:
+    """max over i, j of (X_j - x_i + 1)(Y_j - y_i + 1) for two staircases
+    (x ascending, y strictly descending in both).
+
+    The matrix is inverse-Monge -- f(i,j) + f(i',j') >= f(i,j') + f(i',j)
+    for i < i', j < j' -- so the rightmost best column of a row never moves
+    left as the row grows.  Divide and conquer on rows: each round solves
+    the middle row of every open segment over that segment's column range
+    and splits the segment there.  Column ranges of one round overlap only
+    at their ends, so a round explodes O(#rows + #columns) candidates, and
+    there are log2(#rows) rounds.  Every step is an equi join or aggregate.
+    """
+    lineage = Lineage(p.sparkSession, 1)
+    P = lineage.cut(p.select(F.col("r").alias("mid"), F.col("x").alias("px"), F.col("y").alias("py")), force=True)
+    Q = lineage.cut(q.select(F.col("r").alias("j"), F.col("x").alias("qx"), F.col("y").alias("qy")), force=True)
+    seg = P.agg(F.min("mid").alias("i_lo"), F.max("mid").alias("i_hi")).select(
+        "i_lo", "i_hi", Q.select(F.min("j")).scalar().alias("j_lo"), Q.select(F.max("j")).scalar().alias("j_hi"))
+    seg = lineage.cut(seg, force=True)
+    found = []
+    while True:
+        open_seg = seg.where(F.col("i_lo") <= F.col("i_hi"))
+        if open_seg.isEmpty():
+            break
+        open_seg = open_seg.withColumn("mid", F.call_function("div", F.col("i_lo") + F.col("i_hi"), F.lit(2)))
+        cand = (open_seg.select("*", F.explode(F.sequence("j_lo", "j_hi")).alias("j"))
+                .join(Q, "j").join(P, "mid")
+                .withColumn("f", (F.col("qx") - F.col("px") + 1) * (F.col("qy") - F.col("py") + 1)))
+        pick = lineage.cut(cand.groupBy("i_lo", "i_hi", "j_lo", "j_hi", "mid")
+                           .agg(F.max(F.struct("f", "j")).alias("_m"))
+                           .select("i_lo", "i_hi", "j_lo", "j_hi", "mid", F.col("_m.f").alias("f"),
+                                   F.col("_m.j").alias("best_j")), force=True)
+        found.append(pick.select("f"))
+        seg = lineage.cut(
+            pick.select("i_lo", (F.col("mid") - 1).alias("i_hi"), "j_lo", F.col("best_j").alias("j_hi"))
+            .unionByName(pick.select((F.col("mid") + 1).alias("i_lo"), "i_hi",
+                                     F.col("best_j").alias("j_lo"), "j_hi")), force=True)
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out.agg(F.max("f").alias("_a"))
+
+
 def max_rectangle(points: DataFrame, x: str, y: str, out: str = "area") -> DataFrame:
     """Max (|dx|+1)(|dy|+1) over pairs of points.
 
     An optimal pair is a lower-left/upper-right or upper-left/lower-right
     pair of staircase points (a dominated corner can be swapped for the
-    point dominating it), so only staircase points are paired.  A staircase
-    holds at most one point per distinct x and, for points in general
-    position, O(log n) points.
+    point dominating it).  Within one diagonal the area matrix between the
+    two staircases is inverse-Monge, so ``_monge_best`` finds its maximum
+    with O((a + b) log a) candidate rows instead of the a*b pairs; pairs in
+    the wrong orientation only score <= 0 there and are covered by the
+    other diagonal (y negated).
     """
     st = Lineage(points.sparkSession, 1).cut(staircases(points, x, y), force=True)
-
-    def side(kind, tag):
-        return st.where(F.col("kind") == kind).select(F.col("x").alias(f"x{tag}"), F.col("y").alias(f"y{tag}"))
-
-    area = ((F.abs(F.col("x1") - F.col("x2")) + 1) * (F.abs(F.col("y1") - F.col("y2")) + 1)).cast("bigint")
-    diag1 = side("ll", 1).crossJoin(side("ur", 2)).select(area.alias("_a"))
-    diag2 = side("ul", 1).crossJoin(side("lr", 2)).select(area.alias("_a"))
-    return diag1.unionByName(diag2).agg(F.max("_a").alias(out))
+    d1 = _monge_best(_ranked(st, "ll", 1), _ranked(st, "ur", 1))
+    d2 = _monge_best(_ranked(st, "ul", -1), _ranked(st, "lr", -1))
+    return d1.unionByName(d2).agg(F.max("_a").cast("bigint").alias(out))
 
 
 def compress(values: DataFrame, value: str, keys: list[str] = (), out: str = "idx") -> DataFrame:

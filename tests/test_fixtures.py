@@ -166,11 +166,13 @@ def test_rectangles(spark):
 
 def test_max_rectangle_brute(spark):
     import random
-    rnd = random.Random(3)
-    pts = [(rnd.randint(0, 30), rnd.randint(0, 30)) for _ in range(80)]
-    df = spark.createDataFrame(pts, "x long, y long")
-    brute = max((abs(a[0] - b[0]) + 1) * (abs(a[1] - b[1]) + 1) for a in pts for b in pts)
-    assert spatial.max_rectangle(df, "x", "y").first()["area"] == brute
+    for seed, n, lo, hi, ylo, yhi in [(3, 80, 0, 30, 0, 30), (4, 60, -50, 50, -5, 5),
+                                      (5, 120, 0, 1000, 0, 20), (6, 40, -3, 3, -200, 200)]:
+        rnd = random.Random(seed)
+        pts = [(rnd.randint(lo, hi), rnd.randint(ylo, yhi)) for _ in range(n)]
+        df = spark.createDataFrame(pts, "x long, y long")
+        brute = max((abs(a[0] - b[0]) + 1) * (abs(a[1] - b[1]) + 1) for a in pts for b in pts)
+        assert spatial.max_rectangle(df, "x", "y").first()["area"] == brute, seed
 
 
 def test_xor_subset(spark):
