@@ -245,6 +245,14 @@ def q_field_extract(spark, sf_dir):
                                         F.count(k).alias("k_count"))
 
 
+def q_array_fields(spark, sf_dir):
+    """Split to an array and read fixed subscripts (NULL past the end)."""
+    p = load(spark, sf_dir, "part")
+    words = F.split(F.col("p_name"), " ")
+    return p.select("p_partkey", F.get(words, 0).alias("w1"), F.get(words, 2).alias("w3"),
+                    F.get(words, 7).alias("w8"), F.size(words).cast("bigint").alias("n_words"))
+
+
 def q_last_record(spark, sf_dir):
     conv = load(spark, sf_dir, "conversations")
     last = conv.groupBy("conv_id").agg(F.max("turn").alias("turn"))
@@ -281,6 +289,7 @@ QUERIES = {
     "signed_tokens": q_signed_tokens,
     "field_extract": q_field_extract,
     "last_record": q_last_record,
+    "array_fields": q_array_fields,
 }
 
 _W = ", ".join(f"('{p}', {w})" for p, w in PRIORITY_WEIGHTS)
@@ -367,6 +376,8 @@ FROM part""",
   'L', '-'), 'R', '') AS BIGINT)) AS BIGINT) AS net FROM events GROUP BY user_id""",
     "field_extract": """SELECT event_type, CAST(sum(TRY_CAST(regexp_replace(split_part(props, ':', 2), '[ }]', '', 'g') AS BIGINT)) AS BIGINT) AS k_sum,
   count(TRY_CAST(regexp_replace(split_part(props, ':', 2), '[ }]', '', 'g') AS BIGINT)) AS k_count FROM events GROUP BY event_type""",
+    "array_fields": """SELECT p_partkey, string_split(p_name, ' ')[1] AS w1, string_split(p_name, ' ')[3] AS w3,
+  string_split(p_name, ' ')[8] AS w8, CAST(len(string_split(p_name, ' ')) AS BIGINT) AS n_words FROM part""",
     "last_record": """SELECT c.conv_id, c.turn, c.role, CAST(length(c.text) AS BIGINT) AS n_chars FROM conversations c
 JOIN (SELECT conv_id, max(turn) AS turn FROM conversations GROUP BY conv_id) m ON c.conv_id = m.conv_id AND c.turn = m.turn""",
 }
