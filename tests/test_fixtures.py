@@ -264,3 +264,45 @@ def test_growing_spanning_tree_matches_prim(spark):
         seen.add(e[3])
     assert tree.count() == len(pts) - 1
     assert (top["d2"], top["i"], top["j"]) == max(best)
+
+
+def test_l_shaped_ring(spark):
+    ring = [(0, 0), (4, 0), (4, 2), (2, 2), (2, 4), (0, 4)]
+    v = spark.createDataFrame([("L", k, x, y) for k, (x, y) in enumerate(ring)], "poly string, k long, x long, y long")
+    assert spatial.max_interior_rectangle(v, "poly", "k").first()["area"] == 15
+    cells_ = spatial.polygon_cells(v, "poly", "k")
+    assert cells_.where("inside").agg(F.sum("tiles")).first()[0] == 21
+    # reversed orientation gives the same answers
+    rv = spark.createDataFrame([("L", k, x, y) for k, (x, y) in enumerate(ring[::-1])],
+                               "poly string, k long, x long, y long")
+    assert spatial.max_interior_rectangle(rv, "poly", "k").first()["area"] == 15
+
+
+def test_ring_with_narrow_notch(spark):
+    # a U shape with a one-tile-wide notch: tiles (2,2), (2,3), (2,4) lie between
+    # the prongs and are outside; (2,1) is on the bottom edge of the notch (inside)
+    ring = [(0, 0), (4, 0), (4, 4), (3, 4), (3, 1), (1, 1), (1, 4), (0, 4)]
+    v = spark.createDataFrame([("U", k, x, y) for k, (x, y) in enumerate(ring)], "poly string, k long, x long, y long")
+    inside = spatial.polygon_cells(v, "poly", "k").where("inside").agg(F.sum("tiles")).first()[0]
+    assert inside == 25 - 3
+    assert spatial.max_interior_rectangle(v, "poly", "k").first()["area"] == 10
+
+
+def test_component_labels_agree_on_edges(spark):
+    import random
+    rnd = random.Random(9)
+    edges = [(rnd.randint(0, 80), rnd.randint(0, 80)) for _ in range(70)]
+    e = spark.createDataFrame(edges, "a long, b long")
+    lab = {r["node"]: r["component"] for r in graphs.connected_components(e).collect()}
+    assert all(lab[a] == lab[b] for a, b in edges if a != b)
+    assert all(lab[n] <= n for n in lab)
+
+
+def test_k_core_degrees_at_least_k(spark):
+    import random
+    rnd = random.Random(10)
+    edges = {(min(a, b), max(a, b)) for a, b in ((rnd.randint(0, 40), rnd.randint(0, 40)) for _ in range(300)) if a != b}
+    e = spark.createDataFrame(sorted(edges), "a long, b long")
+    core = graphs.k_core(e, 6)
+    degs = [r["degree"] for r in graphs.degrees(core).collect()]
+    assert degs and min(degs) >= 6
