@@ -89,7 +89,8 @@ def staircases(points: DataFrame, x: str, y: str) -> DataFrame:
     Per distinct x the lowest and highest y (an aggregate); a point is on
     the (min x, min y) staircase when its y is below every y at smaller x,
     and likewise for the other three corners (running min/max over x).
-    Returns ``(kind, x, y)`` with kind in {'ll','lr','ul','ur'}.
+    Returns ``(kind, r, x, y)`` with kind in {'ll','lr','ul','ur'} and r the
+    1-based rank of the point along its staircase in x order.
     """
     lineage = Lineage(points.sparkSession, 1)
     col = points.groupBy(F.col(x).alias("x")).agg(F.min(y).alias("ylo"), F.max(y).alias("yhi"))
@@ -98,12 +99,18 @@ def staircases(points: DataFrame, x: str, y: str) -> DataFrame:
     # running extremes over smaller x (before) and larger x (after), two-level
     s = ordered_scans(col, ["x"], [("ylo", "lo_b", "min"), ("yhi", "hi_b", "max")], [], "bx", True)
     s = ordered_scans(s, ["nx"], [("ylo", "lo_a", "min"), ("yhi", "hi_a", "max")], [], "bn", True)
-    parts = [
-        s.where(F.col("lo_b").isNull() | (F.col("ylo") < F.col("lo_b"))).select(F.lit("ll").alias("kind"), "x", F.col("ylo").alias("y")),
-        s.where(F.col("hi_b").isNull() | (F.col("yhi") > F.col("hi_b"))).select(F.lit("ul").alias("kind"), "x", F.col("yhi").alias("y")),
-        s.where(F.col("lo_a").isNull() | (F.col("ylo") < F.col("lo_a"))).select(F.lit("lr").alias("kind"), "x", F.col("ylo").alias("y")),
-        s.where(F.col("hi_a").isNull() | (F.col("yhi") > F.col("hi_a"))).select(F.lit("ur").alias("kind"), "x", F.col("yhi").alias("y")),
-    ]
+    flags = {
+        "ll": F.col("lo_b").isNull() | (F.col("ylo") < F.col("lo_b")),
+        "ul": F.col("hi_b").isNull() | (F.col("yhi") > F.col("hi_b")),
+        "lr": F.col("lo_a").isNull() | (F.col("ylo") < F.col("lo_a")),
+        "ur": F.col("hi_a").isNull() | (F.col("yhi") > F.col("hi_a")),
+    }
+    s = s.select("x", "ylo", "yhi", "bx", *[f.cast("bigint").alias(f"f_{k}") for k, f in flags.items()])
+    # rank of each staircase point in x order: running count of its flag
+    s = ordered_scans(s, ["x"], [(f"f_{k}", f"r_{k}", "sum") for k in flags], [], "bx")
+    ys = {"ll": "ylo", "lr": "ylo", "ul": "yhi", "ur": "yhi"}
+    parts = [s.where(F.col(f"f_{k}") == 1).select(F.lit(k).alias("kind"), F.col(f"r_{k}").alias("r"), "x",
+                                                   F.col(ys[k]).alias("y")) for k in flags]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -111,11 +118,8 @@ def staircases(points: DataFrame, x: str, y: str) -> DataFrame:
 
 
 def _ranked(st: DataFrame, kind: str, ysign: int) -> DataFrame:
-    """One staircase as ``(r, x, y)`` with r = 1.. in x order (two-level count)."""
-    s = st.where(F.col("kind") == kind).select("x", (F.col("y") * ysign).alias("y"),
-                                               F.lit(1).cast("bigint").alias("_one"))
-    s = s.withColumn("_b", quantile_bucket(s, "x", 16))
-    return ordered_scan(s, ["x"], "_one", "r", "sum", [], "_b").select("r", "x", "y")
+    """One staircase as ``(r, x, y)``, y optionally negated."""
+    return st.where(F.col("kind") == kind).select("r", "x", (F.col("y") * ysign).alias("y"))
 
 
 def _monge_best(p: DataFrame, q: DataFrame) -> DataFrame:
@@ -150,10 +154,9 @@ def _monge_best(p: DataFrame, q: DataFrame) -> DataFrame:
                            .select("i_lo", "i_hi", "j_lo", "j_hi", "mid", F.col("_m.f").alias("f"),
                                    F.col("_m.j").alias("best_j")), force=True)
         found.append(pick.select("f"))
-        seg = lineage.cut(
-            pick.select("i_lo", (F.col("mid") - 1).alias("i_hi"), "j_lo", F.col("best_j").alias("j_hi"))
-            .unionByName(pick.select((F.col("mid") + 1).alias("i_lo"), "i_hi",
-                                     F.col("best_j").alias("j_lo"), "j_hi")), force=True)
+        seg = (pick.select("i_lo", (F.col("mid") - 1).alias("i_hi"), "j_lo", F.col("best_j").alias("j_hi"))
+               .unionByName(pick.select((F.col("mid") + 1).alias("i_lo"), "i_hi",
+                                        F.col("best_j").alias("j_lo"), "j_hi")))
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
