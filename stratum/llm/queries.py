@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stratum.llm import sql
+from stratum.llm.htmltext import extract_main_text
 from stratum.llm.mixing import mix
+from stratum.llm.pii import KINDS, find_personal_data, spans_text
 from stratum.llm.quality import quality_rules
+from stratum.llm.tokencount import count_tokens
+from stratum.llm.toxicity import classify
 from stratum.llm.urlfilter import judge_urls
 from stratum.sources.tables import load
 
@@ -25,9 +30,32 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(load(spark, sf_dir, "pages"), rules)
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(load(spark, sf_dir, "documents"))
+
+
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(load(spark, sf_dir, "pages"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(load(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_url_filter, op6_mixing)}
-SQL = {"op1_quality_rules": sql.quality_rules(), "op2_url_filter": sql.url_filter(URL_RULES)}
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(load(spark, sf_dir, "documents"))
+    per_kind = [F.expr(f"cast(size(filter(base, s -> s.kind = {k})) as bigint)").alias(f"n_{name}")
+                for k, name in enumerate(KINDS)]
+    return found.select("doc_id", *per_kind, F.sha2(spans_text(F.col("base")), 256).alias("base_sha256"),
+                        spans_text(F.col("spans")).alias("spans"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_quality_rules, op2_url_filter, op4_token_counts, op5_html_text, op6_mixing, op7_toxicity,
+    op9_personal_data)}
+SQL = {"op1_quality_rules": sql.quality_rules(), "op2_url_filter": sql.url_filter(URL_RULES),
+       "op5_html_text": sql.html_text()}

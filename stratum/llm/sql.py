@@ -73,3 +73,17 @@ best AS (SELECT host, path, first(rh || rp ORDER BY length(rh || rp) DESC, lengt
          GROUP BY host, path)
 SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict
 FROM parsed LEFT JOIN best USING (host, path)"""
+
+
+def html_text() -> str:
+    """The article element without tags; these pages hold no other markup inside it."""
+    return r"""
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1) AS article FROM pages),
+t AS (SELECT page_id, url, article, trim(regexp_replace(
+        replace(replace(replace(replace(regexp_replace(article, '<[^>]*>', ' ', 'g'),
+        '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g')) AS text FROM a)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars,
+       len(list_filter(regexp_split_to_array(article, '<(?:p|h1|br|/p|/h1|/br)>'),
+           lambda x: regexp_matches(regexp_replace(x, '<[^>]*>', '', 'g'), '\S')))::BIGINT AS n_blocks,
+       '/html/body/article' AS content_path
+FROM t"""
