@@ -100,6 +100,15 @@ def span_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     return mix(h + (end - start).astype(np.uint64) * U64(0xD1B54A32D192ED03))
 
 
+def run_hashes(h: np.ndarray, first: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Hash of each run ``h[first:stop]``, from one rolling hash over the entries."""
+    power, inverse = _power_tables(len(h) + 1)
+    prefix = np.zeros(len(h) + 1, dtype=np.uint64)
+    np.cumsum(h * power[:len(h)], out=prefix[1:])
+    return mix((prefix[stop] - prefix[first]) * inverse[first]
+               + (stop - first).astype(np.uint64) * U64(0xD1B54A32D192ED03))
+
+
 def chain(h: np.ndarray, n: int) -> np.ndarray:
     """Hash of each n consecutive entries (rolled up one entry at a time)."""
     g = h[: max(0, len(h) - n + 1)].copy()

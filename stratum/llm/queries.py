@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.llm import sql
+from stratum.llm.decontam import contamination
 from stratum.llm.htmltext import extract_main_text
+from stratum.llm.linedup import dedup_lines
 from stratum.llm.mixing import mix
 from stratum.llm.pii import KINDS, find_personal_data, spans_text
 from stratum.llm.quality import quality_rules
@@ -46,6 +48,13 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items",
+                        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_personal_data(load(spark, sf_dir, "documents"))
     per_kind = [F.expr(f"cast(size(filter(base, s -> s.kind = {k})) as bigint)").alias(f"n_{name}")
@@ -54,8 +63,12 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
                         spans_text(F.col("spans")).alias("spans"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(load(spark, sf_dir, "documents")).select("doc_id", "text", "removed_lines", "cuts")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_url_filter, op4_token_counts, op5_html_text, op6_mixing, op7_toxicity,
-    op9_personal_data)}
+    op8_decontamination, op9_personal_data, op10_line_dedup)}
 SQL = {"op1_quality_rules": sql.quality_rules(), "op2_url_filter": sql.url_filter(URL_RULES),
        "op5_html_text": sql.html_text()}
