@@ -1,8 +1,104 @@
-"""A training-data pipeline over ``documents``: STAGES, run() and ORACLE_SQL."""
+"""A training-data pipeline over ``documents``: five stages, each one operator of ``stratum.llm``.
 
-STAGES = []
+A stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as
+Parquet and read again as the next stage's ``docs``.  All but the last return
+the columns of ``documents``.  ``n_chars`` follows the text.
+
+1. toxicity: documents that the classifier marks are dropped.
+2. line_dedup: passages that an earlier document holds are cut out; a document
+   of which no word is left is dropped.
+3. near_duplicates: of the documents that links join, the one with the smallest
+   id stays (of rows with that id, one).  Documents without words stay, as they
+   link with nothing, and so do rows with a null id.
+4. decontamination: documents with a window of a benchmark item are dropped.
+5. mixing: each document comes as often as the mix takes it, numbered in
+   ``copy`` from 1; documents that the mix does not take are not in the result.
+
+Defined cases: a null in any column is kept as it is; rows with equal ids pass
+every stage independently, but for stage 3; empty tables give empty results.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from stratum.llm.decontam import contamination
+from stratum.llm.jaccard import jaccard_components
+from stratum.llm.linedup import dedup_lines
+from stratum.llm.mixing import mix
+from stratum.llm.toxicity import THRESHOLD, score, train
+from stratum.session import ensure_checkpoint_dir
+from stratum.sources.tables import load
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = train(docs, load(spark, sf_dir, "labels"))
+    scored = score(docs, model, out="_toxicity")
+    return _same_columns(docs, scored.filter(F.col("_toxicity") < THRESHOLD))
+
+
+def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    done = dedup_lines(docs)
+    some_text_left = (F.col("removed_lines") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    return _same_columns(docs, done.filter(some_text_left).withColumn(
+        "n_chars", F.when(F.col("removed_lines") == 0, F.col("n_chars")).otherwise(F.length("text"))))
+
+
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    kept = jaccard_components(docs).filter(F.col("component_id") == F.col("doc_id")) \
+        .select(F.col("doc_id").alias("_id")).distinct()
+    has_id = docs.filter(F.col("doc_id").isNotNull())
+    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "source", "lang", "n_chars"))
+    one = has_id.join(kept, F.col("doc_id") == F.col("_id"), "left_semi") \
+        .withColumn("_nth", nth).filter(F.col("_nth") == 1).drop("_nth")
+    return _same_columns(docs, one.unionByName(docs.filter(F.col("doc_id").isNull())))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    hit = contamination(docs, load(spark, sf_dir, "benchmark")) \
+        .filter(F.col("n_hit") > 0).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key"))
+    return _same_columns(docs, docs.join(hit, same, "left_anti"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    # rows with equal ids and texts are told apart by their source, in its order
+    taken = mix(docs).select(
+        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "copies",
+        F.row_number().over(Window.partitionBy("doc_id", "text_key").orderBy("source_id")).alias("_nth")) \
+        .select("_id", "_key", "_nth", F.col("copies").alias("_copies"))
+    key = F.xxhash64("text")
+    rows = docs.withColumn("_nth_row", F.row_number().over(
+        Window.partitionBy(F.col("doc_id").cast("bigint"), key).orderBy(F.col("source").asc_nulls_last())))
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (key == F.col("_key")) \
+        & (F.col("_nth_row") == F.col("_nth"))
+    return rows.join(taken.filter(F.col("_copies") > 0), same) \
+        .select(*[F.col(c) for c in docs.columns if c != "copy"],
+                F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("copy"))
+
+
+def _same_columns(docs: DataFrame, out: DataFrame) -> DataFrame:
+    return out.select(*[F.col(c).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
+
+
+STAGES = [("toxicity", drop_toxic), ("line_dedup", cut_repeated_passages),
+          ("near_duplicates", keep_one_of_each_group), ("decontamination", drop_contaminated),
+          ("mixing", mix_sources)]
+
+#: a trained classifier, a patience diff and hashed draws have no SQL form
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written as Parquet and read again."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    docs = load(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        path = f"{root}/{name}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs

@@ -41,7 +41,8 @@ WINDOW = 10
 GAP = 1 << 12
 SCREEN_BITS = 21
 BLOCK_WINDOWS = 50_000
-INDEX = "shard bigint, term bigint, n bigint, positions array<bigint>, doc_ids array<bigint>, lengths array<bigint>"
+INDEX = ("shard bigint, term bigint, n bigint, positions array<bigint>, doc_ids array<bigint>, text_keys array<bigint>, "
+         "lengths array<bigint>")
 
 
 def _terms(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -123,17 +124,18 @@ def positional_index(docs: DataFrame, lineage: Lineage, screen: np.ndarray, doc_
             yield pa.RecordBatch.from_arrays(
                 [pa.array([shard], pa.int64()), pa.array([None], pa.int64()), pa.array([part.num_rows], pa.int64()),
                  empty(1), pa.array([part.column(0).to_pylist()], pa.list_(pa.int64())),
-                 pa.array([n_words], pa.list_(pa.int64()))], names=names)
+                 pa.array([part.column(2).to_pylist()], pa.list_(pa.int64())), pa.array([n_words], pa.list_(pa.int64()))], names=names)
             for lo in range(0, len(first), 1 << 12):
                 hi = min(lo + (1 << 12), len(first))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(hi - lo, shard)), pa.array(term[first[lo:hi]]),
                      pa.array(np.diff(bounds[lo:hi + 1])),
                      _lists(position[bounds[lo]:bounds[hi]], bounds[lo:hi + 1] - bounds[lo]),
-                     empty(hi - lo), empty(hi - lo)], names=names)
+                     empty(hi - lo), empty(hi - lo), empty(hi - lo)], names=names)
             shard += 1
 
-    return lineage.cut(docs.select(F.col(doc_id).cast("bigint"), F.col(text)).mapInArrow(run, INDEX), force=True)
+    source = docs.select(F.col(doc_id).cast("bigint"), F.col(text), F.xxhash64(text))
+    return lineage.cut(source.mapInArrow(run, INDEX), force=True)
 
 
 def phrase_starts(lists: list[np.ndarray], slop: int = 0) -> tuple[np.ndarray, np.ndarray]:
@@ -231,9 +233,10 @@ def _covered(spans):
 
 def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id",
                   text: str = "text", window: int = WINDOW, slop: int = 0) -> DataFrame:
-    """(doc_id, n_words, n_hit, n_items, item_ids, spans) of every document.
+    """(doc_id, n_words, n_hit, n_items, item_ids, spans, text_key) of every document.
 
-    ``spans`` are word positions (first, stop) that windows occupy; ``item_ids`` are sorted strings.
+    ``spans`` are word positions (first, stop) that windows occupy; ``item_ids`` are sorted strings;
+    ``text_key`` is xxhash64 of the text.
     """
     lineage = Lineage(docs.sparkSession, every=1)
     windows = lineage.cut(windows_of(items, item_id, text, window), force=True)
@@ -245,11 +248,11 @@ def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", ite
         .filter(F.col("item_id").isNotNull()) \
         .groupBy("shard", "doc_no").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("item_ids"))
     all_docs = index.filter(F.col("term").isNull()) \
-        .select("shard", F.posexplode(F.arrays_zip("doc_ids", "lengths")).alias("doc_no", "d")) \
+        .select("shard", F.posexplode(F.arrays_zip("doc_ids", "text_keys", "lengths")).alias("doc_no", "d")) \
         .select("shard", F.col("doc_no").cast("bigint").alias("doc_no"), F.col("d.doc_ids").alias("doc_id"),
-                F.col("d.lengths").alias("n_words"))
+                F.col("d.text_keys").alias("text_key"), F.col("d.lengths").alias("n_words"))
     none = F.array().cast("array<string>")
     return all_docs.join(spans, ["shard", "doc_no"], "left").join(listed, ["shard", "doc_no"], "left").select(
         "doc_id", "n_words", F.coalesce(_covered(F.col("spans")), F.lit(0)).cast("bigint").alias("n_hit"),
         F.size(F.coalesce("item_ids", none)).cast("bigint").alias("n_items"),
-        F.coalesce("item_ids", none).alias("item_ids"), "spans")
+        F.coalesce("item_ids", none).alias("item_ids"), "spans", "text_key")

@@ -40,7 +40,7 @@ WEIGHTS = (5.0, 2.0, 1.0)
 BLOCK = 64
 MASS = 1 << 16   # units of mass in a word
 DRAW = 1 << 30   # steps of a random number
-STATE = ("doc_id", "source_id", "source_size", "target", "base", "mass", "copies")
+STATE = ("doc_id", "text_key", "source_id", "source_size", "target", "base", "mass", "copies")
 
 
 def source_targets(sizes: DataFrame, lineage: Lineage, share: float = 1.5, most: float = 2.0,
@@ -119,10 +119,14 @@ def _reduce(units: DataFrame, keys: list) -> DataFrame:
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
         share: float = 1.5, most: float = 2.0, weights: tuple = WEIGHTS) -> DataFrame:
-    """(doc_id, size, source_size, target, taken, copies) for every document."""
+    """(doc_id, size, source_size, target, taken, copies, source_id, text_key) for every document.
+
+    ``source_id`` numbers the sources in their order; ``text_key`` is xxhash64 of the text.
+    """
     lineage = Lineage(docs.sparkSession, every=1)
     sized = lineage.cut(docs.select(
         F.col(doc_id).cast("bigint").alias("doc_id"), F.col(source).alias("source"),
+        F.xxhash64(text).alias("text_key"),
         F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("bigint").alias("size")),
         force=True)
     targets = source_targets(sized, lineage, share, most, weights)
@@ -130,7 +134,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     base = F.floor(ratio).cast("bigint")
     state = _settled(sized.join(targets, sized["source"].eqNullSafe(targets["source"])).select(
-        "size", "doc_id", "source_id", "source_size", "target", base.alias("base"),
+        "size", "doc_id", "text_key", "source_id", "source_size", "target", base.alias("base"),
         F.round((ratio - base) * F.col("size") * MASS).cast("bigint").alias("mass"),
         F.lit(None).cast("bigint").alias("copies")))
     is_open = F.col("copies").isNull()
@@ -150,4 +154,5 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     for d in done:
         out = out.unionByName(d)
     return out.select("doc_id", "size", "source_size", "target",
-                      (F.col("copies") * F.col("size")).alias("taken"), "copies")
+                      (F.col("copies") * F.col("size")).alias("taken"), "copies",
+                      "source_id", "text_key")

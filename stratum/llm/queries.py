@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stratum.llm import sql
 from stratum.llm.decontam import contamination
 from stratum.llm.htmltext import extract_main_text
+from stratum.llm.jaccard import jaccard_components
 from stratum.llm.linedup import dedup_lines
 from stratum.llm.mixing import mix
 from stratum.llm.pii import KINDS, find_personal_data, spans_text
@@ -32,6 +33,10 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(load(spark, sf_dir, "pages"), rules)
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(load(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(load(spark, sf_dir, "documents"))
 
@@ -41,7 +46,8 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(load(spark, sf_dir, "documents"))
+    return mix(load(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", "copies")
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,7 +74,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_rules, op2_url_filter, op4_token_counts, op5_html_text, op6_mixing, op7_toxicity,
+    op1_quality_rules, op2_url_filter, op3_jaccard_join, op4_token_counts, op5_html_text, op6_mixing, op7_toxicity,
     op8_decontamination, op9_personal_data, op10_line_dedup)}
 SQL = {"op1_quality_rules": sql.quality_rules(), "op2_url_filter": sql.url_filter(URL_RULES),
        "op5_html_text": sql.html_text()}

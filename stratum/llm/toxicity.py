@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratum.llm import columnar as C
 
@@ -228,31 +229,34 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % HELD_OUT[0] == HELD_OUT[1], F.lit(False))
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], doc_id: str = "doc_id",
-          text: str = "text", keep: tuple = ()) -> DataFrame:
-    """(doc_id, score) for every row of ``docs``, with the columns ``keep`` in front."""
+def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], text: str = "text",
+          out: str = "score") -> DataFrame:
+    """All columns of ``docs`` and the score of each row (in place of a column named ``out``)."""
     grams, weights, intercept = model
-    source = docs.select(*keep, F.col(doc_id).cast("bigint").alias("_id"), F.col(text).alias("_text"))
-    schema = ", ".join([f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep]
-                       + ["_id bigint", "score double"])
+    keep = [c for c in docs.columns if c != out]
+    at = keep.index(text)
+    inner = [f"c{k}" for k in range(len(keep))]
+    source = docs.select(*[F.col(c).alias(k) for c, k in zip(keep, inner)])
+    schema = T.StructType([*source.schema.fields, T.StructField("score", T.DoubleType())])
 
     def run(batches):
         lookup = Lookup(grams) if len(grams) else None
-        for part, buf, offs in _chunked(batches, len(keep) + 1):
+        for part, buf, offs in _chunked(batches, at):
             z = np.full(part.num_rows, intercept)
             if lookup:
                 d, k = document_features(buf, offs, lookup)
                 z += np.bincount(d, weights[k], part.num_rows)
             p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-            yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(p)],
-                                             names=[*keep, "_id", "score"])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(p)], names=[*inner, "score"])
 
-    return source.mapInArrow(run, schema).withColumnRenamed("_id", "doc_id")
+    return source.mapInArrow(run, schema).toDF(*keep, out)
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **names) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every document."""
     model = train(docs, labels, **names)
-    return score(docs, model).select(
+    rows = docs.select(F.col(names.get("doc_id", "doc_id")).cast("bigint").alias("doc_id"),
+                       F.col(names.get("text", "text")).alias("text"))
+    return score(rows, model).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"))
