@@ -77,4 +77,5 @@ QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_url_filter, op3_jaccard_join, op4_token_counts, op5_html_text, op6_mixing, op7_toxicity,
     op8_decontamination, op9_personal_data, op10_line_dedup)}
 SQL = {"op1_quality_rules": sql.quality_rules(), "op2_url_filter": sql.url_filter(URL_RULES),
-       "op5_html_text": sql.html_text()}
+       "op3_jaccard_join": sql.jaccard_join(), "op5_html_text": sql.html_text(),
+       "op8_decontamination": sql.decontamination()}

@@ -87,3 +87,47 @@ SELECT page_id, url, text, length(text)::BIGINT AS n_chars,
            lambda x: regexp_matches(regexp_replace(x, '<[^>]*>', '', 'g'), '\S')))::BIGINT AS n_blocks,
        '/html/body/article' AS content_path
 FROM t"""
+
+
+LOWERED = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
+
+
+def jaccard_join(width: int = 5, percent: int = 80) -> str:
+    """All pairs of sets that share a shingle, counted; then reachability."""
+    return rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({LOWERED}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
+sh AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN []::VARCHAR[]
+         WHEN len(ws) < {width} THEN [array_to_string(ws, ' ')]
+         ELSE list_transform(range(1, len(ws) - {width} + 2),
+                             lambda i: array_to_string(ws[i:i + {width} - 1], ' ')) END) AS s FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id
+         GROUP BY 1, 2),
+links AS (SELECT x, y FROM common JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+          WHERE 100 * c >= {percent} * (nx.n + ny.n - c)),
+reach(x, y) AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles,
+       least(doc_id, (SELECT min(y) FROM reach WHERE x = doc_id)) AS component_id
+FROM documents LEFT JOIN n USING (doc_id)"""
+
+
+def decontamination(window: int = 10) -> str:
+    """Windows as text, joined with every stretch of document words of the same length."""
+    words = rf"regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    return rf"""
+WITH i AS (SELECT item_id, {words} AS ws FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(len(ws), {window}) AS size, unnest(list_transform(
+          range(1, greatest(len(ws) - {window}, 0) + 2), lambda k: array_to_string(ws[k:k + {window} - 1], ' '))) AS t
+        FROM i WHERE len(ws) > 0),
+d AS (SELECT doc_id, {words} AS ws FROM documents),
+sizes AS (SELECT DISTINCT size FROM win),
+p AS (SELECT doc_id, size, ws, unnest(range(1, len(ws) - size + 2)) AS pos FROM d, sizes WHERE len(ws) >= size),
+hits AS (SELECT p.doc_id, p.pos, p.size, win.item_id FROM p JOIN win
+         ON win.size = p.size AND win.t = array_to_string(p.ws[p.pos:p.pos + p.size - 1], ' ')),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list
+          FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id),
+covered AS (SELECT doc_id, count(*) AS n_hit FROM (
+            SELECT DISTINCT doc_id, unnest(range(pos, pos + size)) AS word FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN items USING (doc_id) LEFT JOIN covered USING (doc_id)"""
