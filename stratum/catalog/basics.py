@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stratum.functions import bit, cents, floor_div, int_div
 from stratum.operators import ordered
-from stratum.plans import ordered_scan, quantile_bucket
+from stratum.plans import ordered_scan
 from stratum.plans.prefix import ordered_scans
 from stratum.sources import recipes
 from stratum.sources.tables import load
@@ -64,19 +64,12 @@ def _returned_orders(spark, sf_dir):
     return li.where(F.col("l_returnflag") == "R").select(F.col("l_orderkey").alias("o_orderkey")).distinct()
 
 
-def _date_bucketed(df, col):
-    """Quantile bucket of a date/timestamp column, so per-key scans split a hot key."""
-    df = df.withColumn("_us", F.unix_micros(F.col(col).cast("timestamp")))
-    return df.withColumn("_b", quantile_bucket(df, "_us")).drop("_us")
-
-
 def q_in_flag(spark, sf_dir):
     o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     flagged = o.join(_returned_orders(spark, sf_dir).withColumn("_r", F.lit(1)), "o_orderkey", "left")
-    flagged = _date_bucketed(flagged.withColumn("flag", F.coalesce("_r", F.lit(0)).cast("bigint")),
-                             "o_orderdate")
+    flagged = flagged.withColumn("flag", F.coalesce("_r", F.lit(0)).cast("bigint"))
     run = ordered_scan(flagged, ["o_orderdate", "o_orderkey"], "flag", "running_flags", "sum",
-                       ["o_custkey"], "_b")
+                       ["o_custkey"], True)
     return run.select("o_orderkey", F.col("running_flags").cast("bigint"))
 
 
@@ -111,8 +104,7 @@ def q_using_join(spark, sf_dir):
 def q_next_row(spark, sf_dir):
     o = load(spark, sf_dir, "orders").select("o_custkey", "o_orderkey",
                                               F.to_date("o_orderdate").alias("d"))
-    o = _date_bucketed(o, "d")
-    prev = ordered.previous_value(o, ["d", "o_orderkey"], "d", "prev_d", keys=["o_custkey"], bucket="_b")
+    prev = ordered.previous_value(o, ["d", "o_orderkey"], "d", "prev_d", keys=["o_custkey"], split=True)
     return prev.select("o_custkey", "o_orderkey",
                        F.datediff("d", "prev_d").cast("bigint").alias("gap_days"))
 
@@ -181,10 +173,10 @@ def q_lag_lead(spark, sf_dir):
 
 def q_numbering(spark, sf_dir):
     o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    o = _date_bucketed(o.withColumn("_one", F.lit(1).cast("bigint")), "o_orderdate")
-    # W8 global and W10 per-key numbering, both as bucketed running counts
-    g = ordered_scans(o, ["o_orderdate", "o_orderkey"], [("_one", "global_seq", "sum")], [], "_b")
-    g = ordered_scans(g, ["o_orderdate", "o_orderkey"], [("_one", "cust_seq", "sum")], ["o_custkey"], "_b")
+    o = o.withColumn("_one", F.lit(1).cast("bigint"))
+    # W8 global and W10 per-key numbering, both as split running counts
+    g = ordered_scans(o, ["o_orderdate", "o_orderkey"], [("_one", "global_seq", "sum")], [], True)
+    g = ordered_scans(g, ["o_orderdate", "o_orderkey"], [("_one", "cust_seq", "sum")], ["o_custkey"], True)
     return g.select("o_orderkey", "cust_seq", "global_seq")
 
 

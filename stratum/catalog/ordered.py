@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stratum.operators import ordered as op
-from stratum.plans import quantile_bucket
 from stratum.sources import recipes
 
 # Fixed parameters of the running-total operators (the reference's start and
@@ -30,22 +29,22 @@ DIGITS_SQL = """digits AS (
 
 def q_running_residue_hits(spark, sf_dir):
     return op.running_residue_hits(recipes.steps(spark, sf_dir), ORDER, "delta", START, MOD,
-                                   RESIDUE, keys=["user_id"], bucket="tb")
+                                   RESIDUE, keys=["user_id"], split=True)
 
 
 def q_running_residue_hits_global(spark, sf_dir):
     return op.running_residue_hits(recipes.steps(spark, sf_dir), ORDER, "delta", START, MOD,
-                                   RESIDUE, keys=[], bucket="tb")
+                                   RESIDUE, keys=[], split=True)
 
 
 def q_modulus_crossings(spark, sf_dir):
     return op.modulus_crossings(recipes.steps(spark, sf_dir), ORDER, "delta", START, MOD,
-                                keys=["user_id"], bucket="tb")
+                                keys=["user_id"], split=True)
 
 
 def q_modulus_crossings_global(spark, sf_dir):
     return op.modulus_crossings(recipes.steps(spark, sf_dir), ORDER, "delta", START, MOD,
-                                keys=[], bucket="tb")
+                                keys=[], split=True)
 
 
 def q_best_ordered_pair(spark, sf_dir):
@@ -60,15 +59,14 @@ def q_best_k_subsequence(spark, sf_dir):
 def q_delimiter_groups(spark, sf_dir):
     st = recipes.steps(spark, sf_dir)
     g = op.delimiter_groups(st, ORDER, F.col("event_type") == "signup", keys=["user_id"],
-                            bucket="tb")
+                            split=True)
     return g.groupBy("user_id", "grp").agg(F.count(F.lit(1)).alias("n_events"),
                                            F.sum("delta").cast("bigint").alias("net_delta"))
 
 
 def q_suffix_max(spark, sf_dir):
-    d = recipes.digits(spark, sf_dir).withColumn("_np", -F.col("pos"))
-    d = d.withColumn("rb", quantile_bucket(d, "_np"))
-    return op.suffix_max(d, ["pos"], "digit", ["user_id"], "later_max", "rb").select(
+    d = recipes.digits(spark, sf_dir)
+    return op.suffix_max(d, ["pos"], "digit", ["user_id"], "later_max", True).select(
         "user_id", "pos", "digit", "later_max")
 
 

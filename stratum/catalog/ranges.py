@@ -6,14 +6,12 @@ from pyspark.sql import functions as F
 
 from stratum.operators import ranges as op
 from stratum.operators.ranges import _primes
-from stratum.plans import quantile_bucket
 from stratum.sources.tables import load
 
-# Fixed recipe parameters: id ranges from order keys, interval groups, bin width.
+# Fixed recipe parameters: id ranges from order keys, interval groups.
 RANGE_MUL, RANGE_OFF, RANGE_SPAN = 37, 10, 5000
 N_GROUPS, MAX_LEN_DAYS = 50, 7
 EPOCH = "1995-01-01"
-BIN_WIDTH = 16
 
 
 def _ranges(spark, sf_dir):
@@ -23,14 +21,11 @@ def _ranges(spark, sf_dir):
                     (lo + F.floor("o_totalprice") % RANGE_SPAN).alias("hi"))
 
 
-def _intervals(spark, sf_dir, bucketed=False):
+def _intervals(spark, sf_dir):
     o = load(spark, sf_dir, "orders")
     lo = F.datediff(F.to_date("o_orderdate"), F.lit(EPOCH)).cast("bigint")
-    iv = o.select((F.col("o_orderkey") % N_GROUPS).alias("g"), lo.alias("lo"),
-                  (lo + F.col("o_orderkey") % MAX_LEN_DAYS).alias("hi"))
-    if bucketed:
-        iv = iv.withColumn("lb", quantile_bucket(iv, "lo", 64))
-    return iv
+    return o.select((F.col("o_orderkey") % N_GROUPS).alias("g"), lo.alias("lo"),
+                    (lo + F.col("o_orderkey") % MAX_LEN_DAYS).alias("hi"))
 
 
 def _days(spark, sf_dir):
@@ -52,26 +47,26 @@ def q_block_repeat_filter(spark, sf_dir):
 
 
 def q_merge_intervals(spark, sf_dir):
-    return op.merge_intervals(_intervals(spark, sf_dir), "lo", "hi", ["g"]).drop("island")
+    return op.merge_intervals(_intervals(spark, sf_dir), "lo", "hi", ["g"], True).drop("island")
 
 
 def q_covered_length(spark, sf_dir):
-    return op.covered_length(_intervals(spark, sf_dir), "lo", "hi", ["g"])
+    return op.covered_length(_intervals(spark, sf_dir), "lo", "hi", ["g"], True)
 
 
 def q_covered_length_global(spark, sf_dir):
-    return op.covered_length(_intervals(spark, sf_dir, True), "lo", "hi", [], bucket="lb")
+    return op.covered_length(_intervals(spark, sf_dir), "lo", "hi", [], split=True)
 
 
 def q_points_in_ranges(spark, sf_dir):
-    pts = op.points_in_ranges(_days(spark, sf_dir), "p", _intervals(spark, sf_dir, True),
-                              "lo", "hi", [], BIN_WIDTH, bucket="lb")
+    pts = op.points_in_ranges(_days(spark, sf_dir), "p", _intervals(spark, sf_dir),
+                              "lo", "hi", [], True)
     return pts.agg(F.count(F.lit(1)).alias("n_points"))
 
 
 def q_points_in_ranges_by_group(spark, sf_dir):
     pts = op.points_in_ranges(_days(spark, sf_dir), "p", _intervals(spark, sf_dir), "lo", "hi",
-                              ["g"], BIN_WIDTH)
+                              ["g"], True)
     return pts.groupBy("g").agg(F.count(F.lit(1)).alias("n_points"))
 
 

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from stratum.functions import nonempty_split
 from stratum.operators import reshape as op
-from stratum.plans import quantile_bucket
 from stratum.sources.tables import load
 
 # Fixed parameters: priorities whose monthly values multiply (identity 1);
@@ -52,9 +51,8 @@ def q_text_split(spark, sf_dir):
 
 def q_text_sections(spark, sf_dir):
     lines = _doc_lines(spark, sf_dir)
-    # line-number buckets split one very long document over many tasks
-    lines = lines.withColumn("_lb", quantile_bucket(lines, "line_no"))
-    sec = op.group_by_breaks(lines, ["doc_id"], ["line_no"], F.col("line") == "", bucket="_lb")
+    # split: one very long document is spread over many tasks
+    sec = op.group_by_breaks(lines, ["doc_id"], ["line_no"], F.col("line") == "", split=True)
     return (sec.where(F.col("line") != "").groupBy("doc_id", "section")
             .agg(F.count(F.lit(1)).alias("n_lines"),
                  F.sum(F.length("line")).cast("bigint").alias("n_chars")))

@@ -3,7 +3,7 @@
 Sequences are rows ``(keys..., order..., value)``; ``keys=[]`` means one
 sequence over the whole table.  Running values go through
 ``stratum.plans.ordered_scan`` so neither the keyless case nor a hot key is
-evaluated by a single task when a ``bucket`` column is supplied.
+evaluated by a single task when ``split`` is set.
 """
 
 from __future__ import annotations
@@ -16,24 +16,24 @@ from stratum.plans import Lineage, ordered_scan
 
 
 def running_total(df: DataFrame, order: list, delta: str, start: int = 0,
-                  keys: list[str] = (), bucket: str | None = None,
+                  keys: list[str] = (), split: bool = False,
                   out: str = "total") -> DataFrame:
     """``out`` = start + inclusive running sum of ``delta`` (per key)."""
-    scanned = ordered_scan(df, order, delta, "_run", "sum", keys, bucket)
+    scanned = ordered_scan(df, order, delta, "_run", "sum", keys, split)
     return scanned.withColumn(out, F.lit(start).cast("bigint") + F.col("_run")).drop("_run")
 
 
 def running_residue_hits(df: DataFrame, order: list, delta: str, start: int, m: int,
-                         r: int = 0, keys: list[str] = (), bucket: str | None = None,
+                         r: int = 0, keys: list[str] = (), split: bool = False,
                          out: str = "hits") -> DataFrame:
     """Count running totals congruent to ``r`` modulo ``m`` (per key)."""
-    tot = running_total(df, order, delta, start, keys, bucket)
+    tot = running_total(df, order, delta, start, keys, split)
     hit = F.pmod(F.col("total"), F.lit(m)) == F.lit(r % m)
     return tot.groupBy(*keys).agg(F.count_if(hit).cast("bigint").alias(out))
 
 
 def modulus_crossings(df: DataFrame, order: list, delta: str, start: int, m: int,
-                      keys: list[str] = (), bucket: str | None = None,
+                      keys: list[str] = (), split: bool = False,
                       out: str = "crossings") -> DataFrame:
     """Multiples of ``m`` touched or passed by the running total (per key).
 
@@ -41,7 +41,7 @@ def modulus_crossings(df: DataFrame, order: list, delta: str, start: int, m: int
     and in [cur, prev) going down.  ``prev`` is ``cur - delta``, so no lag
     window is needed.
     """
-    tot = running_total(df, order, delta, start, keys, bucket, out="_cur")
+    tot = running_total(df, order, delta, start, keys, split, out="_cur")
     cur = F.col("_cur")
     prev = cur - F.col(delta)
     up = floor_div(cur, m) - floor_div(prev, m)
@@ -100,34 +100,33 @@ def best_k_subsequence(df: DataFrame, keys: list[str], pos: str, digit: str, k:
 
 
 def delimiter_groups(df: DataFrame, order: list, is_break: Column | str, keys: list[str] = (),
-                     bucket: str | None = None, out: str = "grp") -> DataFrame:
+                     split: bool = False, out: str = "grp") -> DataFrame:
     """Gaps-and-islands: ``out`` = running count of break flags (per key)."""
     flag = (F.col(is_break) if isinstance(is_break, str) else is_break).cast("bigint")
-    return ordered_scan(df.withColumn("_brk", flag), order, "_brk", out, "sum", keys, bucket).drop("_brk")
+    return ordered_scan(df.withColumn("_brk", flag), order, "_brk", out, "sum", keys, split).drop("_brk")
 
 
 def suffix_max(df: DataFrame, order: list[str], value: str, keys: list[str] = (),
-               out: str = "suffix_max", bucket: str | None = None) -> DataFrame:
+               out: str = "suffix_max", split: bool = False) -> DataFrame:
     """Max of the elements after the current one (NULL for the last),
     per key.  Evaluated as an exclusive running max in reversed order, so
-    the bucketed two-level scan applies; ``bucket`` must be non-increasing
-    in ``order`` (e.g. a quantile bucket of the negated order column)."""
+    the two-level scan applies."""
     rev = [F.col(o).desc() for o in order]
-    return ordered_scan(df, rev, value, out, "max", keys, bucket, exclusive=True)
+    return ordered_scan(df, rev, value, out, "max", keys, split, exclusive=True)
 
 
 def previous_value(df: DataFrame, order: list[str], value: str | Column, out: str,
-                   keys: list[str] = (), bucket: str | None = None, default=None) -> DataFrame:
+                   keys: list[str] = (), split: bool = False, default=None) -> DataFrame:
     """LAG(value, 1, default) without a key-wide window.
 
     The previous row under a total order is the exclusive running maximum of
-    ``struct(order..., value)``, so the bucketed two-level scan applies and a
+    ``struct(order..., value)``, so the two-level scan applies and a
     hot key or the keyless case is split across tasks.
     """
     val = F.col(value) if isinstance(value, str) else value
     packed = F.struct(*[F.col(o).alias(f"_o{k}") for k, o in enumerate(order)], val.alias("_v"))
     scanned = ordered_scan(df.withColumn("_pk", packed), order, "_pk", "_prev", "max", keys,
-                           bucket, exclusive=True)
+                           split, exclusive=True)
     prev = F.col("_prev._v")
     if default is not None:
         prev = F.coalesce(prev, F.lit(default))

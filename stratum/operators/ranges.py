@@ -2,9 +2,9 @@
 
 Nothing here enumerates every id of a range.  Repeated-block ids are counted
 and summed in closed form per (range, length); interval merging is two
-ordered scans (prefix max, prefix sum); point-in-range is a binned equi join
-against merged (hence disjoint) intervals, so each bin holds a bounded number
-of intervals and the join cannot blow up on overlapping input.
+ordered scans (prefix max, prefix sum); point-in-range numbers the points in
+order and looks up the numbers of each merged interval's ends, so the work is
+that of the result and no range is cut into bins.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.functions import floor_div, int_div, is_block_repeat
-from stratum.plans import ordered_scan
+from stratum.plans import Lineage, ordered_scan
 
 DEC = "decimal(38,0)"
 MAX_DIGITS = 19  # BIGINT ids have at most 19 decimal digits
@@ -94,63 +94,60 @@ def block_repeat_filter(df: DataFrame, id_col: str) -> DataFrame:
     return df.where(is_block_repeat(id_col))
 
 
-def mark_islands(df: DataFrame, lo: str, hi: str, keys: list[str] = (),
-                 bucket: str | None = None) -> DataFrame:
-    """Add ``island``: intervals ordered by (lo, hi) start a new island when
-    ``lo`` is above every earlier ``hi`` (closed intervals, overlap merges)."""
-    order = [lo, hi]
-    pm = ordered_scan(df, order, hi, "_prev_max", "max", keys, bucket, exclusive=True)
-    flagged = pm.withColumn("_new", (F.col("_prev_max").isNull() | (F.col(lo) > F.col("_prev_max")))
-                            .cast("bigint"))
-    return ordered_scan(flagged, order, "_new", "island", "sum", keys, bucket).drop("_prev_max", "_new")
-
-
 def merge_intervals(df: DataFrame, lo: str, hi: str, keys: list[str] = (),
-                    bucket: str | None = None) -> DataFrame:
-    """Disjoint islands ``(keys, island, lo, hi)`` covering the same integers."""
+                    split: bool = False) -> DataFrame:
+    """Disjoint islands ``(keys, island, lo, hi)`` covering the same integers.
+
+    Closed intervals; only those that overlap merge.  Per (keys, lo) the
+    largest hi is kept first, so the order is total and a start that a third
+    of the intervals share is one row.  An interval starts an island when it
+    begins above every earlier end.  Empty intervals (hi < lo) and NULL bounds
+    cover nothing and are dropped.
+    """
     keys = list(keys)
-    marked = mark_islands(df, lo, hi, keys, bucket)
+    starts = df.where(F.col(lo) <= F.col(hi)).groupBy(*keys, lo).agg(F.max(hi).alias(hi))
+    before = ordered_scan(starts, [lo], hi, "_prev_max", "max", keys, split, exclusive=True)
+    flagged = before.withColumn("_new", (F.col("_prev_max").isNull() | (F.col(lo) > F.col("_prev_max"))).cast("bigint"))
+    marked = ordered_scan(flagged, [lo], "_new", "island", "sum", keys, split)
     return marked.groupBy(*keys, "island").agg(F.min(lo).alias(lo), F.max(hi).alias(hi))
 
 
 def covered_length(df: DataFrame, lo: str, hi: str, keys: list[str] = (),
-                   bucket: str | None = None) -> DataFrame:
+                   split: bool = False) -> DataFrame:
     """Number of islands and of integers covered, per key."""
     keys = list(keys)
-    isl = merge_intervals(df, lo, hi, keys, bucket)
+    isl = merge_intervals(df, lo, hi, keys, split)
     return isl.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_islands"),
                                   F.sum(F.col(hi) - F.col(lo) + 1).cast("bigint").alias("covered"))
 
 
-def binned_range_join(points: DataFrame, p: str, islands: DataFrame, lo: str, hi: str,
-                      width: int, how: str = "inner") -> DataFrame:
-    """Equi join on ``floor(v / width)`` bins plus the inclusive residual test.
-
-    ``islands`` should be disjoint per key (see ``merge_intervals``): then a
-    bin meets at most ``width + 1`` islands per key, and bins per island are
-    bounded by the covered span / width + 1.
-    """
-    ib = islands.select("*", F.explode(F.sequence(floor_div(lo, width), floor_div(hi, width)))
-                        .alias("_bin"))
-    pb = points.withColumn("_bin", floor_div(p, width))
-    cond = [pb["_bin"] == ib["_bin"], pb[p] >= ib[lo], pb[p] <= ib[hi]]
-    joined = pb.join(ib, cond, how)
-    return joined.drop(pb["_bin"]).drop(ib["_bin"]) if how not in ("left_semi", "left_anti") \
-        else joined.drop("_bin")
-
-
 def points_in_ranges(points: DataFrame, p: str, intervals: DataFrame, lo: str, hi: str,
-                     keys: list[str] = (), width: int = 16,
-                     bucket: str | None = None) -> DataFrame:
+                     keys: list[str] = (), split: bool = False) -> DataFrame:
     """U8: distinct points covered by at least one interval (per interval key).
 
-    Points are de-duplicated first (an aggregate), intervals merged per key,
-    so each point meets at most one island per key and no final distinct
-    is needed.
+    Points are made distinct and numbered in order; intervals are merged per
+    key.  One ordered scan over the points and the islands' ends gives each
+    island the numbers of its first and last point, so an island costs one row
+    per point it covers, however long it is.
     """
     keys = list(keys)
-    pts = points.select(F.col(p)).distinct()
-    isl = merge_intervals(intervals, lo, hi, keys, bucket).select(*keys, lo, hi)
-    if not keys:
-        return binned_range_join(pts, p, isl, lo, hi, width, "left_semi")
-    return binned_range_join(pts, p, isl, lo, hi, width).select(*keys, p)
+    pts = points.select(F.col(p).alias("_at")).where(F.col("_at").isNotNull()).distinct()
+    isl = merge_intervals(intervals, lo, hi, keys, split).select(
+        F.struct(*keys, F.lit(0).alias("_none")).alias("_key"), F.col(lo).alias("_lo"), F.col(hi).alias("_hi"))
+    none = F.lit(None).cast(isl.schema["_key"].dataType)
+    # at one value: island starts, then the point, then island ends
+    events = pts.select("_at", F.lit(1).alias("_kind"), F.lit(1).cast("bigint").alias("_one"),
+                        none.alias("_key"), F.lit(None).cast("bigint").alias("_lo")) \
+        .unionByName(isl.select(F.col("_lo").alias("_at"), F.lit(0).alias("_kind"), F.lit(0).cast("bigint").alias("_one"),
+                                "_key", F.col("_lo").cast("bigint").alias("_lo"))) \
+        .unionByName(isl.select(F.col("_hi").alias("_at"), F.lit(2).alias("_kind"), F.lit(0).cast("bigint").alias("_one"),
+                                "_key", F.col("_lo").cast("bigint").alias("_lo")))
+    counted = Lineage(points.sparkSession, 1).cut(
+        ordered_scan(events, ["_at", "_kind"], "_one", "_n", "sum", [], True), force=True)
+    covers = counted.where(F.col("_kind") != 1).groupBy("_key", "_lo").agg(
+        F.max(F.when(F.col("_kind") == 0, F.col("_n"))).alias("_before"),
+        F.max(F.when(F.col("_kind") == 2, F.col("_n"))).alias("_upto")).where(F.col("_before") < F.col("_upto"))
+    numbers = covers.select(*[F.col(f"_key.{k}").alias(k) for k in keys],
+                            F.explode(F.sequence(F.col("_before") + 1, F.col("_upto"))).alias("_n"))
+    numbered = counted.where(F.col("_kind") == 1).select("_n", F.col("_at").alias(p))
+    return numbers.join(numbered, "_n").select(*keys, p)

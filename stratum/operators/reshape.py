@@ -111,8 +111,8 @@ def densify(values: DataFrame, groups: DataFrame, group: str, lo: Column, hi: Co
 
 
 def group_by_breaks(df: DataFrame, keys: list[str], order: list, is_break: Column,
-                    out: str = "section", bucket: str | None = None) -> DataFrame:
+                    out: str = "section", split: bool = False) -> DataFrame:
     """Section number = running count of break records, per key."""
     from stratum.operators.ordered import delimiter_groups
-    return delimiter_groups(df, order, is_break, keys=keys, out=out, bucket=bucket)
+    return delimiter_groups(df, order, is_break, keys=keys, out=out, split=split)
 

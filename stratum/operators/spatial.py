@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.functions import floor_div
-from stratum.plans import Lineage, ordered_scan, quantile_bucket
+from stratum.plans import Lineage, ordered_scan
 from stratum.plans.prefix import ordered_scans
 
 
@@ -95,19 +95,18 @@ def staircases(points: DataFrame, x: str, y: str) -> DataFrame:
     lineage = Lineage(points.sparkSession, 1)
     col = points.groupBy(F.col(x).alias("x")).agg(F.min(y).alias("ylo"), F.max(y).alias("yhi"))
     col = lineage.cut(col.withColumn("nx", -F.col("x")), force=True)
-    col = col.withColumn("bx", quantile_bucket(col, "x")).withColumn("bn", quantile_bucket(col, "nx"))
     # running extremes over smaller x (before) and larger x (after), two-level
-    s = ordered_scans(col, ["x"], [("ylo", "lo_b", "min"), ("yhi", "hi_b", "max")], [], "bx", True)
-    s = ordered_scans(s, ["nx"], [("ylo", "lo_a", "min"), ("yhi", "hi_a", "max")], [], "bn", True)
+    s = ordered_scans(col, ["x"], [("ylo", "lo_b", "min"), ("yhi", "hi_b", "max")], [], True, True)
+    s = ordered_scans(s, ["nx"], [("ylo", "lo_a", "min"), ("yhi", "hi_a", "max")], [], True, True)
     flags = {
         "ll": F.col("lo_b").isNull() | (F.col("ylo") < F.col("lo_b")),
         "ul": F.col("hi_b").isNull() | (F.col("yhi") > F.col("hi_b")),
         "lr": F.col("lo_a").isNull() | (F.col("ylo") < F.col("lo_a")),
         "ur": F.col("hi_a").isNull() | (F.col("yhi") > F.col("hi_a")),
     }
-    s = s.select("x", "ylo", "yhi", "bx", *[f.cast("bigint").alias(f"f_{k}") for k, f in flags.items()])
+    s = s.select("x", "ylo", "yhi", *[f.cast("bigint").alias(f"f_{k}") for k, f in flags.items()])
     # rank of each staircase point in x order: running count of its flag
-    s = ordered_scans(s, ["x"], [(f"f_{k}", f"r_{k}", "sum") for k in flags], [], "bx")
+    s = ordered_scans(s, ["x"], [(f"f_{k}", f"r_{k}", "sum") for k in flags], [], True)
     ys = {"ll": "ylo", "lr": "ylo", "ul": "yhi", "ur": "yhi"}
     parts = [s.where(F.col(f"f_{k}") == 1).select(F.lit(k).alias("kind"), F.col(f"r_{k}").alias("r"), "x",
                                                    F.col(ys[k]).alias("y")) for k in flags]
@@ -184,11 +183,7 @@ def compress(values: DataFrame, value: str, keys: list[str] = (), out: str = "id
     """Map each distinct value to its 1-based rank (per key)."""
     keys = list(keys)
     d = values.select(*keys, value).distinct().withColumn("_one", F.lit(1).cast("bigint"))
-    if keys:
-        return ordered_scan(d, [value], "_one", out, "sum", keys).drop("_one")
-    # keyless: value buckets keep the ranking off a single partition
-    d = d.withColumn("_vb", quantile_bucket(d, value))
-    return ordered_scan(d, [value], "_one", out, "sum", [], "_vb").drop("_one", "_vb")
+    return ordered_scan(d, [value], "_one", out, "sum", keys, True).drop("_one")
 
 
 # ---------------------------------------------------------------------------

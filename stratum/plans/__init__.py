@@ -1,8 +1,7 @@
-"""Plan-level helpers: two-level ordered scans, fixpoint loops, plan checks."""
+"""Plan-level helpers: two-level ordered scans, loop lineage, plan checks."""
 
-from stratum.plans.prefix import ordered_scan, quantile_bucket
-from stratum.plans.loops import Lineage, fixpoint
-from stratum.plans.inspect import physical_plan, plan_operators
+from stratum.plans.inspect import physical_plan
+from stratum.plans.loops import Lineage
+from stratum.plans.prefix import ordered_scan
 
-__all__ = ["ordered_scan", "quantile_bucket", "Lineage", "fixpoint",
-           "physical_plan", "plan_operators"]
+__all__ = ["ordered_scan", "Lineage", "physical_plan"]

@@ -17,8 +17,6 @@ from __future__ import annotations
 
 import uuid
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 
 from stratum.session import ensure_checkpoint_dir
@@ -40,22 +38,3 @@ class Lineage:
             df.write.mode("overwrite").parquet(path)
             return self.spark.read.parquet(path)
         return df
-
-
-def fixpoint(spark, state: DataFrame,
-             step: Callable[[DataFrame, int], tuple[DataFrame, DataFrame]],
-             max_rounds: int = 10_000, every: int = 4) -> tuple[DataFrame, int]:
-    """Run ``step(state, round) -> (new_state, changes)`` until ``changes`` is empty.
-
-    ``changes`` is a DataFrame whose emptiness is the stop test (checked with
-    ``isEmpty`` — a limit-1 job, not a full count).
-    """
-    lineage = Lineage(spark, every)
-    state = lineage.cut(state, force=True)
-    for rnd in range(max_rounds):
-        new_state, changes = step(state, rnd)
-        new_state = lineage.cut(new_state, force=True)
-        if changes.isEmpty():
-            return new_state, rnd + 1
-        state = new_state
-    raise RuntimeError(f"fixpoint did not converge in {max_rounds} rounds")

@@ -11,37 +11,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.functions import cents
-from stratum.plans import ordered_scan, quantile_bucket
+from stratum.plans import ordered_scan
 from stratum.sources.tables import load
 
 
-def time_bucketed(df: DataFrame, ts: str = "ts", n_buckets: int = 64) -> DataFrame:
-    """Add ``tb``: a quantile bucket of ``ts`` (monotone in ts, balanced in rows).
-
-    Ordered scans split on it, so one busy user or one busy hour is spread
-    over many tasks instead of one.
-    """
-    with_us = df.withColumn("_ts_us", F.unix_micros(F.col(ts).cast("timestamp")))
-    return with_us.withColumn("tb", quantile_bucket(with_us, "_ts_us", n_buckets)).drop("_ts_us")
-
-
 def steps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Signed cent deltas per user in (ts, event_id) order, with a time bucket."""
+    """Signed cent deltas per user in (ts, event_id) order."""
     ev = load(spark, sf_dir, "events")
     amount = cents("value")
     signed = F.when(F.col("event_type").isin("error", "view"), -amount).otherwise(amount)
-    return time_bucketed(ev.select("user_id", "ts", "event_id", "event_type",
-                                   signed.alias("delta")))
+    return ev.select("user_id", "ts", "event_id", "event_type", signed.alias("delta"))
 
 
 def digits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One digit 1..9 per event, positions 1..n per user in (ts, event_id) order.
 
-    Positions are a bucketed running count, not ``row_number`` over a
+    Positions are a split running count, not ``row_number`` over a
     user-wide window, so a user holding a third of all events still splits.
     """
-    ev = time_bucketed(load(spark, sf_dir, "events").select(
-        "user_id", "ts", "event_id", (F.pmod(cents("value"), F.lit(9)) + 1).cast("bigint").alias("digit")))
+    ev = load(spark, sf_dir, "events").select(
+        "user_id", "ts", "event_id", (F.pmod(cents("value"), F.lit(9)) + 1).cast("bigint").alias("digit"))
     ev = ev.withColumn("_one", F.lit(1).cast("bigint"))
-    pos = ordered_scan(ev, ["ts", "event_id"], "_one", "pos", "sum", ["user_id"], "tb")
+    pos = ordered_scan(ev, ["ts", "event_id"], "_one", "pos", "sum", ["user_id"], True)
     return pos.select("user_id", "pos", "digit")
