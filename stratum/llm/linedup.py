@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratum.llm import columnar as C
+from stratum.llm.frames import renamed, restored
 from stratum.plans import Lineage
 
 MIN_WORDS = 30
@@ -208,14 +209,17 @@ def _remaining(text, cuts):
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 min_words: int = MIN_WORDS) -> DataFrame:
-    """All columns of ``docs`` with the new text, and ``removed_lines`` and ``cuts``."""
+    """All columns of ``docs`` with the new text, and ``removed_lines`` and ``cuts`` (in place of such columns)."""
     lineage = Lineage(docs.sparkSession, every=1)
     blocks = lineage.cut(duplicate_blocks(docs, lineage, doc_id, text, min_words), force=True) \
         .select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"),
                 F.col("cuts").alias("_cuts"), F.col("removed_lines").alias("_removed"))
-    same = (F.col(doc_id).cast("bigint") == F.col("_id")) & (F.xxhash64(text) == F.col("_key"))
-    joined = docs.join(blocks, same, "left")
-    new = F.when(F.col("_cuts").isNull(), F.col(text)).otherwise(_remaining(F.col(text), F.col("_cuts")))
-    return joined.select(*[new.alias(text) if c == text else F.col(c) for c in docs.columns],
-                         F.coalesce("_removed", F.lit(0)).cast("bigint").alias("removed_lines"),
-                         F.coalesce("_cuts", F.array().cast("array<array<bigint>>")).alias("cuts"))
+    kept = docs.drop("removed_lines", "cuts")
+    rows, name = renamed(kept)
+    body = F.col(name[text])
+    same = (F.col(name[doc_id]).cast("bigint") == F.col("_id")) & (F.xxhash64(body) == F.col("_key"))
+    # the list of deletions grows with the input: it is never broadcast, at any size
+    joined = rows.join(blocks.hint("merge"), same, "left").withColumn(
+        name[text], F.when(F.col("_cuts").isNull(), body).otherwise(_remaining(body, F.col("_cuts"))))
+    return restored(joined, kept, name, F.coalesce("_removed", F.lit(0)).cast("bigint").alias("removed_lines"),
+                    F.coalesce("_cuts", F.array().cast("array<array<bigint>>")).alias("cuts"))
