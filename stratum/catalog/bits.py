@@ -1,4 +1,4 @@
-"""Bit-set queries on ``part`` and ``lineitem``."""
+"""Bit-set queries on ``documents`` and ``lineitem``."""
 
 from __future__ import annotations
 
@@ -11,7 +11,6 @@ from stratum.sources.tables import load
 
 # The characters that set a bit, and the mask widths.
 VOWELS = "aeiou"
-POS_BITS = 16
 LINE_BITS = 8
 
 
@@ -23,14 +22,11 @@ def _line_masks(spark, sf_dir):
 
 
 def q_mask_from_text(spark, sf_dir):
-    p = load(spark, sf_dir, "part")
-    return p.select("p_partkey", op.mask_from_text("p_name", VOWELS).alias("mask"))
+    return op.mask_from_text(load(spark, sf_dir, "documents"), "text", VOWELS, ["doc_id"])
 
 
 def q_mask_from_positions(spark, sf_dir):
-    li = load(spark, sf_dir, "lineitem")
-    return op.mask_from_positions(li.withColumn("pos", F.col("l_suppkey") % POS_BITS),
-                                  ["l_orderkey"], "pos")
+    return op.mask_from_positions(load(spark, sf_dir, "lineitem"), ["l_orderkey"], "l_suppkey")
 
 
 def q_xor_fold(spark, sf_dir):
@@ -60,11 +56,14 @@ _M = f"""m AS (SELECT DISTINCT l_orderkey AS g,
   FROM lineitem)"""
 
 SQL = {
-    "mask_from_text": f"""SELECT p_partkey, CASE WHEN length(p_name) <= 63 THEN CAST(coalesce(list_sum(list_transform(
-    range(length(p_name)), lambda i: CASE WHEN substr(p_name, CAST(i AS INTEGER) + 1, 1) IN ({_VOW})
-    THEN CAST(1 AS BIGINT) << CAST(i AS INTEGER) ELSE 0 END)), 0) AS BIGINT) END AS mask FROM part""",
-    "mask_from_positions": f"""SELECT l_orderkey, CAST(sum(DISTINCT CAST(1 AS BIGINT) << CAST(l_suppkey % {POS_BITS} AS INTEGER)) AS BIGINT) AS mask
-FROM lineitem GROUP BY l_orderkey""",
+    "mask_from_text": f"""WITH ch AS (
+  SELECT doc_id, unnest(range(length(text))) AS i, unnest(string_split(text, '')) AS c FROM documents WHERE text <> '')
+SELECT doc_id, i // {op.WORD_BITS} AS word_no, CAST(sum(CASE WHEN c IN ({_VOW})
+       THEN CAST(1 AS BIGINT) << CAST(i % {op.WORD_BITS} AS INTEGER) ELSE 0 END) AS BIGINT) AS mask
+FROM ch GROUP BY doc_id, i // {op.WORD_BITS}""",
+    "mask_from_positions": f"""SELECT l_orderkey, l_suppkey // {op.WORD_BITS} AS word_no,
+       CAST(sum(DISTINCT CAST(1 AS BIGINT) << CAST(l_suppkey % {op.WORD_BITS} AS INTEGER)) AS BIGINT) AS mask
+FROM lineitem GROUP BY l_orderkey, l_suppkey // {op.WORD_BITS}""",
     "xor_fold": f"WITH {_M} SELECT g, bit_xor(mask) AS xor_all FROM m GROUP BY g",
     "min_subset_xor": f"""WITH {_M},
 r AS (SELECT g, mask, row_number() OVER (PARTITION BY g ORDER BY mask) - 1 AS i FROM m),

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from stratum.operators import cells as op
 from stratum.sources.tables import load
 
-# Fixed recipe parameters: grid width, neighbour threshold, layer shape, source.
+# Fixed recipe parameters: grid width, neighbour threshold, first year of the levels.
 GRID_COLS, THRESHOLD = 40, 4
-N_LEVELS, N_COLS, SOURCE_COL, SPLIT_QTY = 30, 140, 70, 50
+FIRST_YEAR = 1995
 
 
 def _cells(spark, sf_dir):
@@ -18,16 +18,15 @@ def _cells(spark, sf_dir):
 
 
 def _splitters(spark, sf_dir):
+    """A splitter where a part was shipped in a quarter: level = quarter from 1, column = part."""
     li = load(spark, sf_dir, "lineitem")
-    return (li.where(F.col("l_quantity") == SPLIT_QTY)
-            .select((F.col("l_partkey") % N_LEVELS).alias("level"),
-                    (F.col("l_orderkey") % N_COLS).alias("col")).distinct())
+    quarter = (F.year("l_shipdate") - FIRST_YEAR) * 4 + F.quarter("l_shipdate")
+    return li.select(quarter.cast("bigint").alias("level"), F.col("l_partkey").alias("col")).distinct()
 
 
 def _source(spark, sf_dir):
-    # the source column, attached to the data so the query reads the tables
-    sp = _splitters(spark, sf_dir)
-    return sp.agg(F.lit(SOURCE_COL).cast("bigint").alias("col"))
+    """A beam enters at every part."""
+    return load(spark, sf_dir, "part").select(F.col("p_partkey").alias("col"))
 
 
 def _last_level(sp) -> int:
@@ -73,8 +72,8 @@ _OFFS = "offs(dr, dc) AS (VALUES " + ", ".join(f"({a}, {b})" for a, b in op.KING
 _CELLS = f"cells AS (SELECT DISTINCT l_partkey AS r, l_suppkey % {GRID_COLS} AS c FROM lineitem)"
 _NB = """nb AS (SELECT a.r, a.c, count(b.r) AS n FROM cells a CROSS JOIN offs
   LEFT JOIN cells b ON b.r = a.r + offs.dr AND b.c = a.c + offs.dc GROUP BY a.r, a.c)"""
-_SP = f"""sp AS (SELECT DISTINCT l_partkey % {N_LEVELS} AS level, l_orderkey % {N_COLS} AS col
-  FROM lineitem WHERE l_quantity = {SPLIT_QTY}),
+_SP = f"""sp AS (SELECT DISTINCT (year(l_shipdate) - {FIRST_YEAR}) * 4 + quarter(l_shipdate) AS level, l_partkey AS col
+  FROM lineitem),
 mx AS (SELECT max(level) AS m FROM sp)"""
 _STEP = """LEFT JOIN sp ON sp.level = b.level + 1 AND sp.col = b.col
   JOIN (VALUES (-1, true), (1, true), (0, false)) d(dc, is_split) ON d.is_split = (sp.col IS NOT NULL)
@@ -98,7 +97,7 @@ SELECT CAST((SELECT count(*) FROM cells) - kept.n AS BIGINT) AS n_removed, CAST(
 FROM kept""",
     "layered_reach": f"""WITH RECURSIVE {_SP},
 beams(level, col) AS (
-  SELECT 0, CAST({SOURCE_COL} AS BIGINT)
+  SELECT 0, p_partkey FROM part
   UNION
   SELECT b.level + 1, b.col + d.dc FROM beams b {_STEP}),
 splits AS (SELECT p.level + 1 AS level, count(*) AS n FROM beams p JOIN sp ON sp.level = p.level + 1 AND sp.col = p.col
@@ -108,7 +107,7 @@ SELECT CAST(b.level AS BIGINT) AS level, CAST(count(*) AS BIGINT) AS n_beams,
 FROM beams b LEFT JOIN splits s ON s.level = b.level WHERE b.level >= 1 GROUP BY b.level""",
     "layered_path_counts": f"""WITH RECURSIVE {_SP},
 pc(level, col, paths) AS (
-  SELECT 0, CAST({SOURCE_COL} AS BIGINT), CAST(1 AS HUGEINT)
+  SELECT 0, p_partkey, CAST(1 AS HUGEINT) FROM part
   UNION ALL
   SELECT b.level + 1, b.col + d.dc, sum(b.paths) FROM pc b {_STEP}
   GROUP BY b.level + 1, b.col + d.dc)

@@ -1,4 +1,4 @@
-"""Graph and pair queries on ``lineitem``, ``customer``, ``supplier``
+"""Graph and pair queries on ``lineitem``, ``documents``, ``customer``, ``supplier``
 (U7 k-core, U17, U18, U19, U20)."""
 
 from __future__ import annotations
@@ -13,17 +13,26 @@ from stratum.operators import spatial
 from stratum.sources.tables import load
 
 # Fixed recipe parameters.
-PART_BUCKETS, CORE_QTY, CORE_K = 500, 48, 8
-COMP_QTY = 50
 N_PAIRS, TOP_K = 1000, 3
 
 
-def _bipartite(spark, sf_dir, where):
-    li = load(spark, sf_dir, "lineitem").where(where)
-    return li.select(F.concat(F.lit("p"), (F.col("l_partkey") % PART_BUCKETS).cast("string")).alias("a"),
+def _supplies(spark, sf_dir):
+    """Every part-supplier pair of the order lines, as edges."""
+    li = load(spark, sf_dir, "lineitem")
+    return li.select(F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("a"),
                      F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("b")).distinct()
 
 
+def _shared_lines(spark, sf_dir):
+    """Each document tied to the first document that holds one of its lines, over all lines."""
+    lines = load(spark, sf_dir, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("line")) \
+        .where(F.col("line") != "").select("doc_id", F.xxhash64("line").alias("line")).distinct()
+    first = lines.groupBy("line").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")) \
+        .where(F.col("n") > 1).select("line", "first")
+    return lines.join(first, "line").where(F.col("doc_id") > F.col("first")) \
+        .select(F.col("doc_id").alias("a"), F.col("first").alias("b")).distinct()
+
+
 def _points3(spark, sf_dir, table, prefix):
     t = load(spark, sf_dir, table)
     return t.select(F.col(f"{prefix}_{'custkey' if table == 'customer' else 'suppkey'}").alias("id"),
@@ -33,18 +42,21 @@ def _points3(spark, sf_dir, table, prefix):
 
 
 def q_k_core(spark, sf_dir):
-    core = op.k_core(_bipartite(spark, sf_dir, F.col("l_quantity") >= CORE_QTY), CORE_K)
-    return op.degrees(core)
+    edges = _supplies(spark, sf_dir)
+    parts = edges.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
+    k = int(parts.agg(F.floor(F.avg("n"))).first()[0] or 0)     # the mean number of suppliers of a part
+    return op.degrees(op.k_core(edges, k))
 
 
 def q_connected_components(spark, sf_dir):
-    e = _bipartite(spark, sf_dir, (F.col("l_quantity") == COMP_QTY) & (F.col("l_discount") == 0))
-    return op.connected_components(e)
+    docs = load(spark, sf_dir, "documents")
+    return op.connected_components(_shared_lines(spark, sf_dir), nodes=docs, node="doc_id")
 
 
 def q_component_product(spark, sf_dir):
-    e = _bipartite(spark, sf_dir, (F.col("l_quantity") == COMP_QTY) & (F.col("l_discount") == 0))
-    return op.top_component_product(op.connected_components(e), TOP_K)
+    docs = load(spark, sf_dir, "documents")
+    return op.top_component_product(
+        op.connected_components(_shared_lines(spark, sf_dir), nodes=docs, node="doc_id"), TOP_K)
 
 
 def q_closest_pairs(spark, sf_dir):
@@ -91,11 +103,13 @@ QUERIES = {
     "spanning_edge": q_spanning_edge,
 }
 
-_E = lambda cond: f"""e AS (SELECT DISTINCT 'p' || CAST(l_partkey % {PART_BUCKETS} AS VARCHAR) AS a,
-  's' || CAST(l_suppkey AS VARCHAR) AS b FROM lineitem WHERE {cond})"""
-_COMP_COND = f"l_quantity = {COMP_QTY} AND l_discount = 0"
-_REACH = """u AS (SELECT a AS x, b AS y FROM e UNION SELECT b, a FROM e),
-reach(node, other) AS (SELECT x, x FROM u UNION SELECT r.node, u.y FROM reach r JOIN u ON u.x = r.other),
+_E = """e AS (SELECT DISTINCT 'p' || CAST(l_partkey AS VARCHAR) AS a, 's' || CAST(l_suppkey AS VARCHAR) AS b FROM lineitem),
+k AS (SELECT floor(avg(n)) AS k FROM (SELECT a, count(*) AS n FROM e GROUP BY a))"""
+_LINES = """lines AS (SELECT DISTINCT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
+u AS (SELECT DISTINCT x.doc_id AS x, y.doc_id AS y FROM lines x JOIN lines y ON x.line = y.line AND x.line <> ''
+      AND x.doc_id <> y.doc_id),
+reach(node, other) AS (SELECT doc_id, doc_id FROM documents
+  UNION SELECT r.node, u.y FROM reach r JOIN u ON u.x = r.other),
 lab AS (SELECT node, min(other) AS component FROM reach GROUP BY node)"""
 _PTS = lambda t, p, key: f"""pts AS (SELECT {p}_{key} AS id, CAST({p}_nationkey AS BIGINT) * 1000 AS x,
   CAST(round({p}_acctbal * 100) AS BIGINT) AS y, {p}_{key} * 10 AS z FROM {t})"""
@@ -105,7 +119,7 @@ _PAIRS = """allpairs AS (SELECT a.id AS i, b.id AS j,
 _TOPPROD = f"""CAST(CASE WHEN count(*) = {TOP_K} THEN list_reduce(list(CAST(size AS HUGEINT)), lambda a, x: a * x) END AS DECIMAL(38,0)) AS product"""
 
 SQL = {
-    "k_core": f"""WITH RECURSIVE {_E(f'l_quantity >= {CORE_QTY}')},
+    "k_core": f"""WITH RECURSIVE {_E},
 core(rnd, a, b, n_cur, n_prev) AS (
   SELECT 0, a, b, (SELECT count(*) FROM e), (SELECT count(*) FROM e) + 1 FROM e
   UNION ALL
@@ -113,12 +127,12 @@ core(rnd, a, b, n_cur, n_prev) AS (
     SELECT c.rnd + 1 AS rnd, c.a, c.b, c.n_cur AS n_prev,
            count(*) OVER (PARTITION BY c.a) AS da, count(*) OVER (PARTITION BY c.b) AS db
     FROM core c WHERE c.n_cur < c.n_prev)
-  WHERE da >= {CORE_K} AND db >= {CORE_K}),
+  WHERE da >= (SELECT k FROM k) AND db >= (SELECT k FROM k)),
 final AS (SELECT a, b FROM core WHERE n_cur = n_prev),
 ends AS (SELECT a AS node FROM final UNION ALL SELECT b FROM final)
 SELECT node, count(*) AS degree FROM ends GROUP BY node""",
-    "connected_components": f"WITH RECURSIVE {_E(_COMP_COND)}, {_REACH} SELECT node, component FROM lab",
-    "component_product": f"""WITH RECURSIVE {_E(_COMP_COND)}, {_REACH},
+    "connected_components": f"WITH RECURSIVE {_LINES} SELECT node AS doc_id, component FROM lab",
+    "component_product": f"""WITH RECURSIVE {_LINES},
 sizes AS (SELECT component, count(*) AS size FROM lab GROUP BY component ORDER BY size DESC, component LIMIT {TOP_K})
 SELECT {_TOPPROD} FROM sizes""",
     "closest_pairs": f"""WITH {_PTS('customer', 'c', 'custkey')}, {_PAIRS}

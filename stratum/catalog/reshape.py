@@ -8,10 +8,9 @@ from stratum.functions import nonempty_split
 from stratum.operators import reshape as op
 from stratum.sources.tables import load
 
-# Fixed parameters: priorities whose monthly values multiply (identity 1);
-# the others add (identity 0); the price bar that makes months sparse.
+# Fixed parameters: priorities whose daily values multiply (identity 1);
+# the others add (identity 0).
 PRODUCT_PRIORITIES = ("1-URGENT", "2-HIGH")
-PRICE_BAR = 450000
 
 NL = "\n"
 
@@ -76,17 +75,15 @@ def q_dispatch_aggregate(spark, sf_dir):
 def q_densify(spark, sf_dir):
     o = load(spark, sf_dir, "orders").select(
         F.col("o_orderpriority").alias("priority"),
-        (F.year("o_orderdate") * 12 + F.month("o_orderdate") - 1).cast("bigint").alias("month_idx"),
-        "o_totalprice")
-    values = (o.where(F.col("o_totalprice") >= PRICE_BAR).groupBy("priority", "month_idx")
-              .agg(F.count(F.lit(1)).alias("n")))
+        F.datediff(F.to_date("o_orderdate"), F.lit("1970-01-01")).cast("bigint").alias("day_idx"))
+    values = o.groupBy("priority", "day_idx").agg(F.count(F.lit(1)).alias("n"))
     groups = o.select("priority").distinct()
-    bounds = o.select(F.min("month_idx").alias("lo"), F.max("month_idx").alias("hi"))
+    bounds = o.select(F.min("day_idx").alias("lo"), F.max("day_idx").alias("hi"))
     lo = bounds.select("lo").scalar()
     hi = bounds.select("hi").scalar()
     default = F.when(F.col("priority").isin(*PRODUCT_PRIORITIES), F.lit(1)).otherwise(F.lit(0))
-    out = op.densify(values, groups, "priority", lo, hi, "month_idx", "n", default.cast("bigint"))
-    return out.select("priority", "month_idx", F.col("value").cast("bigint").alias("value"))
+    out = op.densify(values, groups, "priority", lo, hi, "day_idx", "n", default.cast("bigint"))
+    return out.select("priority", "day_idx", F.col("value").cast("bigint").alias("value"))
 
 
 QUERIES = {
@@ -142,12 +139,12 @@ SELECT l_orderkey, CASE WHEN l_orderkey % 2 = 1 THEN '*' ELSE '+' END AS op,
        CASE WHEN l_orderkey % 2 = 1 THEN {_PRODUCT} ELSE CAST(SUM(v) AS DECIMAL(38,0)) END AS result
 FROM f GROUP BY l_orderkey""",
     "densify": f"""WITH o AS (
-  SELECT o_orderpriority AS priority, year(o_orderdate) * 12 + month(o_orderdate) - 1 AS month_idx, o_totalprice
+  SELECT o_orderpriority AS priority, date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) AS day_idx
   FROM orders),
-b AS (SELECT min(month_idx) AS lo, max(month_idx) AS hi FROM o),
-v AS (SELECT priority, month_idx, count(*) AS n FROM o WHERE o_totalprice >= {PRICE_BAR} GROUP BY priority, month_idx),
-g AS (SELECT priority, unnest(range(lo, hi + 1)) AS month_idx FROM (SELECT DISTINCT priority FROM o), b)
-SELECT g.priority, CAST(g.month_idx AS BIGINT) AS month_idx,
+b AS (SELECT min(day_idx) AS lo, max(day_idx) AS hi FROM o),
+v AS (SELECT priority, day_idx, count(*) AS n FROM o GROUP BY priority, day_idx),
+g AS (SELECT priority, unnest(range(lo, hi + 1)) AS day_idx FROM (SELECT DISTINCT priority FROM o), b)
+SELECT g.priority, CAST(g.day_idx AS BIGINT) AS day_idx,
        CAST(coalesce(v.n, CASE WHEN g.priority IN ({_PRIOS}) THEN 1 ELSE 0 END) AS BIGINT) AS value
-FROM g LEFT JOIN v ON g.priority = v.priority AND g.month_idx = v.month_idx""",
+FROM g LEFT JOIN v ON g.priority = v.priority AND g.day_idx = v.day_idx""",
 }

@@ -12,7 +12,7 @@ from stratum.sources.tables import load
 
 def _points2(spark, sf_dir):
     p = load(spark, sf_dir, "part")
-    return p.select(F.col("p_size").cast("bigint").alias("x"), cents("p_retailprice").alias("y"))
+    return p.select(F.col("p_partkey").alias("x"), cents("p_retailprice").alias("y"))
 
 
 def skyline(spark, sf_dir):
@@ -82,7 +82,7 @@ QUERIES = {
     "max_interior_rectangle": q_max_interior_rectangle,
 }
 
-_P2 = "pts AS (SELECT CAST(p_size AS BIGINT) AS x, CAST(round(p_retailprice * 100) AS BIGINT) AS y FROM part)"
+_P2 = "pts AS (SELECT p_partkey AS x, CAST(round(p_retailprice * 100) AS BIGINT) AS y FROM part)"
 
 _SKY = """o AS (SELECT o_orderpriority AS poly, year(o_orderdate) * 12 + month(o_orderdate) - 1 AS mi FROM orders),
 b AS (SELECT min(mi) AS lo, max(mi) AS hi FROM o),

@@ -1,8 +1,5 @@
 """Scalar helpers: exact integer arithmetic, text splitting, bit helpers."""
 
-from stratum.functions.scalars import (
-    bit, floor_div, int_div, nonempty_split, pow10, cents, digits_of, is_block_repeat,
-)
+from stratum.functions.scalars import bit, cents, floor_div, int_div, is_block_repeat, nonempty_split
 
-__all__ = ["bit", "floor_div", "int_div", "nonempty_split", "pow10", "cents", "digits_of",
-           "is_block_repeat"]
+__all__ = ["bit", "cents", "floor_div", "int_div", "is_block_repeat", "nonempty_split"]

@@ -31,11 +31,6 @@ def int_div(a, b) -> Column:
     return F.call_function("div", _c(a).cast("bigint"), b.cast("bigint"))
 
 
-def pow10(n) -> Column:
-    """10^n as BIGINT for 0 <= n <= 18 (exact: every 10^n <= 10^22 is a double)."""
-    return F.pow(F.lit(10.0), _c(n)).cast("bigint")
-
-
 def bit(i) -> Column:
     """BIGINT with only bit ``i`` set."""
     if isinstance(i, int):
@@ -53,11 +48,6 @@ def nonempty_split(s, pattern: str) -> Column:
     return F.filter(F.split(F.coalesce(_c(s), F.lit("")), pattern), lambda t: t != "")
 
 
-def digits_of(s) -> Column:
-    """Array of single characters of a string (no trailing empty element)."""
-    return F.split(_c(s), "")
-
-
 def is_block_repeat(x) -> Column:
     """True when the decimal text of ``x`` is one block repeated >= 2 times."""
     return _c(x).cast("string").rlike(r"^([0-9]+)\1+$")

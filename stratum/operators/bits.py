@@ -1,9 +1,9 @@
 """Bit-set operators on BIGINT masks.
 
-Bits are set with ``shiftleft(1L, i)``, never through DOUBLE powers.  The
-minimum-XOR-subset search is a breadth-first search over XOR states per
-group: at most 2^bits states per group instead of 2^masks subsets, and at
-most ``min(#masks, bits)`` rounds.
+Bits are set with ``shiftleft(1L, i)``, never through DOUBLE powers.  A bitmap
+of any length is rows of ``(word_no, mask)`` with ``WORD_BITS`` bits each.  The
+minimum-XOR-subset search is a breadth-first search over XOR states per group:
+at most 2^bits states per group instead of 2^masks subsets, each visited once.
 """
 
 from __future__ import annotations
@@ -11,28 +11,43 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratum.functions import bit
+from stratum.functions import bit, int_div
 from stratum.plans import Lineage
 
-MAX_BITS = 63
+WORD_BITS = 63
 
 
-def mask_from_text(text, chars: str) -> Column:
-    """Bit i set where character i (0-based) of ``text`` is in ``chars``.
+def mask_from_text(df: DataFrame, text: str, chars: str, keep: list[str], word: str = "word_no",
+                   out: str = "mask") -> DataFrame:
+    """Bit i of the bitmap is set where character i (0-based) of ``text`` is in ``chars``.
 
-    Row-wise (no shuffle); NULL when the text is longer than 63 characters.
+    One row per ``WORD_BITS`` characters, without a shuffle: character i is bit
+    i % 63 of word i div 63.  An empty or NULL text has no rows.
     """
-    t = F.col(text) if isinstance(text, str) else text
-    flags = F.transform(F.split(t, ""),
-                        lambda ch, i: F.when(ch.isin(*list(chars)), bit(i)).otherwise(F.lit(0).cast("bigint")))
-    mask = F.aggregate(flags, F.lit(0).cast("bigint"), lambda a, b: a.bitwiseOR(b))
-    return F.when(F.length(t) <= MAX_BITS, mask)
+    letters = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), ""), lambda ch: ch != "")
+    n_words = F.ceil(F.size("_letters") / WORD_BITS).cast("int")
 
+    def mask(w: Column) -> Column:
+        flags = F.transform(F.slice("_letters", w * WORD_BITS + 1, F.lit(WORD_BITS)), lambda ch, i: F.when(
+            ch.isin(*list(chars)), bit(i)).otherwise(F.lit(0).cast("bigint")))
+        return F.aggregate(flags, F.lit(0).cast("bigint"), lambda a, b: a.bitwiseOR(b))
 
-def mask_from_positions(df: DataFrame, keys: list[str], position: str, out: str = "mask") -> DataFrame:
-    """Per group, the mask with bit ``position`` set for every row
-    (``bit_or`` combines map-side; repeated positions set the bit once)."""
-    return df.groupBy(*keys).agg(F.bit_or(bit(position)).alias(out))
+    masks = F.transform(F.sequence(F.lit(0), n_words - 1), mask)
+    return df.select(*keep, letters.alias("_letters")).where(F.size("_letters") > 0) \
+        .select(*keep, F.posexplode(masks).alias("_w", out)) \
+        .select(*keep, F.col("_w").cast("bigint").alias(word), out)
+
+
+def mask_from_positions(df: DataFrame, keys: list[str], position: str, word: str = "word_no",
+                        out: str = "mask") -> DataFrame:
+    """Per group, the bitmap with bit ``position`` set for every row, as ``(word_no, mask)``
+    (``bit_or`` combines map-side; repeated positions set the bit once).  NULL positions set
+    nothing; a negative one is an error."""
+    at = F.col(position).cast("bigint")
+    checked = F.when(at < 0, F.raise_error(F.lit("mask_from_positions: negative position"))).otherwise(at)
+    rows = df.select(*keys, checked.cast("bigint").alias("_at")).where(F.col("_at").isNotNull())
+    return rows.groupBy(*keys, int_div("_at", WORD_BITS).alias(word)).agg(
+        F.bit_or(bit(F.col("_at") % WORD_BITS)).alias(out))
 
 
 def xor_fold(df: DataFrame, keys: list[str], mask: str, out: str = "xor") -> DataFrame:
@@ -45,31 +60,27 @@ def min_subset_xor(masks: DataFrame, targets: DataFrame, group: str, mask: str =
     """Per group, the fewest distinct masks whose XOR equals the target.
 
     Breadth-first over XOR values: level d holds the values reachable by
-    XOR-ing d masks (a mask used twice cancels, so the first level that
-    contains the target is the minimum subset size).  A solved group leaves
-    the search; a group stops at level ``#masks``.  Unsolvable groups have
-    no row.  Every level is one join of the frontier with the group's masks
-    plus one de-duplication, checkpointed.
+    XOR-ing d masks and not reachable by fewer (a mask used twice cancels, so
+    the first level that contains the target is the minimum subset size).  The
+    masks are written once; states seen before leave by an anti join, so an
+    unsolvable group ends after its last new state.  Unsolvable groups have no
+    row; targets without masks are solved only if they are 0.
     """
     spark = masks.sparkSession
     lineage = Lineage(spark, 1)
-    m = masks.select(group, F.col(mask).cast("bigint").alias("_m")).distinct()
-    sizes = m.groupBy(group).agg(F.count(F.lit(1)).alias("_k"))
-    t = (targets.select(group, F.col(target).cast("bigint").alias("_t"))
-         .join(sizes, group, "left").fillna(0, ["_k"]))
-    t = lineage.cut(t, force=True)
+    m = lineage.cut(masks.select(group, F.col(mask).cast("bigint").alias("_m")).distinct(), force=True)
+    t = lineage.cut(targets.select(group, F.col(target).cast("bigint").alias("_t")), force=True)
     solved = [t.where(F.col("_t") == 0).select(group, F.lit(0).cast("bigint").alias(out))]
-    front = lineage.cut(t.where(F.col("_t") != 0).select(group, F.lit(0).cast("bigint").alias("_x")),
-                        force=True)
-    front = front.join(t, group)  # carry target and mask count with the frontier
-    d = 0
+    front = lineage.cut(t.where(F.col("_t") != 0).select(group, F.lit(0).cast("bigint").alias("_x"), "_t"), force=True)
+    seen, d = front.select(group, "_x"), 0
     while not front.isEmpty():
         d += 1
-        nxt = lineage.cut(front.join(m, group).select(
-            group, (F.col("_x").bitwiseXOR(F.col("_m"))).alias("_x"), "_t", "_k").distinct(), force=True)
-        hit = nxt.where(F.col("_x") == F.col("_t")).select(group).distinct()
+        reached = front.join(m, group).select(group, F.col("_x").bitwiseXOR(F.col("_m")).alias("_x"), "_t").distinct()
+        new = lineage.cut(reached.join(seen, [group, "_x"], "left_anti"), force=True)
+        hit = new.where(F.col("_x") == F.col("_t")).select(group).distinct()
         solved.append(hit.select(group, F.lit(d).cast("bigint").alias(out)))
-        front = nxt.join(hit, group, "left_anti").where(F.col("_k") > d)
+        front = lineage.cut(new.join(hit, group, "left_anti"), force=True)
+        seen = seen.unionByName(front.select(group, "_x"))
     res = solved[0]
     for s in solved[1:]:
         res = res.unionByName(s)

@@ -156,12 +156,6 @@ def peel_blocked(cells: DataFrame, k: int, r: str = "r", c: str = "c", offsets=K
     raise RuntimeError("blocked peel did not converge")
 
 
-def size_checked_broadcast(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
-    """Broadcast ``df`` only when a count proves it small; else leave the
-    join to the planner (shuffle join).  ``df`` should be checkpointed."""
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
 def _moves(hit: Column) -> Column:
     return F.when(hit, F.array(F.col("col") - 1, F.col("col") + 1)).otherwise(F.array("col"))
 
@@ -180,7 +174,7 @@ def _advance(front: DataFrame, sp: DataFrame, lv: int) -> DataFrame:
 
 
 def layered_reach(starts: DataFrame, splitters: DataFrame, last_level: int, level: str = "level",
-                  col: str = "col", max_broadcast_rows: int = 2_000_000) -> DataFrame:
+                  col: str = "col") -> DataFrame:
     """Level-by-level propagation with branching, set semantics.
 
     ``starts`` holds the level-0 columns.  A beam arriving at a splitter of
@@ -189,16 +183,17 @@ def layered_reach(starts: DataFrame, splitters: DataFrame, last_level: int, leve
     ``(level, n_beams, n_splits)`` for levels 1..last_level.
 
     Each level is one job: the frontier (bounded by the column range) joins
-    that level's splitters -- broadcast when a count proves the splitter set
-    small -- and is de-duplicated by one shuffle, then checkpointed; the
-    final statistics read the checkpointed frontiers.
+    that level's splitters (AQE broadcasts them when their written size is
+    small) and is de-duplicated by one shuffle, then checkpointed; the
+    final statistics read the checkpointed frontiers.  No level, no rows.
     """
     spark = starts.sparkSession
     lineage = Lineage(spark, 1)
     sp = lineage.cut(splitters.select(F.col(level).alias("level"), F.col(col).alias("col"))
                      .distinct(), force=True)
-    sp = size_checked_broadcast(sp, max_broadcast_rows)
-    front = starts.select(F.col(col).alias("col")).distinct()
+    front = starts.select(F.col(col).cast("bigint").alias("col")).distinct()
+    if last_level < 1:
+        return front.select(*[F.lit(0).cast("bigint").alias(c) for c in ("level", "n_beams", "n_splits")]).limit(0)
     arrivals = []
     for lv in range(1, last_level + 1):
         arr = lineage.cut(_advance(front, sp, lv).select(F.lit(lv).cast("bigint").alias("level"),
@@ -213,8 +208,7 @@ def layered_reach(starts: DataFrame, splitters: DataFrame, last_level: int, leve
 
 
 def layered_path_counts(starts: DataFrame, splitters: DataFrame, last_level: int,
-                        level: str = "level", col: str = "col",
-                        max_broadcast_rows: int = 2_000_000) -> DataFrame:
+                        level: str = "level", col: str = "col") -> DataFrame:
     """U16: number of distinct paths reaching each (level, col).
 
     Same propagation as ``layered_reach`` with sum semantics: a splitter
@@ -227,8 +221,9 @@ def layered_path_counts(starts: DataFrame, splitters: DataFrame, last_level: int
     dec = "decimal(38,0)"
     sp = lineage.cut(splitters.select(F.col(level).alias("level"), F.col(col).alias("col"))
                      .distinct(), force=True)
-    sp = size_checked_broadcast(sp, max_broadcast_rows)
-    front = starts.groupBy(F.col(col).alias("col")).agg(F.count(F.lit(1)).cast(dec).alias("paths"))
+    front = starts.groupBy(F.col(col).cast("bigint").alias("col")).agg(F.count(F.lit(1)).cast(dec).alias("paths"))
+    if last_level < 1:
+        return front.select(F.lit(0).cast("bigint").alias("level"), "col", "paths").limit(0)
     levels = []
     for lv in range(1, last_level + 1):
         arr = _advance(front, sp, lv)

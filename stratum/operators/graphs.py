@@ -27,10 +27,13 @@ def k_core(edges: DataFrame, k: int, a: str = "a", b: str = "b",
            rounds_per_job: int = 2) -> DataFrame:
     """The k-core -- repeatedly drop nodes of degree < k (with their
     edges) until every remaining node has degree >= k.  Returns the
-    surviving edges.  Low-degree nodes are removed by anti joins; the removed
-    set is usually small, so AQE broadcasts it."""
+    surviving edges.  Edges are undirected: both orientations are one edge
+    (kept as smaller, larger) and self loops are none.  Low-degree nodes are
+    removed by anti joins; the removed set is usually small, so AQE
+    broadcasts it."""
     lineage = Lineage(edges.sparkSession, 1)
-    e = lineage.cut(edges.select(a, b).distinct(), force=True)
+    e = lineage.cut(edges.where(F.col(a) != F.col(b)).select(F.least(a, b).alias(a), F.greatest(a, b).alias(b))
+                    .distinct(), force=True)
     while True:
         low = degrees(e, a, b).where(F.col("degree") < k)
         if low.isEmpty():

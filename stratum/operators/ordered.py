@@ -8,11 +8,11 @@ evaluated by a single task when ``split`` is set.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.functions import floor_div
-from stratum.plans import Lineage, ordered_scan
+from stratum.plans import Lineage, join_on_group, ordered_scan
 
 
 def running_total(df: DataFrame, order: list, delta: str, start: int = 0,
@@ -75,28 +75,35 @@ def best_k_subsequence(df: DataFrame, keys: list[str], pos: str, digit: str, k:
                        out: str = "best") -> DataFrame:
     """Largest k-digit number formed by an order-keeping subsequence, per key.
 
-    Greedy in k rounds: round i picks, among positions after the previous
-    pick and at most ``n - k + i``, the largest digit, earliest on ties.
-    Each round is one grouped ``max(struct(digit, -pos))`` (map-side
-    combined) joined to a one-row-per-key state table.  Keys shorter than k
-    have no answer.  Requires positions 1..n per key.
+    Greedy: pick i takes, after the pick before and up to position n - k + i,
+    the largest digit, the earliest on ties.  Among the first n - k + 1
+    positions only an element with no larger later one there can ever be
+    picked, and only the first k of those; with the last k - 1 positions that
+    leaves at most 2k - 1 rows per key, found by one split suffix maximum, and
+    the k picks fold over them.  Keys shorter than k have no answer.  Requires
+    positions 1..n per key.
     """
     keys = list(keys)
-    data = df.select(*keys, F.col(pos).cast("bigint").alias("_p"),
-                     F.col(digit).cast("bigint").alias("_d"))
-    state = (data.groupBy(*keys).agg(F.max("_p").alias("_n"))
-             .where(F.col("_n") >= k)
-             .select(*keys, "_n", F.lit(0).cast("bigint").alias("_last"),
-                     F.lit(0).cast("bigint").alias("_val")))
-    lineage = Lineage(df.sparkSession, every=4)
-    for i in range(1, k + 1):
-        pick = (data.join(state, keys)
-                .where((F.col("_p") > F.col("_last")) & (F.col("_p") <= F.col("_n") - (k - i)))
-                .groupBy(*keys, "_n", "_val")
-                .agg(F.max(F.struct(F.col("_d"), (-F.col("_p")).alias("_np"))).alias("_m")))
-        state = lineage.cut(pick.select(*keys, "_n", (-F.col("_m._np")).alias("_last"),
-                                        (F.col("_val") * 10 + F.col("_m._d")).alias("_val")))
-    return state.select(*keys, F.col("_val").cast("bigint").alias(out))
+    data = Lineage(df.sparkSession, 1).cut(df.select(*keys, F.col(pos).cast("bigint").alias("_p"),
+                                                     F.col(digit).cast("bigint").alias("_d")), force=True)
+    n = data.groupBy(*keys).agg(F.max("_p").alias("_n")).where(F.col("_n") >= k)
+    data = join_on_group(data, n, keys)
+    early = F.col("_p") <= F.col("_n") - (k - 1)
+    later = suffix_max(data.where(early), ["_p"], "_d", keys, "_later", True)
+    top = later.where(F.col("_later").isNull() | (F.col("_later") <= F.col("_d")))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy("_p"))
+    few = top.withColumn("_rank", rank).where(F.col("_rank") <= k).select(*keys, "_n", "_p", "_d") \
+        .unionByName(data.where(~early).select(*keys, "_n", "_p", "_d"))
+    packed = few.groupBy(*keys, "_n").agg(F.collect_list(F.struct("_d", (-F.col("_p")).alias("_np"))).alias("_all"))
+    start = F.struct(F.lit(0).cast("bigint").alias("last"), F.lit(0).cast("bigint").alias("val"))
+
+    def pick(acc: Column, i: Column) -> Column:
+        best = F.array_max(F.filter("_all", lambda x: (-x["_np"] > acc["last"])
+                                    & (-x["_np"] <= F.col("_n") - k + i)))
+        return F.struct((-best["_np"]).alias("last"), (acc["val"] * 10 + best["_d"]).alias("val"))
+
+    folded = F.aggregate(F.sequence(F.lit(1).cast("bigint"), F.lit(k).cast("bigint")), start, pick, lambda acc: acc["val"])
+    return packed.select(*keys, folded.alias(out))
 
 
 def delimiter_groups(df: DataFrame, order: list, is_break: Column | str, keys: list[str] = (),

@@ -7,10 +7,10 @@ concatenation) are grouped aggregates here.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratum.functions import nonempty_split
+from stratum.plans import join_on_group
 
 BLANKS = " +"  # runs of blanks separate tokens (the reference squeezes them)
 
@@ -47,39 +47,46 @@ def ordered_concat(df: DataFrame, group: list[str], value: str, order: str, sep:
     return df.groupBy(*group).agg(agg.alias(out), F.count(F.lit(1)).alias("n_items"))
 
 
-def exact_product(df: DataFrame, keys: list[str], value: str, out: str = "product",
-                  max_bits: float = 125.9) -> DataFrame:
-    """Exact integer product per group as DECIMAL(38,0).
+MAX_FACTORS = 126     # 2**127 is above DECIMAL(38,0): more factors >= 2 cannot fit
 
-    No group is ever collected: values are first counted per (key, |v|)
-    (map-side combined), zeros and negative signs are counted per key, and
-    only keys whose product fits DECIMAL(38,0) (sum of count*log2|v| below
-    ``max_bits``) fold their (|v|, count) pairs.  A representable product
-    has fewer than 127 factors >= 2, so the folded list is bounded by 126
-    entries whatever the group size.  Non-representable products are NULL.
+
+def _products(df: DataFrame, keys: list[str], value: str, wanted: Column, extra: list[Column]) -> DataFrame:
+    """Per group: ``_prod`` where ``wanted`` (an expression over the aggregates ``extra``) holds.
+
+    Values are counted per (keys, value) once, map-side combined.  A group's
+    product is 0 with a zero, NULL without values, and else the product of at
+    most MAX_FACTORS counted factors; more of them, or a product beyond
+    DECIMAL(38,0), is an error and never a NULL.
     """
-    keys = list(keys)
-    v = F.col(value).cast("bigint")
-    base = df.select(*keys, v.alias("_v"))
-    signs = base.groupBy(*keys).agg(F.count_if(F.col("_v") == 0).alias("_zeros"),
-                                    F.count_if(F.col("_v") < 0).alias("_negs"))
-    counts = (base.where(F.abs("_v") >= 2).groupBy(*keys, F.abs("_v").alias("_a"))
-              .agg(F.count(F.lit(1)).alias("_c")))
-    bits = counts.groupBy(*keys).agg(F.sum(F.col("_c") * F.log2("_a")).alias("_bits"))
-    fits = counts.join(bits.where(F.col("_bits") < max_bits), keys, "left_semi")
-    one = F.lit(1).cast("decimal(38,0)")
-    folded = fits.groupBy(*keys).agg(F.aggregate(
-        F.collect_list(F.struct("_a", "_c")), one,
-        lambda acc, f: acc * F.aggregate(F.sequence(F.lit(1).cast("bigint"), f["_c"]), one,
-                                         lambda p, _: (p * f["_a"]).cast("decimal(38,0)"))
-        ).cast("decimal(38,0)").alias("_mag"))
-    res = signs.join(bits, keys, "left").join(folded, keys, "left")
+    v, n = F.col("_v"), F.col("_c")
+    counts = df.groupBy(*keys, F.col(value).cast("bigint").alias("_v")).agg(F.count(F.lit(1)).alias("_c"), *extra[:1])
+    rest = extra[1:]
+    summary = counts.groupBy(*keys).agg(
+        F.count("_v").alias("_values"), F.count_if(v == 0).alias("_zeros"),
+        F.sum(F.when(v < 0, n).otherwise(0)).alias("_negs"),
+        F.sum(F.when(F.abs("_v") >= 2, n).otherwise(0)).alias("_factors"), *rest)
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy("_v"))
+    few = counts.where(F.abs("_v") >= 2).withColumn("_rank", rank).where(F.col("_rank") <= MAX_FACTORS + 1) \
+        .groupBy(*keys).agg(F.collect_list(F.struct(F.abs("_v").alias("a"), n.alias("n"))).alias("_list"))
+    both = join_on_group(summary, few, keys, "left")
+    one, dec = F.lit(1).cast("decimal(38,0)"), "decimal(38,0)"
+    too_big = F.raise_error(F.lit("a product is too large for DECIMAL(38,0)")).cast(dec)
+    size = F.aggregate(F.coalesce("_list", F.array().cast("array<struct<a:bigint,n:bigint>>")), one,
+                       lambda acc, f: F.aggregate(F.sequence(F.lit(1).cast("bigint"), f["n"]), acc,
+                                                  lambda p, _: (p * f["a"]).cast(dec)))
     sign = F.when(F.col("_negs") % 2 == 1, F.lit(-1)).otherwise(F.lit(1))
-    prod = (F.when(F.col("_zeros") > 0, F.lit(0))
-            .when(F.col("_bits").isNull(), sign)        # only factors +-1
-            .when(F.col("_mag").isNull(), F.lit(None))  # does not fit DECIMAL(38,0)
-            .otherwise(F.col("_mag") * sign))
-    return res.select(*keys, prod.cast("decimal(38,0)").alias(out))
+    prod = (F.when(~wanted | (F.col("_values") == 0), F.lit(None))
+            .when(F.col("_zeros") > 0, F.lit(0).cast(dec))
+            .when(F.col("_factors") > MAX_FACTORS, too_big)
+            .otherwise((F.coalesce(size, too_big) * sign).cast(dec)))
+    return both.withColumn("_prod", prod.cast(dec))
+
+
+def exact_product(df: DataFrame, keys: list[str], value: str, out: str = "product") -> DataFrame:
+    """Exact integer product per group as DECIMAL(38,0); an overflow raises."""
+    keys = list(keys)
+    res = _products(df, keys, value, F.lit(True), [])
+    return res.select(*keys, F.col("_prod").alias(out))
 
 
 def dispatch_aggregate(df: DataFrame, keys: list[str], value: str, op: str,
@@ -89,12 +96,11 @@ def dispatch_aggregate(df: DataFrame, keys: list[str], value: str, op: str,
     ``op`` holds '*' or '+' and must be constant within a group.
     """
     keys = list(keys)
-    ops = df.groupBy(*keys).agg(F.max(op).alias(op),
-                                F.sum(F.col(value).cast("decimal(38,0)")).alias("_sum"))
-    prods = exact_product(df, keys, value, "_prod")
-    res = ops.join(prods, keys)
+    dec = "decimal(38,0)"
+    total = F.sum(F.col("_v").cast(dec) * F.col("_c")).cast(dec).alias("_sum")
+    res = _products(df, keys, value, F.col(op) == "*", [F.max(op).alias(op), F.max(op).alias(op), total])
     return res.select(*keys, op, F.when(F.col(op) == "*", F.col("_prod"))
-                      .otherwise(F.col("_sum")).cast("decimal(38,0)").alias(out))
+                      .otherwise(F.col("_sum")).cast(dec).alias(out))
 
 
 def densify(values: DataFrame, groups: DataFrame, group: str, lo: Column, hi: Column,

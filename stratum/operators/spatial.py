@@ -156,6 +156,8 @@ def _monge_best(p: DataFrame, q: DataFrame) -> DataFrame:
         seg = (pick.select("i_lo", (F.col("mid") - 1).alias("i_hi"), "j_lo", F.col("best_j").alias("j_hi"))
                .unionByName(pick.select((F.col("mid") + 1).alias("i_lo"), "i_hi",
                                         F.col("best_j").alias("j_lo"), "j_hi")))
+    if not found:       # an empty staircase
+        return P.select(F.lit(None).cast("bigint").alias("f")).limit(0).agg(F.max("f").alias("_a"))
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)

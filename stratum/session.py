@@ -47,7 +47,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):   # local-cluster has executors
         raise RuntimeError(
             "spark.checkpoint.dir is unset: point it at a shared folder "
             "(HDFS/S3/ABFS) before running fixpoint operators on a cluster")

@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratum.plans import ordered_scan
+
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
@@ -21,26 +23,18 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def load_all(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:
-    return {n: load(spark, sf_dir, n) for n in names}
-
-
 def read_lines(spark: SparkSession, path: str, ordinal: str = "row_index") -> DataFrame:
-    """Text lines with a 1-based file-order ordinal.
+    """Text lines with a 1-based ordinal in file order: by file name, then by place in the file.
 
-    The ordinal comes from ``monotonically_increasing_id`` (partition id in
-    the high bits, so it follows file order across splits) densified with a
-    per-partition count + offset: the offsets table has one row per input
-    split, so it is small and broadcast.
+    Spark packs splits of several files by size, so the order comes from each
+    split's file and start and, within a split, from the reading order; a split
+    ordered count turns it into numbers without a single-task window.
     """
-    raw = spark.read.text(path).withColumn("_mid", F.monotonically_increasing_id())
-    raw = raw.withColumn("_part", F.shiftright("_mid", 33))
-    counts = raw.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    local = F.col("_mid") - F.shiftleft(F.col("_part"), 33)
-    return (raw.join(F.broadcast(offsets.select("_part", "_off")), "_part")
-            .select((F.col("_off") + local + 1).alias(ordinal), "value"))
+    raw = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_read"), F.lit(1).cast("bigint").alias("_one"))
+    numbered = ordered_scan(raw, ["_file", "_start", "_read"], "_one", ordinal, "sum", [], True)
+    return numbered.select(ordinal, "value")
 
 
 def write_result(df: DataFrame, path: str, mode: str = "overwrite",
@@ -50,7 +44,3 @@ def write_result(df: DataFrame, path: str, mode: str = "overwrite",
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-
-
-def col_or(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
