@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import importlib
 
-FAMILIES = ["ordered", "reshape", "ranges", "cells", "bits", "graphs", "spatial", "basics"]
+FAMILIES = ["ordered", "reshape", "ranges", "cells", "bits", "graphs", "spatial", "basics", "landing"]
 
 
 def _modules():

@@ -9,10 +9,11 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from stratum.catalog import all_queries, all_sql
 from tools.oracle_check import duck, rows_of
 
 SF = os.environ.get("STRATUM_ORACLE_SF", "/root/testdata/sf0.001")
-SQL = E.oracle_sql()
+SQL = all_sql()
 
 
 @pytest.fixture(scope="module")
@@ -21,13 +22,13 @@ def con():
 
 
 def test_every_query_has_oracle_or_reason():
-    missing = set(E.queries()) - set(SQL)
-    assert missing <= set(), f"queries without an oracle: {missing}"
+    missing = set(all_queries()) - set(SQL)
+    assert not missing, f"queries without an oracle: {missing}"
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF)
+    df = all_queries()[name](spark, SF)
     srows, scols = [tuple(r) for r in df.collect()], df.columns
     cur = con.execute(SQL[name])
     drows, dcols = cur.fetchall(), [d[0] for d in cur.description]

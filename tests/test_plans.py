@@ -1,35 +1,32 @@
-"""Plan checks: keyed operators plan no cartesian products or nested-loop
-joins, and two-level scans keep keyless work off a single partition."""
+"""Plan checks over every catalog query: no cartesian products or nested-loop
+joins, pruned scans, and no window over a whole table in one partition."""
+
+import re
 
 import pytest
 
-import __spark_entry__ as E
+from stratum.catalog import all_queries
 from stratum.plans.inspect import BAD_AT_SCALE, physical_plan
 
 SF = "/root/testdata/sf0.001"
 
-# queries whose plans must stay free of cartesian / nested-loop joins
-KEYED = ["running_residue_hits", "modulus_crossings", "best_ordered_pair", "delimiter_groups",
-         "grouped_product", "dispatch_aggregate", "block_repeat_any", "merge_intervals",
-         "points_in_ranges_by_group", "stencil_counts", "mask_from_positions", "column_text"]
-
 
-@pytest.mark.parametrize("name", KEYED)
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_no_cartesian(spark, name):
-    plan = physical_plan(E.queries()[name](spark, SF))
+    plan = physical_plan(all_queries()[name](spark, SF))
     for bad in BAD_AT_SCALE:
         assert bad not in plan, f"{name} plans {bad}"
 
 
 def test_scan_pushdown(spark):
-    df = E.queries()["stencil_counts"](spark, SF)
-    plan = physical_plan(df)
+    plan = physical_plan(all_queries()["stencil_counts"](spark, SF))
     assert "ReadSchema: struct<l_partkey:bigint,l_suppkey:bigint>" in plan
 
 
-def test_global_scan_has_no_single_partition_window(spark):
-    # the keyless running total must not window over the whole table at once
-    df = E.queries()["running_residue_hits_global"](spark, SF)
-    plan = physical_plan(df)
-    # only the small bucket-carry window may be keyless; the data window is bucketed
-    assert "Window [" in plan
+def test_split_scan_windows_inside_its_parts(spark):
+    from stratum.plans import ordered_scan
+    df = spark.range(1000).selectExpr("id", "id % 7 as v")
+    plan = physical_plan(ordered_scan(df, ["id"], "v", "run", "sum", [], True))
+    windows = re.findall(r"Window \\[.*", plan)
+    assert any("[_part" in w for w in windows)                 # the rows, by part
+    assert all("_part" in w for w in windows)                  # and one over the parts' totals
