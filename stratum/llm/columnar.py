@@ -135,3 +135,24 @@ def code_points(buf: np.ndarray) -> np.ndarray:
     out = np.zeros(len(buf) + 1, dtype=np.int64)
     np.cumsum((buf & 0xC0) != 0x80, out=out[1:])
     return out
+
+
+def screen_of(hashes, bits: int) -> np.ndarray:
+    """Packed screen of 2**bits bits with the top bits of each hash set.
+
+    ``hashes`` is a DataFrame with one bigint column; Spark packs 64 bits to a row, so 2**(bits - 6)
+    rows at most come to the driver, however many hashes there are.
+    """
+    from pyspark.sql import functions as F
+    slot = F.shiftrightunsigned(F.col(hashes.columns[0]), 64 - bits)
+    rows = hashes.select(slot.alias("s")).select(
+        F.shiftright("s", 6).cast("int").alias("word"), F.expr("shiftleft(1L, cast(s & 63 as int))").alias("bit")) \
+        .groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    words = np.zeros(1 << (bits - 6), np.int64)
+    words[rows["word"].to_numpy()] = rows["bits"].to_numpy()
+    return words.view(np.uint8)
+
+
+def screen_bits(screen: np.ndarray) -> np.ndarray:
+    """The screen as booleans."""
+    return np.unpackbits(screen, bitorder="little").astype(bool)

@@ -92,12 +92,7 @@ def windows_of(items: DataFrame, item_id: str = "item_id", text: str = "text", w
 
 def term_screen(windows: DataFrame) -> np.ndarray:
     """Bits of the terms that occur in a window (2**SCREEN_BITS bits, packed)."""
-    shift = 64 - SCREEN_BITS
-    slots = windows.select(F.explode("terms").alias("t")) \
-        .select(F.shiftrightunsigned("t", shift).cast("int").alias("slot")).distinct().toPandas()["slot"]
-    bits = np.zeros(1 << SCREEN_BITS, bool)
-    bits[slots.to_numpy(np.int64)] = True
-    return np.packbits(bits)
+    return C.screen_of(windows.select(F.explode("terms").alias("t")), SCREEN_BITS)
 
 
 def positional_index(docs: DataFrame, lineage: Lineage, screen: np.ndarray, doc_id: str = "doc_id",
@@ -106,7 +101,7 @@ def positional_index(docs: DataFrame, lineage: Lineage, screen: np.ndarray, doc_
 
     def run(batches):
         from pyspark import TaskContext
-        bits = np.unpackbits(screen).astype(bool)
+        bits = C.screen_bits(screen)
         shard = TaskContext.get().partitionId() << 32
         names = [c.split()[0] for c in INDEX.split(", ")]
         empty = lambda n: pa.array([None] * n, pa.list_(pa.int64()))

@@ -7,9 +7,10 @@ path.  The ratios of the blocks in page order are smoothed with a short
 Gaussian, averaged again per path and fused into one score, weighted by what
 the path's own names say (``article`` and ``main`` count more; menus, adverts,
 forms and the like count nothing).  Paths above a share of the best score are
-content.  If all content paths lie below one container other than the body,
-every block of that container that is not named as boilerplate is taken, so
-headings and short paragraphs stay with their article.
+content.  Content inside an ``article`` or ``main`` takes with it every block of
+that container that is not named as boilerplate, and content below another
+common container takes what lies between its first and last block, so headings
+and short paragraphs stay with their article.
 
 Defined cases: null, empty or text-free pages give an empty text.  Tags that
 are never closed, stray end tags, unclosed comments and quotes are accepted.
@@ -182,10 +183,12 @@ def content_blocks(blocks: list[Block]) -> tuple[list[str], str]:
     roots = {b.path for b, c in zip(blocks, chosen) if c}
     mains = {b.path for b, c in zip(blocks, chosen) if c and b.main}
     root = _common(mains or roots)
-    if mains or root.rpartition("/")[2] not in ("", "html", "body"):
-        chosen = [b.path == root or b.path.startswith(root + "/") for b in blocks]
-        if mains:
-            chosen = [c and b.main for c, b in zip(chosen, blocks)]
+    if mains:
+        chosen = [b.main and (b.path == root or b.path.startswith(root + "/")) for b in blocks]
+    elif root.rpartition("/")[2] not in ("", "html", "body"):
+        places = np.flatnonzero(chosen)     # other elements may have the same path: only what lies between
+        chosen = [places[0] <= k <= places[-1] and (b.path == root or b.path.startswith(root + "/"))
+                  for k, b in enumerate(blocks)]
     return [t for t, c in zip(texts, chosen) if c and t], root
 
 
