@@ -52,7 +52,7 @@ BANDS, ASKS, PART = 16, 2, 64
 BUCKET_BYTES = 16 << 20      # text per token bucket
 FLUSH_TOKENS = 2 << 20       # prefix tokens a task holds before it sends them
 ASK_TOKENS = 1 << 18         # tokens of queries that meet a group in one task
-SCREEN_BITS = 21
+MAX_SCREEN_BITS = 26         # 8 MB
 SETTLED = 0                  # marks a token that is known to be shared
 
 
@@ -220,9 +220,11 @@ def surviving_sets(docs: DataFrame, chosen: DataFrame, doc_id: str, text: str, w
                  pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
                 names=["set_id", "n", "tokens", "bands"])
 
-    same = (F.col(doc_id).cast("bigint") == F.col("_id")) & (F.xxhash64(text) == F.col("_key"))
-    return docs.join(chosen.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")), same, "left_semi") \
-        .select(text).mapInArrow(run, "set_id bigint, n bigint, tokens binary, bands array<bigint>")
+    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_key"),
+                       F.col(text).alias("text"))
+    # the list of survivors grows with the input: it is never broadcast, at any size
+    return rows.join(chosen.hint("merge"), ["doc_id", "text_key"], "left_semi") \
+        .select("text").mapInArrow(run, "set_id bigint, n bigint, tokens binary, bands array<bigint>")
 
 
 def leaders_to_ask(sets: DataFrame) -> DataFrame:
@@ -318,23 +320,33 @@ def foreign_tokens(sets: DataFrame, buckets: int) -> DataFrame:
 
 def open_sets(sets: DataFrame, foreign: DataFrame, percent: int) -> DataFrame:
     """(set_id, label, n, foreign): sets with enough foreign tokens for a link, rarest tokens first."""
-    shift = 64 - SCREEN_BITS
-    slots = foreign.select(F.shiftrightunsigned("token", shift).cast("int").alias("s")).distinct().toPandas()["s"]
-    bits = np.zeros(1 << SCREEN_BITS, bool)
-    bits[slots.to_numpy(np.int64)] = True
-    packed = np.packbits(bits)
+    # eight slots to a token, and MAX_SCREEN_BITS at most; a fuller screen lets more rows through, and loses none
+    bits = min(max(foreign.count().bit_length() + 3, 16), MAX_SCREEN_BITS)
+    shift, packed = 64 - bits, C.screen_of(foreign.select("token"), bits)
 
     def run(batches):
-        screen = np.unpackbits(packed).astype(bool)
+        screen, held, size = C.screen_bits(packed), [], 0
+
+        def send():
+            i, label, n, tokens = zip(*held)
+            reps = [len(t) for t in tokens]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(np.array(x, np.int64), reps)) for x in (i, label, n)]
+                + [pa.array(np.concatenate(tokens).view(np.int64))], names=["set_id", "label", "n", "token"])
+
         for batch in batches:
-            for i, label, n, blob in zip(*[c.to_pylist() for c in batch.columns]):
-                tokens = np.frombuffer(blob, np.uint64)
-                hit = tokens[screen[tokens >> np.uint64(shift)]]
-                if len(hit) >= need(n, percent):
-                    k = len(hit)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(k, i)), pa.array(np.full(k, label)), pa.array(np.full(k, n)),
-                         pa.array(hit.view(np.int64))], names=["set_id", "label", "n", "token"])
+            for at in range(0, batch.num_rows, 128):
+                for i, label, n, blob in zip(*[c.to_pylist() for c in batch.slice(at, 128).columns]):
+                    tokens = np.frombuffer(blob, np.uint64)
+                    hit = tokens[screen[tokens >> np.uint64(shift)]]
+                    if len(hit) >= need(n, percent):
+                        held.append((i, label, n, hit))
+                        size += len(hit)
+                    if size >= 1 << 15:
+                        yield send()
+                        held, size = [], 0
+        if held:
+            yield send()
 
     rows = sets.select("set_id", "label", "n", "tokens").mapInArrow(
         run, "set_id bigint, label bigint, n bigint, token bigint").join(foreign, "token")
