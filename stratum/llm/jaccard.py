@@ -19,10 +19,11 @@ Equal sets are one class from the start and cost one row each.  Between classes:
    only link outside its group through tokens of at least two groups; if it has
    fewer of them than a link needs, it is done.  Of the others, the tokens in
    the fewest groups (as many as the slack allows, and one) name the
-   groups to ask, always the smaller group of two.
-4. Bound and open.  A group's union bounds the overlap of a query with each
-   member; only a group that can reach the threshold is opened, and its members
-   are compared exactly.  Large groups are stored in parts of ``PART`` sets.
+   groups to ask; the set of the smaller group asks the larger one.
+4. Bound and open.  Groups are stored in parts of about ``PART`` sets, small
+   groups of similar sets together.  A part's union bounds the overlap of a
+   query with each member; only a part that can reach the threshold is opened,
+   and its members are compared exactly.
 
 Pairs inside a group are never listed, so thousands of copies of one text cost
 thousands of comparisons.  No step caps candidates; every filter is a necessary
@@ -199,12 +200,27 @@ def shared_in_prefix(docs: DataFrame, text: str, width: int, percent: int, bucke
         ids = np.concatenate((owners[shared], np.frombuffer(b"".join(group.loc[passed, "owners"]), np.int64)))
         n = np.concatenate((np.ones(shared.sum(), np.int64),
                             np.frombuffer(b"".join(group.loc[passed, "runs"]), np.uint32).astype(np.int64)))
+        ids, n = summed(ids, n)
+        chunk = (ids.view(np.uint64) % np.uint64(chunks)).astype(np.int64)
+        order = np.argsort(chunk, kind="stable")
+        ids, n, chunk = ids[order], n[order], chunk[order]
+        edge = np.append(C.run_starts(chunk), len(chunk))
+        return pd.DataFrame([(chunk[a], ids[a:b].tobytes(), n[a:b].tobytes()) for a, b in zip(edge[:-1], edge[1:])],
+                            columns=["chunk", "ids", "counts"])
+
+    def summed(ids, n):
         ids, at = np.unique(ids, return_inverse=True)
-        return pd.DataFrame({"set_id": ids, "shared": np.bincount(at, n, len(ids)).astype(np.int64)})
+        return ids, np.bincount(at, n, len(ids)).astype(np.int64)
 
+    def total(group: pd.DataFrame) -> pd.DataFrame:
+        ids, n = summed(np.frombuffer(b"".join(group["ids"]), np.int64),
+                        np.frombuffer(b"".join(group["counts"]), np.int64))
+        return pd.DataFrame({"set_id": ids, "shared": n})
+
+    chunks = -(-buckets // 4)
     return docs.select(text).mapInArrow(run, BLOBS).groupBy("bucket") \
-        .applyInPandas(count, "set_id bigint, shared bigint") \
-        .groupBy("set_id").agg(F.sum("shared").alias("shared"))
+        .applyInPandas(count, "chunk bigint, ids binary, counts binary").groupBy("chunk") \
+        .applyInPandas(total, "set_id bigint, shared bigint")
 
 
 def surviving_sets(docs: DataFrame, chosen: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
@@ -357,22 +373,37 @@ def open_sets(sets: DataFrame, foreign: DataFrame, percent: int) -> DataFrame:
 
 
 def groups_to_ask(opened: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(asks, members): queries (set_id, part) and the parts (set_id, part) of the open sets' groups."""
+    """(asks, members): queries (set_id, part) and the parts (set_id, part) that hold the open sets.
+
+    A large group is stored in parts of its own.  Sets of small groups share parts with sets
+    that have the same smallest foreign token, so that near misses of one text lie together.
+    Of two large groups the smaller asks the larger, small groups ask large ones, and among
+    the shared parts a set asks its own and those with a higher number.
+    """
     sizes = opened.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
-    parted = opened.join(sizes, "label")
-    parts = F.ceil(F.col("size") / PART).cast("int")
-    members = parted.select("set_id", F.xxhash64("label", F.pmod(F.xxhash64("set_id"), parts).cast("int")).alias("part"))
-    matrix = parted.select("label", "size", F.explode("foreign.token").alias("token")).distinct()
+    sets = opened.join(sizes, "label").withColumn("tokens", F.col("foreign.token"))
+    large = F.col("size") >= PART // 2
+    home = F.when(large, F.col("label")).otherwise(F.array_min("tokens"))
+    sets = sets.withColumn("home", home).withColumn("kind", large.cast("int"))
+    rooms = sets.groupBy("kind", "home").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("rooms"))
+    part = lambda k: F.xxhash64("kind", "home", k)
+    sets = sets.join(rooms, ["kind", "home"]) \
+        .withColumn("part", part(F.pmod(F.xxhash64("set_id"), F.col("rooms")).cast("int")))
+    members = sets.select("set_id", "part")
     slack = F.col("n") - F.ceil(F.col("n") * percent / 100)
-    taken = (slack + 1 - (F.col("n") - F.size("foreign"))).cast("int")
-    prefix = parted.select("set_id", F.col("label").alias("own"), F.col("size").alias("own_size"),
-                           F.explode(F.slice(F.col("foreign.token"), F.lit(1), taken)).alias("token"))
-    smaller = (F.col("label") != F.col("own")) & (F.struct("size", "label") < F.struct(
-        F.col("own_size").alias("size"), F.col("own").alias("label")))
-    asks = prefix.join(matrix, "token").filter(smaller).select("set_id", "label", "size").distinct() \
-        .select("set_id", "label", F.explode(F.sequence(F.lit(0), parts - 1)).alias("k")) \
-        .select("set_id", F.xxhash64("label", "k").alias("part"))
-    return asks, members
+    taken = (slack + 1 - (F.col("n") - F.size("tokens"))).cast("int")
+    prefix = sets.select("set_id", F.struct("size", "label").alias("own"), F.col("part").alias("own_part"),
+                         F.col("kind").alias("own_kind"), F.explode(F.slice("tokens", F.lit(1), taken)).alias("token"))
+    unions = sets.filter(F.col("kind") == 1).select(
+        F.struct("size", "label").alias("group"), "rooms", "kind", "home", F.explode("tokens").alias("token")).distinct()
+    shared = sets.filter(F.col("kind") == 0).select("part", F.explode("tokens").alias("token")).distinct()
+    up = prefix.join(unions, "token").filter(F.col("group") > F.col("own")) \
+        .select("set_id", "kind", "home", "rooms").distinct() \
+        .select("set_id", "kind", "home", F.explode(F.sequence(F.lit(0), F.col("rooms") - 1)).alias("k")) \
+        .select("set_id", part(F.col("k")).alias("part"))
+    across = prefix.filter(F.col("own_kind") == 0).join(shared, "token") \
+        .filter(F.col("part") >= F.col("own_part")).select("set_id", "part").distinct()
+    return up.unionByName(across), members
 
 
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
