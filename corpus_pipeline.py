@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from stratum.llm.decontam import contamination
+from stratum.llm.frames import renamed, restored
 from stratum.llm.jaccard import jaccard_components
 from stratum.llm.linedup import dedup_lines
 from stratum.llm.mixing import mix
@@ -36,53 +37,55 @@ from stratum.sources.tables import load
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    rows, name = renamed(docs)
     model = train(docs, load(spark, sf_dir, "labels"))
-    scored = score(docs, model, out="_toxicity")
-    return _same_columns(docs, scored.filter(F.col("_toxicity") < THRESHOLD))
+    return restored(score(rows, model, text=name["text"]).filter(F.col("score") < THRESHOLD), docs, name)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    done = dedup_lines(docs)
-    some_text_left = (F.col("removed_lines") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    return _same_columns(docs, done.filter(some_text_left).withColumn(
-        "n_chars", F.when(F.col("removed_lines") == 0, F.col("n_chars")).otherwise(F.length("text"))))
+    rows, name = renamed(docs)
+    text, n_chars = name["text"], name["n_chars"]
+    done = dedup_lines(rows, doc_id=name["doc_id"], text=text)
+    untouched = F.col("removed_lines") == 0
+    left = done.filter(untouched | F.col(text).rlike(r"[^\x20\x09-\x0D]"))
+    return restored(left.withColumn(n_chars, F.when(untouched, F.col(n_chars)).otherwise(F.length(text))), docs, name)
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = jaccard_components(docs).filter(F.col("component_id") == F.col("doc_id")) \
-        .select(F.col("doc_id").alias("_id")).distinct()
-    has_id = docs.filter(F.col("doc_id").isNotNull())
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "source", "lang", "n_chars"))
-    one = has_id.join(kept, F.col("doc_id") == F.col("_id"), "left_semi") \
-        .withColumn("_nth", nth).filter(F.col("_nth") == 1).drop("_nth")
-    return _same_columns(docs, one.unionByName(docs.filter(F.col("doc_id").isNull())))
+    rows, name = renamed(docs)
+    kept = jaccard_components(docs).filter(F.col("component_id") == F.col("doc_id")).select("doc_id").distinct()
+    doc_id = F.col(name["doc_id"])
+    has_id = rows.filter(doc_id.isNotNull())
+    nth = F.row_number().over(Window.partitionBy(doc_id.cast("bigint")).orderBy(
+        F.xxhash64(name["text"]), name["source"], name["lang"], name["n_chars"]))
+    # texts meet decisions that grow with the input: a shuffle of both, at any size (here and below)
+    one = has_id.join(kept.hint("merge"), doc_id.cast("bigint") == F.col("doc_id"), "left_semi") \
+        .withColumn("nth", nth).filter(F.col("nth") == 1).drop("nth")
+    return restored(one.unionByName(rows.filter(doc_id.isNull())), docs, name)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    rows, name = renamed(docs)
     hit = contamination(docs, load(spark, sf_dir, "benchmark")) \
-        .filter(F.col("n_hit") > 0).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key"))
-    return _same_columns(docs, docs.join(hit, same, "left_anti"))
+        .filter(F.col("n_hit") > 0).select("doc_id", "text_key").distinct()
+    same = F.col(name["doc_id"]).cast("bigint").eqNullSafe(F.col("doc_id")) \
+        & (F.xxhash64(name["text"]) == F.col("text_key"))
+    return restored(rows.join(hit.hint("merge"), same, "left_anti"), docs, name)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    rows, name = renamed(docs)
     # rows with equal ids and texts are told apart by their source, in its order
-    taken = mix(docs).select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "copies",
-        F.row_number().over(Window.partitionBy("doc_id", "text_key").orderBy("source_id")).alias("_nth")) \
-        .select("_id", "_key", "_nth", F.col("copies").alias("_copies"))
-    key = F.xxhash64("text")
-    rows = docs.withColumn("_nth_row", F.row_number().over(
-        Window.partitionBy(F.col("doc_id").cast("bigint"), key).orderBy(F.col("source").asc_nulls_last())))
-    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (key == F.col("_key")) \
-        & (F.col("_nth_row") == F.col("_nth"))
-    return rows.join(taken.filter(F.col("_copies") > 0), same) \
-        .select(*[F.col(c) for c in docs.columns if c != "copy"],
-                F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("copy"))
-
-
-def _same_columns(docs: DataFrame, out: DataFrame) -> DataFrame:
-    return out.select(*[F.col(c).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
+    taken = mix(docs).select("doc_id", "text_key", "copies", F.row_number().over(
+        Window.partitionBy("doc_id", "text_key").orderBy("source_id")).alias("nth"))
+    key = F.xxhash64(name["text"])
+    rows = rows.withColumn("row_nth", F.row_number().over(Window.partitionBy(
+        F.col(name["doc_id"]).cast("bigint"), key).orderBy(F.col(name["source"]).asc_nulls_last())))
+    same = F.col(name["doc_id"]).cast("bigint").eqNullSafe(F.col("doc_id")) & (key == F.col("text_key")) \
+        & (F.col("row_nth") == F.col("nth"))
+    mixed = rows.join(taken.filter(F.col("copies") > 0).hint("merge"), same)
+    documents = docs.drop("copy")
+    return restored(mixed, documents, name, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
 
 
 STAGES = [("toxicity", drop_toxic), ("line_dedup", cut_repeated_passages),
