@@ -1,26 +1,30 @@
 """Line dedup by pairwise alignment: common blocks are deleted from the later document.
 
-A line is a run of words up to a newline or the end of a sentence (``.``, ``!``
-or ``?`` before white space), so a passage is found wherever it was pasted.
-Every line starts an anchor: the shortest run of lines from it that has at
-least ``min_words`` words.  Such runs are rare by construction: a licence line
-or a slogan alone is too short to be one.
-
-1. Each anchor's hash is counted; anchors of one document only are dropped.
-2. An anchor links each later document that holds it to the first document
-   that holds it (ids rise with time), so a passage in a million documents
-   makes a million pairs and not their square.
-3. Each linked pair is aligned with patience diff: lines that are unique in
-   both documents and common to both fix the alignment (longest increasing
-   chain), equal neighbours extend it, and the gaps between are aligned again;
-   where only repeated lines are left, the n-th of a kind meets the n-th.
-4. Maximal blocks, runs of lines that are consecutive in both documents, with at
-   least ``min_words`` words are deleted from the later document, with the white
-   space that follows them.
-
-The first document that holds a block keeps it, so no text is lost altogether.
-Lines, anchors and pairs are shuffled as hashes; texts move once, to meet their
-deletions.
+A common block is a maximal run of at least ``min_words`` equal words, wherever
+it begins and ends in a line and whatever white space stands between the words;
+so a passage is found wherever it was pasted, in any order and any number of
+times.  Two documents are aligned by the windows of ``min_words`` words that they
+share: every block is a run of such windows, and every such window is in a block.
+
+1. Every window has an anchor: the least hash of the runs of half as many words
+   in it.  Neighbouring windows mostly have the same one, and equal windows always.
+2. Anchors of two documents are put into a screen of fixed size.  Where one
+   passes, the windows beside each other that share it are a segment, and make
+   one row; texts of their own cost none.
+3. A segment links each later document that holds it to the first document that
+   holds it (ids rise with time), so a passage in a million documents makes a
+   million links and not their square.
+4. Where an anchor has several segments, as at either end of a block, a second
+   screen opens them, and their windows are linked in the same way.  A full
+   screen lets more rows through and loses none.
+5. The linked ranges of a later document are joined to blocks, which are deleted
+   with the white space that follows them.
+
+The first document that holds a window keeps it, so no text is lost altogether.
+Anchors, segments and windows are shuffled as hashes; texts move once, to meet their
+deletions.  ``removed_lines`` counts the lines that lose a word, where a line is a
+run of words up to a newline or the end of a sentence (``.``, ``!`` or ``?`` before
+white space).
 
 Defined cases: a null text stays null and an empty one empty; rows with a null
 id stay whole and delete nothing; rows with equal ids are not compared with
@@ -43,54 +47,116 @@ from stratum.llm.frames import renamed, restored
 from stratum.plans import Lineage
 
 MIN_WORDS = 30
-LINES = ("doc_id bigint, text_key bigint, hashes binary, words binary, starts binary, n_points bigint, "
-         "anchors array<bigint>")
+SCREEN_BITS = (20, 26)     # least and most, as powers of two
+RUNS = "doc_id bigint, text_key bigint, anchor bigint, run bigint, begin bigint, stop bigint, line int, last_line int"
+CUTS = "doc_id bigint, text_key bigint, cuts array<array<bigint>>, removed_lines bigint"
 _STOP = np.zeros(256, dtype=bool)
 _STOP[list(b".!?")] = True
 
 
+def _last_words(buf: np.ndarray, start: np.ndarray, end: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Whether each word is the last of its line."""
+    newlines = np.concatenate(([0], np.cumsum(buf == 10)))
+    last = np.ones(len(start), bool)
+    last[:-1] = (doc[1:] != doc[:-1]) | _STOP[buf[end[:-1] - 1]] | (newlines[start[1:]] > newlines[end[:-1]])
+    return last
+
+
 def line_spans(buf: np.ndarray, offs: np.ndarray):
     """(start, end, words, document) of each line with a word."""
     start, end, doc = C.spans(C.WORD_BYTES[buf], offs)
     if not len(start):
         z = np.zeros(0, np.int64)
         return z, z, z, z
-    newlines = np.concatenate(([0], np.cumsum(buf == 10)))
-    last = np.ones(len(start), bool)
-    last[:-1] = (doc[1:] != doc[:-1]) | _STOP[buf[end[:-1] - 1]] | (newlines[start[1:]] > newlines[end[:-1]])
-    final = np.flatnonzero(last)
+    final = np.flatnonzero(_last_words(buf, start, end, doc))
     first = np.concatenate(([0], final[:-1] + 1))
     return start[first], end[final], final - first + 1, doc[first]
 
 
-def document_lines(docs: DataFrame, doc_id: str, text: str, min_words: int) -> DataFrame:
-    """Line hashes, word counts and starts (code points) and the anchors of every document."""
+def _least(x: np.ndarray, n: int) -> np.ndarray:
+    """The least of each n consecutive entries."""
+    size = 1
+    while 2 * size <= n:
+        x = np.minimum(x[:-size], x[size:])
+        size *= 2
+    return np.minimum(x[:len(x) - (n - size)], x[n - size:])
+
+
+def word_windows(words: np.ndarray, doc: np.ndarray, min_words: int):
+    """(first word, anchor) of each window of ``min_words`` words within a document."""
+    run = (min_words + 1) // 2
+    if len(words) < min_words:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    first = np.arange(len(words) - run + 1)
+    least = _least(C.run_hashes(words, first, first + run), min_words - run + 1)
+    at = np.flatnonzero(doc[:len(least)] == doc[min_words - 1:])
+    return at, C.mix(least[at])     # a least hash is small: mixed, all of its bits serve the screen
+
+
+def _chunks(batches):
+    """(ids, text keys, bytes, offsets) of some documents at a time."""
+    for batch in batches:
+        buf, offsets = C.text_bytes(batch.column(2))
+        for lo, hi in C.chunks(offsets):
+            yield (batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo),
+                   buf[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
+
+
+def _segments(at: np.ndarray, anchor: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Index of the first of neighbouring windows of a document with one anchor."""
+    new = np.ones(len(at), bool)
+    new[1:] = (anchor[1:] != anchor[:-1]) | (doc[at[1:]] != doc[at[:-1]])
+    return np.flatnonzero(new)
+
+
+def document_anchors(keyed: DataFrame, min_words: int) -> DataFrame:
+    """(doc_id, anchor): the anchors of every document, each once for neighbouring windows."""
 
     def run(batches):
-        for batch in batches:
-            buf, offsets = C.text_bytes(batch.column(2))
-            for lo, hi in C.chunks(offsets):
-                part, offs = batch.slice(lo, hi - lo), offsets[lo:hi + 1] - offsets[lo]
-                data = buf[offsets[lo]:offsets[hi]]
-                start, end, words, doc = line_spans(data, offs)
-                hashes = C.span_hashes(data, start, end)
-                points = C.code_points(data)
-                begin = points[start] - points[offs[doc]]
-                upto = np.concatenate(([0], np.cumsum(words)))
-                stop = np.searchsorted(upto, upto[:-1] + min_words, "left")
-                edge = np.searchsorted(doc, np.arange(part.num_rows + 1))
-                fits = np.flatnonzero(stop <= edge[doc + 1])
-                anchors = C.run_hashes(hashes, fits, stop[fits]).view(np.int64)
-                a_edge = np.searchsorted(doc[fits], np.arange(part.num_rows + 1))
-                cut = lambda v, kind: pa.array(
-                    [v[a:b].astype(kind).tobytes() for a, b in zip(edge[:-1], edge[1:])], pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), cut(hashes, np.uint64), cut(words, np.int32),
-                     cut(begin, np.int64), pa.array(points[offs[1:]] - points[offs[:-1]]),
-                     pa.ListArray.from_arrays(pa.array(a_edge.astype(np.int32)), pa.array(anchors))],
-                    names=[c.split()[0] for c in LINES.split(", ")])
-
-    return docs.select(F.col(doc_id).cast("bigint"), F.xxhash64(text), text).mapInArrow(run, LINES)
+        for ids, _, data, offs in _chunks(batches):
+            start, end, doc = C.spans(C.WORD_BYTES[data], offs)
+            at, anchor = word_windows(C.span_hashes(data, start, end), doc, min_words)
+            new = _segments(at, anchor, doc)
+            yield pa.RecordBatch.from_arrays(
+                [ids.take(pa.array(doc[at[new]])), pa.array(anchor[new].view(np.int64))], names=["doc_id", "anchor"])
+
+    return keyed.mapInArrow(run, "doc_id bigint, anchor bigint")
+
+
+def screened_runs(keyed: DataFrame, anchors: DataFrame, min_words: int, whole: bool) -> DataFrame:
+    """The segments (``whole``) or windows with one of ``anchors``: their hashes, code points and lines."""
+    bits = min(max(anchors.count().bit_length() + 3, SCREEN_BITS[0]), SCREEN_BITS[1])
+    packed = C.screen_of(anchors, bits)
+
+    def run(batches):
+        screen = C.screen_bits(packed)
+        for ids, keys, data, offs in _chunks(batches):
+            start, end, doc = C.spans(C.WORD_BYTES[data], offs)
+            words = C.span_hashes(data, start, end)
+            at, anchor = word_windows(words, doc, min_words)
+            stop = at + min_words
+            if whole and len(at):
+                new = _segments(at, anchor, doc)
+                at, anchor, stop = at[new], anchor[new], stop[np.append(new[1:], len(stop)) - 1]
+            passed = screen[anchor >> np.uint64(64 - bits)]
+            at, anchor, stop = at[passed], anchor[passed], stop[passed]
+            if not len(at):
+                continue
+            points = C.code_points(data)
+            line = np.concatenate(([0], np.cumsum(_last_words(data, start, end, doc))))[:-1]
+            # up to the next word, or the end of the text
+            final = np.append(doc, -1)[stop] != doc[at]
+            limit = np.where(final, offs[doc[at] + 1], np.append(start, 0)[stop])
+            begin = points[offs[doc[at]]]
+            of = pa.array(doc[at])
+            yield pa.RecordBatch.from_arrays(
+                [ids.take(of), keys.take(of), pa.array(anchor.view(np.int64)),
+                 pa.array(C.run_hashes(words, at, stop).view(np.int64)),
+                 pa.array(points[start[at]] - begin), pa.array(points[limit] - begin),
+                 pa.array(line[at].astype(np.int32)), pa.array(line[stop - 1].astype(np.int32))],
+                names=[c.split()[0] for c in RUNS.split(", ")])
+
+    return keyed.mapInArrow(run, RUNS)
 
 
 def _numbered(lines: list, lo: int, hi: int):
@@ -160,41 +226,49 @@ def common_blocks(a: list, b: list, words: list, min_words: int) -> list[tuple[i
     return blocks
 
 
+def _joined(first: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ranges that overlap or touch, given in order, as one."""
+    reach = np.maximum.accumulate(stop)
+    new = np.flatnonzero(np.concatenate(([True], first[1:] > reach[:-1])))
+    return first[new], reach[np.append(new[1:], len(first)) - 1]
+
+
 def duplicate_blocks(docs: DataFrame, lineage: Lineage, doc_id: str = "doc_id", text: str = "text",
                      min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, text_key, cuts, removed_lines): the code-point ranges that each document loses."""
-    lines = lineage.cut(document_lines(docs.filter(F.col(doc_id).isNotNull()), doc_id, text, min_words), force=True)
-    anchors = lines.select("doc_id", F.explode(F.array_distinct("anchors")).alias("anchor"))
-    shared = anchors.groupBy("anchor").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")) \
-        .filter(F.col("first") < F.col("last")).select("anchor", "first")
-    pairs = anchors.join(shared, "anchor").filter(F.col("doc_id") > F.col("first")) \
-        .select("doc_id", "first").distinct()
-    pairs = lineage.cut(pairs, force=True)
-    earlier = lines.select(F.col("doc_id").alias("first"), F.col("hashes").alias("first_hashes"))
-    work = lines.select("doc_id", "text_key", "hashes", "words", "starts", "n_points") \
-        .join(pairs, "doc_id").join(earlier, "first") \
-        .select("doc_id", "text_key", "hashes", "words", "starts", "n_points", "first_hashes")
-
-    def align(batches):
+    keyed = docs.filter(F.col(doc_id).isNotNull()).select(
+        F.col(doc_id).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_key"), text)
+    first = [F.min("doc_id").alias("first"), F.max("doc_id").alias("last")]
+    of_two = F.col("first") < F.col("last")
+    span = F.struct("begin", "stop", "line", "last_line").alias("span")
+
+    def linked(runs, held):
+        return runs.join(held.filter(of_two).select("run", "first"), "run") \
+            .filter(F.col("doc_id") > F.col("first")).select("doc_id", "text_key", span)
+
+    shared = document_anchors(keyed, min_words).groupBy("anchor").agg(*first).filter(of_two).select("anchor")
+    segments = lineage.cut(screened_runs(keyed, lineage.cut(shared, force=True), min_words, True), force=True)
+    held = lineage.cut(segments.groupBy("run", "anchor").agg(*first), force=True)
+    several = held.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("anchor")
+    windows = lineage.cut(screened_runs(
+        keyed, lineage.cut(several, force=True), min_words, False).drop("anchor"), force=True)
+    found = linked(segments, held).unionByName(linked(windows, windows.groupBy("run").agg(*first))) \
+        .groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set("span")).alias("spans"))
+
+    def join(batches):
         for batch in batches:
-            cuts, numbers = [], []
-            for _, _, hashes, words, starts, n_points, first_hashes in zip(*[c.to_pylist() for c in batch.columns]):
-                a = np.frombuffer(first_hashes, np.uint64).tolist()
-                b = np.frombuffer(hashes, np.uint64).tolist()
-                bounds = [*np.frombuffer(starts, np.int64).tolist(), n_points]
-                blocks = common_blocks(a, b, np.frombuffer(words, np.int32).tolist(), min_words)
-                cuts.append([[bounds[i], bounds[j]] for i, j in blocks])
-                numbers.append([k for i, j in blocks for k in range(i, j)])
+            cuts, removed = [], []
+            for row in range(batch.num_rows):
+                begin, stop, line, last_line = (
+                    x.to_numpy() for x in batch.column(2).slice(row, 1).flatten().flatten())
+                cuts.append(np.stack(_joined(begin, stop), 1).tolist())
+                lo, hi = _joined(line, last_line)
+                removed.append(int((hi - lo + 1).sum()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(cuts, pa.list_(pa.list_(pa.int64()))),
-                 pa.array(numbers, pa.list_(pa.int64()))], names=["doc_id", "text_key", "cuts", "numbers"])
-
-    found = work.mapInArrow(
-        align, "doc_id bigint, text_key bigint, cuts array<array<bigint>>, numbers array<bigint>")
-    return found.groupBy("doc_id", "text_key").agg(
-        F.array_sort(F.flatten(F.collect_list("cuts"))).alias("cuts"),
-        F.size(F.array_distinct(F.flatten(F.collect_list("numbers")))).cast("bigint").alias("removed_lines")) \
-        .filter(F.size("cuts") > 0)
+                 pa.array(removed, pa.int64())], names=[c.split()[0] for c in CUTS.split(", ")])
+
+    return found.mapInArrow(join, CUTS)
 
 
 def _remaining(text, cuts):

@@ -296,6 +296,40 @@ def test_line_dedup(spark):
     assert got[21] == "\n ".join(own(21)) + " tail of its own"
 
 
+def kept_texts(spark, texts, **options):
+    return {r["doc_id"]: r["text"] for r in dedup_lines(
+        spark.createDataFrame(texts, "doc_id bigint, text string").repartition(3), **options).collect()}
+
+
+def test_line_dedup_cuts_parts_of_sentences(spark):
+    passage = " ".join(f"p{k}" for k in range(55))
+    before, after = " ".join(f"b{k}" for k in range(40)), " ".join(f"a{k}" for k in range(40))
+    got = kept_texts(spark, [
+        (1, f"x y {passage} z."), (2, f"{before} {passage} {after}"), (3, f"{before}x\n{passage.replace(' ', '  ')}"),
+        (4, "One two. " + " ".join(passage.split()[:29])), (5, "One three. " + " ".join(passage.split()[:30]) + " q")])
+    assert got == {1: f"x y {passage} z.", 2: f"{before} {after}", 3: "b39x\n",
+                   4: "One two. " + " ".join(passage.split()[:29]), 5: "One three. q"}
+
+
+def test_line_dedup_brute_force(spark):
+    rnd = random.Random(29)
+    texts = [(i, "".join(w + rnd.choice([" ", "  ", "\n", ". "]) for w in words_of(rnd, rnd.randint(0, 40), "abé")))
+             for i in range(60)]
+    got, seen = kept_texts(spark, texts, min_words=6), set()
+    for i, t in texts:
+        spans = [m.span() for m in WORD.finditer(t)]
+        windows = [tuple(t[a:b] for a, b in spans[k:k + 6]) for k in range(len(spans) - 5)]
+        gone = {k + j for k, w in enumerate(windows) if w in seen for j in range(6)}
+        ends = [b for b, _ in spans[1:]] + [len(t)]
+        assert got[i] == t[:spans[0][0] if spans else 0] + "".join(
+            t[a:end] for k, ((a, _), end) in enumerate(zip(spans, ends)) if k not in gone), i
+        seen.update(windows)
+        ws = [t[a:b] for a, b in spans]
+        for _, u in texts[:i][:8]:      # what patience diff aligns is part of it
+            for lo, hi in common_blocks(WORD.findall(u), ws, [1] * len(ws), 6):
+                assert gone.issuperset(range(lo, hi))
+
+
 def test_line_spans_cover_whole_texts():
     from stratum.llm import columnar as C
     import pyarrow as pa
