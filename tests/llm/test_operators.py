@@ -330,6 +330,15 @@ def test_line_dedup_brute_force(spark):
                 assert gone.issuperset(range(lo, hi))
 
 
+def test_line_dedup_swapped_and_doubled_passages(spark):
+    part = lambda name, n: " ".join(f"{name}{k}{'.' if k % 8 == 7 else ''}" for k in range(n))
+    p, q = part("p", 48), part("q", 40)
+    got = kept_texts(spark, [(1, f"Own one. {p} Between. {q} End."), (2, f"Own two. {q} Middle. {p} Last."),
+                             (3, f"Own three. {p} Once more. {p} And {q} Over.")])
+    assert got == {1: f"Own one. {p} Between. {q} End.", 2: "Own two. Middle. Last.",
+                   3: "Own three. Once more. And Over."}
+
+
 def test_line_spans_cover_whole_texts():
     from stratum.llm import columnar as C
     import pyarrow as pa
