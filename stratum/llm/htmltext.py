@@ -8,9 +8,10 @@ Gaussian, averaged again per path and fused into one score, weighted by what
 the path's own names say (``article`` and ``main`` count more; menus, adverts,
 forms and the like count nothing).  Paths above a share of the best score are
 content.  Content inside an ``article`` or ``main`` takes with it every block of
-that container that is not named as boilerplate, and content below another
-common container takes what lies between its first and last block, so headings
-and short paragraphs stay with their article.
+that element (the outermost one) that is not named as boilerplate.  Content below
+another common container takes what lies between its first and last block, and
+content directly under ``body`` what lies there and is not mostly links, so
+headings and short paragraphs stay with their article.
 
 Defined cases: null, empty or text-free pages give an empty text.  Tags that
 are never closed, stray end tags, unclosed comments and quotes are accepted.
@@ -63,7 +64,7 @@ MAIN_WEIGHT = 4.0
 
 
 class Block:
-    """Text of one block with its tag path."""
+    """Text of one block with its tag path; ``main`` is (number, path) of its outermost article or main element."""
 
     __slots__ = ("path", "boiler", "main", "text", "linked")
 
@@ -87,7 +88,7 @@ def _boiler_names(attrs: str, inside_main: bool) -> bool:
 def blocks_of(page: str) -> list[Block]:
     """Blocks with text, in page order."""
     out: list[Block] = []
-    stack: list[tuple[str, str, bool, bool]] = []   # (tag, path, boilerplate, inside article or main)
+    stack: list[tuple[str, str, bool, tuple | None]] = []   # (tag, path, boilerplate, outermost article or main)
     current, links, at = None, 0, 0
 
     def add(piece: str) -> None:
@@ -97,7 +98,7 @@ def blocks_of(page: str) -> list[Block]:
         if current is None:
             if piece.isspace():
                 return
-            top = stack[-1] if stack else ("", "", False, False)
+            top = stack[-1] if stack else ("", "", False, None)
             current = Block(top[1], top[2], top[3])
             out.append(current)
         piece = _html.unescape(piece) if "&" in piece else piece
@@ -146,10 +147,10 @@ def blocks_of(page: str) -> list[Block]:
                     break
                 if stack[k][0] in CLOSES_SAME[tag]:
                     break
-        _, path, boiler, main = stack[-1] if stack else ("", "", False, False)
-        named = _boiler_names(attrs, main) or tag in BOILER_TAGS and not (tag == "header" and main)
+        _, path, boiler, main = stack[-1] if stack else ("", "", False, None)
+        named = _boiler_names(attrs, main is not None) or tag in BOILER_TAGS and not (tag == "header" and main)
         stack.append((tag, f"{path}/{tag}", boiler or named and tag not in ("html", "body"),
-                      main or tag in MAIN_TAGS and not named))
+                      main or ((m.start(), f"{path}/{tag}") if tag in MAIN_TAGS and not named else None)))
     add(page[at:])
     return [b for b in out if any(not t.isspace() for t in b.text)]
 
@@ -164,7 +165,7 @@ def _smooth(x: np.ndarray) -> np.ndarray:
 
 
 def content_blocks(blocks: list[Block]) -> tuple[list[str], str]:
-    """(texts of the content blocks, their common path)."""
+    """(texts of the content blocks, the path of their container)."""
     blocks = [b for b in blocks if not b.boiler]
     if not blocks:
         return [], ""
@@ -177,18 +178,23 @@ def content_blocks(blocks: list[Block]) -> tuple[list[str], str]:
     free = 1 - np.minimum(1, np.array([b.linked for b in blocks]) / np.maximum(1, length))
     ratio = _smooth(per_path(length * free))
     punctuation = _smooth(per_path(marks))
-    weight = np.where([b.main for b in blocks], MAIN_WEIGHT, 1.0)
+    weight = np.where([b.main is not None for b in blocks], MAIN_WEIGHT, 1.0)
     score = per_path(ratio * np.sqrt(1 + punctuation) * per_path(free) * weight)
     chosen = score >= THRESHOLD * score.max()
     roots = {b.path for b, c in zip(blocks, chosen) if c}
-    mains = {b.path for b, c in zip(blocks, chosen) if c and b.main}
-    root = _common(mains or roots)
+    mains = {b.main for b, c in zip(blocks, chosen) if c and b.main}
     if mains:
-        chosen = [b.main and (b.path == root or b.path.startswith(root + "/")) for b in blocks]
-    elif root.rpartition("/")[2] not in ("", "html", "body"):
+        tops = {path for _, path in mains}
+        root = tops.pop() if len(tops) == 1 else _common(tops)
+        chosen = [b.main in mains for b in blocks]
+    else:
+        root = _common(roots)
         places = np.flatnonzero(chosen)     # other elements may have the same path: only what lies between
-        chosen = [places[0] <= k <= places[-1] and (b.path == root or b.path.startswith(root + "/"))
-                  for k, b in enumerate(blocks)]
+        if root.rpartition("/")[2] in ("", "html", "body"):
+            chosen = [c or places[0] <= k <= places[-1] and free[k] > 0.5 for k, c in enumerate(chosen)]
+        else:
+            chosen = [places[0] <= k <= places[-1] and (b.path == root or b.path.startswith(root + "/"))
+                      for k, b in enumerate(blocks)]
     return [t for t, c in zip(texts, chosen) if c and t], root
 
 

@@ -139,6 +139,23 @@ def test_main_text():
     assert main_text(named)[0] == "Tést 1 ab <c> d one two"
 
 
+def test_main_text_takes_the_whole_container():
+    ps = [f"Paragraph {k} " + "has words, and more of them; " * 14 + "end." for k in range(6)]
+    body = "".join(f"<p>{p}</p>" for p in ps)
+    want = lambda *around: " ".join([*around[0], *ps, *around[1]])
+    side = "<div id=x><a href=1>Other</a> <a href=2>Pages</a></div>"
+    page = f"<body>{side}<article><h1>Title</h1><div>By A. Writer</div><div>{body}</div></article>{side}</body>"
+    assert main_text(page) == (want(["Title", "By A. Writer"], []), 8, "/body/article")
+    page = (f"<body>{side}<article><header><h1>Title</h1><p>Standfirst</p><div><time>May</time></div></header>"
+            f"<section>{body}</section></article></body>")
+    assert main_text(page)[0] == want(["Title", "Standfirst", "May"], [])
+    page = f"<body><article><div>{body}</div><ul><li>one<li>two</ul></article>{side}</body>"
+    assert main_text(page)[0] == want([], ["one", "two"])
+    page = (f"<body>{side}{body[:body.index('<p>', 3)]}<h2>Between</h2><ul><li>item</ul><div><a>link</a></div>"
+            f"{body[body.index('<p>', 3):]}{side}</body>")
+    assert main_text(page)[0] == " ".join([ps[0], "Between", "item", *ps[1:]])
+
+
 def test_mixing(spark):
     rnd = random.Random(7)
     sources = ["b", "a", "é", "Z", None]
