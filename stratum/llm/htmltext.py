@@ -13,6 +13,10 @@ another common container takes what lies between its first and last block, and
 content directly under ``body`` what lies there and is not mostly links, so
 headings and short paragraphs stay with their article.
 
+Hidden elements and boilerplate tags drop all that is in them.  Class, id and role
+words only mark an element that holds neither the article or main element with the
+most unlinked text nor more than half of the page's unlinked text.
+
 Defined cases: null, empty or text-free pages give an empty text.  Tags that
 are never closed, stray end tags, unclosed comments and quotes are accepted.
 Pages are independent of each other; equal rows give equal rows; other columns
@@ -55,7 +59,8 @@ TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?>[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)", re.S)
 NAMES = re.compile(r"""(?<![\w-])(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
-HIDDEN = re.compile(r"""(?<![\w-])hidden(?![\w-])|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
+UNSEEN = re.compile(r"(?<![\w-])(?:display\s*:\s*none|visibility\s*:\s*hidden)(?![\w-])", re.I)
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 KERNEL = np.exp(-0.5 * np.arange(-2, 3) ** 2)
@@ -66,18 +71,30 @@ MAIN_WEIGHT = 4.0
 class Block:
     """Text of one block with its tag path; ``main`` is (number, path) of its outermost article or main element."""
 
-    __slots__ = ("path", "boiler", "main", "text", "linked")
+    __slots__ = ("path", "boiler", "marks", "main", "text", "linked")
+
+    def __init__(self, path, boiler, marks, main):
+        self.path, self.boiler, self.marks, self.main, self.text, self.linked = path, boiler, marks, main, [], 0
+
+    def unlinked(self) -> int:
+        return max(0, len(" ".join("".join(self.text).split())) - self.linked)
 
-    def __init__(self, path, boiler, main):
-        self.path, self.boiler, self.main, self.text, self.linked = path, boiler, main, [], 0
+
+def _hidden(attrs: str) -> bool:
+    low = attrs.lower()
+    if "hidden" not in low and "none" not in low:
+        return False
+    for m in ATTRIBUTE.finditer(attrs):
+        name, value = m[1].lower(), (m[2] or "").strip("\"'")
+        if name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true" \
+                or name == "style" and UNSEEN.search(value):
+            return True
+    return False
 
 
 def _boiler_names(attrs: str, inside_main: bool) -> bool:
     if not attrs or attrs.isspace():
         return False
-    if "idden" in attrs or "none" in attrs:
-        if HIDDEN.search(attrs):
-            return True
     for m in NAMES.finditer(attrs):
         words = {w.lower() for w in WORDS.findall(m[1])} & BOILER_WORDS
         if words - PAGE_ONLY or words and not inside_main:
@@ -88,7 +105,8 @@ def _boiler_names(attrs: str, inside_main: bool) -> bool:
 def blocks_of(page: str) -> list[Block]:
     """Blocks with text, in page order."""
     out: list[Block] = []
-    stack: list[tuple[str, str, bool, tuple | None]] = []   # (tag, path, boilerplate, outermost article or main)
+    # (tag, path, boilerplate, places of the elements marked by their words, outermost article or main)
+    stack: list[tuple[str, str, bool, tuple, tuple | None]] = []
     current, links, at = None, 0, 0
 
     def add(piece: str) -> None:
@@ -98,8 +116,7 @@ def blocks_of(page: str) -> list[Block]:
         if current is None:
             if piece.isspace():
                 return
-            top = stack[-1] if stack else ("", "", False, None)
-            current = Block(top[1], top[2], top[3])
+            current = Block(*(stack[-1] if stack else ("", "", False, (), None))[1:])
             out.append(current)
         piece = _html.unescape(piece) if "&" in piece else piece
         current.text.append(piece)
@@ -147,12 +164,39 @@ def blocks_of(page: str) -> list[Block]:
                     break
                 if stack[k][0] in CLOSES_SAME[tag]:
                     break
-        _, path, boiler, main = stack[-1] if stack else ("", "", False, None)
-        named = _boiler_names(attrs, main is not None) or tag in BOILER_TAGS and not (tag == "header" and main)
-        stack.append((tag, f"{path}/{tag}", boiler or named and tag not in ("html", "body"),
-                      main or ((m.start(), f"{path}/{tag}") if tag in MAIN_TAGS and not named else None)))
+        _, path, boiler, marks, main = stack[-1] if stack else ("", "", False, (), None)
+        if tag not in ("html", "body"):
+            boiler = boiler or _hidden(attrs) or tag in BOILER_TAGS and not (tag == "header" and main)
+            if _boiler_names(attrs, main is not None):
+                marks = (*marks, m.start())
+        path = f"{path}/{tag}"
+        stack.append((tag, path, boiler, marks, main or ((m.start(), path) if tag in MAIN_TAGS else None)))
     add(page[at:])
-    return [b for b in out if any(not t.isspace() for t in b.text)]
+    out = [b for b in out if any(not t.isspace() for t in b.text)]
+    _judge_marks(out)
+    return out
+
+
+def _judge_marks(blocks: list[Block]) -> None:
+    """Blocks in a marked element are boilerplate, unless the page's article or most of its text is in it."""
+    if not any(b.marks for b in blocks):
+        return
+    marked, mains, total = {}, {}, 0
+    for b in blocks:
+        if not b.boiler:
+            size = b.unlinked()
+            total += size
+            for k in b.marks:
+                marked[k] = marked.get(k, 0) + size
+            if b.main:
+                mains[b.main] = mains.get(b.main, 0) + size
+    largest = max(mains, key=mains.get, default=None)
+    spared = {k for k, size in marked.items() if 2 * size > total}
+    for b in blocks:
+        if b.main and b.main == largest:
+            spared.update(k for k in b.marks if k <= largest[0])
+    for b in blocks:
+        b.boiler = b.boiler or not spared.issuperset(b.marks)
 
 
 def _smooth(x: np.ndarray) -> np.ndarray:

@@ -156,6 +156,21 @@ def test_main_text_takes_the_whole_container():
     assert main_text(page)[0] == " ".join([ps[0], "Between", "item", *ps[1:]])
 
 
+def test_main_text_in_wrappers_named_as_boilerplate():
+    ps = [f"Paragraph {k} " + "has words, and more of them; " * 14 + "end." for k in range(6)]
+    body, text = "".join(f"<p>{p}</p>" for p in ps), " ".join(ps)
+    side = "<div class=sidebar><p>Side text, of its own.</p></div>"
+    for around in ('<div style="overflow:hidden">', "<div class='content has-sidebar'>", "<div class=no-comments>",
+                   "<div title='not hidden'>", "<div data-x=none>"):
+        assert main_text(f"<body>{around}{body}</div>{side}</body>")[0] == text, around
+        assert main_text(f"<body>{around}<article>{body}{side}</article></div>{side}</body>")[0] == text, around
+    assert main_text(f"<body><article class='post promo'><h1>T</h1>{body}</article>{side}</body>")[0] == f"T {text}"
+    for gone in ("<div hidden>", "<div style='color:red; display: none'>", "<div style=visibility:hidden>",
+                 "<div aria-hidden='true'>", "<nav>"):
+        assert main_text(f"<body>{gone}{body}</{gone[1:4]}></div>{side}<p>Seen, at last, and long.</p></body>")[0] \
+            == "Seen, at last, and long.", gone
+
+
 def test_mixing(spark):
     rnd = random.Random(7)
     sources = ["b", "a", "é", "Z", None]
