@@ -12,9 +12,12 @@ context of an entity: the two words before it, or the word before and the word
 after it.  Seeds and candidates in the same contexts make a graph of patterns
 and instances (distinct strings), which Spark scores for ``rounds`` rounds:
 
-* a pattern's confidence is the mean confidence of the instances in it, and it
-  is used if at least ``min_seeds`` distinct seeds of its kind, and of no other
-  kind, stand in it (so copies of one text cannot vote twice);
+* a context is a pattern of each kind in it, whose confidence is the mean, over
+  all instances in the context, of their confidence for that kind: strays of
+  another kind lower it and do not end it;
+* a pattern is used in a round if at least ``min_seeds`` distinct instances of its
+  kind that are seeds, or candidates that reached ``min_confidence`` in the round
+  before, stand in it (so copies of one text cannot vote twice);
 * a candidate's confidence for a kind is that of its best pattern.
 
 Candidates that reach ``min_confidence`` in the last round become spans of
@@ -182,23 +185,24 @@ def bootstrap(found: DataFrame, lineage: Lineage, min_seeds: int = MIN_SEEDS,
         F.explode(F.array(F.concat(F.lit("2:"), "before2"), F.concat(F.lit("1:"), "around"))).alias("context")) \
         .filter(F.col("context").isNotNull()) \
         .select("kind", "seed", "instance", F.xxhash64("context").alias("pattern")).distinct()
-    # a pattern can only matter with enough seeds, all of one kind, and a candidate
+    # a pattern can only matter with enough instances of its kind, and a candidate among them
     seed = F.col("seed")
-    useful = edges.groupBy("pattern").agg(
-        F.count(F.when(seed, 1)).alias("seeds"), F.min(F.when(seed, F.col("kind"))).alias("lo"),
-        F.max(F.when(seed, F.col("kind"))).alias("hi"), F.count(F.when(~seed, 1)).alias("others")) \
-        .filter((F.col("seeds") >= min_seeds) & (F.col("lo") == F.col("hi")) & (F.col("others") > 0)) \
-        .select("pattern", F.col("lo").alias("pattern_kind"))
-    graph = lineage.cut(edges.join(useful, "pattern").select(
-        "pattern", "pattern_kind", "kind", "seed", "instance"), force=True)
-    # instance confidence: 1 for seeds; 0 for candidates at first, and always in a pattern of another kind
-    belief = graph.filter(~seed).select("kind", "instance").distinct().withColumn("belief", F.lit(0.0))
+    kinds = edges.groupBy("pattern", "kind").agg(
+        F.count(F.lit(1)).alias("n"), F.count(F.when(~seed, 1)).alias("others"))
+    useful = kinds.groupBy("pattern").agg(
+        F.sum("n").alias("total"), F.collect_list(F.struct("kind", "n", "others")).alias("kinds")) \
+        .select("pattern", "total", F.explode("kinds").alias("k")).select("pattern", "total", "k.*") \
+        .filter((F.col("n") >= min_seeds) & (F.col("others") > 0)).select("pattern", "kind", "total")
+    graph = lineage.cut(edges.join(useful, ["pattern", "kind"]).select(
+        "pattern", "total", "kind", "seed", "instance"), force=True)
+    # instance confidence: 1 for seeds, and 0 for candidates at first
+    belief = graph.filter(F.lit(False)).select("kind", "instance", F.lit(0.0).alias("belief"))
     for _ in range(rounds):
-        fits = F.col("kind") == F.col("pattern_kind")
-        confidence = graph.join(belief, ["kind", "instance"], "left").groupBy("pattern", "pattern_kind").agg(
-            F.avg(F.when(seed & fits, 1.0).when(fits, F.coalesce("belief", F.lit(0.0))).otherwise(0.0))
-            .alias("confidence"))
-        belief = lineage.cut(graph.filter(~seed & fits).join(confidence, ["pattern", "pattern_kind"])
+        held = seed | (F.col("belief") >= min_confidence)
+        confidence = graph.join(belief, ["kind", "instance"], "left").groupBy("pattern", "kind").agg(
+            (F.sum(F.when(seed, 1.0).otherwise(F.coalesce("belief", F.lit(0.0)))) / F.max("total"))
+            .alias("confidence"), F.count(F.when(held, 1)).alias("held")).filter(F.col("held") >= min_seeds)
+        belief = lineage.cut(graph.filter(~seed).join(confidence, ["pattern", "kind"])
                              .groupBy("kind", "instance").agg(F.max("confidence").alias("belief")), force=True)
     accepted = belief.filter(F.col("belief") >= min_confidence).select("kind", "instance", "belief")
     spots = occurrences.filter(~seed).select(

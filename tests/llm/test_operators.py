@@ -289,6 +289,17 @@ def test_pii_bootstrap(spark):
     assert all(r["spans"] == r["base"] for r in find_personal_data(few).collect())    # copies do not vote
 
 
+def test_pii_strays_and_second_hop(spark):
+    rows = [(k, f"please call me +1 555 010 {1000 + k} today") for k in range(20)]
+    rows += [(20, "please call me x@y.org today")]                                       # a stray of another kind
+    rows += [(30 + k, f"please call me 555 010 777{k} today") for k in range(3)]
+    rows += [(40 + k, f"the fax line 555 010 777{k} here") for k in range(3)]
+    rows += [(50, "the fax line 555 010 9999 here"), (51, "order number 555 010 8888 shipped")]
+    got = {r["doc_id"]: len(r["spans"]) for r in find_personal_data(
+        spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {i: int(i != 51) for i, _ in rows}
+
+
 def test_patience():
     rnd = random.Random(19)
     for _ in range(300):
