@@ -131,3 +131,58 @@ covered AS (SELECT doc_id, count(*) AS n_hit FROM (
 SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
        sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN items USING (doc_id) LEFT JOIN covered USING (doc_id)"""
+
+
+def prefix_trie(every: int = 20, shares: int = 4) -> str:
+    """Every prefix of every rebuilt conversation as a list; subtrees by listing each node under its prefixes.
+
+    crc32 is computed from its polynomial, byte by byte.
+    """
+    steps = "CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END"
+    words = r"len(regexp_extract_all(x, '[^\x20\x09-\x0D]+'))"
+    return f"""
+WITH RECURSIVE tab(i, k, v) AS (
+  SELECT i, 0, i FROM range(256) r(i) UNION ALL SELECT i, k + 1, {steps} FROM tab WHERE k < 8),
+crc(conv_id, s, k, v) AS (
+  SELECT conv_id, conv_id::VARCHAR, 0, 4294967295::BIGINT FROM (SELECT DISTINCT conv_id FROM conversations)
+  WHERE conv_id IS NOT NULL
+  UNION ALL SELECT conv_id, s, crc.k + 1, xor(crc.v >> 8, tab.v) FROM crc JOIN tab
+  ON tab.k = 8 AND tab.i = xor(crc.v & 255, ascii(s[crc.k + 1])) WHERE crc.k < length(s)),
+h AS (SELECT conv_id, xor(v, 4294967295) % {shares} AS h FROM crc WHERE k = length(s)),
+own AS (SELECT conv_id, list({{'r': coalesce(role, ''), 'x': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS s
+        FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+rebuilt AS (SELECT own.conv_id, coalesce(base.s[1:h], []) || own.s[h + 1:] AS s FROM own JOIN h USING (conv_id)
+            LEFT JOIN own base ON base.conv_id = own.conv_id - own.conv_id % {every}),
+member AS (SELECT conv_id, s, unnest(range(0, len(s) + 1)) AS depth FROM rebuilt),
+node AS (SELECT s[1:depth] AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(s) = depth), '') AS ends
+         FROM member GROUP BY ALL),
+valued AS (SELECT *, CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * (SELECT {words.replace("x,", "path[-1].x,")}) END AS value
+           FROM node),
+above AS (SELECT path AS below, value, depth AS below_depth, unnest(range(0, depth + 1)) AS depth FROM valued),
+childless AS (SELECT path FROM node WHERE path NOT IN (SELECT path[1:depth - 1] FROM node WHERE depth > 0)),
+subtree AS (SELECT below[1:depth] AS path, depth, sum(value) AS saved,
+            count(*) FILTER (below IN (SELECT path FROM childless)) AS leaves,
+            count(*) FILTER (below_depth = depth + 1) AS children FROM above GROUP BY ALL)
+SELECT n.conv_id::BIGINT AS conv_id, n.depth::BIGINT AS depth, p.conv_id::BIGINT AS parent_conv_id,
+       n.n_convs::BIGINT AS n_convs, children::BIGINT AS n_children, leaves::BIGINT AS n_leaves,
+       saved::BIGINT AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM node n JOIN subtree t ON t.depth = n.depth AND t.path = n.path
+LEFT JOIN node p ON p.depth = n.depth - 1 AND p.path = n.path[1:n.depth - 1]"""
+
+
+def fill_in_middle(percent: int = 90, spm_percent: int = 20) -> str:
+    draws = ", ".join(f"('0x' || substr(d, {1 + 8 * k}, 8))::BIGINT AS h{k + 1}" for k in range(4))
+    return f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, ''))::BIGINT AS n,
+           sha256('1:' || doc_id::VARCHAR) AS d FROM documents),
+h AS (SELECT *, {draws} FROM t),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+      CASE WHEN n = 0 OR h3 % 100 >= {percent} OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+           THEN 'plain' WHEN h4 % 100 < {spm_percent} THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, substr(text, 1, a) AS pre, substr(text, a + 1, b - a) AS mid, substr(text, b + 1) AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+              ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(text) AS restored_sha256 FROM p"""
