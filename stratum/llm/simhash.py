@@ -12,8 +12,8 @@ floor(l * budget / segments) bits.  So for each start:
 
 1. A fingerprint gives the bits of its first ``chain`` segments as its key, and asks
    for every key that differs from its own within the budgets of the chain's
-   prefixes: an equi join finds the candidates.  The chain is long enough for a key
-   to hold ``BUCKET`` / 4 random fingerprints at most on average.
+   prefixes: an equi join finds the candidates.  The chain has two segments, or as
+   many as it takes for a key to hold ``BUCKET`` / 4 random fingerprints on average.
 2. Candidates must keep the budgets of all longer chains in turn; the last, the
    whole ring, is the full Hamming check.
 3. A key that more than ``BUCKET`` fingerprints give is not joined, for its pairs
@@ -163,7 +163,7 @@ def links(nodes: DataFrame, lineage: Lineage, budget: int = BUDGET, bucket: int
     if chain is None:
         bits = max(nodes.count(), 1).bit_length()
         least = bits - max(bucket // 4, 1).bit_length() + 1
-        chain = next((k for k in range(1, len(sizes)) if sum(sizes[:k]) >= least), len(sizes) - 1)
+        chain = next((k for k in range(2, len(sizes)) if sum(sizes[:k]) >= least), len(sizes) - 1)
     given = _starts(nodes, budget, chain, False)
     asked = _starts(nodes, budget, chain, True)
     hot = lineage.cut(given.groupBy("start", "key").agg(F.count(F.lit(1)).alias("n"))

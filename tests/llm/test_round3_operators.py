@@ -105,7 +105,7 @@ def near(fps, budget):
     return {i: find(i) for i in fps}
 
 
-@pytest.mark.parametrize("bucket,chain,budget", [(64, None, 4), (1, None, 4), (2, 3, 4), (1, 1, 5), (64, 2, 3)])
+@pytest.mark.parametrize("bucket,chain,budget", [(64, None, 4), (1, None, 4), (2, 3, 4), (1, 1, 5), (64, 2, 6)])
 def test_simhash_classes(spark, bucket, chain, budget):
     rnd = random.Random(2)
     base = [[rnd.choice(["Ab", "cd", "é", "x1", "yy", "Z"]) + str(rnd.randint(0, 60)) for _ in range(rnd.randint(1, 60))]
