@@ -3,13 +3,11 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import functions as F
 
 from stratum.functions import cents
 from stratum.operators import graphs as op
-from stratum.operators import spatial
+from stratum.operators import neighbours
 from stratum.sources.tables import load
 
 # Fixed recipe parameters.
@@ -60,40 +58,25 @@ def q_component_product(spark, sf_dir):
 
 
 def q_closest_pairs(spark, sf_dir):
-    return spatial.closest_pairs(_points3(spark, sf_dir, "customer", "c"), "id", ["x", "y", "z"], N_PAIRS)
+    return neighbours.closest_pairs(_points3(spark, sf_dir, "customer", "c"), "id", ["x", "y", "z"], N_PAIRS)
 
 
 def q_circuit_product(spark, sf_dir):
     pts = _points3(spark, sf_dir, "customer", "c")
-    pairs = spatial.closest_pairs(pts, "id", ["x", "y", "z"], N_PAIRS)
+    pairs = neighbours.closest_pairs(pts, "id", ["x", "y", "z"], N_PAIRS)
     labels = op.connected_components(pairs, "i", "j", nodes=pts, node="id")
     return op.top_component_product(labels, TOP_K)
 
 
 def q_spanning_edge(spark, sf_dir):
     pts = _points3(spark, sf_dir, "supplier", "s")
-    top = op.heaviest_edge(_spanning_tree(pts))
+    top = op.heaviest_edge(neighbours.spanning_tree(pts, "id", ["x", "y", "z"]))
     xs = pts.select("id", "x")
     return (top.join(xs.withColumnRenamed("id", "i").withColumnRenamed("x", "xi"), "i")
             .join(xs.withColumnRenamed("id", "j").withColumnRenamed("x", "xj"), "j")
             .select("i", "j", "d2", (F.col("xi") * F.col("xj")).alias("x_product")))
 
 
-def _spanning_tree(pts):
-    """Spanning tree over pairs within a radius h, h doubling until the
-    tree spans every point (``growing_spanning_tree``).
-
-    Candidate pairs come from the cell-blocked join, never from a global
-    top-k; the first radius is the one expected to hold about 2 log2(n)
-    pairs per point.
-    """
-    coords = ["x", "y", "z"]
-    n0 = pts.count()
-    h, diag, _ = spatial.radius_guess(pts, coords, 2 * n0 * max(1, math.ceil(math.log2(max(n0, 2)))))
-    return op.growing_spanning_tree(pts, "id", lambda r: spatial.pairs_within(pts, "id", coords, int(r)),
-                                    h, diag)
-
-
 QUERIES = {
     "k_core": q_k_core,
     "connected_components": q_connected_components,

@@ -143,6 +143,8 @@ def _boruvka(e: DataFrame, comp: DataFrame, lineage: Lineage, max_rounds: int =
         roots = _resolve_pointers(picks.select("c", "p"), lineage)
         comp = lineage.cut(comp.join(roots.withColumnRenamed("c", "comp"), "comp", "left")
                            .select("node", F.coalesce("p", "comp").alias("comp")), force=True)
+    else:
+        raise RuntimeError("the spanning forest did not converge")
     return chosen, comp
 
 
@@ -181,30 +183,6 @@ def spanning_forest(edges: DataFrame, i: str = "i", j: str = "j", w: str = "d2",
     return _tree(chosen, e, i, j, w), comp.select("node", "comp")
 
 
-def growing_spanning_tree(nodes: DataFrame, node: str, edges_upto, start: float, limit: float,
-                          i: str = "i", j: str = "j", w: str = "d2") -> DataFrame:
-    """Minimum spanning tree over edge sets that grow with a threshold.
-
-    ``edges_upto(t)`` must return every edge of weight <= t (``w`` compared
-    against t's own scale).  Borůvka runs on the edges up to t; a component
-    that picks an edge there has picked its true lightest edge (everything
-    left out is heavier), so labels and picks carry over when t doubles.
-    Stops when one component holds every node or t reaches ``limit``.
-    """
-    spark = nodes.sparkSession
-    lineage = Lineage(spark, 1)
-    comp = lineage.cut(nodes.select(F.col(node).alias("node")).distinct()
-                       .select("node", F.col("node").alias("comp")), force=True)
-    chosen_all, t, e = [], start, None
-    while True:
-        e = lineage.cut(_ordered_edges(edges_upto(t), i, j, w), force=True)
-        chosen, comp = _boruvka(e, comp, lineage)
-        chosen_all += chosen
-        if t >= limit or comp.select("comp").distinct().limit(2).count() <= 1:
-            return _tree(chosen_all, e, i, j, w)
-        t *= 2
-
-
 def heaviest_edge(tree: DataFrame, i: str = "i", j: str = "j", w: str = "d2") -> DataFrame:
     """The last edge Kruskal adds: the maximum under the (w, i, j) order."""
     return tree.orderBy(F.col(w).desc(), F.col(i).desc(), F.col(j).desc()).limit(1)

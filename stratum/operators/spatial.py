@@ -1,88 +1,19 @@
-"""Geometry operators: closest pairs, rectangles, coordinate compression,
-rectilinear polygons (U17, U21-U28).
+"""Geometry operators: rectangles, coordinate compression, rectilinear
+polygons (U21-U28).
 
-Pairs are never formed blindly: closest pairs use a cell grid whose side
-doubles until enough pairs are found (exact), and the rectangle search
-prunes to Pareto staircases before pairing.
+Pairs are never formed blindly: the rectangle search prunes to Pareto
+staircases before pairing.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratum.functions import floor_div
 from stratum.plans import Lineage, ordered_scan
 from stratum.plans.prefix import ordered_scans
 
 
-def _cell_offsets(dims: int):
-    if dims == 1:
-        return [(d,) for d in (-1, 0, 1)]
-    return [(d,) + rest for d in (-1, 0, 1) for rest in _cell_offsets(dims - 1)]
-
-
-def pairs_within(points: DataFrame, pid: str, coords: list[str], h: int) -> DataFrame:
-    """Unordered pairs ``(i, j, d2)`` (i < j) with squared distance <= h^2.
-
-    Points are bucketed in cells of side ``h``; each point is replicated to
-    the 3^d cells around it and meets the points living there through an
-    equi join on the cell key, so only neighbouring cells are compared.
-    """
-    offs = _cell_offsets(len(coords))
-    home = points.select(F.col(pid).alias("i"), *[F.col(c).alias(f"a{k}") for k, c in enumerate(coords)],
-                         *[floor_div(c, h).alias(f"cell{k}") for k, c in enumerate(coords)])
-    arr = F.array(*[F.array(*[F.lit(v) for v in o]) for o in offs])
-    guest = points.select(F.col(pid).alias("j"), *[F.col(c).alias(f"b{k}") for k, c in enumerate(coords)],
-                          F.explode(arr).alias("_o"),
-                          *[floor_div(c, h).alias(f"_g{k}") for k, c in enumerate(coords)])
-    guest = guest.select("j", *[f"b{k}" for k in range(len(coords))],
-                         *[(F.col(f"_g{k}") + F.col("_o")[k]).alias(f"cell{k}") for k in range(len(coords))])
-    cells = [f"cell{k}" for k in range(len(coords))]
-    joined = home.join(guest, cells).where(F.col("i") < F.col("j"))
-    d2 = sum(((F.col(f"a{k}") - F.col(f"b{k}")) * (F.col(f"a{k}") - F.col(f"b{k}")))
-             for k in range(len(coords)))
-    return joined.select("i", "j", d2.cast("bigint").alias("d2")).where(F.col("d2") <= h * h)
-
-
-def radius_guess(points: DataFrame, coords: list[str], target_pairs: int) -> tuple[int, int, int]:
-    """``(h, diag, n)``: a radius expected to hold about ``target_pairs``
-    pairs under uniform density, the bounding-box diagonal and the point
-    count (one aggregate row to the driver)."""
-    ext = points.agg(F.count(F.lit(1)).alias("n"),
-                     *[(F.max(c) - F.min(c) + 1).alias(f"e{k}") for k, c in enumerate(coords)]).first()
-    cnt = ext["n"]
-    spans = [ext[f"e{k}"] or 1 for k in range(len(coords))]
-    dims = len(coords)
-    ball = math.pi ** (dims / 2) / math.gamma(dims / 2 + 1)
-    h = (2.0 * max(target_pairs, 1) * math.prod(spans) / (ball * max(cnt, 1) ** 2)) ** (1.0 / dims)
-    diag = int(math.isqrt(sum(s * s for s in spans))) + 1
-    return max(1, int(h)), diag, cnt
-
-
-def closest_pairs(points: DataFrame, pid: str, coords: list[str], n: int,
-                  start_h: int | None = None) -> DataFrame:
-    """The ``n`` closest unordered pairs, ties broken by (i, j).
-
-    Exact: once at least ``n`` pairs lie within distance h, the n closest
-    pairs all do, and every pair within h is found by ``pairs_within``.  h
-    starts from a uniform-density estimate and doubles until the count
-    (an aggregate, not a collect) reaches n or h spans the whole box.  The
-    final top-n is the report itself (TakeOrderedAndProject of n rows).
-    """
-    h0, diag, cnt = radius_guess(points, coords, n)
-    need = min(n, cnt * (cnt - 1) // 2)
-    h = start_h or h0
-    while True:
-        cand = pairs_within(points, pid, coords, h)
-        if h >= diag or cand.count() >= need:
-            break
-        h *= 2
-    return cand.orderBy("d2", "i", "j").limit(n)
-
-
 def staircases(points: DataFrame, x: str, y: str) -> DataFrame:
     """Pareto staircases for the four corner directions.
 

@@ -148,17 +148,6 @@ def test_k_core_degrees(spark):
     assert sorted((r["node"], r["degree"]) for r in deg.collect()) == [(i, 4) for i in range(5)]
 
 
-def test_closest_pairs_brute(spark):
-    import random
-    rnd = random.Random(7)
-    pts = [(i, rnd.randint(-50, 50), rnd.randint(-50, 50), rnd.randint(0, 5)) for i in range(120)]
-    df = spark.createDataFrame(pts, "id long, x long, y long, z long")
-    got = [(r["i"], r["j"], r["d2"]) for r in spatial.closest_pairs(df, "id", ["x", "y", "z"], 50).collect()]
-    allp = sorted(((a[1] - b[1]) ** 2 + (a[2] - b[2]) ** 2 + (a[3] - b[3]) ** 2, a[0], b[0])
-                  for a in pts for b in pts if a[0] < b[0])[:50]
-    assert got == [(i, j, d) for d, i, j in allp]
-
-
 def test_rectangles(spark):
     pts = spark.createDataFrame([(0, 4), (4, 0)], "x long, y long")
     assert spatial.max_rectangle(pts, "x", "y").first()["area"] == 25
@@ -242,30 +231,6 @@ def test_blocked_peel_matches_rounds(spark):
     assert cells.peel_blocked(iso, 4).count() == 0
 
 
-def test_growing_spanning_tree_matches_prim(spark):
-    import random
-    from stratum.operators import spatial as sp
-    rnd = random.Random(21)
-    pts = [(i, rnd.randint(0, 400), rnd.randint(0, 60), rnd.randint(0, 9)) for i in range(60)]
-    df = spark.createDataFrame(pts, "id long, x long, y long, z long")
-    coords = ["x", "y", "z"]
-    h, diag, _ = sp.radius_guess(df, coords, 30)
-    tree = graphs.growing_spanning_tree(df, "id", lambda r: sp.pairs_within(df, "id", coords, int(r)), h, diag)
-    top = graphs.heaviest_edge(tree).first()
-
-    def d2(a, b):
-        return sum((a[k] - b[k]) ** 2 for k in (1, 2, 3))
-    # Prim with the (w, min id, max id) total order
-    seen, best = {pts[0][0]}, []
-    while len(seen) < len(pts):
-        e = min((d2(a, b), min(a[0], b[0]), max(a[0], b[0]), b[0])
-                for a in pts if a[0] in seen for b in pts if b[0] not in seen)
-        best.append(e[:3])
-        seen.add(e[3])
-    assert tree.count() == len(pts) - 1
-    assert (top["d2"], top["i"], top["j"]) == max(best)
-
-
 def test_l_shaped_ring(spark):
     ring = [(0, 0), (4, 0), (4, 2), (2, 2), (2, 4), (0, 4)]
     v = spark.createDataFrame([("L", k, x, y) for k, (x, y) in enumerate(ring)], "poly string, k long, x long, y long")

@@ -27,6 +27,6 @@ def test_split_scan_windows_inside_its_parts(spark):
     from stratum.plans import ordered_scan
     df = spark.range(1000).selectExpr("id", "id % 7 as v")
     plan = physical_plan(ordered_scan(df, ["id"], "v", "run", "sum", [], True))
-    windows = re.findall(r"Window \\[.*", plan)
+    windows = re.findall(r"Window \[.*", plan)
     assert any("[_part" in w for w in windows)                 # the rows, by part
     assert all("_part" in w for w in windows)                  # and one over the parts' totals
