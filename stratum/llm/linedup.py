@@ -1,36 +1,35 @@
 """Line dedup by pairwise alignment: common blocks are deleted from the later document.
 
-A common block is a maximal run of at least ``min_words`` equal words, wherever
-it begins and ends in a line and whatever white space stands between the words;
-so a passage is found wherever it was pasted, in any order and any number of
-times.  Two documents are aligned by the windows of ``min_words`` words that they
-share: every block is a run of such windows, and every such window is in a block.
-
-1. Every window has an anchor: the least hash of the runs of half as many words
-   in it.  Neighbouring windows mostly have the same one, and equal windows always.
-2. Anchors of two documents are put into a screen of fixed size.  Where one
-   passes, the windows beside each other that share it are a segment, and make
-   one row; texts of their own cost none.
-3. A segment links each later document that holds it to the first document that
-   holds it (ids rise with time), so a passage in a million documents makes a
-   million links and not their square.
-4. Where an anchor has several segments, as at either end of a block, a second
-   screen opens them, and their windows are linked in the same way.  A full
-   screen lets more rows through and loses none.
-5. The linked ranges of a later document are joined to blocks, which are deleted
-   with the white space that follows them.
-
-The first document that holds a window keeps it, so no text is lost altogether.
-Anchors, segments and windows are shuffled as hashes; texts move once, to meet their
-deletions.  ``removed_lines`` counts the lines that lose a word, where a line is a
-run of words up to a newline or the end of a sentence (``.``, ``!`` or ``?`` before
-white space).
-
-Defined cases: a null text stays null and an empty one empty; rows with a null
-id stay whole and delete nothing; rows with equal ids are not compared with
-each other; equal rows lose equal blocks; a document that is a copy as a whole
-ends up empty; an empty table gives an empty result.  All columns of the input
-are kept; ``text`` is replaced.
+1. Lines.  A document gives the hashes of its lines (runs of words up to a newline or
+   the end of a sentence) of ``LINE_WORDS`` words or more, and, so that a sentence cut
+   at the edge of a pasted passage is no obstacle, of content-defined lines: in each
+   window of ``min_words`` words the run of half as many with the least hash.  Equal
+   windows have equal ones.
+2. Pairs.  A line that one document holds proposes nothing.  A line that several hold
+   pairs each later holder with the first one only (ids rise with time), so a line in a
+   million documents makes a million pairs and not their square.
+3. Slices.  The shared lines of a pair bound the words that can match: no common block
+   reaches more than a window beyond them.  Only these words are sent to meet, as
+   32-bit hashes, and a slice that many pairs ask for is cut once.
+4. Alignment.  Each pair is aligned by patience diff over windows of ``min_words``
+   words: windows found once on either side, as far as they rise together, are the
+   frame, and each of their runs is extended word by word on both sides into partial
+   sentences.  What is left of the later document is aligned again, so swapped and
+   doubled passages are found too, until no window of the pair is left.
+5. The aligned blocks are deleted from the later document, with the white space that
+   follows them.
+
+The first document that holds a passage keeps it, so no text is lost altogether.  A
+block that no first holder of any of its lines holds is not found: the test against
+all windows of all documents states the recall.  ``removed_lines`` counts the lines
+that lose a word.
+
+Defined cases: a null text stays null and an empty one empty; rows with a null id
+stay whole and delete nothing; rows with equal ids are not compared with each other;
+equal rows lose equal blocks; a document that is a copy as a whole ends up empty; a
+very long text is cut in one pass over its bytes, and only its slices meet others; an
+empty table gives an empty result.  All columns of the input are kept, whatever their
+names; ``text`` is replaced.
 """
 
 from __future__ import annotations
@@ -39,6 +38,7 @@ from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,9 +47,12 @@ from stratum.llm.frames import renamed, restored
 from stratum.plans import Lineage
 
 MIN_WORDS = 30
-SCREEN_BITS = (20, 26)     # least and most, as powers of two
-RUNS = "doc_id bigint, text_key bigint, anchor bigint, run bigint, begin bigint, stop bigint, line int, last_line int"
-CUTS = "doc_id bigint, text_key bigint, cuts array<array<bigint>>, removed_lines bigint"
+LINE_WORDS = 8
+PAGE = 64               # slices begin and end at multiples of so many words
+SCREEN_BITS = (16, 26)  # least and most, as powers of two
+LINES = "doc_id bigint, text_key bigint, line bigint, pos bigint"
+SLICES = "doc_id bigint, text_key bigint, lo bigint, hi bigint, words binary"
+BLOCKS = "doc_id bigint, text_key bigint, first bigint, stop bigint"
 _STOP = np.zeros(256, dtype=bool)
 _STOP[list(b".!?")] = True
 
@@ -62,17 +65,6 @@ def _last_words(buf: np.ndarray, start: np.ndarray, end: np.ndarray, doc: np.nda
     return last
 
 
-def line_spans(buf: np.ndarray, offs: np.ndarray):
-    """(start, end, words, document) of each line with a word."""
-    start, end, doc = C.spans(C.WORD_BYTES[buf], offs)
-    if not len(start):
-        z = np.zeros(0, np.int64)
-        return z, z, z, z
-    final = np.flatnonzero(_last_words(buf, start, end, doc))
-    first = np.concatenate(([0], final[:-1] + 1))
-    return start[first], end[final], final - first + 1, doc[first]
-
-
 def _least(x: np.ndarray, n: int) -> np.ndarray:
     """The least of each n consecutive entries."""
     size = 1
@@ -102,183 +94,192 @@ def _chunks(batches):
                    buf[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
 
 
-def _segments(at: np.ndarray, anchor: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """Index of the first of neighbouring windows of a document with one anchor."""
-    new = np.ones(len(at), bool)
-    new[1:] = (anchor[1:] != anchor[:-1]) | (doc[at[1:]] != doc[at[:-1]])
-    return np.flatnonzero(new)
+def _joined(first: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ranges that overlap or touch, given in order, as one."""
+    reach = np.maximum.accumulate(stop)
+    new = np.flatnonzero(np.concatenate(([True], first[1:] > reach[:-1])))
+    return first[new], reach[np.append(new[1:], len(first)) - 1]
 
 
-def document_anchors(keyed: DataFrame, min_words: int) -> DataFrame:
-    """(doc_id, anchor): the anchors of every document, each once for neighbouring windows."""
+def document_lines(keyed: DataFrame, min_words: int) -> DataFrame:
+    """(doc_id, text_key, line, pos): the line hashes of every document and their first words."""
 
     def run(batches):
-        for ids, _, data, offs in _chunks(batches):
+        for ids, keys, data, offs in _chunks(batches):
             start, end, doc = C.spans(C.WORD_BYTES[data], offs)
-            at, anchor = word_windows(C.span_hashes(data, start, end), doc, min_words)
-            new = _segments(at, anchor, doc)
+            if not len(start):
+                continue
+            words = C.span_hashes(data, start, end)
+            edge = np.searchsorted(doc, np.arange(len(offs)))
+            at, anchor = word_windows(words, doc, min_words)
+            new = np.ones(len(at), bool)
+            new[1:] = (anchor[1:] != anchor[:-1]) | (doc[at[1:]] != doc[at[:-1]])
+            final = np.flatnonzero(_last_words(data, start, end, doc))
+            first = np.concatenate(([0], final[:-1] + 1))
+            long = final - first + 1 >= LINE_WORDS
+            place = np.concatenate((at[new], first[long]))
+            line = np.concatenate((anchor[new], C.mix(C.run_hashes(words, first[long], final[long] + 1))))
+            of = pa.array(doc[place])
             yield pa.RecordBatch.from_arrays(
-                [ids.take(pa.array(doc[at[new]])), pa.array(anchor[new].view(np.int64))], names=["doc_id", "anchor"])
+                [ids.take(of), keys.take(of), pa.array(line.view(np.int64)), pa.array(place - edge[doc[place]])],
+                names=[c.split()[0] for c in LINES.split(", ")])
 
-    return keyed.mapInArrow(run, "doc_id bigint, anchor bigint")
+    return keyed.mapInArrow(run, LINES)
 
 
-def screened_runs(keyed: DataFrame, anchors: DataFrame, min_words: int, whole: bool) -> DataFrame:
-    """The segments (``whole``) or windows with one of ``anchors``: their hashes, code points and lines."""
-    bits = min(max(anchors.count().bit_length() + 3, SCREEN_BITS[0]), SCREEN_BITS[1])
-    packed = C.screen_of(anchors, bits)
+def later_pairs(lines: DataFrame, min_words: int) -> DataFrame:
+    """(doc_id, text_key, lo, hi, a_id, a_key, a_lo, a_hi): later documents and first holders of their lines.
 
-    def run(batches):
-        screen = C.screen_bits(packed)
-        for ids, keys, data, offs in _chunks(batches):
-            start, end, doc = C.spans(C.WORD_BYTES[data], offs)
-            words = C.span_hashes(data, start, end)
-            at, anchor = word_windows(words, doc, min_words)
-            stop = at + min_words
-            if whole and len(at):
-                new = _segments(at, anchor, doc)
-                at, anchor, stop = at[new], anchor[new], stop[np.append(new[1:], len(stop)) - 1]
-            passed = screen[anchor >> np.uint64(64 - bits)]
-            at, anchor, stop = at[passed], anchor[passed], stop[passed]
-            if not len(at):
-                continue
-            points = C.code_points(data)
-            line = np.concatenate(([0], np.cumsum(_last_words(data, start, end, doc))))[:-1]
-            # up to the next word, or the end of the text
-            final = np.append(doc, -1)[stop] != doc[at]
-            limit = np.where(final, offs[doc[at] + 1], np.append(start, 0)[stop])
-            begin = points[offs[doc[at]]]
-            of = pa.array(doc[at])
-            yield pa.RecordBatch.from_arrays(
-                [ids.take(of), keys.take(of), pa.array(anchor.view(np.int64)),
-                 pa.array(C.run_hashes(words, at, stop).view(np.int64)),
-                 pa.array(points[start[at]] - begin), pa.array(points[limit] - begin),
-                 pa.array(line[at].astype(np.int32)), pa.array(line[stop - 1].astype(np.int32))],
-                names=[c.split()[0] for c in RUNS.split(", ")])
-
-    return keyed.mapInArrow(run, RUNS)
-
-
-def _numbered(lines: list, lo: int, hi: int):
-    """(place, (line, how many of it came before)) of ``lines[lo:hi]``."""
-    seen: dict = {}
-    for k in range(lo, hi):
-        n = seen.get(lines[k], 0)
-        seen[lines[k]] = n + 1
-        yield k, (lines[k], n)
-
-
-def patience(a: list, b: list) -> list[tuple[int, int]]:
-    """Pairs (i, j) with a[i] == b[j], rising in both, aligned by patience diff."""
-    out, todo = [], [(0, len(a), 0, len(b))]
-    while todo:
-        a0, a1, b0, b1 = todo.pop()
-        while a0 < a1 and b0 < b1 and a[a0] == b[b0]:
-            out.append((a0, b0))
-            a0, b0 = a0 + 1, b0 + 1
-        while a0 < a1 and b0 < b1 and a[a1 - 1] == b[b1 - 1]:
-            a1, b1 = a1 - 1, b1 - 1
-            out.append((a1, b1))
-        if a0 == a1 or b0 == b1:
-            continue
-        place_a, place_b = {}, {}
-        for i in range(a0, a1):
-            place_a[a[i]] = -1 if a[i] in place_a else i
-        for j in range(b0, b1):
-            place_b[b[j]] = -1 if b[j] in place_b else j
-        common = sorted((j, place_a[x]) for x, j in place_b.items() if j >= 0 and place_a.get(x, -1) >= 0)
-        if not common:      # only repeated lines: the n-th of a kind meets the n-th of that kind
-            place_a = {x: i for i, x in _numbered(a, a0, a1)}
-            common = [(j, place_a[x]) for j, x in _numbered(b, b0, b1) if x in place_a]
-        # longest chain that rises in both
-        tops, ends, back = [], [], [-1] * len(common)
-        for k, (_, i) in enumerate(common):
-            at = bisect_left(tops, i)
-            back[k] = ends[at - 1] if at else -1
-            tops[at:at + 1] = [i]
-            ends[at:at + 1] = [k]
-        if not ends:
-            continue
-        chain, k = [], ends[-1]
-        while k >= 0:
-            chain.append((common[k][1], common[k][0]))
-            k = back[k]
-        chain.reverse()
-        out += chain
-        for (i0, j0), (i1, j1) in zip([(a0 - 1, b0 - 1), *chain], [*chain, (a1, b1)]):
-            if i1 - i0 > 1 and j1 - j0 > 1:
-                todo.append((i0 + 1, i1, j0 + 1, j1))
-    return sorted(out)
-
-
-def common_blocks(a: list, b: list, words: list, min_words: int) -> list[tuple[int, int]]:
-    """Ranges (first, stop) of lines of ``b`` in aligned blocks of at least ``min_words`` words."""
-    blocks, pairs = [], patience(a, b)
-    k = 0
-    while k < len(pairs):
-        m = k + 1
-        while m < len(pairs) and pairs[m] == (pairs[m - 1][0] + 1, pairs[m - 1][1] + 1):
-            m += 1
-        first, stop = pairs[k][1], pairs[m - 1][1] + 1
-        if sum(words[first:stop]) >= min_words:
-            blocks.append((first, stop))
-        k = m
-    return blocks
+    The words [lo, hi) of the one and [a_lo, a_hi) of the other hold every block they share around such lines.
+    """
+    holder = F.struct("doc_id", "text_key", "pos")
+    shared = lines.groupBy("line").agg(F.min(holder).alias("a"), F.max("doc_id").alias("last")) \
+        .filter(F.col("a.doc_id") < F.col("last")).drop("last")
+    met = lines.join(shared, "line").filter(F.col("doc_id") > F.col("a.doc_id"))
+    low = lambda c: F.floor(F.greatest(F.min(c) - min_words, F.lit(0)) / PAGE) * PAGE
+    high = lambda c: F.ceil((F.max(c) + 3 * min_words) / PAGE) * PAGE
+    return met.groupBy("doc_id", "text_key", F.col("a.doc_id").alias("a_id"), F.col("a.text_key").alias("a_key")).agg(
+        low("pos").alias("lo"), high("pos").alias("hi"), low("a.pos").alias("a_lo"), high("a.pos").alias("a_hi"))
 
 
-def _joined(first: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Ranges that overlap or touch, given in order, as one."""
-    reach = np.maximum.accumulate(stop)
-    new = np.flatnonzero(np.concatenate(([True], first[1:] > reach[:-1])))
-    return first[new], reach[np.append(new[1:], len(first)) - 1]
+def word_slices(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(doc_id, text_key, lo, hi, words): the words of the ``wanted`` (doc_id, text_key, lo, hi) as 32-bit hashes."""
+    ranges = wanted.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
+    hashes = wanted.select(F.xxhash64("doc_id", "text_key").alias("h")).distinct()
+    bits = min(max(hashes.count().bit_length() + 3, SCREEN_BITS[0]), SCREEN_BITS[1])
+    packed = C.screen_of(hashes, bits)
+
+    def asked(batches):
+        screen = C.screen_bits(packed)
+        for batch in batches:
+            h = batch.column(0).to_numpy().view(np.uint64)
+            kept = batch.filter(pa.array(screen[h >> np.uint64(64 - bits)]))
+            yield pa.RecordBatch.from_arrays(kept.columns[1:], names=kept.schema.names[1:])
+
+    def run(batches):
+        for batch in batches:
+            for lo, hi in C.chunks(C.text_bytes(batch.column(2))[1]):
+                part = batch.slice(lo, hi - lo)
+                (ids, keys, data, offs), = _chunks([part.select([0, 1, 2])]) if part.num_rows else ()
+                start, end, doc = C.spans(C.WORD_BYTES[data], offs)
+                words = (C.span_hashes(data, start, end) >> np.uint64(32)).astype(np.uint32)
+                edge = np.searchsorted(doc, np.arange(len(offs)))
+                rows, at, to, found = [], [], [], []
+                for k, want in enumerate(part.column(3).to_pylist()):
+                    own = words[edge[k]:edge[k + 1]]
+                    for r in want:
+                        rows.append(k)
+                        at.append(r["lo"])
+                        to.append(r["hi"])
+                        found.append(own[r["lo"]:r["hi"]].tobytes())
+                yield pa.RecordBatch.from_arrays(
+                    [ids.take(pa.array(rows, pa.int64())), keys.take(pa.array(rows, pa.int64())), pa.array(at, pa.int64()),
+                     pa.array(to, pa.int64()), pa.array(found, pa.binary())], names=["doc_id", "text_key", "lo", "hi", "words"])
+
+    # a screen of fixed size keeps documents without a pair out of the shuffle; a full one lets more through
+    sent = keyed.select(F.xxhash64("doc_id", "text_key").alias("h"), "doc_id", "text_key", "text") \
+        .mapInArrow(asked, "doc_id bigint, text_key bigint, text string")
+    return sent.dropDuplicates(["doc_id", "text_key"]).join(ranges.hint("merge"), ["doc_id", "text_key"]) \
+        .select("doc_id", "text_key", "text", "ranges").mapInArrow(run, SLICES)
+
+
+def _rising(runs: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """The longest chain of runs (i, j, length), given by j, that rises in i too."""
+    tops, ends, back = [], [], []
+    for k, (i, _, _) in enumerate(runs):
+        at = bisect_left(tops, i)
+        back.append(ends[at - 1] if at else -1)
+        tops[at:at + 1] = [i]
+        ends[at:at + 1] = [k]
+    chain, k = [], ends[-1] if ends else -1
+    while k >= 0:
+        chain.append(runs[k])
+        k = back[k]
+    return chain[::-1]
+
+
+def aligned_blocks(a: np.ndarray, b: np.ndarray, min_words: int) -> list[tuple[int, int]]:
+    """Ranges (first, stop) of the words of ``b`` in blocks that patience diff aligns with ``a``."""
+    if min(len(a), len(b)) < min_words:
+        return []
+    hashes = []
+    for x in (a, b):
+        first = np.arange(len(x) - min_words + 1)
+        hashes.append(C.run_hashes(C.mix(x.astype(np.uint64)), first, first + min_words))
+    kinds, place, times = np.unique(hashes[0], return_index=True, return_counts=True)
+    at = np.minimum(np.searchsorted(kinds, hashes[1]), len(kinds) - 1)
+    left = kinds[at] == hashes[1]           # windows of b that a holds, not yet in a block
+    blocks = []
+    while left.any():
+        todo = np.flatnonzero(left)
+        found, nth, many = np.unique(at[todo], return_index=True, return_counts=True)
+        once = (many == 1) & (times[found] == 1)
+        if once.any():
+            found, nth = found[once], nth[once]
+        j = todo[nth]                       # without unique windows, the first of a kind meets the first
+        order = np.argsort(j)
+        j, i = j[order], place[found][order]
+        new = np.flatnonzero(np.concatenate(([True], (np.diff(i) != 1) | (np.diff(j) != 1))))
+        size = np.diff(np.append(new, len(j)))
+        for i0, j0, n in _rising(list(zip(i[new].tolist(), j[new].tolist(), size.tolist()))):
+            i1, j1 = i0 + n - 1 + min_words, j0 + n - 1 + min_words
+            m = min(i0, j0)                 # word by word, to the left and to the right
+            same = a[i0 - m:i0] == b[j0 - m:j0]
+            wrong = np.flatnonzero(~same)
+            j0 -= m - (wrong[-1] + 1 if len(wrong) else 0)
+            m = min(len(a) - i1, len(b) - j1)
+            wrong = np.flatnonzero(a[i1:i1 + m] != b[j1:j1 + m])
+            j1 += wrong[0] if len(wrong) else m
+            blocks.append((int(j0), int(j1)))
+            left[j0:j1 - min_words + 1] = False
+    return blocks
 
 
 def duplicate_blocks(docs: DataFrame, lineage: Lineage, doc_id: str = "doc_id", text: str = "text",
                      min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, text_key, cuts, removed_lines): the code-point ranges that each document loses."""
+    """(doc_id, text_key, blocks): the ranges of words that each document loses."""
     keyed = docs.filter(F.col(doc_id).isNotNull()).select(
-        F.col(doc_id).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_key"), text)
-    first = [F.min("doc_id").alias("first"), F.max("doc_id").alias("last")]
-    of_two = F.col("first") < F.col("last")
-    span = F.struct("begin", "stop", "line", "last_line").alias("span")
-
-    def linked(runs, held):
-        return runs.join(held.filter(of_two).select("run", "first"), "run") \
-            .filter(F.col("doc_id") > F.col("first")).select("doc_id", "text_key", span)
-
-    shared = document_anchors(keyed, min_words).groupBy("anchor").agg(*first).filter(of_two).select("anchor")
-    segments = lineage.cut(screened_runs(keyed, lineage.cut(shared, force=True), min_words, True), force=True)
-    held = lineage.cut(segments.groupBy("run", "anchor").agg(*first), force=True)
-    several = held.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("anchor")
-    windows = lineage.cut(screened_runs(
-        keyed, lineage.cut(several, force=True), min_words, False).drop("anchor"), force=True)
-    found = linked(segments, held).unionByName(linked(windows, windows.groupBy("run").agg(*first))) \
-        .groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set("span")).alias("spans"))
-
-    def join(batches):
+        F.col(doc_id).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_key"), F.col(text).alias("text"))
+    pairs = lineage.cut(later_pairs(document_lines(keyed, min_words), min_words), force=True)
+    held = pairs.select(F.col("a_id").alias("doc_id"), F.col("a_key").alias("text_key"), F.col("a_lo").alias("lo"),
+                        F.col("a_hi").alias("hi"))
+    wanted = pairs.select("doc_id", "text_key", "lo", "hi").unionByName(held).distinct()
+    slices = lineage.cut(word_slices(keyed, lineage.cut(wanted, force=True)), force=True)
+    earlier = slices.select(*[F.col(c).alias(f"a_{n}") for c, n in zip(slices.columns, ("id", "key", "lo", "hi", "words"))])
+    met = pairs.join(earlier, ["a_id", "a_key", "a_lo", "a_hi"]).drop("a_id", "a_key", "a_lo", "a_hi") \
+        .join(slices, ["doc_id", "text_key", "lo", "hi"]).select("doc_id", "text_key", "lo", "words", "a_words")
+
+    def align(batches):
         for batch in batches:
-            cuts, removed = [], []
-            for row in range(batch.num_rows):
-                begin, stop, line, last_line = (
-                    x.to_numpy() for x in batch.column(2).slice(row, 1).flatten().flatten())
-                cuts.append(np.stack(_joined(begin, stop), 1).tolist())
-                lo, hi = _joined(line, last_line)
-                removed.append(int((hi - lo + 1).sum()))
+            rows, first, stop = [], [], []
+            for k, (lo, b, a) in enumerate(zip(*[batch.column(c).to_pylist() for c in (2, 3, 4)])):
+                for x, y in aligned_blocks(np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32), min_words):
+                    rows.append(k)
+                    first.append(lo + x)
+                    stop.append(lo + y)
+            at = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(cuts, pa.list_(pa.list_(pa.int64()))),
-                 pa.array(removed, pa.int64())], names=[c.split()[0] for c in CUTS.split(", ")])
+                [batch.column(0).take(at), batch.column(1).take(at), pa.array(first, pa.int64()), pa.array(stop, pa.int64())],
+                names=["doc_id", "text_key", "first", "stop"])
 
-    return found.mapInArrow(join, CUTS)
+    return met.mapInArrow(align, BLOCKS).groupBy("doc_id", "text_key").agg(
+        F.sort_array(F.collect_set(F.struct("first", "stop"))).alias("blocks"))
 
 
-def _remaining(text, cuts):
-    """``text`` without the sorted, possibly overlapping code-point ranges ``cuts``."""
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("kept"))
-    piece = lambda acc, c: F.substring(text, (acc["at"] + 1).cast("int"),
-                                       F.greatest(c[0] - acc["at"], F.lit(0)).cast("int"))
-    return F.aggregate(cuts, start, lambda acc, c: F.struct(
-        F.greatest(acc["at"], c[1]).alias("at"), F.concat(acc["kept"], piece(acc, c)).alias("kept")),
-        lambda acc: F.concat(acc["kept"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))))
+def without_blocks(text: bytes, blocks: list[dict]) -> tuple[bytes, list[list[int]], int]:
+    """The text left, the code-point ranges cut, and the number of lines that lose a word."""
+    data = np.frombuffer(text, np.uint8)
+    start, end, doc = C.spans(C.WORD_BYTES[data], np.array([0, len(data)]))
+    first, stop = _joined(np.array([b["first"] for b in blocks]), np.array([b["stop"] for b in blocks]))
+    begin, limit = start[first], np.append(start, len(data))[stop]
+    points = C.code_points(data)
+    pieces = [text[x:y] for x, y in zip([0, *limit.tolist()], [*begin.tolist(), len(text)])]
+    line = np.concatenate(([0], np.cumsum(_last_words(data, start, end, doc))))[:-1]
+    lost = np.zeros(len(start) + 1, np.int64)
+    lost[first] += 1
+    lost[stop] -= 1
+    lines = len(np.unique(line[np.cumsum(lost)[:-1] > 0]))
+    return b"".join(pieces), np.stack((points[begin], points[limit]), 1).tolist(), lines
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -286,14 +287,33 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """All columns of ``docs`` with the new text, and ``removed_lines`` and ``cuts`` (in place of such columns)."""
     lineage = Lineage(docs.sparkSession, every=1)
     blocks = lineage.cut(duplicate_blocks(docs, lineage, doc_id, text, min_words), force=True) \
-        .select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"),
-                F.col("cuts").alias("_cuts"), F.col("removed_lines").alias("_removed"))
+        .select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("blocks").alias("_blocks"))
     kept = docs.drop("removed_lines", "cuts")
     rows, name = renamed(kept)
     body = F.col(name[text])
     same = (F.col(name[doc_id]).cast("bigint") == F.col("_id")) & (F.xxhash64(body) == F.col("_key"))
     # the list of deletions grows with the input: it is never broadcast, at any size
-    joined = rows.join(blocks.hint("merge"), same, "left").withColumn(
-        name[text], F.when(F.col("_cuts").isNull(), body).otherwise(_remaining(body, F.col("_cuts"))))
-    return restored(joined, kept, name, F.coalesce("_removed", F.lit(0)).cast("bigint").alias("removed_lines"),
-                    F.coalesce("_cuts", F.array().cast("array<array<bigint>>")).alias("cuts"))
+    joined = rows.join(blocks.hint("merge"), same, "left").drop("_id", "_key")
+    schema = joined.select(*rows.columns, F.lit(None).cast("array<array<bigint>>").alias("_cuts"),
+                           F.lit(0).cast("bigint").alias("_removed")).schema
+
+    place, names = rows.columns.index(name[text]), schema.names
+
+    def cut(batches):
+        for batch in batches:
+            texts, cuts, removed = batch.column(place), [], []
+            changed = [None] * batch.num_rows
+            for k, b in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
+                out = without_blocks(texts[k].as_buffer().to_pybytes(), b) if b else None
+                changed[k] = out[0].decode() if out else None
+                cuts.append(out[1] if out else [])
+                removed.append(out[2] if out else 0)
+            new = pa.array(changed, pa.string())
+            columns = list(batch.columns[:-1])
+            columns[place] = pa.compute.if_else(new.is_valid(), new, texts.cast(pa.string()))
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(cuts, pa.list_(pa.list_(pa.int64()))), pa.array(removed, pa.int64())],
+                names=names)
+
+    return restored(joined.mapInArrow(cut, schema), kept, name, F.col("_removed").alias("removed_lines"),
+                    F.col("_cuts").alias("cuts"))

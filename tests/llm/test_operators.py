@@ -7,11 +7,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stratum.llm import linedup, pii, tokencount
+from stratum.llm import pii, tokencount
 from stratum.llm.decontam import contamination, phrase_starts
 from stratum.llm.htmltext import main_text
 from stratum.llm.jaccard import jaccard_components
-from stratum.llm.linedup import common_blocks, dedup_lines, patience
+from stratum.llm.linedup import aligned_blocks, dedup_lines, without_blocks
 from stratum.llm.mixing import mix
 from stratum.llm.pii import find_personal_data
 from stratum.llm.quality import DUP_PCT, quality_rules
@@ -300,16 +300,23 @@ def test_pii_strays_and_second_hop(spark):
     assert got == {i: int(i != 51) for i, _ in rows}
 
 
-def test_patience():
+def test_aligned_blocks():
+    """Blocks hold exactly the windows of b that a has, and each is a run of equal words."""
     rnd = random.Random(19)
-    for _ in range(300):
-        a, b = words_of(rnd, rnd.randint(0, 12), "abcdefgh"), words_of(rnd, rnd.randint(0, 12), "abcdefgh")
-        pairs = patience(a, b)
-        assert all(a[i] == b[j] for i, j in pairs)
-        assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:]))
-    assert patience(list("xabcy"), list("abcz")) == [(1, 0), (2, 1), (3, 2)]
-    assert common_blocks(list("abcqde"), list("zabcde"), [1] * 6, 3) == [(1, 4)]
-    assert common_blocks(list("aaab"), list("caaab"), [1] * 5, 4) == [(1, 5)]
+    for trial in range(300):
+        letters = 3 if trial % 2 else 60
+        a = np.array([rnd.randrange(letters) for _ in range(rnd.randint(0, 60))], np.uint32)
+        b = np.array([rnd.randrange(letters) for _ in range(rnd.randint(0, 60))], np.uint32)
+        if trial % 3 == 0 and len(a) > 20 and len(b) > 20:
+            b[3:12], b[14:20] = a[10:19], a[2:8]            # swapped
+        blocks = aligned_blocks(a, b, 4)
+        windows = {tuple(a[k:k + 4]) for k in range(len(a) - 3)}
+        held = {k + j for k in range(len(b) - 3) if tuple(b[k:k + 4]) in windows for j in range(4)}
+        assert held == {k for x, y in blocks for k in range(x, y)}
+        for x, y in blocks:
+            assert any(np.array_equal(a[i:i + y - x], b[x:y]) for i in range(len(a) - (y - x) + 1))
+    chain = aligned_blocks(np.arange(20, dtype=np.uint32), np.r_[90:95, 0:8, 95:97, 12:20].astype(np.uint32), 4)
+    assert sorted(chain) == [(5, 13), (15, 23)]
 
 
 def test_line_dedup(spark):
@@ -354,23 +361,61 @@ def test_line_dedup_cuts_parts_of_sentences(spark):
                    4: "One two. " + " ".join(passage.split()[:29]), 5: "One three. q"}
 
 
+def words_left(t, seen, n):
+    """Places of the words of ``t`` in windows of ``n`` words that ``seen`` holds; adds the windows of ``t``."""
+    ws = WORD.findall(t)
+    windows = [tuple(ws[k:k + n]) for k in range(len(ws) - n + 1)]
+    gone = {k + j for k, w in enumerate(windows) if w in seen for j in range(n)}
+    seen.update(windows)
+    return ws, gone
+
+
 def test_line_dedup_brute_force(spark):
+    """Only words in windows of an earlier document are cut, and at least 0.9 of them."""
     rnd = random.Random(29)
-    texts = [(i, "".join(w + rnd.choice([" ", "  ", "\n", ". "]) for w in words_of(rnd, rnd.randint(0, 40), "abé")))
-             for i in range(60)]
-    got, seen = kept_texts(spark, texts, min_words=6), set()
+    passages = [words_of(rnd, rnd.randint(31, 90), [f"{c}{k}{'.' * (k % 9 == 0)}" for c in "abé" for k in range(40)]) for _ in range(15)]
+    texts = []
+    for i in range(60):
+        ws = [f"own{i}x{k}" for k in range(rnd.randint(0, 30))]
+        for _ in range(rnd.randint(0, 4)):
+            p = rnd.choice(passages)
+            a = rnd.randint(0, 8)
+            ws[len(ws) // 2:len(ws) // 2] = p[a:len(p) - rnd.randint(0, 8)]
+        texts.append((i, "".join(w + rnd.choice([" ", "  ", "\n"]) for w in ws)))
+    rows = {r["doc_id"]: r for r in dedup_lines(
+        spark.createDataFrame(texts, "doc_id bigint, text string").repartition(3)).collect()}
+    seen, all_gone, all_cut = set(), 0, 0
     for i, t in texts:
+        _, gone = words_left(t, seen, 30)
         spans = [m.span() for m in WORD.finditer(t)]
-        windows = [tuple(t[a:b] for a, b in spans[k:k + 6]) for k in range(len(spans) - 5)]
-        gone = {k + j for k, w in enumerate(windows) if w in seen for j in range(6)}
-        ends = [b for b, _ in spans[1:]] + [len(t)]
-        assert got[i] == t[:spans[0][0] if spans else 0] + "".join(
-            t[a:end] for k, ((a, _), end) in enumerate(zip(spans, ends)) if k not in gone), i
-        seen.update(windows)
-        ws = [t[a:b] for a, b in spans]
-        for _, u in texts[:i][:8]:      # what patience diff aligns is part of it
-            for lo, hi in common_blocks(WORD.findall(u), ws, [1] * len(ws), 6):
-                assert gone.issuperset(range(lo, hi))
+        cut = {k for k, (x, _) in enumerate(spans) for lo, hi in rows[i]["cuts"] if lo <= x < hi}
+        assert cut <= gone
+        ends = [x for x, _ in spans[1:]] + [len(t)]
+        assert rows[i]["text"] == "".join(t[x:e] for k, ((x, _), e) in enumerate(zip(spans, ends)) if k not in cut)
+        all_gone, all_cut = all_gone + len(gone), all_cut + len(cut)
+    assert all_gone > 1000 and all_cut >= 0.9 * all_gone
+
+
+def test_line_dedup_recall_on_the_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = sorted((r["doc_id"], r["text"] or "") for r in docs.select("doc_id", "text").collect())
+    cuts = {r["doc_id"]: r["cuts"] for r in dedup_lines(docs).collect()}
+    seen, all_gone, all_cut = set(), 0, 0
+    for i, t in texts:
+        _, gone = words_left(t, seen, 30)
+        cut = {k for k, m in enumerate(WORD.finditer(t)) for lo, hi in cuts[i] if lo <= m.start() < hi}
+        assert cut <= gone
+        all_gone, all_cut = all_gone + len(gone), all_cut + len(cut)
+    assert all_cut >= 0.9 * all_gone
+
+
+def test_without_blocks():
+    text = "é one. two three\nfour  five. six"
+    left, cuts, lines = without_blocks(text.encode(), [{"first": 2, "stop": 4}, {"first": 3, "stop": 5}])
+    assert (left.decode(), cuts, lines) == ("é one. five. six", [[7, 23]], 2)
+    long = " ".join(f"w{k}" for k in range(200_000))
+    left, cuts, lines = without_blocks(long.encode(), [{"first": k, "stop": k + 30} for k in range(0, 199_000, 60)])
+    assert len(left.split()) == 200_000 - 30 * len(cuts) and lines == 1
 
 
 def test_line_dedup_swapped_and_doubled_passages(spark):
@@ -380,12 +425,3 @@ def test_line_dedup_swapped_and_doubled_passages(spark):
                              (3, f"Own three. {p} Once more. {p} And {q} Over.")])
     assert got == {1: f"Own one. {p} Between. {q} End.", 2: "Own two. Middle. Last.",
                    3: "Own three. Once more. And Over."}
-
-
-def test_line_spans_cover_whole_texts():
-    from stratum.llm import columnar as C
-    import pyarrow as pa
-    buf, offs = C.text_bytes(pa.array(["a b. c\nd", "", None, " \n", "x!y? z"]))
-    start, end, words, doc = linedup.line_spans(buf, offs)
-    assert [(bytes(buf[a:b]).decode(), int(w), int(d)) for a, b, w, d in zip(start, end, words, doc)] \
-        == [("a b.", 2, 0), ("c", 1, 0), ("d", 1, 0), ("x!y?", 1, 4), ("z", 1, 4)]
