@@ -50,8 +50,8 @@ from stratum.plans import Lineage
 
 WIDTH, PERCENT = 5, 80
 BANDS, ASKS, PART = 16, 2, 64
-BUCKET_BYTES = 16 << 20      # text per token bucket
-FLUSH_TOKENS = 2 << 20       # prefix tokens a task holds before it sends them
+BUCKET_BYTES = 8 << 20       # text per token bucket
+FLUSH_TOKENS = 1 << 19       # prefix tokens a task holds before it sends them
 ASK_TOKENS = 1 << 18         # tokens of queries that meet a group in one task
 MAX_SCREEN_BITS = 26         # 8 MB
 SETTLED = 0                  # marks a token that is known to be shared
@@ -162,6 +162,7 @@ def shared_in_prefix(docs: DataFrame, text: str, width: int, percent: int, bucke
     def send(held):
         tokens, owners = np.concatenate([t for t, _ in held]), \
             np.repeat(np.array([i for _, i in held], np.int64), [len(t) for t, _ in held])
+        held.clear()
         order = np.argsort(tokens, kind="stable")
         first = C.run_starts(tokens[order])
         size = np.diff(np.append(first, len(tokens)))
@@ -308,6 +309,7 @@ def foreign_tokens(sets: DataFrame, buckets: int) -> DataFrame:
         def send():
             tokens = np.concatenate([t for t, _ in held])
             groups = np.repeat(np.array([g for _, g in held], np.int64), [len(t) for t, _ in held])
+            held.clear()
             order = np.lexsort((tokens, groups))
             tokens, groups = tokens[order], groups[order]
             new = np.ones(len(tokens), bool)
@@ -408,7 +410,10 @@ def groups_to_ask(opened: DataFrame, percent: int) -> tuple[DataFrame, DataFrame
 
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                        width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id, set_id) of every document."""
+    """(doc_id, n_shingles, component_id, set_id, text_key, class_id) of every document.
+
+    ``class_id`` tells classes apart whose ids are the same (rows with equal ids and other texts).
+    """
     if not 50 <= percent <= 100:
         raise ValueError("percent must lie between 50 and 100")
     spark = docs.sparkSession
@@ -441,10 +446,10 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     reps = classes.select("set_id", F.col("rep.doc_id").alias("rep"))
     linked = labels.join(reps, "set_id")
     smallest = linked.groupBy("component").agg(F.min("rep").alias("least"))
-    moved = linked.join(smallest, "component").select("set_id", "least")
+    moved = linked.join(smallest, "component").select("set_id", "least", F.col("component").alias("class_id"))
     component = classes.select("set_id", F.col("rep.doc_id").alias("rep")).join(moved, "set_id", "left") \
-        .select("set_id", F.coalesce("least", "rep").alias("component"))
+        .select("set_id", F.coalesce("least", "rep").alias("component"), F.coalesce("class_id", "set_id").alias("class_id"))
     has_id = F.col("doc_id").isNotNull()
     return all_docs.join(component, "set_id", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
-        F.when(has_id, F.coalesce("component", "doc_id")).alias("component_id"), "set_id")
+        F.when(has_id, F.coalesce("component", "doc_id")).alias("component_id"), "set_id", "text_key", "class_id")
