@@ -8,8 +8,8 @@ the columns of ``documents``.  ``n_chars`` follows the text.
 2. line_dedup: passages that an earlier document holds are cut out; a document
    of which no word is left is dropped.
 3. near_duplicates: of the documents that links join, the one with the smallest
-   id stays (of rows with that id, one).  Documents without words stay, as they
-   link with nothing, and so do rows with a null id.
+   id stays (of rows with that id and text, one).  Documents without words stay,
+   as they link with nothing, and so do rows with a null id.
 4. decontamination: documents with a window of a benchmark item are dropped.
 5. mixing: each document comes as often as the mix takes it, numbered in
    ``copy`` from 1; documents that the mix does not take are not in the result.
@@ -53,15 +53,17 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows, name = renamed(docs)
-    kept = jaccard_components(docs).filter(F.col("component_id") == F.col("doc_id")).select("doc_id").distinct()
-    doc_id = F.col(name["doc_id"])
-    has_id = rows.filter(doc_id.isNotNull())
-    nth = F.row_number().over(Window.partitionBy(doc_id.cast("bigint")).orderBy(
-        F.xxhash64(name["text"]), name["source"], name["lang"], name["n_chars"]))
+    first = jaccard_components(docs).filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)) \
+        .groupBy("class_id").agg(F.min(F.struct("doc_id", "text_key")).alias("row")).select("row.*").distinct()
+    body, doc_id = F.col(name["text"]), F.col(name["doc_id"])
+    alone = doc_id.isNull() | ~F.coalesce(body, F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    nth = F.row_number().over(Window.partitionBy(doc_id.cast("bigint"), F.xxhash64(body)).orderBy(
+        name["source"], name["lang"], name["n_chars"]))
     # texts meet decisions that grow with the input: a shuffle of both, at any size (here and below)
-    one = has_id.join(kept.hint("merge"), doc_id.cast("bigint") == F.col("doc_id"), "left_semi") \
+    same = (doc_id.cast("bigint") == F.col("doc_id")) & (F.xxhash64(body) == F.col("text_key"))
+    one = rows.filter(~alone).join(first.hint("merge"), same, "left_semi") \
         .withColumn("nth", nth).filter(F.col("nth") == 1).drop("nth")
-    return restored(one.unionByName(rows.filter(doc_id.isNull())), docs, name)
+    return restored(one.unionByName(rows.filter(alone)), docs, name)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
