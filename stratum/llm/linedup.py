@@ -47,7 +47,7 @@ from stratum.llm.frames import renamed, restored
 from stratum.plans import Lineage
 
 MIN_WORDS = 30
-LINE_WORDS = 8
+LINE_WORDS = 12
 PAGE = 64               # slices begin and end at multiples of so many words
 SCREEN_BITS = (16, 26)  # least and most, as powers of two
 LINES = "doc_id bigint, text_key bigint, line bigint, pos bigint"
