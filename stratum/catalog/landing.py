@@ -1,4 +1,4 @@
-"""Text landing on ``events`` (S1, S6, R6): lines written as text files, read back in file order."""
+"""Landing and sink (S1, S2, S5, S6, R6): text files read back in file order, partitioned tables written and read."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from stratum.functions import cents
 from stratum.plans import Lineage
-from stratum.sources.tables import load, read_lines
+from stratum.sources.tables import load, read_lines, write_result
 
 
 def q_text_landing(spark, sf_dir):
@@ -22,9 +22,27 @@ def q_text_landing(spark, sf_dir):
     return read_lines(spark, path).select("row_index", "value", number.alias("number"))
 
 
-QUERIES = {"text_landing": q_text_landing}
+def q_landing_sink(spark, sf_dir):
+    """A result written by the sink as a partitioned table, landed again with its types, and read by partition."""
+    li = load(spark, sf_dir, "lineitem").groupBy("l_returnflag", "l_suppkey").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum(cents("l_extendedprice")).alias("cents"), F.max("l_shipdate").alias("last"))
+    path = f"{Lineage(spark).root}/sink"
+    write_result(li, path, partition_by=["l_returnflag"])
+    write_result(li.where(F.col("l_returnflag") == "R"), path, mode="append", partition_by=["l_returnflag"])
+    landed = spark.read.schema(li.schema).parquet(path)
+    return landed.where(F.col("l_returnflag") != "N").groupBy("l_returnflag", "l_suppkey").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("n_lines").alias("n_lines"), F.sum("cents").alias("cents"),
+        F.max("last").alias("last"))
+
+
+QUERIES = {"text_landing": q_text_landing, "landing_sink": q_landing_sink}
 
 SQL = {
+    # rows of the flag that was appended count twice
+    "landing_sink": """SELECT l_returnflag, l_suppkey, CASE l_returnflag WHEN 'R' THEN 2 ELSE 1 END::BIGINT AS n_rows,
+       (count(*) * CASE l_returnflag WHEN 'R' THEN 2 ELSE 1 END)::BIGINT AS n_lines,
+       (sum(CAST(round(l_extendedprice * 100) AS BIGINT)) * CASE l_returnflag WHEN 'R' THEN 2 ELSE 1 END)::BIGINT AS cents,
+       max(l_shipdate) AS last FROM lineitem WHERE l_returnflag <> 'N' GROUP BY l_returnflag, l_suppkey""",
     "text_landing": """SELECT row_number() OVER (ORDER BY event_id) AS row_index,
        CASE WHEN event_type IN ('error', 'view') THEN 'L' ELSE 'R' END || CAST(c AS VARCHAR) AS value,
        CASE WHEN event_type IN ('error', 'view') THEN -c ELSE c END AS number

@@ -65,6 +65,10 @@ def q_ring_edges(spark, sf_dir):
     return op.ring_edges(skyline(spark, sf_dir), "poly", "k")
 
 
+def q_corner_inset(spark, sf_dir):
+    return op.corner_inset(skyline(spark, sf_dir), "poly", "k")
+
+
 def q_polygon_area(spark, sf_dir):
     cells = op.polygon_cells(skyline(spark, sf_dir), "poly", "k")
     return cells.where("inside").groupBy("poly").agg(F.sum("tiles").cast("bigint").alias("inside_tiles"))
@@ -78,6 +82,7 @@ QUERIES = {
     "max_rectangle": q_max_rectangle,
     "compress_coordinates": q_compress_coordinates,
     "ring_edges": q_ring_edges,
+    "corner_inset": q_corner_inset,
     "polygon_area": q_polygon_area,
     "max_interior_rectangle": q_max_interior_rectangle,
 }
@@ -123,6 +128,16 @@ SELECT 'x' AS axis, x AS v, CAST(dense_rank() OVER (ORDER BY x) AS BIGINT) AS id
 UNION ALL
 SELECT 'y', y, CAST(dense_rank() OVER (ORDER BY y) AS BIGINT) FROM (SELECT DISTINCT y FROM pts)""",
     "ring_edges": f"WITH {_SKY} SELECT poly, k, x, y, nx, ny FROM edges",
+    # by a table of the directions of both edges; these rings go up first, with the inside on the right
+    "corner_inset": f"""WITH {_SKY},
+d AS (SELECT *, CASE WHEN ny > y THEN 'up' WHEN ny < y THEN 'down' WHEN nx > x THEN 'right' ELSE 'left' END AS away
+      FROM edges),
+c AS (SELECT *, coalesce(lag(away) OVER w, last_value(away) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS came
+      FROM d WINDOW w AS (PARTITION BY poly ORDER BY k)),
+t(came, away, turn, dx, dy) AS (VALUES ('up', 'right', 1, 0, 1), ('right', 'down', 1, 1, 1), ('down', 'left', 1, 1, 0),
+  ('left', 'up', 1, 0, 0), ('right', 'up', -1, 0, 1), ('up', 'left', -1, 0, 0), ('left', 'down', -1, 1, 0), ('down', 'right', -1, 1, 1))
+SELECT poly, k, x, y, CAST(turn AS BIGINT) AS turn, CAST(x + dx AS BIGINT) AS ix, CAST(y + dy AS BIGINT) AS iy
+FROM c JOIN t USING (came, away)""",
     "polygon_area": f"""WITH {_SKY}, {_TILES}
 SELECT poly, CAST(count(*) AS BIGINT) AS inside_tiles FROM ins WHERE inside GROUP BY poly""",
     "max_interior_rectangle": f"""WITH {_SKY}, {_TILES},

@@ -123,7 +123,7 @@ def compress(values: DataFrame, value: str, keys: list[str] = (), out: str = "id
 # Rectilinear polygons (U23-U28).  Polygons are rings of integer vertices
 # ``(poly, k, x, y)`` in ring order; a vertex stands for a unit tile and an
 # edge covers the tiles it passes.  "Inside" means on the boundary or
-# enclosed, i.e. the tile semantics of the reference.
+# enclosed.
 # ---------------------------------------------------------------------------
 
 
@@ -137,6 +137,45 @@ def ring_edges(vertices: DataFrame, poly: str, order: str, x: str = "x", y: str
         F.coalesce(F.lead(y).over(w), F.first(y).over(whole)).alias("ny"))
 
 
+def corner_inset(vertices: DataFrame, poly: str, order: str, x: str = "x", y: str = "y") -> DataFrame:
+    """The corners of a ring of tiles, moved from the tiles to the grid lines around the ring.
+
+    A vertex (x, y) stands for the tile with corners (x, y) and (x + 1, y + 1).  The outline passes
+    one of the four: away from the inside on the axis of either edge.  For a ring that runs with its
+    inside on the right (y down: clockwise), an edge to the right has the inside below, one down has
+    it to the left, and so on, so the offset of an axis is 1 where the edge across it has the inside
+    on the lesser side.  The turn sense of the whole ring (the sign of its area) tells on which side
+    the inside is, so rings may run either way.  Returns ``(poly, order, x, y, turn, ix, iy)``, turn
+    being 1 where the ring bends as it does as a whole and -1 where it bends back.
+
+    Defined cases: NULL coordinates drop the vertex; repeated vertices and those in the middle of a
+    straight line are no corners and are left out; a ring without area has none.
+    """
+    ring = Window.partitionBy(poly).orderBy(order)
+    all_of = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    v = vertices.select(poly, order, F.col(x).cast("bigint").alias(x), F.col(y).cast("bigint").alias(y)) \
+        .where(F.col(x).isNotNull() & F.col(y).isNotNull())
+
+    def around(df):
+        """Both neighbours of every vertex, the ends wrapping round."""
+        return df.select("*", *[F.coalesce(f(c).over(ring), end(c).over(all_of)).alias(f"_{side}{c}")
+                                for c in (x, y) for side, f, end in (("p", F.lag, F.last), ("n", F.lead, F.first))])
+
+    v = around(v).where((F.col(x) != F.col(f"_n{x}")) | (F.col(y) != F.col(f"_n{y}"))).select(poly, order, x, y)
+    v = around(v)
+    bend = (F.col(x) - F.col(f"_p{x}")) * (F.col(f"_n{y}") - F.col(y)) \
+        - (F.col(y) - F.col(f"_p{y}")) * (F.col(f"_n{x}") - F.col(x))
+    twice = F.sum(F.col(x) * F.col(f"_n{y}") - F.col(f"_n{x}") * F.col(y)).over(Window.partitionBy(poly))
+    v = v.withColumn("_bend", F.signum(bend)).withColumn("_sense", F.signum(twice)) \
+        .where((F.col("_bend") != 0) & (F.col("_sense") != 0))
+    dx, dy = F.signum(F.col(f"_n{x}") - F.col(f"_p{x}")), F.signum(F.col(f"_n{y}") - F.col(f"_p{y}"))
+    # the path from the previous to the next vertex goes on along both axes at a corner
+    right = (dy * F.col("_sense") > 0).cast("bigint")       # going down with the inside on the left: the far side
+    below = (dx * F.col("_sense") < 0).cast("bigint")
+    return v.select(poly, order, x, y, (F.col("_bend") * F.col("_sense")).cast("bigint").alias("turn"),
+                    (F.col(x) + right).alias("ix"), (F.col(y) + below).alias("iy"))
+
+
 def compressed_axis(vertices: DataFrame, poly: str, coord: str) -> DataFrame:
     """U22 (tile form): per polygon, the distinct vertex coordinates become
     odd indices 1, 3, 5, ... ("lines", one tile wide) and the open gaps

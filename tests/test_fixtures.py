@@ -271,3 +271,18 @@ def test_k_core_degrees_at_least_k(spark):
     core = graphs.k_core(e, 6)
     degs = [r["degree"] for r in graphs.degrees(core).collect()]
     assert degs and min(degs) >= 6
+
+
+def test_corner_inset(spark):
+    """Corners of the outline around a ring of tiles, whichever way the ring runs."""
+    square, bent = [(0, 0), (4, 0), (4, 3), (0, 3)], [(0, 0), (4, 0), (4, 2), (2, 2), (2, 4), (0, 4)]
+    loose = [(0, 0), (2, 0), (4, 0), (4, 0), (4, 3), (0, 3)]        # a straight middle and a repeated vertex
+    rows = [(name, k, x, y) for name, ring in {
+        "square": square, "bent": bent, "back": bent[::-1], "loose": loose, "flat": [(1, 1), (1, 1), (5, 1)]}.items()
+        for k, (x, y) in enumerate(ring)] + [("square", 9, None, 2)]
+    got = {}
+    for r in spatial.corner_inset(spark.createDataFrame(rows, "poly string, k long, x long, y long"), "poly", "k").collect():
+        got.setdefault(r["poly"], set()).add((r["x"], r["y"], r["turn"], r["ix"], r["iy"]))
+    box = {(0, 0, 1, 0, 0), (4, 0, 1, 5, 0), (4, 3, 1, 5, 4), (0, 3, 1, 0, 4)}
+    ell = {(0, 0, 1, 0, 0), (4, 0, 1, 5, 0), (4, 2, 1, 5, 3), (2, 2, -1, 3, 3), (2, 4, 1, 3, 5), (0, 4, 1, 0, 5)}
+    assert got == {"square": box, "loose": box, "bent": ell, "back": ell}
