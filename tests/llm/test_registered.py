@@ -59,3 +59,15 @@ def test_pipeline_on_odd_rows(spark):
             if name == "near_duplicates":
                 assert sorted(str(r["doc_id"]) for r in state.collect()) == (["1", "2", "3", "None"] if frame is docs else [])
         assert state.columns == [*docs.columns, "copy"]
+
+
+def test_near_duplicates_keep_rows_and_not_ids(spark):
+    """Equal ids with other texts: the copy goes, the unique text stays."""
+    import corpus_pipeline
+    a, b = "one two three four five six seven", "alpha beta gamma delta epsilon zeta eta"
+    rows = [(3, b), (5, b), (5, a), (6, ""), (6, ""), (None, a), (7, a), (8, a + " " + b), (8, a + " " + b)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows],
+                                 "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = corpus_pipeline.keep_one_of_each_group(spark, docs, "").collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in got) == sorted(
+        [("3", b), ("5", a), ("6", ""), ("6", ""), ("None", a), ("8", a + " " + b)])
