@@ -18,13 +18,16 @@ be readable on every executor.  It is loaded once per Python worker.
 Defined cases: a null field counts as empty, and an empty document has one
 section (0 of field 0) without tokens; a null id stays null; equal rows give
 equal rows; an empty table gives an empty result; other columns are ignored.
-Special tokens' strings in a text are ordinary text.
+Special tokens' strings in a text are ordinary text.  Very long texts are encoded
+whole; white space of ``LONG_SPACE`` code points and more is one pre-token but for its
+last code point before a word, so it goes to the encoder as a piece of its own.
 """
 
 from __future__ import annotations
 
 import base64
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -36,13 +39,16 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
            r"|\s+(?!\S)|\s+")
 RULES = ("first", "most", "share")
+LONG_SPACE = 10_000
+# fixed value: the white space of the pattern's \s
+SPACE_RUN = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG_SPACE)
 SCHEMA = ("doc_id bigint, field int, section int, start bigint, end bigint, n_tokens {count}, "
           "n_crossing bigint, doc_tokens bigint")
 _loaded: dict = {}
 
 
 def encoder(vocabulary: str):
-    """(encode, byte length of each token) of a rank file, once per worker."""
+    """(encode, encode one pre-token, byte length of each token) of a rank file, once per worker."""
     if vocabulary not in _loaded:
         import tiktoken
         with open(vocabulary, "rb") as f:
@@ -52,14 +58,20 @@ def encoder(vocabulary: str):
             lengths[rank] = len(piece)
         own = tiktoken.Encoding(os.path.basename(vocabulary), pat_str=PATTERN, mergeable_ranks=ranks,
                                 special_tokens={})
-        _loaded[vocabulary] = own.encode_ordinary, lengths
+        _loaded[vocabulary] = own.encode_ordinary, own._encode_single_piece, lengths
     return _loaded[vocabulary]
 
 
 def token_ends(text: str, vocabulary: str) -> np.ndarray:
     """Byte offset at which each token of ``text`` ends."""
-    encode, lengths = encoder(vocabulary)
-    return np.cumsum(lengths[np.asarray(encode(text), np.int64)])
+    encode, encode_piece, lengths = encoder(vocabulary)
+    tokens, at = [], 0
+    for run in SPACE_RUN.finditer(text):
+        stop = run.end() if run.end() == len(text) else run.end() - 1
+        tokens += [encode(text[at:run.start()]), encode_piece(text[run.start():stop])]
+        at = stop
+    tokens.append(encode(text[at:]))
+    return np.cumsum(np.concatenate([lengths[np.asarray(t, np.int64)] for t in tokens]))
 
 
 def attribute(ends: np.ndarray, cuts: np.ndarray, rule: str) -> tuple[np.ndarray, int]:
