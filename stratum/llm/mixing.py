@@ -10,7 +10,8 @@ expectation stays; so the words taken keep their sum exactly, but for the one
 unit of a source that is left at the end and rounded to the nearer number.
 
 The meetings form a reduction tree.  The units of a source are dealt by a hash
-of the document id into blocks of about ``BLOCK`` units; a block is folded from
+of the document id, size, text and number among equal rows into blocks of about
+``BLOCK`` units, so rows with one id (or none) spread too; a block is folded from
 the largest unit down and hands at most one unit to the next level, which has
 ``BLOCK`` times fewer blocks.  So no task ever sees more than about ``BLOCK``
 units of a key, however much one source holds.  The random numbers are hashes
@@ -21,7 +22,9 @@ share ``share`` times all words; a target stops at ``most`` times its source's
 size and the excess is shared again by weight until none is above.
 
 Defined cases: a null or empty text has size 0 and nothing of it is taken.
-Rows with equal ids are separate units.  An empty table gives an empty result.
+Rows with equal ids are separate units; equal rows are counted before they are shuffled
+and numbered in pieces of ``PIECE``.  An empty table gives an empty result.  Very long
+texts are only counted and hashed, never shuffled.
 Any other columns of the input are ignored.
 """
 
@@ -40,7 +43,8 @@ WEIGHTS = (5.0, 2.0, 1.0)
 BLOCK = 64
 MASS = 1 << 16   # units of mass in a word
 DRAW = 1 << 30   # steps of a random number
-STATE = ("doc_id", "text_key", "source_id", "source_size", "target", "base", "mass", "copies")
+PIECE = 1 << 12  # equal rows that are numbered in one step
+STATE = ("doc_id", "text_key", "nth", "source_id", "source_size", "target", "base", "mass", "copies")
 
 
 def source_targets(sizes: DataFrame, lineage: Lineage, share: float = 1.5, most: float = 2.0,
@@ -117,6 +121,16 @@ def _reduce(units: DataFrame, keys: list) -> DataFrame:
                     .select(F.explode(_fold(F.col("units"))).alias("u")).select("u.*"))
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Each distinct row as often as it occurs, with its number ``nth`` among its equals."""
+    keys = rows.columns
+    pieces = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).select(
+        *keys, "n", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1, F.lit(PIECE))).alias("piece"))
+    upto = F.least(F.col("n"), F.col("piece") + PIECE) - 1
+    return pieces.repartition("doc_id", "text_key", "piece") \
+        .select(*keys, F.explode(F.sequence(F.col("piece"), upto)).alias("nth"))
+
+
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
         share: float = 1.5, most: float = 2.0, weights: tuple = WEIGHTS) -> DataFrame:
     """(doc_id, size, source_size, target, taken, copies, source_id, text_key) for every document.
@@ -124,23 +138,23 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     ``source_id`` numbers the sources in their order; ``text_key`` is xxhash64 of the text.
     """
     lineage = Lineage(docs.sparkSession, every=1)
-    sized = lineage.cut(docs.select(
+    sized = lineage.cut(_numbered(docs.select(
         F.col(doc_id).cast("bigint").alias("doc_id"), F.col(source).alias("source"),
         F.xxhash64(text).alias("text_key"),
-        F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("bigint").alias("size")),
+        F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"))),
         force=True)
     targets = source_targets(sized, lineage, share, most, weights)
     n = sized.count()
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     base = F.floor(ratio).cast("bigint")
     state = _settled(sized.join(targets, sized["source"].eqNullSafe(targets["source"])).select(
-        "size", "doc_id", "text_key", "source_id", "source_size", "target", base.alias("base"),
+        "size", "doc_id", "text_key", "nth", "source_id", "source_size", "target", base.alias("base"),
         F.round((ratio - base) * F.col("size") * MASS).cast("bigint").alias("mass"),
         F.lit(None).cast("bigint").alias("copies")))
     is_open = F.col("copies").isNull()
     done, blocks = [], max(1, math.ceil(n / BLOCK))
     while True:
-        block = F.pmod(F.xxhash64("doc_id", "size"), F.lit(blocks)).alias("block")
+        block = F.pmod(F.xxhash64("doc_id", "size", "text_key", "nth"), F.lit(blocks)).alias("block")
         state = lineage.cut(state.filter(~is_open).unionByName(
             _reduce(state.filter(is_open), ["source_id", block])), force=True)
         done.append(state.filter(~is_open))
