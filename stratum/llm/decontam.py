@@ -156,7 +156,12 @@ def phrase_starts(lists: list[np.ndarray], slop: int = 0) -> tuple[np.ndarray, n
 
 
 def find_windows(index: DataFrame, windows: DataFrame, slop: int = 0) -> DataFrame:
-    """(shard, doc_no, spans, window_ids): the words hit in each document, and by which windows."""
+    """(shard, doc_no, spans, window_ids): the words hit in each document, and by which windows.
+
+    A match spans fewer words than documents are apart, so ``slop`` is below half of ``GAP``.
+    """
+    if not 0 <= slop < GAP // 2:
+        raise ValueError(f"slop must be from 0 to {GAP // 2 - 1}")
     texts = windows.dropDuplicates(["window_id"]).select("window_id", "terms")
     postings = index.filter(F.col("term").isNotNull())
     frequency = postings.groupBy("term").agg(F.sum("n").alias("frequency"))
