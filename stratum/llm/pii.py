@@ -29,18 +29,22 @@ row for each distinct string in it.
 
 Defined cases: a null or empty text has no spans; a null id stays null; equal
 rows have equal spans; texts without candidates cost nothing beyond the scan;
-an empty table gives an empty result; other columns are ignored.  Offsets are
-code points, ends exclusive.
+very long texts are read whole, words of the context at any distance and of any
+length; an empty table gives an empty result; other columns are ignored.  Offsets
+are code points, ends exclusive.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
+from bisect import bisect_left, bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratum.functions import int_div
 from stratum.plans import Lineage
 
 KINDS = ("email", "ip", "card", "phone")
@@ -54,7 +58,8 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: groups of digits joined by one separator: every ip and card lies in one of these
 CLUSTER = re.compile(r"[0-9]++(?:[\x20.-][0-9]++)*+")
 WORD = re.compile(r"[^\W\d_]+")
-CONTEXT = 80
+LONG_CONTEXT = 64     # a longer context stands in the written table as its digest
+ONE = 10**9           # confidences are whole billionths, so that sums do not depend on their order
 
 MIN_SEEDS, MIN_CONFIDENCE, ROUNDS = 3, 0.8, 3
 SPANS = "array<struct<kind:int,start:bigint,end:bigint>>"
@@ -137,12 +142,26 @@ def candidate_spans(text: str, clusters: list[tuple[int, int]], seeds: list) ->
     return out
 
 
-def _context(text: str, kind: int, seed: bool, a: int, b: int) -> dict:
-    left = [w.lower() for w in WORD.findall(text[max(0, a - CONTEXT):a])][-2:]
-    right = WORD.search(text[b:b + CONTEXT])
-    return {"kind": kind, "seed": seed, "start": a, "end": b, "value": text[a:b],
-            "before2": " ".join(left) if len(left) == 2 else None,
-            "around": f"{left[-1]} _ {right[0].lower()}" if left and right else None}
+def _key(context: str) -> str:
+    return context if len(context) <= LONG_CONTEXT else hashlib.sha256(
+        context.encode("utf-8", "surrogatepass")).hexdigest()
+
+
+def _contexts(text: str, entities: list[tuple[int, bool, int, int]]) -> list[dict]:
+    """The (kind, seed, start, end) entities with the words around them, at any distance."""
+    if not entities:
+        return []
+    words = [m.span() for m in WORD.finditer(text)]
+    starts, ends = [w[0] for w in words], [w[1] for w in words]
+    out = []
+    for kind, seed, a, b in entities:
+        k, j = bisect_left(starts, a), bisect_right(ends, b)
+        left = [text[starts[i]:min(ends[i], a)].lower() for i in range(max(0, k - 2), k)]
+        right = text[max(starts[j], b):ends[j]].lower() if j < len(ends) else None
+        out.append({"kind": kind, "seed": seed, "start": a, "end": b, "value": text[a:b],
+                    "before2": _key(" ".join(left)) if len(left) == 2 else None,
+                    "around": _key(f"{left[-1]} _ {right}") if left and right else None})
+    return out
 
 
 def find_entities(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -164,9 +183,9 @@ def find_entities(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
                     clusters = [m.span() for m in CLUSTER.finditer(t)]
                     found = seed_spans(t, clusters)
                     seeds.append([{"kind": k, "start": a, "end": b} for k, a, b in found])
-                    contexts.append(
-                        [_context(t, k, True, a, b) for k, a, b in found]
-                        + [_context(t, k, False, a, b) for k, a, b in candidate_spans(t, clusters, found)])
+                    contexts.append(_contexts(
+                        t, [(k, True, a, b) for k, a, b in found]
+                        + [(k, False, a, b) for k, a, b in candidate_spans(t, clusters, found)]))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(seeds, schema.field(2).type),
                      pa.array(contexts, schema.field(3).type)], schema=schema)
@@ -196,15 +215,16 @@ def bootstrap(found: DataFrame, lineage: Lineage, min_seeds: int = MIN_SEEDS,
     graph = lineage.cut(edges.join(useful, ["pattern", "kind"]).select(
         "pattern", "total", "kind", "seed", "instance"), force=True)
     # instance confidence: 1 for seeds, and 0 for candidates at first
-    belief = graph.filter(F.lit(False)).select("kind", "instance", F.lit(0.0).alias("belief"))
+    belief = graph.filter(F.lit(False)).select("kind", "instance", F.lit(0).cast("bigint").alias("belief"))
+    sure = round(min_confidence * ONE)
     for _ in range(rounds):
-        held = seed | (F.col("belief") >= min_confidence)
+        held = seed | (F.col("belief") >= sure)
         confidence = graph.join(belief, ["kind", "instance"], "left").groupBy("pattern", "kind").agg(
-            (F.sum(F.when(seed, 1.0).otherwise(F.coalesce("belief", F.lit(0.0)))) / F.max("total"))
+            int_div(F.sum(F.when(seed, ONE).otherwise(F.coalesce("belief", F.lit(0)))), F.max("total"))
             .alias("confidence"), F.count(F.when(held, 1)).alias("held")).filter(F.col("held") >= min_seeds)
         belief = lineage.cut(graph.filter(~seed).join(confidence, ["pattern", "kind"])
                              .groupBy("kind", "instance").agg(F.max("confidence").alias("belief")), force=True)
-    accepted = belief.filter(F.col("belief") >= min_confidence).select("kind", "instance", "belief")
+    accepted = belief.filter(F.col("belief") >= sure).select("kind", "instance", "belief")
     spots = occurrences.filter(~seed).select(
         "doc_id", "text_key", "kind", "start", "end", F.xxhash64("value").alias("instance"))
     # a string is accepted where it stands, in any context
