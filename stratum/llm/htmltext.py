@@ -15,12 +15,15 @@ headings and short paragraphs stay with their article.
 
 Hidden elements and boilerplate tags drop all that is in them.  Class, id and role
 words only mark an element that holds neither the article or main element with the
-most unlinked text nor more than half of the page's unlinked text.
+most unlinked text nor more than half of the page's unlinked text.  Elements named as
+reader comments are left out of these sums and never spared for their size, unless all
+text of the page stands in them, or the page's only article or main element does.
 
 Defined cases: null, empty or text-free pages give an empty text.  Tags that
 are never closed, stray end tags, unclosed comments and quotes are accepted.
 Pages are independent of each other; equal rows give equal rows; other columns
-are ignored.  Nothing is capped: the whole page is read and kept.
+are ignored.  Nothing is capped: the whole page is read and kept.  Paths are numbered,
+so pages nested thousands of blocks deep take memory in proportion to their length.
 """
 
 from __future__ import annotations
@@ -50,6 +53,9 @@ BOILER_WORDS = set(
     "nav navbar navigation menu breadcrumb breadcrumbs pagination pager share sharing social comment comments disqus "
     "replies respond footer header masthead toolbar login search skip hidden copyright alert contentinfo complementary "
     "form".split())
+COMMENT_WORDS = set("comment comments disqus replies respond".split())
+# words that tell of a page's state: "no-comments", "comments-open"
+STATE_WORDS = set("no has with without open opened closed enabled disabled".split())
 PAGE_ONLY = {"header", "banner"}     # no boilerplate inside an article: its own heading
 MAIN_TAGS = {"article", "main"}
 PUNCTUATION = re.compile(r"[.,;:!?…、。，！？]")
@@ -69,7 +75,11 @@ MAIN_WEIGHT = 4.0
 
 
 class Block:
-    """Text of one block with its tag path; ``main`` is (number, path) of its outermost article or main element."""
+    """Text of one block with the number of its tag path.
+
+    ``main`` is (place, path) of its outermost article or main element; ``marks`` are the places of
+    the elements around it that are marked by their words.
+    """
 
     __slots__ = ("path", "boiler", "marks", "main", "text", "linked")
 
@@ -92,21 +102,67 @@ def _hidden(attrs: str) -> bool:
     return False
 
 
-def _boiler_names(attrs: str, inside_main: bool) -> bool:
-    if not attrs or attrs.isspace():
-        return False
+def _boiler_names(attrs: str, inside_main: bool) -> tuple[bool, bool]:
+    """(marked as boilerplate, marked as reader comments) by class, id and role."""
+    marked = False
     for m in NAMES.finditer(attrs):
-        words = {w.lower() for w in WORDS.findall(m[1])} & BOILER_WORDS
-        if words - PAGE_ONLY or words and not inside_main:
-            return True
-    return False
-
-
-def blocks_of(page: str) -> list[Block]:
-    """Blocks with text, in page order."""
+        for name in m[1].strip("\"'").split():
+            words = {w.lower() for w in WORDS.findall(name)}
+            if words & COMMENT_WORDS and words & STATE_WORDS:
+                continue
+            if words & COMMENT_WORDS:
+                return True, True
+            words &= BOILER_WORDS
+            marked = marked or bool(words - PAGE_ONLY or words and not inside_main)
+    return marked, False
+
+
+class Paths:
+    """Numbered tag paths: each is its parent's number and a tag; 0 is the root, parents come first."""
+
+    def __init__(self):
+        self.parent, self.tag, self.depth, self.known = [0], [""], [0], {}
+
+    def child(self, path: int, tag: str) -> int:
+        number = self.known.setdefault((path, tag), len(self.parent))
+        if number == len(self.parent):
+            self.parent.append(path)
+            self.tag.append(tag)
+            self.depth.append(self.depth[path] + 1)
+        return number
+
+    def common(self, paths: set[int]) -> int:
+        """The container of all paths: a single path's own parent, else the deepest path above all."""
+        paths = set(paths)
+        if len(paths) == 1:
+            path = paths.pop()
+            return self.parent[path] if self.depth[path] > 1 else path
+        while len(paths) > 1:
+            deepest = max(self.depth[p] for p in paths)
+            paths = {self.parent[p] if self.depth[p] == deepest else p for p in paths}
+        return paths.pop()
+
+    def below(self, top: int) -> np.ndarray:
+        """For each path, whether it is ``top`` or lies in it."""
+        inside = np.zeros(len(self.parent), bool)
+        for p, parent in enumerate(self.parent):
+            inside[p] = p == top or p > 0 and inside[parent]
+        return inside
+
+    def text(self, path: int) -> str:
+        tags = []
+        while path:
+            tags.append(self.tag[path])
+            path = self.parent[path]
+        return "".join(f"/{t}" for t in reversed(tags))
+
+
+def blocks_of(page: str) -> tuple[list[Block], Paths]:
+    """Blocks with text, in page order, and the paths that they number."""
     out: list[Block] = []
+    paths, comments = Paths(), set()
     # (tag, path, boilerplate, places of the elements marked by their words, outermost article or main)
-    stack: list[tuple[str, str, bool, tuple, tuple | None]] = []
+    stack: list[tuple[str, int, bool, tuple, tuple | None]] = []
     current, links, at = None, 0, 0
 
     def add(piece: str) -> None:
@@ -116,7 +172,7 @@ def blocks_of(page: str) -> list[Block]:
         if current is None:
             if piece.isspace():
                 return
-            current = Block(*(stack[-1] if stack else ("", "", False, (), None))[1:])
+            current = Block(*(stack[-1] if stack else ("", 0, False, (), None))[1:])
             out.append(current)
         piece = _html.unescape(piece) if "&" in piece else piece
         current.text.append(piece)
@@ -145,7 +201,7 @@ def blocks_of(page: str) -> list[Block]:
         if tag in VOID:
             continue
         if close:
-            if any(s[0] == tag for s in stack):
+            if any(s[0] == tag for s in reversed(stack)):
                 while stack.pop()[0] != tag:
                     pass
                 links = 0
@@ -164,35 +220,41 @@ def blocks_of(page: str) -> list[Block]:
                     break
                 if stack[k][0] in CLOSES_SAME[tag]:
                     break
-        _, path, boiler, marks, main = stack[-1] if stack else ("", "", False, (), None)
+        _, path, boiler, marks, main = stack[-1] if stack else ("", 0, False, (), None)
         if tag not in ("html", "body"):
             boiler = boiler or _hidden(attrs) or tag in BOILER_TAGS and not (tag == "header" and main)
-            if _boiler_names(attrs, main is not None):
+            marked, comment = _boiler_names(attrs, main is not None)
+            if marked:
                 marks = (*marks, m.start())
-        path = f"{path}/{tag}"
+            if comment:
+                comments.add(m.start())
+        path = paths.child(path, tag)
         stack.append((tag, path, boiler, marks, main or ((m.start(), path) if tag in MAIN_TAGS else None)))
     add(page[at:])
     out = [b for b in out if any(not t.isspace() for t in b.text)]
-    _judge_marks(out)
-    return out
+    _judge_marks(out, comments)
+    return out, paths
 
 
-def _judge_marks(blocks: list[Block]) -> None:
+def _judge_marks(blocks: list[Block], comments: set[int]) -> None:
     """Blocks in a marked element are boilerplate, unless the page's article or most of its text is in it."""
     if not any(b.marks for b in blocks):
         return
+    seen = [b for b in blocks if not b.boiler]
+    plain = [b for b in seen if comments.isdisjoint(b.marks)]
+    if not any(b.main for b in plain) and len({b.main for b in seen if b.main}) == 1 or not plain:
+        plain = seen
     marked, mains, total = {}, {}, 0
-    for b in blocks:
-        if not b.boiler:
-            size = b.unlinked()
-            total += size
-            for k in b.marks:
-                marked[k] = marked.get(k, 0) + size
-            if b.main:
-                mains[b.main] = mains.get(b.main, 0) + size
+    for b in plain:
+        size = b.unlinked()
+        total += size
+        for k in b.marks:
+            marked[k] = marked.get(k, 0) + size
+        if b.main:
+            mains[b.main] = mains.get(b.main, 0) + size
     largest = max(mains, key=mains.get, default=None)
-    spared = {k for k, size in marked.items() if 2 * size > total}
-    for b in blocks:
+    spared = {k for k, size in marked.items() if 2 * size > total and (k not in comments or size == total)}
+    for b in plain:
         if b.main and b.main == largest:
             spared.update(k for k in b.marks if k <= largest[0])
     for b in blocks:
@@ -208,7 +270,7 @@ def _smooth(x: np.ndarray) -> np.ndarray:
     return np.convolve(x, KERNEL, "same") / weight
 
 
-def content_blocks(blocks: list[Block]) -> tuple[list[str], str]:
+def content_blocks(blocks: list[Block], paths: Paths) -> tuple[list[str], str]:
     """(texts of the content blocks, the path of their container)."""
     blocks = [b for b in blocks if not b.boiler]
     if not blocks:
@@ -229,35 +291,22 @@ def content_blocks(blocks: list[Block]) -> tuple[list[str], str]:
     mains = {b.main for b, c in zip(blocks, chosen) if c and b.main}
     if mains:
         tops = {path for _, path in mains}
-        root = tops.pop() if len(tops) == 1 else _common(tops)
+        root = tops.pop() if len(tops) == 1 else paths.common(tops)
         chosen = [b.main in mains for b in blocks]
     else:
-        root = _common(roots)
+        root = paths.common(roots)
         places = np.flatnonzero(chosen)     # other elements may have the same path: only what lies between
-        if root.rpartition("/")[2] in ("", "html", "body"):
+        if paths.tag[root] in ("", "html", "body"):
             chosen = [c or places[0] <= k <= places[-1] and free[k] > 0.5 for k, c in enumerate(chosen)]
         else:
-            chosen = [places[0] <= k <= places[-1] and (b.path == root or b.path.startswith(root + "/"))
-                      for k, b in enumerate(blocks)]
-    return [t for t, c in zip(texts, chosen) if c and t], root
-
-
-def _common(paths: set[str]) -> str:
-    """The container of all paths: a single path's own parent, else the longest common prefix."""
-    parts = [p.split("/") for p in paths]
-    if len(parts) == 1:
-        return "/".join(parts[0][:-1]) if len(parts[0]) > 2 else "/".join(parts[0])
-    out = []
-    for level in zip(*parts):
-        if len(set(level)) > 1:
-            break
-        out.append(level[0])
-    return "/".join(out)
+            inside = paths.below(root)
+            chosen = [places[0] <= k <= places[-1] and inside[b.path] for k, b in enumerate(blocks)]
+    return [t for t, c in zip(texts, chosen) if c and t], paths.text(root)
 
 
 def main_text(page: str | None) -> tuple[str, int, str]:
     """(text, number of blocks, content path) of one page."""
-    texts, root = content_blocks(blocks_of(page or ""))
+    texts, root = content_blocks(*blocks_of(page or ""))
     return " ".join(texts), len(texts), root
 
 
