@@ -2,12 +2,13 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stratum.llm import pii, tokencount
+from stratum.llm import mixing, pii, tokencount
 from stratum.llm.decontam import contamination, phrase_starts
 from stratum.llm.htmltext import main_text
 from stratum.llm.jaccard import jaccard_components
@@ -15,7 +16,7 @@ from stratum.llm.linedup import aligned_blocks, dedup_lines, without_blocks
 from stratum.llm.mixing import mix
 from stratum.llm.pii import find_personal_data
 from stratum.llm.quality import DUP_PCT, quality_rules
-from stratum.llm.tokencount import VOCABULARY, attribute, count_tokens
+from stratum.llm.tokencount import LONG_SPACE, VOCABULARY, attribute, count_tokens, encoder, token_ends
 from stratum.llm.toxicity import classify
 from stratum.llm.urlfilter import judge_urls
 
@@ -425,3 +426,106 @@ def test_line_dedup_swapped_and_doubled_passages(spark):
                              (3, f"Own three. {p} Once more. {p} And {q} Over.")])
     assert got == {1: f"Own one. {p} Between. {q} End.", 2: "Own two. Middle. Last.",
                    3: "Own three. Once more. And Over."}
+
+
+def test_long_white_space_is_one_piece():
+    """Texts with long runs of white space have the tokens of the whole text, and a million blanks end no task."""
+    encode, _, lengths = encoder(VOCABULARY)
+    rnd = random.Random(5)
+    for gap in (" " * LONG_SPACE, "\n" * (LONG_SPACE + 3), " \n\t\u00a0" * LONG_SPACE, "\u2003" * LONG_SPACE):
+        for text in (gap, "a" + gap, gap + "b", f"one two{gap}three  {gap}!{gap}4 it's", f"x{gap}\u3000y \x1c{gap}z"):
+            text = text + "".join(rnd.choices("ab 1.\n", k=50))
+            want = np.cumsum(lengths[np.asarray(encode(text), np.int64)])
+            assert np.array_equal(token_ends(text, VOCABULARY), want), (gap[:2], len(text))
+    for gap in (" " * 1_500_000, "\n" * 1_500_000):
+        assert token_ends(f"a{gap}b", VOCABULARY)[-1] == 1_500_002
+
+
+@pytest.mark.parametrize("rule", ["first", "most", "share"])
+def test_token_counts_brute_force(spark, rule):
+    """Every byte is given to its token and its section one by one."""
+    rnd = random.Random(11)
+    texts = ["".join(rnd.choices(["word", " ", "\n", "\n\n", "é", "字", "12", ".", "  \n "], k=rnd.randint(0, 60)))
+             for _ in range(60)]
+    encode, _, lengths = encoder(VOCABULARY)
+    got = count_tokens(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), rule=rule).collect()
+    got = {(r["doc_id"], r["section"]): (r["n_tokens"], text_of(texts[r["doc_id"]], r)) for r in got}
+    for i, text in enumerate(texts):
+        lines = text.split("\n")
+        lines = [line + "\n" for line in lines[:-1]] + ([lines[-1]] if lines[-1] or len(lines) == 1 else [])
+        owner = [k for k, line in enumerate(lines) for _ in line.encode()]
+        counts, at = [0.0] * len(lines), 0
+        for token in encode(text):
+            mine = owner[at:at + int(lengths[token])]
+            at += int(lengths[token])
+            if rule == "first":
+                counts[mine[0]] += 1
+            elif rule == "most":
+                counts[max(sorted(set(mine)), key=lambda k: mine.count(k))] += 1
+            else:
+                for k in mine:
+                    counts[k] += 1 / len(mine)
+        assert [got[i, k][1] for k in range(len(lines))] == lines
+        assert [got[i, k][0] for k in range(len(lines))] == pytest.approx(counts)
+
+
+def text_of(text, row):
+    return text[row["start"]:row["end"]]
+
+
+def test_comments_are_not_spared_for_their_size():
+    said = "".join(f"<p>I think, and many agree, that number {k} is wrong.</p>" for k in range(9))
+    body = "<p>The article, which is short, has two sentences. This is one.</p><p>And a second paragraph, too.</p>"
+    text = "The article, which is short, has two sentences. This is one. And a second paragraph, too."
+    assert main_text(f"<body><div>{body}</div><div class=comments>{said}</div></body>")[0] == text
+    assert main_text(f"<body><article>{body}</article><article class=comment>{said}</article></body>")[0] == text
+    assert main_text(f"<body><div class='page comments-open'>{body}</div><div id=disqus>{said}</div></body>")[0] == text
+    assert main_text(f"<body><div class=comment-page><article>{body}</article></div><p>Tag line</p></body>")[0] == text
+    assert main_text(f"<body><div class=comments>{body}</div></body>")[0] == text       # all that there is
+
+
+def test_deeply_nested_page():
+    begin = time.time()
+    page = "<body>" + "".join(f"<div>word {k}, more." for k in range(8000)) + "</div>" * 8000 + "</body>"
+    text, blocks, _ = main_text(page)
+    assert blocks >= 1 and text.startswith("word ") and time.time() - begin < 10
+
+
+def test_mixing_spreads_equal_rows(spark):
+    """Rows with no id, equal or not, fall into many blocks; the sums hold, and reruns agree."""
+    docs = spark.createDataFrame([(None, "w " * 7, "a")] * 9000 + [(None, f"w w v{k}", "b") for k in range(500)],
+                                 "doc_id bigint, text string, source string")
+    rows = mixing._numbered(docs.select("doc_id", "source", F.xxhash64("text").alias("text_key"),
+                                        F.lit(7).cast("bigint").alias("size")))
+    assert rows.count() == 9500 and rows.select("text_key", "nth").distinct().count() == 9500
+    block = F.pmod(F.xxhash64("doc_id", "size", "text_key", "nth"), F.lit(148))
+    assert rows.groupBy(block).count().agg(F.max("count")).first()[0] < 150
+    def total(parts):
+        return sorted((r["source_size"], r["copies"], r["taken"]) for r in mix(docs.repartition(parts)).collect())
+    first = total(3)
+    assert first == total(5) and len(first) == 9500
+    for size, target in ((63000, 1.5 * 64500 - 3000), (1500, 3000)):
+        assert abs(sum(t for s, _, t in first if s == size) - target) <= 7
+
+
+def test_slop_bound(spark):
+    docs = spark.createDataFrame([(1, "a b c")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, "a b c")], "item_id bigint, text string")
+    for slop in (-1, 5000):
+        with pytest.raises(ValueError):
+            contamination(docs, items, slop=slop)
+
+
+def test_contexts_at_any_distance():
+    def brute(text, a, b):
+        left = [w.lower() for w in pii.WORD.findall(text[:a])][-2:]
+        right = pii.WORD.search(text[b:])
+        return (pii._key(" ".join(left)) if len(left) == 2 else None,
+                pii._key(f"{left[-1]} _ {right[0].lower()}") if left and right else None)
+    rnd = random.Random(3)
+    for _ in range(300):
+        text = "".join(rnd.choices(["call", "Me", " ", " ", "é", "x" * 90, "-" * 100, "1", "."], k=12))
+        a = rnd.randrange(len(text))
+        b = rnd.randrange(a + 1, len(text) + 1)
+        got = pii._contexts(text, [(1, True, a, b)])[0]
+        assert (got["before2"], got["around"]) == brute(text, a, b), (text, a, b)
