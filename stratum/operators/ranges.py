@@ -2,9 +2,9 @@
 
 Nothing here enumerates every id of a range.  Repeated-block ids are counted
 and summed in closed form per (range, length); interval merging is two
-ordered scans (prefix max, prefix sum); point-in-range numbers the points in
-order and looks up the numbers of each merged interval's ends, so the work is
-that of the result and no range is cut into bins.
+ordered scans (prefix max, prefix sum); point-in-range is one more scan, and with
+keys looks up the numbers of the points at each merged interval's ends, so the
+work is that of the result and no range is cut into bins.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from stratum.plans import Lineage, ordered_scan
 
 DEC = "decimal(38,0)"
 MAX_DIGITS = 19  # BIGINT ids have at most 19 decimal digits
+PIECE = 1 << 14  # numbers of points that one row expands to
 
 
 def _primes(n: int) -> list[int]:
@@ -125,15 +126,25 @@ def points_in_ranges(points: DataFrame, p: str, intervals: DataFrame, lo: str, h
                      keys: list[str] = (), split: bool = False) -> DataFrame:
     """U8: distinct points covered by at least one interval (per interval key).
 
-    Points are made distinct and numbered in order; intervals are merged per
-    key.  One ordered scan over the points and the islands' ends gives each
-    island the numbers of its first and last point, so an island costs one row
-    per point it covers, however long it is.
+    Points are made distinct; intervals are merged per key.  Without keys the islands
+    are disjoint, so one ordered scan of +1 at an island's start and -1 at its end tells
+    of each point whether it is covered, and no row is expanded.  With keys, points are
+    numbered in order and the scan gives each island the numbers of its first and last
+    point; these are cut into pieces of ``PIECE`` numbers, which are dealt to all tasks
+    before they are expanded, so one long island is no task's own work.
     """
     keys = list(keys)
     pts = points.select(F.col(p).alias("_at")).where(F.col("_at").isNotNull()).distinct()
     isl = merge_intervals(intervals, lo, hi, keys, split).select(
         F.struct(*keys, F.lit(0).alias("_none")).alias("_key"), F.col(lo).alias("_lo"), F.col(hi).alias("_hi"))
+    if not keys:
+        def step(rows, at, kind, change):
+            return rows.select(F.col(at).alias("_at"), F.lit(kind).alias("_kind"),
+                               F.lit(change).cast("bigint").alias("_step"))
+
+        events = step(isl, "_lo", 0, 1).unionByName(step(pts, "_at", 1, 0)).unionByName(step(isl, "_hi", 2, -1))
+        swept = ordered_scan(events, ["_at", "_kind"], "_step", "_open", "sum", [], True)
+        return swept.where((F.col("_kind") == 1) & (F.col("_open") > 0)).select(F.col("_at").alias(p))
     none = F.lit(None).cast(isl.schema["_key"].dataType)
     # at one value: island starts, then the point, then island ends
     events = pts.select("_at", F.lit(1).alias("_kind"), F.lit(1).cast("bigint").alias("_one"),
@@ -147,7 +158,9 @@ def points_in_ranges(points: DataFrame, p: str, intervals: DataFrame, lo: str, h
     covers = counted.where(F.col("_kind") != 1).groupBy("_key", "_lo").agg(
         F.max(F.when(F.col("_kind") == 0, F.col("_n"))).alias("_before"),
         F.max(F.when(F.col("_kind") == 2, F.col("_n"))).alias("_upto")).where(F.col("_before") < F.col("_upto"))
-    numbers = covers.select(*[F.col(f"_key.{k}").alias(k) for k in keys],
-                            F.explode(F.sequence(F.col("_before") + 1, F.col("_upto"))).alias("_n"))
+    pieces = covers.select("_key", "_upto", F.explode(F.sequence(
+        F.col("_before") + 1, F.col("_upto"), F.lit(PIECE).cast("bigint"))).alias("_from")).repartition("_from", "_upto")
+    numbers = pieces.select(*[F.col(f"_key.{k}").alias(k) for k in keys], F.explode(F.sequence(
+        F.col("_from"), F.least(F.col("_upto"), F.col("_from") + PIECE - 1))).alias("_n"))
     numbered = counted.where(F.col("_kind") == 1).select("_n", F.col("_at").alias(p))
     return numbers.join(numbered, "_n").select(*keys, p)
