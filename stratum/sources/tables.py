@@ -13,10 +13,11 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.plans import ordered_scan
+from stratum.plans import Lineage, ordered_scan
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
+FEW_SPLITS = 100_000     # about 20 MB of paths and numbers
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,15 +27,24 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def read_lines(spark: SparkSession, path: str, ordinal: str = "row_index") -> DataFrame:
     """Text lines with a 1-based ordinal in file order: by file name, then by place in the file.
 
-    Spark packs splits of several files by size, so the order comes from each
-    split's file and start and, within a split, from the reading order; a split
-    ordered count turns it into numbers without a single-task window.
+    Lines are never sorted or shuffled.  Spark reads each split of a file in
+    order and whole, so the lines are written with a rising number as they are
+    read; one row per split, its first number and its count, is put in order of
+    file and start and summed up, and a line's ordinal is its number shifted by
+    that of its split.  The shifts are broadcast up to ``FEW_SPLITS`` splits and
+    meet the lines by an ordinary join beyond.  No files or lines, no rows.
     """
-    raw = spark.read.text(path).select(
+    lineage = Lineage(spark, 1)
+    lines = lineage.cut(spark.read.text(path).select(
         "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"),
-        F.monotonically_increasing_id().alias("_read"), F.lit(1).cast("bigint").alias("_one"))
-    numbered = ordered_scan(raw, ["_file", "_start", "_read"], "_one", ordinal, "sum", [], True)
-    return numbered.select(ordinal, "value")
+        F.monotonically_increasing_id().alias("_read")), force=True)
+    splits = lines.groupBy("_file", "_start").agg(F.min("_read").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    summed = ordered_scan(splits, ["_file", "_start"], "_n", "_upto", "sum", [], True)
+    shifts = lineage.cut(summed.select(
+        "_file", "_start", (F.col("_upto") - F.col("_n") + 1 - F.col("_first")).alias("_shift")), force=True)
+    few = shifts.count() <= FEW_SPLITS
+    return lines.join(F.broadcast(shifts) if few else shifts, ["_file", "_start"]).select(
+        (F.col("_read") + F.col("_shift")).alias(ordinal), "value")
 
 
 def write_result(df: DataFrame, path: str, mode: str = "overwrite",
