@@ -8,11 +8,18 @@ cells; no cell receives more rows than there are offsets.
 
 from __future__ import annotations
 
+import math
+from decimal import Decimal
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratum.functions import floor_div
 from stratum.plans import Lineage
 
+BLOCK_LEVELS, BLOCK_WIDTH = 8, 1 << 13   # levels and columns that one task of a layered propagation advances
 # Fixed offsets: the eight king-move neighbours of a cell.
 KING_OFFSETS = [(-1, -1), (-1, 0), (-1, 1), (0, -1), (0, 1), (1, -1), (1, 0), (1, 1)]
 
@@ -71,10 +78,7 @@ def peel(cells: DataFrame, k: int, r: str = "r", c: str = "c", offsets=KING_OFFS
 def _local_peel(k: int, offsets):
     """Per-tile peel in numpy: own cells are peeled to a local fixpoint,
     halo cells count as present and are never removed."""
-    import numpy as np
-    import pandas as pd
-
-    def run(pdf: "pd.DataFrame") -> "pd.DataFrame":
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
         own = pdf["own"].to_numpy()
         r = pdf["r"].to_numpy().astype("int64")
         c = pdf["c"].to_numpy().astype("int64")
@@ -101,80 +105,144 @@ def _local_peel(k: int, offsets):
             if not gone.any():
                 break
             alive &= ~gone
-        out = pdf.loc[own, ["r", "c"]].copy()
-        out["removed"] = ~alive[own]
-        return out
+        return pdf.loc[own & ~alive, ["r", "c"]]
 
     return run
 
 
+TILE = ("lv", "tr", "tc")
+COARSEST = 24       # times that a square may double its side
+
+
+def _square(level, r: str = "r", c: str = "c") -> list[Column]:
+    return [F.shiftright(r, level).alias("tr"), F.shiftright(c, level).alias("tc")]
+
+
+def tile_map(cells: DataFrame, limit: int) -> tuple[int, DataFrame]:
+    """(base level, tiles of the base squares ``(br, bc, lv, tr, tc)``) for cells ``(r, c)``.
+
+    Tiles are squares of side 2**lv on nested grids.  A base square holds at
+    most ``limit`` places, so no tile has more cells than that on any shape; a
+    sparse square belongs to the largest square around it that still holds no
+    more than ``limit`` cells.  The counts are made by one aggregate over the
+    base squares, each of which stands in ``COARSEST`` + 1 nested ones.
+    """
+    base = int(math.log2(max(1, limit))) // 2
+    squares = cells.groupBy(*_square(base)).agg(F.count(F.lit(1)).alias("n"))
+    up = F.explode(F.sequence(F.lit(0), F.lit(COARSEST))).alias("up")
+    nested = squares.select(F.col("tr").alias("br"), F.col("tc").alias("bc"), "n", up).select(
+        "br", "bc", "n", "up", F.expr("shiftright(br, up)").alias("tr"), F.expr("shiftright(bc, up)").alias("tc"))
+    light = nested.groupBy("up", "tr", "tc").agg(F.sum("n").alias("n")).where(F.col("n") <= limit).drop("n")
+    best = nested.drop("n").join(light, ["up", "tr", "tc"]).groupBy("br", "bc").agg(
+        F.max(F.struct("up", "tr", "tc")).alias("t"))
+    return base, best.select("br", "bc", (F.col("t.up") + base).alias("lv"), "t.tr", "t.tc")
+
+
 def peel_blocked(cells: DataFrame, k: int, r: str = "r", c: str = "c", offsets=KING_OFFSETS,
                  cells_per_tile: int = 50_000, max_iter: int = 10_000) -> DataFrame:
     """U7 (grid), block-parallel: same result as ``peel`` in far fewer jobs.
 
-    The grid is cut into tiles by approximate quantiles of both axes (so
-    dense regions get small tiles).  Each tile gets its own cells plus a
-    one-cell halo of neighbouring cells from other tiles, and peels its own
+    The grid is cut into square tiles of at most ``cells_per_tile`` cells
+    (``tile_map``; fewer where that leaves cores idle).  Each tile gets its own
+    cells plus a halo of neighbouring cells from other tiles, and peels its own
     cells to a local fixpoint in one ``applyInPandas`` task, counting halo
     cells as present.  That only ever over-counts neighbours, so every
-    local removal is also a removal of the global peel; iterations repeat
-    until no tile removes anything, at which point no surviving cell has
-    fewer than ``k`` surviving neighbours -- the unique fixpoint.  Global
-    iterations are the number of times a cascade crosses a tile border,
-    not the number of peel rounds.
+    local removal is also a removal of the global peel.  The next iteration
+    runs only the tiles with a halo cell that was removed; when there is none, no
+    surviving cell has fewer than ``k`` surviving neighbours -- the unique
+    fixpoint.  Global iterations are the number of times a cascade crosses a
+    tile border, not the number of peel rounds.
     """
-    import math
-    from stratum.plans.prefix import bucket_of, quantile_splits
-
     spark = cells.sparkSession
     lineage = Lineage(spark, 1)
     state = lineage.cut(cells.select(F.col(r).cast("bigint").alias("r"),
                                      F.col(c).cast("bigint").alias("c")).distinct(), force=True)
-    n = state.count()
-    tiles = max(1, math.ceil(n / cells_per_tile), spark.sparkContext.defaultParallelism)
-    nr = max(1, int(math.sqrt(tiles)))
-    nc = max(1, math.ceil(tiles / nr))
-    rs, cs = quantile_splits(state, "r", nr), quantile_splits(state, "c", nc)
-    ncols = len(cs) + 1
-
-    def tile(re, ce):
-        return bucket_of(re, rs) * ncols + bucket_of(ce, cs)
-
-    offs = _offset_array(offsets)
-    schema = "r long, c long, removed boolean"
+    limit = max(1, min(cells_per_tile, math.ceil(state.count() / spark.sparkContext.defaultParallelism)))
+    base, tiles = tile_map(state, limit)
+    tiles = lineage.cut(tiles, force=True)
+    br, bc = [x.alias(n) for x, n in zip(_square(base), ("br", "bc"))]
+    own = lineage.cut(state.withColumns({"br": br, "bc": bc}).join(tiles, ["br", "bc"]).select(
+        "r", "c", *TILE, F.lit(True).alias("own")), force=True)
+    # a cell also goes to the tiles of the places next to it; only places in other base squares can be in one
+    near = own.select("r", "c", F.struct(*TILE).alias("_home"), F.explode(_offset_array(offsets)).alias("_o")).select(
+        "r", "c", "_home", *[x.alias(n) for x, n in zip(_square(
+            base, F.col("r") + F.col("_o.dr"), F.col("c") + F.col("_o.dc")), ("br", "bc"))])
+    halo = lineage.cut(
+        near.where((F.col("br") != br) | (F.col("bc") != bc)).distinct().join(tiles, ["br", "bc"])
+        .where(F.struct(*TILE) != F.col("_home")).select("r", "c", *TILE, F.lit(False).alias("own")).distinct(),
+        force=True)
+    removed, last = None, None
     for _ in range(max_iter):
-        own = state.select("r", "c", tile(F.col("r"), F.col("c")).alias("tile"), F.lit(True).alias("own"))
-        halo = (state.select("r", "c", tile(F.col("r"), F.col("c")).alias("_home"), F.explode(offs).alias("_o"))
-                .select("r", "c", "_home", tile(F.col("r") + F.col("_o.dr"), F.col("c") + F.col("_o.dc")).alias("tile"))
-                .where(F.col("tile") != F.col("_home")).select("r", "c", "tile", F.lit(False).alias("own"))
-                .distinct())
-        peeled = lineage.cut(own.unionByName(halo).groupBy("tile")
-                             .applyInPandas(_local_peel(k, offsets), schema), force=True)
-        state = peeled.where(~F.col("removed")).select("r", "c")
-        if peeled.where(F.col("removed")).isEmpty():
-            return state.select(F.col("r").alias(r), F.col("c").alias(c))
+        rows = own.unionByName(halo)
+        if last is not None:
+            active = halo.join(last, ["r", "c"], "left_semi").select(*TILE).distinct()
+            rows = rows.join(active, list(TILE), "left_semi").join(removed, ["r", "c"], "left_anti")
+        last = lineage.cut(rows.groupBy(*TILE).applyInPandas(_local_peel(k, offsets), "r long, c long"), force=True)
+        if last.isEmpty():
+            left = state if removed is None else state.join(removed, ["r", "c"], "left_anti")
+            return left.select(F.col("r").alias(r), F.col("c").alias(c))
+        removed = last if removed is None else removed.unionByName(last)
     raise RuntimeError("blocked peel did not converge")
 
 
-def _moves(hit: Column) -> Column:
-    return F.when(hit, F.array(F.col("col") - 1, F.col("col") + 1)).otherwise(F.array("col"))
+def _advance(n_levels: int, width: int, sums: bool):
+    """Advance one block's beams by up to ``n_levels`` levels; rows of the block's own columns."""
+
+    def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        own = key[0] * width
+        level, col = group["level"].to_numpy(np.int64), group["col"].to_numpy(np.int64)
+        is_beam = group["paths"].notna().to_numpy()
+        first = key[1]
+        at = col[is_beam]
+        paths = np.array([int(v) for v in group["paths"].to_numpy()[is_beam]], object)
+        level, col = level[~is_beam], col[~is_beam]
+        out = []
+        for lv in range(first + 1, first + n_levels + 1):
+            hit = np.isin(at, col[level == lv])
+            at = np.concatenate((at[~hit], at[hit] - 1, at[hit] + 1))
+            if len(at):
+                paths = np.concatenate((paths[~hit], paths[hit], paths[hit]))
+                order = np.argsort(at, kind="stable")
+                at, starts = np.unique(at[order], return_index=True)
+                paths = np.add.reduceat(paths[order], starts) if sums else paths[order][starts]
+            mine = (at >= own) & (at < own + width)
+            out.append(pd.DataFrame({"level": lv, "col": at[mine], "paths": [Decimal(v) for v in paths[mine]]}))
+        return pd.concat(out).astype({"level": "int64", "col": "int64"})
 
-
-def _union_all(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    return run
 
 
-def _advance(front: DataFrame, sp: DataFrame, lv: int) -> DataFrame:
-    """Arrivals at level ``lv`` with their splitter flag."""
-    hits = sp.where(F.col("level") == lv).select("col", F.lit(True).alias("_hit"))
-    return front.join(hits, "col", "left").withColumn("_hit", F.coalesce("_hit", F.lit(False)))
+def _propagate(starts: DataFrame, splitters: DataFrame, last_level: int, level: str, col: str, sums: bool,
+               block_levels: int, width: int) -> tuple[DataFrame, DataFrame]:
+    """((level, col, paths) for levels 0..last_level, distinct splitters); all paths are 1 without ``sums``."""
+    if not 0 < block_levels < width:
+        raise ValueError("block_levels must be positive and below width")
+    lineage = Lineage(starts.sparkSession, 1)
+    sp = lineage.cut(splitters.select(F.col(level).cast("bigint").alias("level"), F.col(col).cast("bigint").alias("col"))
+                     .where(F.col("col").isNotNull()).distinct(), force=True)
+    paths = (F.count(F.lit(1)) if sums else F.lit(1)).cast("decimal(38,0)").alias("paths")
+    front = lineage.cut(starts.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("bigint").alias("col"))
+                        .agg(paths).select(F.lit(0).cast("bigint").alias("level"), "col", "paths"), force=True)
+    levels = [front]
+    for first in range(0, last_level, block_levels):
+        n = min(block_levels, last_level - first)
+        rows = front.unionByName(sp.where(F.col("level").between(first + 1, first + n))
+                                 .withColumn("paths", F.lit(None).cast("decimal(38,0)")))
+        # a column is sent to every block with a column that it can reach in n levels: one or two
+        blocks = F.sequence(floor_div(F.col("col") - n, width), floor_div(F.col("col") + n, width))
+        done = lineage.cut(rows.select("*", F.explode(blocks).alias("block"), F.lit(first).alias("first"))
+                           .groupBy("block", "first").applyInPandas(
+                               _advance(n, width, sums), "level bigint, col bigint, paths decimal(38,0)"), force=True)
+        levels.append(done)
+        front = done.where(F.col("level") == first + n)
+    out = levels[0]
+    for done in levels[1:]:
+        out = out.unionByName(done)
+    return out, sp
 
 
 def layered_reach(starts: DataFrame, splitters: DataFrame, last_level: int, level: str = "level",
-                  col: str = "col") -> DataFrame:
+                  col: str = "col", block_levels: int = BLOCK_LEVELS, width: int = BLOCK_WIDTH) -> DataFrame:
     """Level-by-level propagation with branching, set semantics.
 
     ``starts`` holds the level-0 columns.  A beam arriving at a splitter of
@@ -182,52 +250,29 @@ def layered_reach(starts: DataFrame, splitters: DataFrame, last_level: int, leve
     it continues in its column; beams in one column merge.  Returns
     ``(level, n_beams, n_splits)`` for levels 1..last_level.
 
-    Each level is one job: the frontier (bounded by the column range) joins
-    that level's splitters (AQE broadcasts them when their written size is
-    small) and is de-duplicated by one shuffle, then checkpointed; the
-    final statistics read the checkpointed frontiers.  No level, no rows.
+    Levels go in blocks: a beam moves at most one column a level, so a range of
+    ``width`` columns with ``block_levels`` columns on either side tells all of
+    its own beams for ``block_levels`` levels.  One shuffle and one written
+    table do for that many levels, and a task holds at most ``width +
+    2 * block_levels`` columns of them.  Null columns are left out.  No level,
+    no rows.
     """
-    spark = starts.sparkSession
-    lineage = Lineage(spark, 1)
-    sp = lineage.cut(splitters.select(F.col(level).alias("level"), F.col(col).alias("col"))
-                     .distinct(), force=True)
-    front = starts.select(F.col(col).cast("bigint").alias("col")).distinct()
-    if last_level < 1:
-        return front.select(*[F.lit(0).cast("bigint").alias(c) for c in ("level", "n_beams", "n_splits")]).limit(0)
-    arrivals = []
-    for lv in range(1, last_level + 1):
-        arr = lineage.cut(_advance(front, sp, lv).select(F.lit(lv).cast("bigint").alias("level"),
-                                                         "col", "_hit"), force=True)
-        arrivals.append(arr)
-        front = arr.select(F.explode(_moves(F.col("_hit"))).alias("col")).distinct()
-    hist = _union_all(arrivals)
-    splits = hist.groupBy("level").agg(F.count_if("_hit").cast("bigint").alias("n_splits"))
-    beams = (hist.select("level", F.explode(_moves(F.col("_hit"))).alias("col")).distinct()
-             .groupBy("level").agg(F.count(F.lit(1)).cast("bigint").alias("n_beams")))
-    return beams.join(splits, "level")
-
-
-def layered_path_counts(starts: DataFrame, splitters: DataFrame, last_level: int,
-                        level: str = "level", col: str = "col") -> DataFrame:
+    hist, sp = _propagate(starts, splitters, last_level, level, col, False, block_levels, width)
+    beams = hist.where(F.col("level") > 0).groupBy("level").agg(F.count(F.lit(1)).cast("bigint").alias("n_beams"))
+    hits = hist.select((F.col("level") + 1).alias("level"), "col").join(sp, ["level", "col"], "left_semi") \
+        .groupBy("level").agg(F.count(F.lit(1)).cast("bigint").alias("n_splits"))
+    return beams.join(hits, "level", "left").select(
+        "level", "n_beams", F.coalesce("n_splits", F.lit(0).cast("bigint")).alias("n_splits"))
+
+
+def layered_path_counts(starts: DataFrame, splitters: DataFrame, last_level: int, level: str = "level",
+                        col: str = "col", block_levels: int = BLOCK_LEVELS, width: int = BLOCK_WIDTH) -> DataFrame:
     """U16: number of distinct paths reaching each (level, col).
 
     Same propagation as ``layered_reach`` with sum semantics: a splitter
     sends its incoming count both ways.  Counts are DECIMAL(38,0) (they grow
-    exponentially with depth).  Returns ``(level, col, paths)`` for levels
-    1..last_level.
+    exponentially with depth) and more digits are an error.  Returns
+    ``(level, col, paths)`` for levels 1..last_level.
     """
-    spark = starts.sparkSession
-    lineage = Lineage(spark, 1)
-    dec = "decimal(38,0)"
-    sp = lineage.cut(splitters.select(F.col(level).alias("level"), F.col(col).alias("col"))
-                     .distinct(), force=True)
-    front = starts.groupBy(F.col(col).cast("bigint").alias("col")).agg(F.count(F.lit(1)).cast(dec).alias("paths"))
-    if last_level < 1:
-        return front.select(F.lit(0).cast("bigint").alias("level"), "col", "paths").limit(0)
-    levels = []
-    for lv in range(1, last_level + 1):
-        arr = _advance(front, sp, lv)
-        front = lineage.cut(arr.select(F.explode(_moves(F.col("_hit"))).alias("col"), "paths")
-                            .groupBy("col").agg(F.sum("paths").cast(dec).alias("paths")), force=True)
-        levels.append(front.select(F.lit(lv).cast("bigint").alias("level"), "col", "paths"))
-    return _union_all(levels)
+    hist, _ = _propagate(starts, splitters, last_level, level, col, True, block_levels, width)
+    return hist.where(F.col("level") > 0)

@@ -27,26 +27,6 @@ from stratum.plans.loops import Lineage
 _AGG = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
-def quantile_splits(df: DataFrame, col: str, n_buckets: int = 64,
-                    rel_error: float = 0.001) -> list:
-    """Sorted distinct approximate quantiles of ``col`` (n_buckets - 1 probes)."""
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    splits = df.approxQuantile(col, probs, rel_error) if n_buckets > 1 else []
-    return sorted(set(s for s in splits if s is not None))
-
-
-def bucket_of(c: Column, splits: list) -> Column:
-    """Bucket index (number of splits <= value) as a balanced CASE tree."""
-
-    def tree(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(c < F.lit(splits[mid - 1]), tree(lo, mid - 1)).otherwise(tree(mid, hi))
-
-    return tree(0, len(splits))
-
-
 def ordered_scan(df: DataFrame, order: list[str | Column], value: str | Column,
                  out: str, agg: str = "sum", keys: list[str] = (),
                  split: bool = False, exclusive: bool = False) -> DataFrame:
