@@ -1,6 +1,10 @@
 """Hand-built fixtures with known results (FIXTURES.md), one per operator
 family, including the traps and defects listed in the survey."""
 
+import random
+from collections import Counter
+
+import pytest
 from pyspark.sql import functions as F
 
 from stratum.operators import bits, cells, graphs, ordered, ranges, reshape, spatial
@@ -115,6 +119,47 @@ def test_propagation(spark):
     assert per_level == {1: 2, 2: 3}
 
 
+@pytest.mark.parametrize("block_levels, width", [(1, 2), (3, 7), (8, 1 << 13)])
+def test_propagation_in_blocks(spark, block_levels, width):
+    """Beams that cross block borders, negative columns, big counts: level by level in plain Python."""
+    rnd = random.Random(width)
+    starts = [rnd.randint(-10, 10) for _ in range(6)]
+    sp = {(lv, c) for lv in range(1, 9) for c in range(-20, 20) if rnd.random() < 0.6}
+    front, want, splits = Counter(starts), {}, {}
+    for lv in range(1, 8):
+        after, splits[lv] = Counter(), sum((lv, c) in sp for c in front)
+        for c, n in front.items():
+            for d in ((c - 1, c + 1) if (lv, c) in sp else (c,)):
+                after[d] += n
+        front, want[lv] = after, after
+    a = spark.createDataFrame([(c,) for c in [*starts, None]], "col long")
+    b = spark.createDataFrame([*sp, *list(sp)[:5], (2, None)], "level long, col long")
+    got = cells.layered_path_counts(a, b, 7, block_levels=block_levels, width=width).collect()
+    assert {(r["level"], r["col"]): int(r["paths"]) for r in got} == {(lv, c): n for lv in want for c, n in want[lv].items()}
+    got = cells.layered_reach(a, b, 7, block_levels=block_levels, width=width).collect()
+    assert {r["level"]: (r["n_beams"], r["n_splits"]) for r in got} == {lv: (len(want[lv]), splits[lv]) for lv in want}
+
+
+@pytest.mark.parametrize("shape", ["narrow", "diagonal", "sparse", "full"])
+def test_peel_tiles(spark, shape):
+    """No tile holds more cells than the limit, whatever the grid's shape, and tiles do not change the result."""
+    rnd = random.Random(1)
+    data = {"narrow": {(r, c) for r in range(600) for c in range(-3, 4) if rnd.random() < 0.7},
+            "diagonal": {(i + d, i) for i in range(-300, 600) for d in range(-2, 3) if rnd.random() < 0.9},
+            "sparse": {(rnd.randint(0, 10 ** 8), rnd.randint(0, 10 ** 8)) for _ in range(400)},
+            "full": {(r, c) for r in range(40) for c in range(40)}}[shape]
+    df = spark.createDataFrame(sorted(data), "r long, c long")
+    base, tiles = cells.tile_map(df, 100)
+    sizes = df.withColumns({"br": F.shiftright("r", base), "bc": F.shiftright("c", base)}).join(tiles, ["br", "bc"]) \
+        .groupBy(*cells.TILE).count().agg(F.max("count"), F.sum("count"), F.count(F.lit(1))).first()
+    assert sizes[0] <= 100 and sizes[1] == len(data)
+    assert sizes[2] <= 60 if shape == "sparse" else sizes[2] >= len(data) / 100
+    left = set(data)
+    while gone := {(r, c) for r, c in left if sum((r + a, c + b) in left for a, b in cells.KING_OFFSETS) < 4}:
+        left -= gone
+    assert {tuple(x) for x in cells.peel_blocked(df, 4, cells_per_tile=100).collect()} == left
+
+
 def test_components(spark):
     e = spark.createDataFrame([(1, 2), (2, 3), (4, 5)], "a long, b long")
     nodes = spark.createDataFrame([(i,) for i in range(1, 7)], "node long")

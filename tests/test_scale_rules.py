@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stratum.operators import bits, cells, graphs, ordered, ranges, reshape, spatial
 from stratum.plans import Lineage, ordered_scan
-from stratum.sources import read_lines
+from stratum.sources import read_lines, tables
 
 
 def sorted_rows(df):
@@ -123,3 +123,32 @@ def test_read_lines_of_a_folder(spark, tmp_path):
     (tmp_path / "b.txt").write_text("\n".join(second) + "\n")
     got = [r["value"] for r in read_lines(spark, str(tmp_path)).orderBy("row_index").collect()]
     assert got == first + second
+
+
+def test_read_lines_in_splits(spark, tmp_path, monkeypatch):
+    """Files cut into many splits, empty files and empty lines; with and without the broadcast of the shifts."""
+    want = []
+    for name, n in (("a", 3000), ("b", 0), ("c", 1), ("d", 5000)):
+        lines = [f"{name}{i}" * (i % 4) for i in range(n)]
+        (tmp_path / f"{name}.txt").write_text("".join(line + "\n" for line in lines))
+        want += lines
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        for few in (0, 1000):
+            monkeypatch.setattr(tables, "FEW_SPLITS", few)
+            df = read_lines(spark, str(tmp_path))
+            got = sorted((r["row_index"], r["value"]) for r in df.collect())
+            assert got == list(enumerate(want, 1))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+@pytest.mark.parametrize("keys", [[], ["g"]])
+def test_one_island_over_all_points(spark, monkeypatch, keys):
+    monkeypatch.setattr(ranges, "PIECE", 64)
+    iv = spark.createDataFrame([(1, 0, 10 ** 9), (None, 5, 7)], "g long, lo long, hi long")
+    points = spark.range(-10, 1000).select(F.col("id").alias("p"))
+    got = sorted_rows(ranges.points_in_ranges(points, "p", iv, "lo", "hi", keys, True).select(*keys, "p"))
+    want = [(1, p) for p in range(1000)] + [(None, p) for p in (5, 6, 7)] if keys else [(p,) for p in range(1000)]
+    assert got == sorted(want, key=str)
