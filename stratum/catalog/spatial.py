@@ -16,7 +16,7 @@ def _points2(spark, sf_dir):
 
 
 def skyline(spark, sf_dir):
-    """Per order priority, the outline of monthly order counts as a ring.
+    """Per customer, the outline of monthly order counts as a ring.
 
     Heights are the month's order count plus one (so no month touches the
     base line), months with equal neighbouring heights are merged, and the
@@ -24,7 +24,7 @@ def skyline(spark, sf_dir):
     bar and back.  Returns ``(poly, k, x, y)``.
     """
     o = load(spark, sf_dir, "orders").select(
-        F.col("o_orderpriority").alias("poly"),
+        F.col("o_custkey").alias("poly"),
         (F.year("o_orderdate") * 12 + F.month("o_orderdate") - 1).cast("bigint").alias("mi"))
     lo = o.select(F.min("mi")).scalar()
     hi = o.select(F.max("mi")).scalar()
@@ -70,8 +70,9 @@ def q_corner_inset(spark, sf_dir):
 
 
 def q_polygon_area(spark, sf_dir):
-    cells = op.polygon_cells(skyline(spark, sf_dir), "poly", "k")
-    return cells.where("inside").groupBy("poly").agg(F.sum("tiles").cast("bigint").alias("inside_tiles"))
+    runs = op.inside_runs(skyline(spark, sf_dir), "poly", "k")
+    tiles = (F.col("hi") - F.col("lo") + 1) * F.col("rows")
+    return runs.groupBy("poly").agg(F.sum(tiles).cast("bigint").alias("inside_tiles"))
 
 
 def q_max_interior_rectangle(spark, sf_dir):
@@ -89,7 +90,7 @@ QUERIES = {
 
 _P2 = "pts AS (SELECT p_partkey AS x, CAST(round(p_retailprice * 100) AS BIGINT) AS y FROM part)"
 
-_SKY = """o AS (SELECT o_orderpriority AS poly, year(o_orderdate) * 12 + month(o_orderdate) - 1 AS mi FROM orders),
+_SKY = """o AS (SELECT o_custkey AS poly, year(o_orderdate) * 12 + month(o_orderdate) - 1 AS mi FROM orders),
 b AS (SELECT min(mi) AS lo, max(mi) AS hi FROM o),
 months AS (SELECT poly, unnest(range(lo, hi + 1)) AS mi FROM (SELECT DISTINCT poly FROM o), b),
 cnt AS (SELECT poly, mi, count(*) AS n FROM o GROUP BY poly, mi),

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratum.operators.graphs import connected_components
 from stratum.plans import Lineage, ordered_scan
 from stratum.plans.prefix import ordered_scans
 
@@ -204,7 +205,8 @@ def _polygon_parts(vertices: DataFrame, poly: str, order: str, x: str, y: str):
 
 def polygon_cells(vertices: DataFrame, poly: str, order: str, x: str = "x", y: str = "y",
                   parts=None) -> DataFrame:
-    """The compressed grid of every polygon with an inside flag.
+    """U24-U26, dense form: the compressed grid of every polygon with an inside flag
+    (``inside_runs`` has a row per crossing instead of one per cell).
 
     Returns ``(poly, cx, cy, tiles, inside)``.  Edges are rasterised in
     compressed units (U25): vertical edges give wall marks on the half-open
@@ -241,47 +243,156 @@ def polygon_cells(vertices: DataFrame, poly: str, order: str, x: str = "x", y: s
     return g.select(poly, "cx", "cy", (F.col("tx") * F.col("ty")).alias("tiles"), inside.alias("inside"))
 
 
-def outside_table(cells: DataFrame, poly: str) -> DataFrame:
-    """Summed-area table of outside tiles, ``(poly, cx, cy, s)``."""
-    w_out = F.when(F.col("inside"), F.lit(0)).otherwise(F.col("tiles")).cast("bigint")
-    row = Window.partitionBy(poly, "cy").orderBy("cx").rowsBetween(Window.unboundedPreceding, 0)
-    col = Window.partitionBy(poly, "cx").orderBy("cy").rowsBetween(Window.unboundedPreceding, 0)
-    s1 = cells.select(poly, "cx", "cy", F.sum(w_out).over(row).alias("_s1"))
-    return s1.select(poly, "cx", "cy", F.sum("_s1").over(col).alias("s"))
+def inside_runs(vertices: DataFrame, poly: str, order: str, x: str = "x", y: str = "y") -> DataFrame:
+    """The runs of inside tiles of every ring, ``(poly, y, rows, is_line, lo, hi)``.
+
+    A row is the line of a vertex (``rows`` 1) or the strip between two such lines, of ``rows`` tiles
+    with equal runs.  Vertical edges cross the rows of their half-open range, and every second gap
+    between crossings is inside; edges themselves are inside too (a closed range), and touching
+    spans become one run.  There is a row per crossing, not per cell of a grid, and no window is
+    wider than one row of one ring.
+
+    Defined cases: edges run along an axis; vertices with a NULL and rings without an id are left
+    out; repeated vertices and edges that run back on themselves are boundary.
+    """
+    lineage = Lineage(vertices.sparkSession, 1)
+    v = lineage.cut(vertices.select(poly, order, x, y).where(
+        F.col(poly).isNotNull() & F.col(x).isNotNull() & F.col(y).isNotNull()), force=True)
+    rows = lineage.cut(compressed_axis(v, poly, y), force=True)
+    line = rows.where("is_line")
+    e = ring_edges(v, poly, order, x, y) \
+        .join(line.select(poly, F.col("v").alias(y), F.col("c").alias("_r0")), [poly, y]) \
+        .join(line.select(poly, F.col("v").alias("ny"), F.col("c").alias("_r1")), [poly, "ny"])
+    top, bottom = F.least("_r0", "_r1"), F.greatest("_r0", "_r1")
+    upright = e.where((F.col(x) == F.col("nx")) & (F.col("_r0") != F.col("_r1")))
+    in_row = Window.partitionBy(poly, "c").orderBy("lo")
+    walls = upright.select(poly, F.explode(F.sequence(top, bottom - 1)).alias("c"), F.col(x).alias("lo")) \
+        .select(poly, "c", "lo", F.lead("lo").over(in_row).alias("hi"), F.row_number().over(in_row).alias("_nth"))
+    spans = walls.where(F.col("_nth") % 2 == 1).drop("_nth") \
+        .unionByName(upright.select(poly, bottom.alias("c"), F.col(x).alias("lo"), F.col(x).alias("hi"))) \
+        .unionByName(e.where(F.col("_r0") == F.col("_r1")).select(
+            poly, F.col("_r0").alias("c"), F.least(x, "nx").alias("lo"), F.greatest(x, "nx").alias("hi")))
+    in_row = Window.partitionBy(poly, "c").orderBy("lo", "hi")
+    reach = F.max("hi").over(in_row.rowsBetween(Window.unboundedPreceding, -1))
+    runs = spans.withColumn("_new", F.when(F.col("lo") <= reach + 1, 0).otherwise(1)) \
+        .withColumn("_run", F.sum("_new").over(in_row.rowsBetween(Window.unboundedPreceding, 0))) \
+        .groupBy(poly, "c", "_run").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    first = F.when(F.col("is_line"), F.col("v")).otherwise(F.col("v") + 1)
+    return runs.join(rows.where(F.col("tiles") > 0), [poly, "c"]).select(
+        poly, first.alias("y"), F.col("tiles").alias("rows"), "is_line", "lo", "hi")
+
+
+def pockets(runs: DataFrame, poly: str) -> DataFrame | None:
+    """The outside tiles that a ring encloses, as ``(poly, y, lo, hi)`` per row; None without any.
+
+    Gaps between the runs of a row join those that they touch in the next row.  A group of gaps is
+    open when one of them touches the tiles beside the outermost runs.  Rings that do not touch
+    themselves have open gaps only; where no gap is covered from above, nothing more is done.
+    """
+    lineage = Lineage(runs.sparkSession, 1)
+    runs = lineage.cut(runs, force=True)
+    in_row = Window.partitionBy(poly, "y").orderBy("lo")
+    gaps = runs.select(poly, "y", "rows", (F.col("hi") + 1).alias("lo"), (F.lead("lo").over(in_row) - 1).alias("hi")) \
+        .where(F.col("hi").isNotNull())
+    above = runs.select(poly, (F.col("y") + F.col("rows")).alias("y"), F.col("lo").alias("_lo"), F.col("hi").alias("_hi"))
+    covered = (F.col("_lo") <= F.col("lo")) & (F.col("hi") <= F.col("_hi"))
+    if gaps.join(above, [poly, "y"]).where(covered).isEmpty():
+        return None
+    gaps = lineage.cut(gaps.withColumn("gap", F.struct(poly, "y", "lo")), force=True)
+    upper = gaps.select(poly, (F.col("y") + F.col("rows")).alias("y"), F.col("lo").alias("_lo"),
+                        F.col("hi").alias("_hi"), F.col("gap").alias("_gap"))
+    links = gaps.join(upper, [poly, "y"]).where((F.col("lo") <= F.col("_hi")) & (F.col("_lo") <= F.col("hi"))) \
+        .select("gap", "_gap")
+    group = lineage.cut(connected_components(links, "gap", "_gap", gaps, "gap").withColumnRenamed("node", "gap"), force=True)
+    width = runs.groupBy(poly, "y", "rows").agg(F.min("lo").alias("_from"), F.max("hi").alias("_to"))
+    sides = gaps.withColumn("_at", F.explode(F.array(F.col("y") - 1, F.col("y") + F.col("rows"))))
+    # a neighbouring row is known by its first tile from above and by its last tile from below
+    ends = width.select(poly, F.explode(F.array_distinct(F.array(F.col("y"), F.col("y") + F.col("rows") - 1))).alias("_at"),
+                        "_from", "_to")
+    free = sides.join(ends, [poly, "_at"], "left").where(
+        F.col("_from").isNull() | (F.col("lo") < F.col("_from")) | (F.col("hi") > F.col("_to")))
+    is_open = free.select("gap").distinct().join(group, "gap").select("component").distinct()
+    shut = group.join(is_open, "component", "left_anti").select("gap")
+    inner = lineage.cut(gaps.join(shut, "gap", "left_semi").select(poly, "y", "lo", "hi"), force=True)
+    return None if inner.isEmpty() else inner
+
+
+def _sight(vertices: DataFrame, runs: DataFrame, poly: str, line: str, along: str, out: str) -> DataFrame:
+    """``vertices`` with the run of inside tiles that holds each on its line, as the struct ``out``."""
+    marks = runs.select(poly, F.col("y").alias(line), F.col("lo").alias(along), F.struct("lo", "hi").alias("_run"))
+    both = vertices.unionByName(marks, allowMissingColumns=True)
+    before = Window.partitionBy(poly, line).orderBy(along, F.col("_run").isNull()) \
+        .rowsBetween(Window.unboundedPreceding, 0)
+    return both.withColumn(out, F.last("_run", ignorenulls=True).over(before)).where(F.col("_run").isNull()).drop("_run")
+
+
+VERTEX_BLOCK = 64     # consecutive vertices of a ring that meet another block's in one row
 
 
 def max_interior_rectangle(vertices: DataFrame, poly: str, order: str, x: str = "x", y: str = "y",
-                           out: str = "area") -> DataFrame:
-    """Per polygon, the largest (|dx|+1)(|dy|+1) rectangle with two
-    vertices as opposite corners and no outside tile.
+                           out: str = "area", block: int = VERTEX_BLOCK) -> DataFrame:
+    """Per ring, the largest (|dx|+1)(|dy|+1) rectangle with two vertices as opposite corners
+    and no outside tile.
+
+    The four sides of such a rectangle are inside if each vertex sees the other's column along its
+    row and the other's row along its column, so a vertex only needs its two runs (``inside_runs``
+    along either axis).  With its sides inside, a rectangle holds an outside tile only if it holds a
+    whole pocket of the ring (``pockets``; most rings have none).
 
-    Each vertex pair costs four summed-area lookups (equi joins on the
-    compressed cell).  Pairs are formed per polygon, so the work is
-    quadratic in the vertex count of one polygon, never in the table.
+    Vertices are cut into blocks along the ring.  Two blocks meet if their ranges of sight do and if
+    the rectangle that these allow is larger than the best of blocks that lie side by side, which
+    are searched first.  A pair of blocks is one row, so a large ring's work is dealt to all tasks,
+    and the pairs of vertices are never written.
+
+    Defined cases: as for ``inside_runs``; a ring of one vertex has no row.
     """
-    parts = _polygon_parts(vertices, poly, order, x, y)
-    vertices, xs, ys = parts
-    cells = polygon_cells(vertices, poly, order, x, y, parts)
-    sat = Lineage(vertices.sparkSession, 1).cut(outside_table(cells, poly), force=True)
-    xl = xs.where("is_line").select(poly, F.col("v").alias(x), F.col("c").alias("cx"))
-    yl = ys.where("is_line").select(poly, F.col("v").alias(y), F.col("c").alias("cy"))
-    v = vertices.join(xl, [poly, x]).join(yl, [poly, y])
-    a = v.select(poly, F.col(order).alias("_ka"), F.col(x).alias("xa"), F.col(y).alias("ya"),
-                 F.col("cx").alias("cxa"), F.col("cy").alias("cya"))
-    b = v.select(poly, F.col(order).alias("_kb"), F.col(x).alias("xb"), F.col(y).alias("yb"),
-                 F.col("cx").alias("cxb"), F.col("cy").alias("cyb"))
-    pairs = a.join(b, poly).where(F.col("_ka") < F.col("_kb")).select(
-        poly, (F.abs(F.col("xa") - F.col("xb")) + 1) * (F.abs(F.col("ya") - F.col("yb")) + 1),
-        F.least("cxa", "cxb").alias("c1"), F.greatest("cxa", "cxb").alias("c2"),
-        F.least("cya", "cyb").alias("r1"), F.greatest("cya", "cyb").alias("r2"))
-    pairs = pairs.withColumnRenamed(pairs.columns[1], "_area")
-
-    q = pairs
-    for cxe, cye, name in [(F.col("c2"), F.col("r2"), "_s22"), (F.col("c1") - 1, F.col("r2"), "_s12"),
-                           (F.col("c2"), F.col("r1") - 1, "_s21"), (F.col("c1") - 1, F.col("r1") - 1, "_s11")]:
-        look = sat.select(poly, F.col("cx").alias("_jx"), F.col("cy").alias("_jy"), F.col("s").alias(name))
-        q = (q.withColumn("_jx", cxe).withColumn("_jy", cye)
-             .join(look, [poly, "_jx", "_jy"], "left").drop("_jx", "_jy"))
-    z = lambda c: F.coalesce(F.col(c), F.lit(0))
-    outside = z("_s22") - z("_s12") - z("_s21") + z("_s11")
-    return q.where(outside == 0).groupBy(poly).agg(F.max("_area").cast("bigint").alias(out))
+    lineage = Lineage(vertices.sparkSession, 1)
+    v = vertices.select(poly, order, F.col(x).cast("bigint").alias("x"), F.col(y).cast("bigint").alias("y")).where(
+        F.col(poly).isNotNull() & F.col("x").isNotNull() & F.col("y").isNotNull())
+    v = lineage.cut(ordered_scan(v.withColumn("_one", F.lit(1).cast("bigint")), [order], "_one", "n", "sum", [poly], True)
+                    .drop("_one"), force=True)
+    level = lineage.cut(inside_runs(v, poly, "n"), force=True)
+    plumb = inside_runs(v, poly, "n", "y", "x").where("is_line")
+    seen = _sight(v.drop(order), level.where("is_line"), poly, "y", "x", "h")
+    seen = _sight(seen, plumb, poly, "x", "y", "v")
+    blocks = lineage.cut(seen.groupBy(poly, F.floor((F.col("n") - 1) / block).alias("b")).agg(
+        F.collect_list(F.struct("n", "x", "y", "h", "v")).alias("all"),          # ``block`` of them
+        F.min("x").alias("x1"), F.max("x").alias("x2"), F.min("y").alias("y1"), F.max("y").alias("y2"),
+        F.max("h.hi").alias("hx"), F.max("v.hi").alias("vy")), force=True)
+    inner = pockets(level, poly)
+
+    def side(name: str, *cols: str) -> DataFrame:
+        return blocks.select(poly, *[F.col(c).alias(f"{name}_{c}") for c in ("b", *cols)])
+
+    def extent(lo: str, hi: str, reach: str):
+        return F.greatest(F.least(f"q_{hi}", f"p_{reach}") - F.col(f"p_{lo}"),
+                          F.least(f"p_{hi}", f"q_{reach}") - F.col(f"q_{lo}"))
+
+    bounds = ("x1", "x2", "y1", "y2", "hx", "vy")
+    wide, high = extent("x1", "x2", "hx"), extent("y1", "y2", "vy")
+    meets = side("p", *bounds).join(side("q", *bounds), poly).where(
+        (F.col("p_b") <= F.col("q_b")) & (wide >= 0) & (high >= 0)) \
+        .select(poly, "p_b", "q_b", ((wide + 1) * (high + 1)).alias("bound"))
+
+    def best(pairs: DataFrame) -> DataFrame:
+        opened = pairs.join(side("p", "all"), [poly, "p_b"]).join(side("q", "all"), [poly, "q_b"]) \
+            .select(poly, "q_all", F.explode("p_all").alias("p")).select(poly, "p", F.explode("q_all").alias("q"))
+        p, q = F.col("p"), F.col("q")
+        sees = q["x"].between(p["h"]["lo"], p["h"]["hi"]) & p["x"].between(q["h"]["lo"], q["h"]["hi"]) \
+            & q["y"].between(p["v"]["lo"], p["v"]["hi"]) & p["y"].between(q["v"]["lo"], q["v"]["hi"])
+        found = opened.where((p["n"] != q["n"]) & sees).select(
+            poly, F.least(p["x"], q["x"]).alias("l"), F.greatest(p["x"], q["x"]).alias("r"),
+            F.least(p["y"], q["y"]).alias("t"), F.greatest(p["y"], q["y"]).alias("u"))
+        if inner is not None:
+            hole = inner.select(F.col(poly).alias("_of"), F.col("lo").alias("_x"), F.col("y").alias("_y"))
+            found = found.join(hole, (F.col(poly) == F.col("_of")) & (F.col("_x") > F.col("l")) & (F.col("_x") < F.col("r"))
+                               & (F.col("_y") > F.col("t")) & (F.col("_y") < F.col("u")), "left_anti")
+        return found.groupBy(poly).agg(
+            F.max((F.col("r") - F.col("l") + 1) * (F.col("u") - F.col("t") + 1)).cast("bigint").alias(out))
+
+    near = lineage.cut(best(meets.where(F.col("q_b") - F.col("p_b") <= 1)), force=True)
+    far = lineage.cut(meets.where(F.col("q_b") - F.col("p_b") > 1).join(near, poly, "left").where(
+        F.col("bound") > F.coalesce(out, F.lit(0))).select(poly, "p_b", "q_b"), force=True)
+    if far.isEmpty():
+        return near
+    return near.unionByName(best(far)).groupBy(poly).agg(F.max(out).alias(out))
