@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stratum.functions import nonempty_split
@@ -12,6 +13,8 @@ from stratum.sources.tables import load
 # the others add (identity 0).
 PRODUCT_PRIORITIES = ("1-URGENT", "2-HIGH")
 
+SHEET_WIDTHS = (2, 3, 2, 2)    # fixed parameter: the places of a worksheet's numbers
+
 NL = "\n"
 
 
@@ -86,7 +89,36 @@ def q_densify(spark, sf_dir):
     return out.select("priority", "day_idx", F.col("value").cast("bigint").alias("value"))
 
 
+def worksheets(spark, sf_dir):
+    """Per order, its lines as rows of four numbers of fixed width, to the right or left in their
+    places by line number, and a last row with the operators of the four."""
+    li = load(spark, sf_dir, "lineitem")
+    put = lambda v, w: F.when(F.col("l_linenumber") % 2 == 0, F.rpad(v.cast("bigint").cast("string"), w, " ")) \
+        .otherwise(F.lpad(v.cast("bigint").cast("string"), w, " "))
+    numbers = F.concat_ws(" ", *[put(v, w) for v, w in zip(
+        (F.col("l_quantity"), F.col("l_partkey") % 1000, F.col("l_suppkey") % 100, F.round(F.col("l_discount") * 100)),
+        SHEET_WIDTHS)])
+    body = li.select(F.col("l_orderkey").alias("sheet"), numbers.alias("line"), "l_linenumber")
+    nth = F.row_number().over(Window.partitionBy("sheet").orderBy("l_linenumber", "line")).cast("bigint")   # lines of one order
+    even = F.col("sheet") % 2 == 0
+    times = lambda flag: F.when(flag, F.lit("*")).otherwise(F.lit("+"))
+    signs = [F.rpad(sign, w, " ") for sign, w in zip((times(even), F.lit("+"), times(~even), F.lit("+")), SHEET_WIDTHS)]
+    last = li.groupBy(F.col("l_orderkey").alias("sheet")).agg((F.count(F.lit(1)) + 1).alias("row")) \
+        .select("sheet", "row", F.concat_ws(" ", *signs).alias("line"))
+    return body.select("sheet", nth.alias("row"), "line").unionByName(last)
+
+
+def q_worksheet_rows(spark, sf_dir):
+    return op.worksheet_rows(worksheets(spark, sf_dir), "sheet", "row", "line")
+
+
+def q_worksheet_columns(spark, sf_dir):
+    return op.worksheet_columns(worksheets(spark, sf_dir), "sheet", "row", "line")
+
+
 QUERIES = {
+    "worksheet_rows": q_worksheet_rows,
+    "worksheet_columns": q_worksheet_columns,
     "transpose_tokens": q_transpose_tokens,
     "column_text": q_column_text,
     "pack_rows": q_pack_rows,
@@ -109,6 +141,14 @@ _LINES = """lines AS (
 
 _FACTORS = """f AS (SELECT l_orderkey, CAST(floor(l_quantity) AS BIGINT) % 10 + 1 AS v FROM lineitem)"""
 
+# the four numbers of every line, with their field's number, operator and digits in place
+_SHEET = """l AS (SELECT l_orderkey AS sheet, l_linenumber AS n, list_value(CAST(l_quantity AS BIGINT), l_partkey % 1000,
+       l_suppkey % 100, CAST(round(l_discount * 100) AS BIGINT)) AS nums FROM lineitem),
+f AS (SELECT sheet, n, nums, unnest(range(1, 5)) AS problem FROM l),
+cell AS (SELECT sheet, n, nums, problem, nums[problem] AS num, list_extract([2, 3, 2, 2], problem) AS w,
+       CASE WHEN problem = 1 + 2 * (sheet % 2) THEN '*' ELSE '+' END AS op FROM f)"""
+_ANSWER = """CASE WHEN op = '*' THEN CAST(list_reduce(list(CAST(v AS HUGEINT)), lambda a, x: a * x) AS DECIMAL(38,0))
+       ELSE CAST(sum(v) AS DECIMAL(38,0)) END AS result"""
 _PRODUCT = "CAST(list_reduce(list(CAST(v AS HUGEINT)), lambda a, x: a * x) AS DECIMAL(38,0))"
 
 _PRIOS = ", ".join(f"'{p}'" for p in PRODUCT_PRIORITIES)
@@ -134,6 +174,19 @@ SELECT doc_id, CAST(section AS BIGINT) AS section, count(*) AS n_lines, CAST(SUM
 FROM s WHERE line <> '' GROUP BY doc_id, section""",
     "grouped_product": f"""WITH {_FACTORS}
 SELECT l_orderkey, {_PRODUCT} AS product FROM f GROUP BY l_orderkey""",
+    "worksheet_rows": f"""WITH {_SHEET}
+SELECT sheet, CAST(problem AS BIGINT) AS problem, op, {_ANSWER} FROM (SELECT sheet, problem, op, num AS v FROM cell) GROUP BY sheet, problem, op""",
+    # digits taken out of each number by its place, no text lines
+    "worksheet_columns": f"""WITH {_SHEET},
+t AS (SELECT *, CAST(num AS VARCHAR) AS txt FROM cell),
+d AS (SELECT sheet, n, nums, problem, op, unnest(range(1, w + 1)) AS col, txt, w FROM t),
+c AS (SELECT sheet, problem, op, col, n, nums,
+      substr(CASE WHEN n % 2 = 0 THEN rpad(txt, CAST(w AS INTEGER), ' ') ELSE lpad(txt, CAST(w AS INTEGER), ' ') END, CAST(col AS INTEGER), 1) AS ch FROM d),
+ln AS (SELECT sheet, n, nums, string_agg(CASE WHEN n % 2 = 0 THEN rpad(txt, CAST(w AS INTEGER), ' ') ELSE lpad(txt, CAST(w AS INTEGER), ' ') END, ' ' ORDER BY problem) AS line
+      FROM (SELECT DISTINCT sheet, n, nums, problem, txt, w FROM t) GROUP BY sheet, n, nums),
+v AS (SELECT sheet, problem, op, col, CAST(string_agg(ch, '' ORDER BY c.n, line) AS BIGINT) AS v
+      FROM c JOIN ln USING (sheet, n, nums) WHERE ch <> ' ' GROUP BY sheet, problem, op, col)
+SELECT sheet, CAST(problem AS BIGINT) AS problem, op, {_ANSWER} FROM v GROUP BY sheet, problem, op""",
     "dispatch_aggregate": f"""WITH {_FACTORS}
 SELECT l_orderkey, CASE WHEN l_orderkey % 2 = 1 THEN '*' ELSE '+' END AS op,
        CASE WHEN l_orderkey % 2 = 1 THEN {_PRODUCT} ELSE CAST(SUM(v) AS DECIMAL(38,0)) END AS result

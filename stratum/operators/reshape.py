@@ -122,3 +122,78 @@ def group_by_breaks(df: DataFrame, keys: list[str], order: list, is_break: Colum
     from stratum.operators.ordered import delimiter_groups
     return delimiter_groups(df, order, is_break, keys=keys, out=out, split=split)
 
+
+# ---------------------------------------------------------------------------
+# Worksheets: the lines of a sheet are rows of numbers, its last line holds the
+# operator of every problem.  ``sheets`` has rows of (sheet, row, line).
+# ---------------------------------------------------------------------------
+
+
+def footer_split(sheets: DataFrame, sheet: str, row: str, line: str) -> tuple[DataFrame, DataFrame]:
+    """(body, footer): the lines before each sheet's last one, and the last ones.
+
+    The last rows are an aggregate, and the body meets it by an equi join; a tie on the last
+    row counts as one footer, the largest text.  Sheets and rows that are NULL are left out.
+    """
+    known = sheets.select(sheet, row, F.coalesce(line, F.lit("")).alias(line)) \
+        .where(F.col(sheet).isNotNull() & F.col(row).isNotNull())
+    footer = known.groupBy(sheet).agg(F.max(F.struct(row, line)).alias("_f")).select(sheet, "_f.*")
+    body = known.join(footer.select(sheet, F.col(row).alias("_last")), sheet).where(F.col(row) < F.col("_last"))
+    return body.drop("_last"), footer
+
+
+def worksheet_rows(sheets: DataFrame, sheet: str, row: str, line: str, out: str = "result") -> DataFrame:
+    """Numbers stand side by side, one problem a column of tokens.
+
+    Token p of the footer is the operator ('*' or '+') of the p-th tokens of all other lines.
+    Returns ``(sheet, problem, op, out)``; an operator without numbers has no row.  A token that
+    is no integer is an error, as is a product beyond DECIMAL(38,0).
+    """
+    body, footer = footer_split(sheets, sheet, row, line)
+    op = tokens(footer, line, [sheet], "op", "problem")
+    values = transpose_tokens(tokens(body, line, [sheet, row], "_v", "problem"), [sheet], row, "problem", "_v")
+    return dispatch_aggregate(values.join(op, [sheet, "problem"]), [sheet, "problem"], "_v", "op", out)
+
+
+def rotate_worksheet(sheets: DataFrame, sheet: str, row: str, line: str) -> DataFrame:
+    """The sheet whose numbers are the columns of ``sheets``, as lines again.
+
+    1. A problem begins at each operator of the footer, and the column before it is blank: the
+       problem of a column is the running count of operators (of one line, as wide as the sheet).
+    2. A column's characters, joined from top to bottom without blanks, are a number.
+    3. Problems with fewer columns than the widest of their sheet are filled up with the
+       operator's identity ('1' or '0').
+    4. The n-th numbers of all problems are line n of the new sheet; the footer is its last line.
+
+    Columns without characters and characters before the first operator are left out, and so is
+    an operator without numbers: the footer that is returned holds the others, so that places agree.
+    """
+    from stratum.operators.ordered import delimiter_groups
+    body, footer = footer_split(sheets, sheet, row, line)
+    board = body.select(sheet, row, F.posexplode(F.split(F.rtrim(line), "")).alias("col", "_ch")) \
+        .where(~F.col("_ch").isin("", " "))
+    wide = board.groupBy(sheet).agg(F.max("col").alias("_wide"))
+    marks = footer.join(wide, sheet).select(sheet, F.posexplode(F.split(
+        F.rpad(line, F.greatest(F.length(line), (F.col("_wide") + 1).cast("int")), F.lit(" ")), "")).alias("col", "_ch")) \
+        .where(F.col("_ch") != "")
+    marks = delimiter_groups(marks, ["col"], F.col("_ch") != " ", [sheet], out="problem") \
+        .withColumn("op", F.max(F.when(F.col("_ch") != " ", F.col("_ch"))).over(Window.partitionBy(sheet, "problem"))) \
+        .where(F.col("problem") > 0).drop("_ch")
+    numbers = ordered_concat(board, [sheet, "col"], "_ch", row, "", "_v").join(marks, [sheet, "col"])
+    nth = F.row_number().over(Window.partitionBy(sheet, "problem").orderBy("col"))
+    numbers = numbers.select(F.struct(sheet, "problem").alias("_of"), "op", nth.alias("nth"), "_v")
+    problems = numbers.groupBy("_of").agg(F.max("op").alias("op"), F.max("nth").alias("_n"))
+    most = problems.groupBy(F.col(f"_of.{sheet}").alias(sheet)).agg(F.max("_n").alias("_most"))
+    problems = problems.withColumn(sheet, F.col(f"_of.{sheet}")).join(most, sheet).select("_of", "op", "_most")
+    filled = densify(numbers.drop("op"), problems, "_of", F.lit(1), F.col("_most"), "nth", "_v",
+                     F.when(F.col("op") == "*", F.lit("1")).otherwise(F.lit("0")), "_v")
+    cells = filled.select(F.col(f"_of.{sheet}").alias(sheet), F.col("nth").cast("bigint").alias(row),
+                          F.col("_of.problem").alias("_p"), "_v")
+    ops = problems.select(F.col(f"_of.{sheet}").alias(sheet), (F.col("_most") + 1).cast("bigint").alias(row),
+                          F.col("_of.problem").alias("_p"), F.col("op").alias("_v"))
+    return ordered_concat(cells.unionByName(ops), [sheet, row], "_v", "_p", " ", line).drop("n_items")
+
+
+def worksheet_columns(sheets: DataFrame, sheet: str, row: str, line: str, out: str = "result") -> DataFrame:
+    """The composed chain: numbers are read down the columns, then as ``worksheet_rows``."""
+    return worksheet_rows(rotate_worksheet(sheets, sheet, row, line), sheet, row, line, out)
