@@ -18,8 +18,8 @@ in the task closure.  Labels, language, source and id are never inputs.
 
 Defined cases: a null or empty text has no n-grams and gets the score of the
 intercept; a null id counts as not held out; labels that are null are ignored;
-a document with several labels trains once for each; without labels of both
-classes every score is the share of toxic labels (0 without labels); equal rows
+a document with several labels, and one that occurs several times, trains once
+for each; labels without a document are ignored; without labels of both classes every score is the share of toxic labels (0 without labels); equal rows
 give equal rows; other columns are ignored.
 """
 
@@ -182,7 +182,8 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         .select(doc_id, (F.col(label) != 0).alias("toxic"), by_hash.alias("draw")) \
         .orderBy("draw", doc_id, "toxic").limit(max_train)
     rows = docs.select(doc_id, text).join(F.broadcast(chosen), doc_id).select("toxic", text, "draw", doc_id)
-    n = chosen.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("toxic").cast("int")).alias("toxic")).first()
+    # totals of the same rows as the n-gram counts: labels without a document count nowhere
+    n = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("toxic").cast("int")).alias("toxic")).first()
     n_toxic, n_clean = n["toxic"] or 0, n["n"] - (n["toxic"] or 0)
     empty = np.zeros(0, np.uint64), np.zeros(0)
     if not n_toxic or not n_clean:
