@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stratum.functions import bit
 from stratum.operators import bits as op
+from stratum.plans import spread
 from stratum.sources.tables import load
 
 # The characters that set a bit, and the mask widths.
@@ -34,7 +35,7 @@ def q_xor_fold(spark, sf_dir):
 
 
 def q_min_subset_xor(spark, sf_dir):
-    m = _line_masks(spark, sf_dir).distinct()
+    m = spread(_line_masks(spark, sf_dir), load(spark, sf_dir, "lineitem").count(), "g").distinct()
     # target: XOR of each order's three smallest distinct masks (orders with >= 3)
     w = Window.partitionBy("g").orderBy("mask")
     t = (m.withColumn("_i", F.row_number().over(w)).where(F.col("_i") <= 3)
