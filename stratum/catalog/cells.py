@@ -14,7 +14,7 @@ FIRST_YEAR = 1995
 
 def _cells(spark, sf_dir):
     li = load(spark, sf_dir, "lineitem")
-    return li.select(F.col("l_partkey").alias("r"), (F.col("l_suppkey") % GRID_COLS).alias("c")).distinct()
+    return li.select(F.col("l_partkey").alias("r"), (F.col("l_suppkey") % GRID_COLS).alias("c"))     # cells may repeat
 
 
 def _splitters(spark, sf_dir):
@@ -44,10 +44,12 @@ def q_stencil_sparse(spark, sf_dir):
 
 def q_grid_peel(spark, sf_dir):
     cells = _cells(spark, sf_dir)
-    left = op.peel_blocked(cells, THRESHOLD).withColumn("_kept", F.lit(1))
-    marked = cells.join(left, ["r", "c"], "left")
-    return marked.agg(F.count_if(F.col("_kept").isNull()).alias("n_removed"),
-                      F.count("_kept").alias("n_remaining"))
+    left = op.peel_blocked(cells, THRESHOLD).where(F.col("r").isNotNull() & F.col("c").isNotNull())
+    # the cells that are left are among the cells, so both are counted and not matched
+    both = op.cell_words(cells).select(F.bit_count("mask").alias("_all"), F.lit(0).alias("_kept")).unionByName(
+        left.select(F.lit(0).alias("_all"), F.lit(1).alias("_kept")))
+    return both.agg(F.coalesce(F.sum("_all") - F.sum("_kept"), F.lit(0)).cast("bigint").alias("n_removed"),
+                    F.coalesce(F.sum("_kept"), F.lit(0)).cast("bigint").alias("n_remaining"))
 
 
 def q_layered_reach(spark, sf_dir):

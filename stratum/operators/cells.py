@@ -1,9 +1,8 @@
 """Sparse-grid and layered-graph operators (U6, U7 grid form, U15, U16).
 
 Grids are long DataFrames of occupied cells ``(r, c)``.  Neighbour counts
-need one shuffle: every cell emits itself plus one row per offset, and a
-single ``groupBy(r, c)`` both counts neighbours and recognises occupied
-cells; no cell receives more rows than there are offsets.
+go by words of 63 columns of a row: a word is sent to the words next to
+it, and a ``groupBy(row, word)`` meets at most nine bitmaps for king moves.
 """
 
 from __future__ import annotations
@@ -16,10 +15,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratum.functions import floor_div
+from stratum.functions import bit, floor_div
 from stratum.plans import Lineage
 
 BLOCK_LEVELS, BLOCK_WIDTH = 8, 1 << 13   # levels and columns that one task of a layered propagation advances
+WORD_BITS = 63                           # columns of a grid row that one word holds
+PEEL_BITS = 32                           # the same where words must lie within the squares of a peel
 # Fixed offsets: the eight king-move neighbours of a cell.
 KING_OFFSETS = [(-1, -1), (-1, 0), (-1, 1), (0, -1), (0, 1), (1, -1), (1, 0), (1, 1)]
 
@@ -30,18 +31,76 @@ def _offset_array(offsets) -> Column:
                      for dr, dc in offsets])
 
 
+def cell_words(cells: DataFrame, r: str = "r", c: str = "c", bits: int = WORD_BITS) -> DataFrame:
+    """The occupied cells as bitmaps of ``bits`` columns, ``(r, w, mask)``: bit i of word w is column ``w * bits + i``.
+
+    Repeated cells set their bit once.  A NULL column has a word of its own, NULL, with bit 0."""
+    return cells.groupBy(F.col(r).cast("bigint").alias("r"), floor_div(F.col(c).cast("bigint"), bits).alias("w")).agg(
+        F.bit_or(F.coalesce(bit(F.pmod(F.col(c).cast("bigint"), F.lit(bits))), F.lit(1).cast("bigint"))).alias("mask"))
+
+
+def word_cells(mask: Column, bits: int = WORD_BITS) -> Column:
+    """The places of the bits that are set, one row each."""
+    return F.explode(F.filter(F.sequence(F.lit(0), F.lit(bits - 1)), lambda i: _has(mask, i)))
+
+
+def cell_rows(words: DataFrame, bits: int = WORD_BITS) -> DataFrame:
+    """The cells ``(r, c)`` of ``cell_words``."""
+    return words.select("r", "w", word_cells(F.col("mask"), bits).alias("_i")).select(
+        "r", (F.col("w") * bits + F.col("_i")).alias("c"))
+
+
+def _has(mask: Column, at) -> Column:
+    return F.call_function("shiftright", mask, at).bitwiseAND(F.lit(1)) == 1
+
+
+def _lanes(offsets, bits: int) -> dict:
+    """(row step, word step) -> the bits of a word from which an offset makes this step."""
+    lanes = {}
+    for dr, dc in offsets:
+        for i in range(bits):
+            step = (dr, (i + dc) // bits)
+            lanes[step] = lanes.get(step, 0) | (1 << i)
+    return lanes
+
+
+def _way_array(lanes: dict) -> Column:
+    return F.array(*[F.struct(F.lit(k).alias("k"), F.lit(dr).alias("dr"), F.lit(dw).alias("dw"),
+                              F.lit(reach).cast("bigint").alias("reach"))
+                     for k, ((dr, dw), reach) in enumerate(lanes.items())])
+
+
 def neighbour_counts(cells: DataFrame, r: str = "r", c: str = "c",
                      offsets=KING_OFFSETS) -> DataFrame:
-    """``(r, c, n)`` = occupied neighbours of every occupied cell."""
-    me = cells.select(F.col(r).alias("_r"), F.col(c).alias("_c"), F.lit(1).alias("_self"))
-    emit = cells.select(F.explode(_offset_array(offsets)).alias("_o"), r, c).select(
-        (F.col(r) + F.col("_o.dr")).alias("_r"), (F.col(c) + F.col("_o.dc")).alias("_c"),
-        F.lit(0).alias("_self"))
-    both = me.unionByName(emit)
-    agg = both.groupBy("_r", "_c").agg(F.max("_self").alias("_occ"),
-                                       F.count_if(F.col("_self") == 0).alias("n"))
-    return agg.where(F.col("_occ") == 1).select(F.col("_r").alias(r), F.col("_c").alias(c),
-                                                F.col("n").cast("bigint").alias("n"))
+    """``(r, c, n)`` = occupied neighbours of every occupied cell.
+
+    Cells go in words of ``WORD_BITS`` columns (``cell_words``).  A word is sent to the words that its
+    cells' offsets reach, at most as many as there are row offsets and two more each, and a cell's
+    count is read from the bitmaps that came to its word: no row per cell and offset is made.
+    Repeated cells count once.
+    """
+    full = (1 << WORD_BITS) - 1
+    lanes = {(0, 0): full} | _lanes(offsets, WORD_BITS)
+    lanes[0, 0] = full
+    names = {step: f"_m{k}" for k, step in enumerate(lanes)}
+    words = cell_words(cells, r, c)
+    # a NULL column is next to itself at any offset, as NULL + offset is NULL
+    sent = F.when(F.col("w").isNull(), F.lit(full)).otherwise(F.col("mask"))
+    ways = F.filter(_way_array(lanes), lambda way: F.col("w").isNull() | (F.col("mask").bitwiseAND(way["reach"]) != 0))
+    moved = words.select("r", "w", "mask", sent.alias("_sent"), F.explode(ways).alias("_way")).select(
+        (F.col("r") + F.col("_way.dr")).alias("r"), (F.col("w") + F.col("_way.dw")).alias("w"),
+        F.col("_way.k").alias("k"), F.when(F.col("_way.k") == 0, F.col("mask")).alias("own"), F.col("_sent").alias("mask"))
+    met = moved.groupBy("r", "w").agg(F.max("own").alias("own"), *[
+        F.coalesce(F.max(F.when(F.col("k") == k, F.col("mask"))), F.lit(0).cast("bigint")).alias(names[step])
+        for k, step in enumerate(lanes)]).where(F.col("own").isNotNull())
+    at = F.col("_i")
+    n = F.lit(0).cast("bigint")
+    for dr, dc in offsets:      # the cell that reaches place i by dc stands at i - dc
+        for dw in sorted({(i + dc) // WORD_BITS for i in range(WORD_BITS)}):
+            place = at - dc + dw * WORD_BITS
+            n = n + F.when(place.between(0, WORD_BITS - 1) & _has(F.col(names[dr, dw]), place), 1).otherwise(0)
+    return met.select("*", word_cells(F.col("own")).alias("_i")).select(
+        F.col("r").alias(r), (F.col("w") * WORD_BITS + at).alias(c), n.cast("bigint").alias("n"))
 
 
 def peel(cells: DataFrame, k: int, r: str = "r", c: str = "c", offsets=KING_OFFSETS,
@@ -75,37 +134,36 @@ def peel(cells: DataFrame, k: int, r: str = "r", c: str = "c", offsets=KING_OFFS
         state = lineage.cut(state, force=True)
 
 
-def _local_peel(k: int, offsets):
-    """Per-tile peel in numpy: own cells are peeled to a local fixpoint,
-    halo cells count as present and are never removed."""
+def _local_peel(k: int, offsets, bits: int):
+    """Per-tile peel in numpy: the cells of own words are peeled to a local fixpoint,
+    those of halo words count as present and are never removed."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        own = pdf["own"].to_numpy()
-        r = pdf["r"].to_numpy().astype("int64")
-        c = pdf["c"].to_numpy().astype("int64")
-        rmin, cmin = r.min(), c.min()
-        width = int(c.max() - cmin + 3)
-        key = (r - rmin + 1) * width + (c - cmin + 1)
+        word, place = np.nonzero(pdf["mask"].to_numpy(np.int64)[:, None] >> np.arange(bits) & 1)
+        own = pdf["own"].to_numpy()[word]
+        r = pdf["r"].to_numpy(np.int64)[word]
+        c = pdf["w"].to_numpy(np.int64)[word] * bits + place
+        reach = 1 + max([abs(d) for o in offsets for d in o], default=0)
+        width = int(c.max() - c.min()) + 1 + 2 * reach
+        key = (r - r.min() + reach) * width + (c - c.min() + reach)
         order = np.argsort(key, kind="stable")
-        skey = key[order]
-        n = len(key)
+        skey, n = key[order], len(key)
         nbrs = []
         for dr, dc in offsets:
             probe = key + dr * width + dc
-            pos = np.searchsorted(skey, probe)
-            pos_c = np.minimum(pos, n - 1)
-            hit = (pos < n) & (skey[pos_c] == probe)
-            nbrs.append(np.where(hit, order[pos_c], -1))
+            pos = np.minimum(np.searchsorted(skey, probe), n - 1)
+            nbrs.append(np.where(skey[pos] == probe, order[pos], n))      # n stands for no cell
         nb = np.stack(nbrs, axis=1)
-        alive = np.ones(n, dtype=bool)
-        present = nb >= 0
-        safe = np.where(present, nb, 0)
+        alive = np.append(np.ones(n, bool), False)
+        todo = np.flatnonzero(own)
         while True:
-            cnt = (present & alive[safe]).sum(axis=1)
-            gone = own & alive & (cnt < k)
-            if not gone.any():
+            left = alive[nb[todo]].sum(axis=1) >= k
+            if left.all():
                 break
-            alive &= ~gone
-        return pdf.loc[own & ~alive, ["r", "c"]]
+            alive[todo[~left]] = False
+            todo = todo[left]
+        gone = np.flatnonzero(own & ~alive[:n])
+        return pd.DataFrame({"r": r[gone], "w": pdf["w"].to_numpy(np.int64)[word[gone]], "mask": np.int64(1) << place[gone]}) \
+            .groupby(["r", "w"], as_index=False).sum()
 
     return run
 
@@ -118,17 +176,22 @@ def _square(level, r: str = "r", c: str = "c") -> list[Column]:
     return [F.shiftright(r, level).alias("tr"), F.shiftright(c, level).alias("tc")]
 
 
-def tile_map(cells: DataFrame, limit: int) -> tuple[int, DataFrame]:
+def base_level(limit: int) -> int:
+    return int(math.log2(max(1, limit))) // 2
+
+
+def tile_map(cells: DataFrame, limit: int, n: Column | None = None) -> tuple[int, DataFrame]:
     """(base level, tiles of the base squares ``(br, bc, lv, tr, tc)``) for cells ``(r, c)``.
 
     Tiles are squares of side 2**lv on nested grids.  A base square holds at
     most ``limit`` places, so no tile has more cells than that on any shape; a
     sparse square belongs to the largest square around it that still holds no
     more than ``limit`` cells.  The counts are made by one aggregate over the
-    base squares, each of which stands in ``COARSEST`` + 1 nested ones.
+    base squares, each of which stands in ``COARSEST`` + 1 nested ones.  ``n`` counts
+    the cells of rows that stand for several.
     """
-    base = int(math.log2(max(1, limit))) // 2
-    squares = cells.groupBy(*_square(base)).agg(F.count(F.lit(1)).alias("n"))
+    base = base_level(limit)
+    squares = cells.groupBy(*_square(base)).agg((F.count(F.lit(1)) if n is None else n).alias("n"))
     up = F.explode(F.sequence(F.lit(0), F.lit(COARSEST))).alias("up")
     nested = squares.select(F.col("tr").alias("br"), F.col("tc").alias("bc"), "n", up).select(
         "br", "bc", "n", "up", F.expr("shiftright(br, up)").alias("tr"), F.expr("shiftright(bc, up)").alias("tc"))
@@ -151,36 +214,51 @@ def peel_blocked(cells: DataFrame, k: int, r: str = "r", c: str = "c", offsets=K
     runs only the tiles with a halo cell that was removed; when there is none, no
     surviving cell has fewer than ``k`` surviving neighbours -- the unique
     fixpoint.  Global iterations are the number of times a cascade crosses a
-    tile border, not the number of peel rounds.
+    tile border, not the number of peel rounds.  Cells are stored and shuffled as
+    words (``cell_words``) of at most ``PEEL_BITS`` columns.
     """
     spark = cells.sparkSession
     lineage = Lineage(spark, 1)
-    state = lineage.cut(cells.select(F.col(r).cast("bigint").alias("r"),
-                                     F.col(c).cast("bigint").alias("c")).distinct(), force=True)
-    limit = max(1, min(cells_per_tile, math.ceil(state.count() / spark.sparkContext.defaultParallelism)))
-    base, tiles = tile_map(state, limit)
+    bits = PEEL_BITS
+    state = lineage.cut(cell_words(cells, r, c, bits), force=True)
+    total = state.agg(F.sum(F.bit_count("mask"))).first()[0] or 0
+    limit = max(1, min(cells_per_tile, math.ceil(total / spark.sparkContext.defaultParallelism)))
+    if base_level(limit) < bits.bit_length() - 1:       # a word lies within one base square
+        state, bits = cell_rows(state, bits), 1 << base_level(limit)
+        state = lineage.cut(cell_words(state, "r", "c", bits), force=True)
+    base, tiles = tile_map(state.withColumn("c", F.col("w") * bits), limit, F.sum(F.bit_count("mask")))
     tiles = lineage.cut(tiles, force=True)
-    br, bc = [x.alias(n) for x, n in zip(_square(base), ("br", "bc"))]
-    own = lineage.cut(state.withColumns({"br": br, "bc": bc}).join(tiles, ["br", "bc"]).select(
-        "r", "c", *TILE, F.lit(True).alias("own")), force=True)
+    squares = lambda r, w: [x.alias(n) for x, n in zip(_square(base, r, w * bits), ("br", "bc"))]
+    own = lineage.cut(state.select("r", "w", "mask", *squares(F.col("r"), F.col("w"))).join(tiles, ["br", "bc"]).select(
+        "r", "w", "mask", *TILE, F.lit(True).alias("own")), force=True)
     # a cell also goes to the tiles of the places next to it; only places in other base squares can be in one
-    near = own.select("r", "c", F.struct(*TILE).alias("_home"), F.explode(_offset_array(offsets)).alias("_o")).select(
-        "r", "c", "_home", *[x.alias(n) for x, n in zip(_square(
-            base, F.col("r") + F.col("_o.dr"), F.col("c") + F.col("_o.dc")), ("br", "bc"))])
+    near = own.select("r", "w", "mask", F.struct(*TILE).alias("_home"), F.explode(_way_array(_lanes(offsets, bits))).alias("_way")) \
+        .select("r", "w", F.col("mask").bitwiseAND(F.col("_way.reach")).alias("mask"), "_home", *squares(
+            F.col("r") + F.col("_way.dr"), F.col("w") + F.col("_way.dw")))
+    br, bc = squares(F.col("r"), F.col("w"))
     halo = lineage.cut(
-        near.where((F.col("br") != br) | (F.col("bc") != bc)).distinct().join(tiles, ["br", "bc"])
-        .where(F.struct(*TILE) != F.col("_home")).select("r", "c", *TILE, F.lit(False).alias("own")).distinct(),
-        force=True)
+        near.where((F.col("mask") != 0) & ((F.col("br") != br) | (F.col("bc") != bc)))
+        .groupBy("r", "w", "_home", "br", "bc").agg(F.bit_or("mask").alias("mask")).join(tiles, ["br", "bc"])
+        .where(F.struct(*TILE) != F.col("_home")).groupBy("r", "w", *TILE).agg(F.bit_or("mask").alias("mask"))
+        .select("r", "w", "mask", *TILE, F.lit(False).alias("own")), force=True)
+
+    def without(words: DataFrame, gone: DataFrame) -> DataFrame:
+        gone = gone.groupBy("r", "w").agg(F.bit_or("mask").alias("_gone"))
+        return words.join(gone, ["r", "w"], "left").withColumn("mask", F.col("mask").bitwiseAND(
+            F.bitwise_not(F.coalesce("_gone", F.lit(0).cast("bigint"))))).where(F.col("mask") != 0).drop("_gone")
+
     removed, last = None, None
     for _ in range(max_iter):
         rows = own.unionByName(halo)
         if last is not None:
-            active = halo.join(last, ["r", "c"], "left_semi").select(*TILE).distinct()
-            rows = rows.join(active, list(TILE), "left_semi").join(removed, ["r", "c"], "left_anti")
-        last = lineage.cut(rows.groupBy(*TILE).applyInPandas(_local_peel(k, offsets), "r long, c long"), force=True)
+            active = halo.join(last.select("r", "w", F.col("mask").alias("_gone")), ["r", "w"]) \
+                .where(F.col("mask").bitwiseAND(F.col("_gone")) != 0).select(*TILE).distinct()
+            rows = without(rows.join(active, list(TILE), "left_semi"), removed)
+        last = lineage.cut(rows.groupBy(*TILE).applyInPandas(_local_peel(k, offsets, bits), "r long, w long, mask long"),
+                           force=True)
         if last.isEmpty():
-            left = state if removed is None else state.join(removed, ["r", "c"], "left_anti")
-            return left.select(F.col("r").alias(r), F.col("c").alias(c))
+            left = state if removed is None else without(state, removed)
+            return cell_rows(left, bits).select(F.col("r").alias(r), F.col("c").alias(c))
         removed = last if removed is None else removed.unionByName(last)
     raise RuntimeError("blocked peel did not converge")
 
