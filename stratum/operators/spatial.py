@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.operators.graphs import connected_components
-from stratum.plans import Lineage, ordered_scan
+from stratum.plans import Lineage, ordered_scan, spread
 from stratum.plans.prefix import ordered_scans
 
 
@@ -260,19 +260,24 @@ def inside_runs(vertices: DataFrame, poly: str, order: str, x: str = "x", y: str
         F.col(poly).isNotNull() & F.col(x).isNotNull() & F.col(y).isNotNull()), force=True)
     rows = lineage.cut(compressed_axis(v, poly, y), force=True)
     line = rows.where("is_line")
-    e = ring_edges(v, poly, order, x, y) \
+    n = v.count()
+    e = ring_edges(spread(v, n, poly), poly, order, x, y) \
         .join(line.select(poly, F.col("v").alias(y), F.col("c").alias("_r0")), [poly, y]) \
         .join(line.select(poly, F.col("v").alias("ny"), F.col("c").alias("_r1")), [poly, "ny"])
     top, bottom = F.least("_r0", "_r1"), F.greatest("_r0", "_r1")
     upright = e.where((F.col(x) == F.col("nx")) & (F.col("_r0") != F.col("_r1")))
     in_row = Window.partitionBy(poly, "c").orderBy("lo")
-    walls = upright.select(poly, F.explode(F.sequence(top, bottom - 1)).alias("c"), F.col(x).alias("lo")) \
+    walls = upright.select(poly, F.explode(F.sequence(top, bottom - 1)).alias("c"), F.col(x).alias("lo"))
+    # an edge crosses several rows: the parts are made for them, so that their sorts do not spill
+    crossings = upright.agg(F.sum(bottom - top)).first()[0] or 0
+    walls = spread(walls, crossings, poly, "c") \
         .select(poly, "c", "lo", F.lead("lo").over(in_row).alias("hi"), F.row_number().over(in_row).alias("_nth"))
     spans = walls.where(F.col("_nth") % 2 == 1).drop("_nth") \
         .unionByName(upright.select(poly, bottom.alias("c"), F.col(x).alias("lo"), F.col(x).alias("hi"))) \
         .unionByName(e.where(F.col("_r0") == F.col("_r1")).select(
             poly, F.col("_r0").alias("c"), F.least(x, "nx").alias("lo"), F.greatest(x, "nx").alias("hi")))
     in_row = Window.partitionBy(poly, "c").orderBy("lo", "hi")
+    spans = spread(spans, crossings + n, poly, "c")
     reach = F.max("hi").over(in_row.rowsBetween(Window.unboundedPreceding, -1))
     runs = spans.withColumn("_new", F.when(F.col("lo") <= reach + 1, 0).otherwise(1)) \
         .withColumn("_run", F.sum("_new").over(in_row.rowsBetween(Window.unboundedPreceding, 0))) \
@@ -317,12 +322,13 @@ def pockets(runs: DataFrame, poly: str) -> DataFrame | None:
     return None if inner.isEmpty() else inner
 
 
-def _sight(vertices: DataFrame, runs: DataFrame, poly: str, line: str, along: str, out: str) -> DataFrame:
-    """``vertices`` with the run of inside tiles that holds each on its line, as the struct ``out``."""
+def _sight(vertices: DataFrame, runs: DataFrame, poly: str, line: str, along: str, out: str, rows: int) -> DataFrame:
+    """``vertices`` (about ``rows``) with the run of inside tiles that holds each on its line, as the struct ``out``."""
     marks = runs.select(poly, F.col("y").alias(line), F.col("lo").alias(along), F.struct("lo", "hi").alias("_run"))
     both = vertices.unionByName(marks, allowMissingColumns=True)
     before = Window.partitionBy(poly, line).orderBy(along, F.col("_run").isNull()) \
         .rowsBetween(Window.unboundedPreceding, 0)
+    both = spread(both, 2 * rows, poly, line)
     return both.withColumn(out, F.last("_run", ignorenulls=True).over(before)).where(F.col("_run").isNull()).drop("_run")
 
 
@@ -351,11 +357,12 @@ def max_interior_rectangle(vertices: DataFrame, poly: str, order: str, x: str =
         F.col(poly).isNotNull() & F.col("x").isNotNull() & F.col("y").isNotNull())
     v = lineage.cut(ordered_scan(v.withColumn("_one", F.lit(1).cast("bigint")), [order], "_one", "n", "sum", [poly], True)
                     .drop("_one"), force=True)
+    n = v.count()
     level = lineage.cut(inside_runs(v, poly, "n"), force=True)
     plumb = inside_runs(v, poly, "n", "y", "x").where("is_line")
-    seen = _sight(v.drop(order), level.where("is_line"), poly, "y", "x", "h")
-    seen = _sight(seen, plumb, poly, "x", "y", "v")
-    blocks = lineage.cut(seen.groupBy(poly, F.floor((F.col("n") - 1) / block).alias("b")).agg(
+    seen = _sight(v.drop(order), level.where("is_line"), poly, "y", "x", "h", n)
+    seen = _sight(seen, plumb, poly, "x", "y", "v", n).withColumn("b", F.floor((F.col("n") - 1) / block))
+    blocks = lineage.cut(spread(seen, n, poly, "b").groupBy(poly, "b").agg(
         F.collect_list(F.struct("n", "x", "y", "h", "v")).alias("all"),          # ``block`` of them
         F.min("x").alias("x1"), F.max("x").alias("x2"), F.min("y").alias("y1"), F.max("y").alias("y2"),
         F.max("h.hi").alias("hx"), F.max("v.hi").alias("vy")), force=True)
@@ -370,13 +377,15 @@ def max_interior_rectangle(vertices: DataFrame, poly: str, order: str, x: str =
 
     bounds = ("x1", "x2", "y1", "y2", "hx", "vy")
     wide, high = extent("x1", "x2", "hx"), extent("y1", "y2", "vy")
-    meets = side("p", *bounds).join(side("q", *bounds), poly).where(
-        (F.col("p_b") <= F.col("q_b")) & (wide >= 0) & (high >= 0)) \
+    meets = side("p", *bounds).join(side("q", *bounds).where(F.col("q_b") > 0), poly).where(
+        (F.col("p_b") < F.col("q_b")) & (wide >= 0) & (high >= 0)) \
         .select(poly, "p_b", "q_b", ((wide + 1) * (high + 1)).alias("bound"))
 
+    def of_pairs(pairs: DataFrame) -> DataFrame:
+        return pairs.join(side("p", "all"), [poly, "p_b"]).join(side("q", "all"), [poly, "q_b"]).select(poly, "p_all", "q_all")
+
     def best(pairs: DataFrame) -> DataFrame:
-        opened = pairs.join(side("p", "all"), [poly, "p_b"]).join(side("q", "all"), [poly, "q_b"]) \
-            .select(poly, "q_all", F.explode("p_all").alias("p")).select(poly, "p", F.explode("q_all").alias("q"))
+        opened = pairs.select(poly, "q_all", F.explode("p_all").alias("p")).select(poly, "p", F.explode("q_all").alias("q"))
         p, q = F.col("p"), F.col("q")
         sees = q["x"].between(p["h"]["lo"], p["h"]["hi"]) & p["x"].between(q["h"]["lo"], q["h"]["hi"]) \
             & q["y"].between(p["v"]["lo"], p["v"]["hi"]) & p["y"].between(q["v"]["lo"], q["v"]["hi"])
@@ -390,9 +399,12 @@ def max_interior_rectangle(vertices: DataFrame, poly: str, order: str, x: str =
         return found.groupBy(poly).agg(
             F.max((F.col("r") - F.col("l") + 1) * (F.col("u") - F.col("t") + 1)).cast("bigint").alias(out))
 
-    near = lineage.cut(best(meets.where(F.col("q_b") - F.col("p_b") <= 1)), force=True)
+    # a block meets itself without a join; a ring of one block needs no other
+    alone = blocks.select(poly, F.col("all").alias("p_all"), F.col("all").alias("q_all"))
+    beside = of_pairs(meets.where(F.col("q_b") - F.col("p_b") == 1))
+    near = lineage.cut(best(alone.unionByName(beside)), force=True)
     far = lineage.cut(meets.where(F.col("q_b") - F.col("p_b") > 1).join(near, poly, "left").where(
         F.col("bound") > F.coalesce(out, F.lit(0))).select(poly, "p_b", "q_b"), force=True)
     if far.isEmpty():
         return near
-    return near.unionByName(best(far)).groupBy(poly).agg(F.max(out).alias(out))
+    return near.unionByName(best(of_pairs(far))).groupBy(poly).agg(F.max(out).alias(out))
