@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratum.plans import join_on_group
+from stratum.plans import Lineage, spread
 
 BLANKS = " +"  # runs of blanks separate tokens (the reference squeezes them)
 
@@ -61,19 +61,19 @@ def _products(df: DataFrame, keys: list[str], value: str, wanted: Column, extra:
     v, n = F.col("_v"), F.col("_c")
     counts = df.groupBy(*keys, F.col(value).cast("bigint").alias("_v")).agg(F.count(F.lit(1)).alias("_c"), *extra[:1])
     rest = extra[1:]
-    summary = counts.groupBy(*keys).agg(
+    big = F.coalesce(F.abs("_v") >= 2, F.lit(False))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(big.desc(), "_v"))
+    # one aggregate in the partitions of the window: no second shuffle, and no join of two aggregates
+    both = counts.withColumn("_rank", rank).groupBy(*keys).agg(
         F.count("_v").alias("_values"), F.count_if(v == 0).alias("_zeros"),
         F.sum(F.when(v < 0, n).otherwise(0)).alias("_negs"),
-        F.sum(F.when(F.abs("_v") >= 2, n).otherwise(0)).alias("_factors"), *rest)
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy("_v"))
-    few = counts.where(F.abs("_v") >= 2).withColumn("_rank", rank).where(F.col("_rank") <= MAX_FACTORS + 1) \
-        .groupBy(*keys).agg(F.collect_list(F.struct(F.abs("_v").alias("a"), n.alias("n"))).alias("_list"))
-    both = join_on_group(summary, few, keys, "left")
+        F.sum(F.when(big, n).otherwise(0)).alias("_factors"),
+        F.collect_list(F.when(big & (F.col("_rank") <= MAX_FACTORS + 1),
+                              F.struct(F.abs("_v").alias("a"), n.alias("n")))).alias("_list"), *rest)
     one, dec = F.lit(1).cast("decimal(38,0)"), "decimal(38,0)"
     too_big = F.raise_error(F.lit("a product is too large for DECIMAL(38,0)")).cast(dec)
-    size = F.aggregate(F.coalesce("_list", F.array().cast("array<struct<a:bigint,n:bigint>>")), one,
-                       lambda acc, f: F.aggregate(F.sequence(F.lit(1).cast("bigint"), f["n"]), acc,
-                                                  lambda p, _: (p * f["a"]).cast(dec)))
+    size = F.aggregate("_list", one, lambda acc, f: F.when(f["n"] == 1, (acc * f["a"]).cast(dec)).otherwise(
+        F.aggregate(F.sequence(F.lit(1).cast("bigint"), f["n"]), acc, lambda p, _: (p * f["a"]).cast(dec))))
     sign = F.when(F.col("_negs") % 2 == 1, F.lit(-1)).otherwise(F.lit(1))
     prod = (F.when(~wanted | (F.col("_values") == 0), F.lit(None))
             .when(F.col("_zeros") > 0, F.lit(0).cast(dec))
@@ -137,6 +137,7 @@ def footer_split(sheets: DataFrame, sheet: str, row: str, line: str) -> tuple[Da
     """
     known = sheets.select(sheet, row, F.coalesce(line, F.lit("")).alias(line)) \
         .where(F.col(sheet).isNotNull() & F.col(row).isNotNull())
+    known = Lineage(sheets.sparkSession, 1).cut(known, force=True)     # read several times, made once
     footer = known.groupBy(sheet).agg(F.max(F.struct(row, line)).alias("_f")).select(sheet, "_f.*")
     body = known.join(footer.select(sheet, F.col(row).alias("_last")), sheet).where(F.col(row) < F.col("_last"))
     return body.drop("_last"), footer
@@ -152,6 +153,8 @@ def worksheet_rows(sheets: DataFrame, sheet: str, row: str, line: str, out: str
     body, footer = footer_split(sheets, sheet, row, line)
     op = tokens(footer, line, [sheet], "op", "problem")
     values = transpose_tokens(tokens(body, line, [sheet, row], "_v", "problem"), [sheet], row, "problem", "_v")
+    n = body.agg(F.sum(F.size(F.split(F.trim(line), BLANKS)))).first()[0] or 0
+    values = spread(values, n, sheet, "problem")      # the join and all aggregates are made in these parts
     return dispatch_aggregate(values.join(op, [sheet, "problem"]), [sheet, "problem"], "_v", "op", out)
 
 
@@ -172,26 +175,32 @@ def rotate_worksheet(sheets: DataFrame, sheet: str, row: str, line: str) -> Data
     body, footer = footer_split(sheets, sheet, row, line)
     board = body.select(sheet, row, F.posexplode(F.split(F.rtrim(line), "")).alias("col", "_ch")) \
         .where(~F.col("_ch").isin("", " "))
-    wide = board.groupBy(sheet).agg(F.max("col").alias("_wide"))
+    lineage = Lineage(sheets.sparkSession, 1)
+    n = body.agg(F.sum(F.length(F.replace(line, F.lit(" "), F.lit(""))))).first()[0] or 0
+    board = spread(board, n, sheet, "col")
+    wide = body.where(F.length(F.rtrim(line)) > 0).groupBy(sheet).agg(F.max(F.length(F.rtrim(line)) - 1).alias("_wide"))
     marks = footer.join(wide, sheet).select(sheet, F.posexplode(F.split(
         F.rpad(line, F.greatest(F.length(line), (F.col("_wide") + 1).cast("int")), F.lit(" ")), "")).alias("col", "_ch")) \
         .where(F.col("_ch") != "")
-    marks = delimiter_groups(marks, ["col"], F.col("_ch") != " ", [sheet], out="problem") \
+    marks = delimiter_groups(spread(marks, n, sheet), ["col"], F.col("_ch") != " ", [sheet], out="problem") \
         .withColumn("op", F.max(F.when(F.col("_ch") != " ", F.col("_ch"))).over(Window.partitionBy(sheet, "problem"))) \
         .where(F.col("problem") > 0).drop("_ch")
     numbers = ordered_concat(board, [sheet, "col"], "_ch", row, "", "_v").join(marks, [sheet, "col"])
-    nth = F.row_number().over(Window.partitionBy(sheet, "problem").orderBy("col"))
-    numbers = numbers.select(F.struct(sheet, "problem").alias("_of"), "op", nth.alias("nth"), "_v")
-    problems = numbers.groupBy("_of").agg(F.max("op").alias("op"), F.max("nth").alias("_n"))
+    numbers = lineage.cut(numbers.select(F.struct(sheet, "problem").alias("_of"), "op", "col", "_v"), force=True)
+    n = numbers.count()
+    nth = F.row_number().over(Window.partitionBy("_of").orderBy("col"))
+    numbers = lineage.cut(spread(numbers, n, "_of").select("_of", "op", nth.alias("nth"), "_v"), force=True)
+    problems = spread(numbers, n, "_of").groupBy("_of").agg(F.max("op").alias("op"), F.max("nth").alias("_n"))
     most = problems.groupBy(F.col(f"_of.{sheet}").alias(sheet)).agg(F.max("_n").alias("_most"))
-    problems = problems.withColumn(sheet, F.col(f"_of.{sheet}")).join(most, sheet).select("_of", "op", "_most")
-    filled = densify(numbers.drop("op"), problems, "_of", F.lit(1), F.col("_most"), "nth", "_v",
+    problems = lineage.cut(problems.withColumn(sheet, F.col(f"_of.{sheet}")).join(most, sheet).select("_of", "op", "_most"),
+                           force=True)
+    filled = densify(spread(numbers.drop("op"), n, "_of", "nth"), problems, "_of", F.lit(1), F.col("_most"), "nth", "_v",
                      F.when(F.col("op") == "*", F.lit("1")).otherwise(F.lit("0")), "_v")
     cells = filled.select(F.col(f"_of.{sheet}").alias(sheet), F.col("nth").cast("bigint").alias(row),
                           F.col("_of.problem").alias("_p"), "_v")
     ops = problems.select(F.col(f"_of.{sheet}").alias(sheet), (F.col("_most") + 1).cast("bigint").alias(row),
                           F.col("_of.problem").alias("_p"), F.col("op").alias("_v"))
-    return ordered_concat(cells.unionByName(ops), [sheet, row], "_v", "_p", " ", line).drop("n_items")
+    return ordered_concat(spread(cells.unionByName(ops), 2 * n, sheet, row), [sheet, row], "_v", "_p", " ", line).drop("n_items")
 
 
 def worksheet_columns(sheets: DataFrame, sheet: str, row: str, line: str, out: str = "result") -> DataFrame:
