@@ -19,9 +19,10 @@ Equal sets are one class from the start and cost one row each.  Between classes:
    only link outside its group through tokens of at least two groups; if it has
    fewer of them than a link needs, it is done.  Of the others, the tokens in
    the fewest groups (as many as the slack allows, and one) name the
-   groups to ask; the set of the smaller group asks the larger one.
-4. Bound and open.  Groups are stored in parts of about ``PART`` sets, small
-   groups of similar sets together.  A part's union bounds the overlap of a
+   groups to ask, where they are among the same few of a member; the set of the
+   smaller group asks the larger one, and of two small groups the smaller set.
+4. Bound and open.  Groups are stored in parts of about ``PART`` sets (of the
+   root of their number, if that is more), small groups of similar sets together.  A part's union bounds the overlap of a
    query with each member; only a part that can reach the threshold is opened,
    and its members are compared exactly.
 
@@ -379,32 +380,44 @@ def groups_to_ask(opened: DataFrame, percent: int) -> tuple[DataFrame, DataFrame
 
     A large group is stored in parts of its own.  Sets of small groups share parts with sets
     that have the same smallest foreign token, so that near misses of one text lie together.
-    Of two large groups the smaller asks the larger, small groups ask large ones, and among
-    the shared parts a set asks its own and those with a higher number.
+    Of two large groups the smaller asks the larger and small groups ask large ones; among the
+    shared parts a set asks for sets that are no smaller.  Parts grow with the root of what they
+    hold, so a family of n near misses that no leader holds together has at most sqrt(n) of them.
+
+    Tokens have one order, the rarest first.  The first token that two linked sets share leaves
+    each of them room for the whole overlap, so it lies in the prefix of both: with an overlap of
+    o, among the first n - o + 1 tokens.  An overlap is at least ``least``, and with a set that is no
+    smaller at least ``least_up``.
     """
     sizes = opened.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
     sets = opened.join(sizes, "label").withColumn("tokens", F.col("foreign.token"))
     large = F.col("size") >= PART // 2
     home = F.when(large, F.col("label")).otherwise(F.array_min("tokens"))
     sets = sets.withColumn("home", home).withColumn("kind", large.cast("int"))
-    rooms = sets.groupBy("kind", "home").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("rooms"))
+    held = F.count(F.lit(1))
+    rooms = sets.groupBy("kind", "home").agg(F.ceil(held / F.greatest(F.lit(PART), F.sqrt(held))).cast("int").alias("rooms"))
     part = lambda k: F.xxhash64("kind", "home", k)
     sets = sets.join(rooms, ["kind", "home"]) \
         .withColumn("part", part(F.pmod(F.xxhash64("set_id"), F.col("rooms")).cast("int")))
     members = sets.select("set_id", "part")
-    slack = F.col("n") - F.ceil(F.col("n") * percent / 100)
-    taken = (slack + 1 - (F.col("n") - F.size("tokens"))).cast("int")
-    prefix = sets.select("set_id", F.struct("size", "label").alias("own"), F.col("part").alias("own_part"),
-                         F.col("kind").alias("own_kind"), F.explode(F.slice("tokens", F.lit(1), taken)).alias("token"))
+    least = F.ceil(F.col("n") * percent / 100)
+    least_up = F.ceil(F.col("n") * 2 * percent / (100 + percent))
+    # the tokens that are not foreign come before all others: they meet no other group
+    prefix = lambda o: F.explode(F.slice(
+        "tokens", F.lit(1), F.greatest(F.size("tokens") - o + 1, F.lit(0)).cast("int"))).alias("token")
+    asking = sets.select("set_id", F.struct("size", "label").alias("own"), prefix(least))
     unions = sets.filter(F.col("kind") == 1).select(
-        F.struct("size", "label").alias("group"), "rooms", "kind", "home", F.explode("tokens").alias("token")).distinct()
-    shared = sets.filter(F.col("kind") == 0).select("part", F.explode("tokens").alias("token")).distinct()
-    up = prefix.join(unions, "token").filter(F.col("group") > F.col("own")) \
+        F.struct("size", "label").alias("group"), "rooms", "kind", "home", prefix(least)).distinct()
+    up = asking.join(unions, "token").filter(F.col("group") > F.col("own")) \
         .select("set_id", "kind", "home", "rooms").distinct() \
         .select("set_id", "kind", "home", F.explode(F.sequence(F.lit(0), F.col("rooms") - 1)).alias("k")) \
         .select("set_id", part(F.col("k")).alias("part"))
-    across = prefix.filter(F.col("own_kind") == 0).join(shared, "token") \
-        .filter(F.col("part") >= F.col("own_part")).select("set_id", "part").distinct()
+    small = sets.filter(F.col("kind") == 0)
+    shared = small.select("part", "n", prefix(least)).groupBy("part", "token") \
+        .agg(F.min("n").alias("shortest"), F.max("n").alias("tallest"))
+    rising = (F.col("tallest") > F.col("n")) | ((F.col("tallest") == F.col("n")) & (F.col("part") >= F.col("own_part")))
+    across = small.select("set_id", "n", F.col("part").alias("own_part"), prefix(least_up)).join(shared, "token") \
+        .filter(rising & (F.col("shortest") * percent <= F.col("n") * 100)).select("set_id", "part").distinct()
     return up.unionByName(across), members
 
 

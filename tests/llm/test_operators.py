@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stratum.llm import mixing, pii, tokencount
+from stratum.llm import jaccard, mixing, pii, tokencount
 from stratum.llm.decontam import contamination, phrase_starts
 from stratum.llm.htmltext import main_text
 from stratum.llm.jaccard import jaccard_components
@@ -110,6 +110,55 @@ def test_jaccard_components(spark, percent, width):
         == {i: (len(sets[i]), least[i]) for i in ids}
 
 
+def brute_components(sets, percent):
+    least = {i: i for i in sets}
+    links = [(i, j) for i in sets for j in sets if i < j and sets[i] & sets[j]
+             and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])]
+    for _ in sets:
+        for i, j in links:
+            least[i] = least[j] = min(least[i], least[j])
+    return least
+
+
+@pytest.mark.parametrize("percent", [80, 60])
+def test_jaccard_families_near_the_threshold(spark, monkeypatch, percent):
+    """Copies of a few texts, edited and cut so that pairs lie on both sides of the threshold, in many small parts."""
+    monkeypatch.setattr(jaccard, "PART", 3)
+    rnd = random.Random(percent + 1)
+    docs = {}
+    for base in range(3):
+        text = [f"b{base}w{k}" for k in range(60)]
+        places = rnd.sample(range(60), 12)
+        for k in range(60):
+            copy = list(text)
+            for at in rnd.sample(places, rnd.randint(*((2, 6) if percent == 80 else (4, 11)))):
+                copy[at] = f"e{rnd.randrange(3)}" if rnd.random() < 0.5 else f"own{base}x{k}x{at}"
+            docs[rnd.randrange(10**6)] = " ".join(copy[rnd.choice([0, 0, 1, 3]):len(copy) - rnd.choice([0, 0, 2, 5])])
+    sets = {i: {tuple(t.split()[k:k + 2]) for k in range(len(t.split()) - 1)} for i, t in docs.items()}
+    want = brute_components(sets, percent)
+    assert 10 < len(set(want.values())) < len(docs) - 10
+    got = jaccard_components(spark.createDataFrame(list(docs.items()), "doc_id bigint, text string").repartition(3),
+                             width=2, percent=percent).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == want
+
+
+def family(spark, n_sets, n_own):
+    """Sets of 100 tokens, each with ``n_own`` of its own and the rest in all of them."""
+    return spark.range(n_sets).select(
+        F.col("id").alias("set_id"), F.col("id").alias("label"), F.lit(100).cast("bigint").alias("n"),
+        F.transform(F.sequence(F.lit(1), F.lit(100 - n_own)), lambda k: F.struct(
+            F.lit(n_sets).cast("bigint").alias("n_groups"), k.cast("bigint").alias("token"))).alias("foreign"))
+
+
+def test_family_without_leader_asks_few_parts(spark):
+    """A set whose own tokens leave no room for an equally large partner asks nobody, and parts grow with their number."""
+    asks, members = jaccard.groups_to_ask(family(spark, 300, 12), 80)
+    assert asks.count() == 0 and members.count() == 300
+    asks, members = jaccard.groups_to_ask(family(spark, 20_000, 10), 80)
+    parts = members.select("part").distinct().count()
+    assert parts <= 142 and asks.count() <= 20_000 * parts
+
+
 def test_token_attribution(spark):
     ends, cuts = np.array([2, 5, 9, 10]), np.array([4, 8, 10])
     assert attribute(ends, cuts, "first") == (pytest.approx([2, 1, 1]), 2)
