@@ -5,7 +5,8 @@
    at the edge of a pasted passage is no obstacle, of content-defined lines: in each
    window of ``min_words`` words the run of half as many with the least hash.  Equal
    windows have equal ones.
-2. Pairs.  A line that one document holds proposes nothing.  A line that several hold
+2. Pairs.  A line that one document holds proposes nothing: most such lines are left out
+   by a screen of the lines that several hold, the others by the aggregate.  A line that several hold
    pairs each later holder with the first one only (ids rise with time), so a line in a
    million documents makes a million pairs and not their square.
 3. Slices.  The shared lines of a pair bound the words that can match: no common block
@@ -48,10 +49,10 @@ from stratum.plans import Lineage
 
 MIN_WORDS = 30
 LINE_WORDS = 12
+CHUNK = 1 << 18         # bytes of text hashed at a time: the arrays of a chunk stay in a core's cache
 PAGE = 64               # slices begin and end at multiples of so many words
 SCREEN_BITS = (16, 26)  # least and most, as powers of two
 LINES = "doc_id bigint, text_key bigint, line bigint, pos bigint"
-SLICES = "doc_id bigint, text_key bigint, lo bigint, hi bigint, words binary"
 BLOCKS = "doc_id bigint, text_key bigint, first bigint, stop bigint"
 _STOP = np.zeros(256, dtype=bool)
 _STOP[list(b".!?")] = True
@@ -59,9 +60,10 @@ _STOP[list(b".!?")] = True
 
 def _last_words(buf: np.ndarray, start: np.ndarray, end: np.ndarray, doc: np.ndarray) -> np.ndarray:
     """Whether each word is the last of its line."""
-    newlines = np.concatenate(([0], np.cumsum(buf == 10)))
     last = np.ones(len(start), bool)
-    last[:-1] = (doc[1:] != doc[:-1]) | _STOP[buf[end[:-1] - 1]] | (newlines[start[1:]] > newlines[end[:-1]])
+    last[:-1] = (doc[1:] != doc[:-1]) | _STOP[buf[end[:-1] - 1]]
+    before = np.searchsorted(start, np.flatnonzero(buf == 10))      # words before each newline
+    last[before[before > 0] - 1] = True
     return last
 
 
@@ -89,7 +91,7 @@ def _chunks(batches):
     """(ids, text keys, bytes, offsets) of some documents at a time."""
     for batch in batches:
         buf, offsets = C.text_bytes(batch.column(2))
-        for lo, hi in C.chunks(offsets):
+        for lo, hi in C.chunks(offsets, CHUNK):
             yield (batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo),
                    buf[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
 
@@ -101,10 +103,15 @@ def _joined(first: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return first[new], reach[np.append(new[1:], len(first)) - 1]
 
 
-def document_lines(keyed: DataFrame, min_words: int) -> DataFrame:
-    """(doc_id, text_key, line, pos): the line hashes of every document and their first words."""
+def document_lines(keyed: DataFrame, min_words: int, columns: str = LINES, screen: tuple | None = None) -> DataFrame:
+    """(doc_id, text_key, line, pos), or some of them: the line hashes of every document and their first words.
+
+    ``screen`` is (packed screen, bits): lines that it does not hold are left out.
+    """
+    names = [c.split()[0] for c in columns.split(", ")]
 
     def run(batches):
+        known = C.screen_bits(screen[0]) if screen else None
         for ids, keys, data, offs in _chunks(batches):
             start, end, doc = C.spans(C.WORD_BYTES[data], offs)
             if not len(start):
@@ -119,12 +126,29 @@ def document_lines(keyed: DataFrame, min_words: int) -> DataFrame:
             long = final - first + 1 >= LINE_WORDS
             place = np.concatenate((at[new], first[long]))
             line = np.concatenate((anchor[new], C.mix(C.run_hashes(words, first[long], final[long] + 1))))
-            of = pa.array(doc[place])
-            yield pa.RecordBatch.from_arrays(
-                [ids.take(of), keys.take(of), pa.array(line.view(np.int64)), pa.array(place - edge[doc[place]])],
-                names=[c.split()[0] for c in LINES.split(", ")])
+            if screen:
+                kept = known[line >> np.uint64(64 - screen[1])]
+                place, line = place[kept], line[kept]
+            of = doc[place]
+            made = {"doc_id": lambda: ids.take(pa.array(of)), "text_key": lambda: keys.take(pa.array(of)),
+                    "line": lambda: pa.array(line.view(np.int64)), "pos": lambda: pa.array(place - edge[of])}
+            yield pa.RecordBatch.from_arrays([made[c]() for c in names], names=names)
+
+    return keyed.mapInArrow(run, columns)
+
 
-    return keyed.mapInArrow(run, LINES)
+def repeated_lines(keyed: DataFrame, lineage: Lineage, min_words: int) -> DataFrame:
+    """The rows of ``document_lines`` whose line several ids hold, and few others.
+
+    Most lines have one holder.  Which do not is found from two numbers a line, so the sums are hashed
+    and not sorted; a screen of these lines then keeps the rest out of Arrow, sorts and shuffles.  It has
+    eight slots to a line, and a fixed size at most; a fuller one lets more rows through, and loses none.
+    """
+    shared = lineage.cut(document_lines(keyed, min_words, "line bigint, doc_id bigint").groupBy("line").agg(
+        F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter(F.col("least") < F.col("most")).select("line"),
+        force=True)
+    bits = min(max(shared.count().bit_length() + 3, SCREEN_BITS[0]), SCREEN_BITS[1])
+    return lineage.cut(document_lines(keyed, min_words, screen=(C.screen_of(shared, bits), bits)), force=True)
 
 
 def later_pairs(lines: DataFrame, min_words: int) -> DataFrame:
@@ -144,43 +168,28 @@ def later_pairs(lines: DataFrame, min_words: int) -> DataFrame:
 
 def word_slices(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
     """(doc_id, text_key, lo, hi, words): the words of the ``wanted`` (doc_id, text_key, lo, hi) as 32-bit hashes."""
-    ranges = wanted.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
     hashes = wanted.select(F.xxhash64("doc_id", "text_key").alias("h")).distinct()
     bits = min(max(hashes.count().bit_length() + 3, SCREEN_BITS[0]), SCREEN_BITS[1])
     packed = C.screen_of(hashes, bits)
 
-    def asked(batches):
+    def hashed(batches):
         screen = C.screen_bits(packed)
         for batch in batches:
-            h = batch.column(0).to_numpy().view(np.uint64)
-            kept = batch.filter(pa.array(screen[h >> np.uint64(64 - bits)]))
-            yield pa.RecordBatch.from_arrays(kept.columns[1:], names=kept.schema.names[1:])
-
-    def run(batches):
-        for batch in batches:
-            for lo, hi in C.chunks(C.text_bytes(batch.column(2))[1]):
-                part = batch.slice(lo, hi - lo)
-                (ids, keys, data, offs), = _chunks([part.select([0, 1, 2])]) if part.num_rows else ()
+            h = batch.column(3).to_numpy().view(np.uint64)
+            for ids, keys, data, offs in _chunks([batch.filter(pa.array(screen[h >> np.uint64(64 - bits)]))]):
                 start, end, doc = C.spans(C.WORD_BYTES[data], offs)
                 words = (C.span_hashes(data, start, end) >> np.uint64(32)).astype(np.uint32)
                 edge = np.searchsorted(doc, np.arange(len(offs)))
-                rows, at, to, found = [], [], [], []
-                for k, want in enumerate(part.column(3).to_pylist()):
-                    own = words[edge[k]:edge[k + 1]]
-                    for r in want:
-                        rows.append(k)
-                        at.append(r["lo"])
-                        to.append(r["hi"])
-                        found.append(own[r["lo"]:r["hi"]].tobytes())
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(rows, pa.int64())), keys.take(pa.array(rows, pa.int64())), pa.array(at, pa.int64()),
-                     pa.array(to, pa.int64()), pa.array(found, pa.binary())], names=["doc_id", "text_key", "lo", "hi", "words"])
+                    [ids, keys, pa.array([words[x:y].tobytes() for x, y in zip(edge[:-1], edge[1:])], pa.binary())],
+                    names=["doc_id", "text_key", "words"])
 
     # a screen of fixed size keeps documents without a pair out of the shuffle; a full one lets more through
-    sent = keyed.select(F.xxhash64("doc_id", "text_key").alias("h"), "doc_id", "text_key", "text") \
-        .mapInArrow(asked, "doc_id bigint, text_key bigint, text string")
-    return sent.dropDuplicates(["doc_id", "text_key"]).join(ranges.hint("merge"), ["doc_id", "text_key"]) \
-        .select("doc_id", "text_key", "text", "ranges").mapInArrow(run, SLICES)
+    sent = keyed.select("doc_id", "text_key", "text", F.xxhash64("doc_id", "text_key").alias("h")) \
+        .mapInArrow(hashed, "doc_id bigint, text_key bigint, words binary")
+    return sent.dropDuplicates(["doc_id", "text_key"]).join(wanted.hint("merge"), ["doc_id", "text_key"]).select(
+        "doc_id", "text_key", "lo", "hi",
+        F.substring("words", (F.col("lo") * 4 + 1).cast("int"), ((F.col("hi") - F.col("lo")) * 4).cast("int")).alias("words"))
 
 
 def _rising(runs: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
@@ -202,6 +211,8 @@ def aligned_blocks(a: np.ndarray, b: np.ndarray, min_words: int) -> list[tuple[i
     """Ranges (first, stop) of the words of ``b`` in blocks that patience diff aligns with ``a``."""
     if min(len(a), len(b)) < min_words:
         return []
+    if np.array_equal(a, b):
+        return [(0, len(b))]
     hashes = []
     for x in (a, b):
         first = np.arange(len(x) - min_words + 1)
@@ -240,7 +251,7 @@ def duplicate_blocks(docs: DataFrame, lineage: Lineage, doc_id: str = "doc_id",
     """(doc_id, text_key, blocks): the ranges of words that each document loses."""
     keyed = docs.filter(F.col(doc_id).isNotNull()).select(
         F.col(doc_id).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_key"), F.col(text).alias("text"))
-    pairs = lineage.cut(later_pairs(document_lines(keyed, min_words), min_words), force=True)
+    pairs = lineage.cut(later_pairs(repeated_lines(keyed, lineage, min_words), min_words), force=True)
     held = pairs.select(F.col("a_id").alias("doc_id"), F.col("a_key").alias("text_key"), F.col("a_lo").alias("lo"),
                         F.col("a_hi").alias("hi"))
     wanted = pairs.select("doc_id", "text_key", "lo", "hi").unionByName(held).distinct()
