@@ -24,10 +24,13 @@ Equal sets are one class from the start and cost one row each.  Between classes:
 4. Bound and open.  Groups are stored in parts of about ``PART`` sets (of the
    root of their number, if that is more), small groups of similar sets together.  A part's union bounds the overlap of a
    query with each member; only a part that can reach the threshold is opened,
-   and its members are compared exactly.
+   and its members are compared exactly.  A set is compared only with members
+   that no link found so far ties to it, and one link of each such component is
+   kept.  Every set first asks one part of each home; its further parts are asked
+   only where the links found by then leave a member outside its component.
 
 Pairs inside a group are never listed, so thousands of copies of one text cost
-thousands of comparisons.  No step caps candidates; every filter is a necessary
+thousands of comparisons, and a task makes fewer links than it has sets.  No step caps candidates; every filter is a necessary
 condition of a link, so no link is lost.
 
 Defined cases: a null or word-free text has an empty set, n_shingles 0, links
@@ -261,46 +264,97 @@ def leaders_to_ask(sets: DataFrame) -> DataFrame:
         .select("set_id", F.explode("best.leader").alias("leader"))
 
 
+def new_links(q: pd.DataFrame, m: pd.DataFrame, percent: int) -> tuple[list[int], list[int]]:
+    """Links (a, b) between labels that tie the queries to the members of one part.
+
+    The union of the part bounds the overlap; only a part that can qualify is opened.  A query is
+    compared with the members outside its component, and a link that joins nothing new is not made.
+    """
+    out = [], []
+    names, codes = np.unique(np.concatenate((q["label"], m["label"])).astype(np.int64), return_inverse=True)
+    asking, held = codes[:len(q)], codes[len(q):]            # components so far
+    sizes = m["n"].to_numpy(np.int64)
+    tokens = np.frombuffer(b"".join(m["tokens"]), np.uint64)
+    order = np.argsort(tokens)
+    whole = tokens[order], np.repeat(np.arange(len(m)), sizes)[order]
+    lengths, blobs, own = q["n"].to_numpy(np.int64), q["tokens"].to_numpy(), codes[:len(q)].copy()
+    mine = -1
+    for i in np.argsort(asking, kind="stable"):
+        apart = held != asking[i]
+        left = np.count_nonzero(apart)
+        if not left:
+            continue
+        if asking[i] != mine:
+            mine, (tokens, owner), indexed = asking[i], whole, len(m)
+        if 2 * left <= indexed:
+            keep = apart[owner]
+            tokens, owner, indexed = tokens[keep], owner[keep], left
+        n, set_tokens = lengths[i], np.frombuffer(blobs[i], np.uint64)
+        lo, hi = np.searchsorted(tokens, set_tokens, "left"), np.searchsorted(tokens, set_tokens, "right")
+        found = hi > lo
+        if found.sum() < need(n, percent):                    # the bound: the part stays shut
+            continue
+        lo, reps = lo[found], (hi - lo)[found]
+        place = np.repeat(lo - np.cumsum(reps) + reps, reps) + np.arange(reps.sum())
+        both = np.bincount(owner[place], minlength=len(m))
+        linked = apart & (100 * both >= percent * (n + sizes - both))
+        while linked.any():
+            j = linked.argmax()
+            out[0].append(names[own[i]])
+            out[1].append(m["label"].iat[j])
+            joined = held[j]
+            held[held == joined] = mine
+            asking[asking == joined] = mine
+            linked &= held != mine
+    return out
+
+
 def open_groups(asks: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between queries (set_id, part) and members (set_id, part) of the parts they ask.
+    """Links (a, b) between the labels of queries and of members of the parts they ask (set_id, label, part).
 
-    The union of a part bounds the overlap; only a part that can qualify is opened.
+    Labels are joined wherever a link joins them; of the links in a part a spanning forest comes out.
     """
     body = sets.select("set_id", "n", "tokens")
-    asked = asks.distinct().join(sets.select("set_id", "n"), "set_id").groupBy("part") \
+    asks = asks.select("set_id", "label", "part").distinct()
+    asked = asks.join(sets.select("set_id", "n"), "set_id").groupBy("part") \
         .agg(F.ceil(F.sum("n") / ASK_TOKENS).cast("int").alias("salts"))
-    queries = asks.distinct().join(asked, "part").join(body, "set_id") \
+    queries = asks.join(asked, "part").join(body, "set_id") \
         .select("part", F.pmod(F.xxhash64("set_id"), F.col("salts")).cast("int").alias("salt"),
-                F.lit(True).alias("asks"), "set_id", "n", "tokens")
-    held = members.distinct().join(asked, "part").join(body, "set_id") \
+                F.lit(True).alias("asks"), "label", "n", "tokens")
+    held = members.select("set_id", "label", "part").distinct().join(asked, "part").join(body, "set_id") \
         .select("part", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
-                F.lit(False).alias("asks"), "set_id", "n", "tokens")
+                F.lit(False).alias("asks"), "label", "n", "tokens")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         q, m = group[group["asks"]], group[~group["asks"]]
-        out = [], []
-        if len(m):
-            ids, sizes = m["set_id"].to_numpy(np.int64), m["n"].to_numpy(np.int64)
-            tokens = np.frombuffer(b"".join(m["tokens"]), np.uint64)
-            order = np.argsort(tokens)
-            tokens, owner = tokens[order], np.repeat(np.arange(len(ids)), sizes)[order]
-            for i, n, blob in zip(q["set_id"], q["n"], q["tokens"]):
-                own = np.frombuffer(blob, np.uint64)
-                lo, hi = np.searchsorted(tokens, own, "left"), np.searchsorted(tokens, own, "right")
-                found = hi > lo
-                if found.sum() < need(n, percent):          # the bound: the part stays shut
-                    continue
-                lo, reps = lo[found], (hi - lo)[found]
-                place = np.repeat(lo - np.cumsum(reps) + reps, reps) + np.arange(reps.sum())
-                both = np.bincount(owner[place], minlength=len(ids))
-                for j in ids[(100 * both >= percent * (n + sizes - both)) & (ids != i)]:
-                    out[0].append(i)
-                    out[1].append(j)
-        return pd.DataFrame({"a": np.array(out[0], np.int64), "b": np.array(out[1], np.int64)})
+        a, b = new_links(q, m, percent) if len(q) and len(m) else ([], [])
+        return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
     return queries.unionByName(held).groupBy("part", "salt").applyInPandas(compare, "a bigint, b bigint")
 
 
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """(set_id, label) after links (a, b) between labels."""
+    found = connected_components(links, "a", "b", node="label")
+    return labels.join(found, "label", "left").select("set_id", F.coalesce("component", "label").alias("label"))
+
+
+def first_asks(asks: DataFrame) -> DataFrame:
+    """One part of each home for every query; sets of one home begin with different parts."""
+    return asks.groupBy("set_id", "label", "home") \
+        .agg(F.min_by("part", F.xxhash64("set_id", "part")).alias("part")).select("set_id", "label", "part").distinct()
+
+
+def asks_left(asks: DataFrame, done: DataFrame, members: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The asks not done whose part has a member outside the query's component, and the members, under new labels."""
+    members = members.select("set_id", "part").join(labels, "set_id")
+    held = members.groupBy("part").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    left = asks.select("set_id", "part").distinct().join(done.select("set_id", "part"), ["set_id", "part"], "left_anti")
+    return left.join(labels, "set_id").join(held, "part") \
+        .filter((F.col("low") != F.col("label")) | (F.col("high") != F.col("label"))) \
+        .select("set_id", "label", "part"), members
+
+
 def foreign_tokens(sets: DataFrame, buckets: int) -> DataFrame:
     """(token, n_groups) of the tokens in the unions of at least two groups."""
 
@@ -376,7 +430,7 @@ def open_sets(sets: DataFrame, foreign: DataFrame, percent: int) -> DataFrame:
 
 
 def groups_to_ask(opened: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(asks, members): queries (set_id, part) and the parts (set_id, part) that hold the open sets.
+    """(asks, members): queries (set_id, label, home, part) and the parts (set_id, label, part) that hold the open sets.
 
     A large group is stored in parts of its own.  Sets of small groups share parts with sets
     that have the same smallest foreign token, so that near misses of one text lie together.
@@ -399,25 +453,27 @@ def groups_to_ask(opened: DataFrame, percent: int) -> tuple[DataFrame, DataFrame
     part = lambda k: F.xxhash64("kind", "home", k)
     sets = sets.join(rooms, ["kind", "home"]) \
         .withColumn("part", part(F.pmod(F.xxhash64("set_id"), F.col("rooms")).cast("int")))
-    members = sets.select("set_id", "part")
+    members = sets.select("set_id", "label", "part")
     least = F.ceil(F.col("n") * percent / 100)
     least_up = F.ceil(F.col("n") * 2 * percent / (100 + percent))
     # the tokens that are not foreign come before all others: they meet no other group
     prefix = lambda o: F.explode(F.slice(
         "tokens", F.lit(1), F.greatest(F.size("tokens") - o + 1, F.lit(0)).cast("int"))).alias("token")
-    asking = sets.select("set_id", F.struct("size", "label").alias("own"), prefix(least))
+    asking = sets.select("set_id", "label", F.struct("size", "label").alias("own"), prefix(least))
     unions = sets.filter(F.col("kind") == 1).select(
         F.struct("size", "label").alias("group"), "rooms", "kind", "home", prefix(least)).distinct()
     up = asking.join(unions, "token").filter(F.col("group") > F.col("own")) \
-        .select("set_id", "kind", "home", "rooms").distinct() \
-        .select("set_id", "kind", "home", F.explode(F.sequence(F.lit(0), F.col("rooms") - 1)).alias("k")) \
-        .select("set_id", part(F.col("k")).alias("part"))
+        .select("set_id", "label", "kind", "home", "rooms").distinct() \
+        .select("set_id", "label", "kind", "home", F.explode(F.sequence(F.lit(0), F.col("rooms") - 1)).alias("k")) \
+        .select("set_id", "label", "home", part(F.col("k")).alias("part"))
     small = sets.filter(F.col("kind") == 0)
-    shared = small.select("part", "n", prefix(least)).groupBy("part", "token") \
-        .agg(F.min("n").alias("shortest"), F.max("n").alias("tallest"))
+    shared = small.select("part", "home", "n", F.col("label").alias("other"), prefix(least)).groupBy("part", "home", "token") \
+        .agg(F.min("n").alias("shortest"), F.max("n").alias("tallest"), F.min("other").alias("low"), F.max("other").alias("high"))
+    foreign = (F.col("low") != F.col("label")) | (F.col("high") != F.col("label"))
     rising = (F.col("tallest") > F.col("n")) | ((F.col("tallest") == F.col("n")) & (F.col("part") >= F.col("own_part")))
-    across = small.select("set_id", "n", F.col("part").alias("own_part"), prefix(least_up)).join(shared, "token") \
-        .filter(rising & (F.col("shortest") * percent <= F.col("n") * 100)).select("set_id", "part").distinct()
+    across = small.select("set_id", "label", "n", F.col("part").alias("own_part"), prefix(least_up)).join(shared, "token") \
+        .filter(foreign & rising & (F.col("shortest") * percent <= F.col("n") * 100)) \
+        .select("set_id", "label", "home", "part").distinct()
     return up.unionByName(across), members
 
 
@@ -445,17 +501,20 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     sets = cut(surviving_sets(known, survivors, doc_id, text, width))
 
     asks = cut(leaders_to_ask(sets))
-    leads = asks.select(F.col("leader").alias("set_id"), F.col("leader").alias("part"))
-    links = cut(open_groups(asks.withColumnRenamed("leader", "part"), leads, sets, percent))
-    labels = connected_components(links, "a", "b", nodes=sets.select("set_id"), node="set_id") \
-        .withColumnRenamed("component", "label")
+    leads = asks.select(F.col("leader").alias("set_id"), F.col("leader").alias("label"), F.col("leader").alias("part"))
+    alone = sets.select("set_id", F.col("set_id").alias("label")).distinct()
+    asks = asks.select("set_id", F.col("set_id").alias("label"), F.col("leader").alias("part"))
+    labels = cut(merged(alone, cut(open_groups(asks, leads, sets, percent))))
     grouped = cut(sets.select("set_id", "n", "tokens").join(labels, "set_id"))
     foreign = cut(foreign_tokens(grouped, buckets))
     opened = cut(open_sets(grouped, foreign, percent))
-    more_asks, members = groups_to_ask(opened, percent)
-    links = links.unionByName(cut(open_groups(cut(more_asks), members, sets, percent)))
+    asks, members = (cut(x) for x in groups_to_ask(opened, percent))
+    first = cut(first_asks(asks))
+    labels = cut(merged(labels, cut(open_groups(first, members, sets, percent))))
+    asks, members = asks_left(asks, first, members, labels)
+    labels = cut(merged(labels, cut(open_groups(cut(asks), cut(members), sets, percent)))) \
+        .withColumnRenamed("label", "component")
 
-    labels = connected_components(links, "a", "b", node="set_id")
     reps = classes.select("set_id", F.col("rep.doc_id").alias("rep"))
     linked = labels.join(reps, "set_id")
     smallest = linked.groupBy("component").agg(F.min("rep").alias("least"))

@@ -5,6 +5,7 @@ import re
 import time
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -160,6 +161,49 @@ def test_family_without_leader_asks_few_parts(spark):
     assert parts <= 142 and asks.count() <= 20_000 * parts
 
 
+def near_copies(rnd, n_sets, n_tokens, edits):
+    """Sets of n_tokens that each take ``edits`` tokens of their own in place of common ones."""
+    common = list(range(1, n_tokens + 1))
+    return {i: sorted(rnd.sample(common, n_tokens - edits) + [10**6 * (i + 1) + k for k in range(edits)])
+            for i in range(n_sets)}
+
+
+def test_new_links_are_a_spanning_forest():
+    """A part of near copies makes fewer links than it has labels, and ties the same labels as all its pairs."""
+    for edits in (4, 5, 6, 7):            # with 5 of 50 most pairs lie near the threshold
+        rnd = random.Random(edits)
+        sets = near_copies(rnd, 60, 50, edits)
+        label = {i: i - i % rnd.choice([1, 1, 3]) for i in sets}
+        rows = pd.DataFrame({"label": [label[i] for i in sets], "n": 50,
+                             "tokens": [np.array(t, np.uint64).tobytes() for t in sets.values()]})
+        a, b = jaccard.new_links(rows, rows, 80)
+        assert len(a) < len(set(label.values()))
+        every = {(label[i], label[j]) for i in sets for j in sets if i != j
+                 and 100 * len(set(sets[i]) & set(sets[j])) >= 80 * len(set(sets[i]) | set(sets[j]))}
+        assert set(zip(a, b)) <= every
+
+        def tied(links):
+            least = {x: x for x in label.values()}
+            for _ in least:
+                for x, y in links:
+                    least[x] = least[y] = min(least[x], least[y])
+            return least
+
+        assert tied(list(zip(a, b))) == tied(every)
+
+
+def test_links_of_a_part_grow_with_its_size(spark):
+    """A family of near copies in one part makes one link less than it has sets, of thousands of linked pairs."""
+    tokens = near_copies(random.Random(3), 80, 50, 2)
+    sets = spark.createDataFrame([(i, i, 7, 50, bytearray(np.array(t, np.uint64).tobytes())) for i, t in tokens.items()],
+                                 "set_id bigint, label bigint, part bigint, n bigint, tokens binary")
+    rows = sets.select("set_id", "label", "part")
+    links = [tuple(r) for r in jaccard.open_groups(rows, rows, sets, 80).collect()]
+    pairs = sum(100 * len({*tokens[i]} & {*tokens[j]}) >= 80 * len({*tokens[i]} | {*tokens[j]})
+                for i in tokens for j in tokens if i < j)
+    assert pairs > 3000 and len(links) == 79 and len({x for link in links for x in link}) == 80
+
+
 def test_token_attribution(spark):
     ends, cuts = np.array([2, 5, 9, 10]), np.array([4, 8, 10])
     assert attribute(ends, cuts, "first") == (pytest.approx([2, 1, 1]), 2)
