@@ -50,6 +50,14 @@ def ordered_concat(df: DataFrame, group: list[str], value: str, order: str, sep:
 MAX_FACTORS = 126     # 2**127 is above DECIMAL(38,0): more factors >= 2 cannot fit
 
 
+def _integer(df: DataFrame, value: str) -> Column:
+    """``value`` as a BIGINT, or as a DECIMAL(38,0) where it is text, whose integers may be longer than a BIGINT."""
+    if df.schema[value].dataType.simpleString() != "string":
+        return F.col(value).cast("bigint")
+    longer = (F.length(value) > 18) & F.col(value).rlike(r"^[+-]?[0-9]+$")
+    return F.when(longer, F.col(value).cast("decimal(38,0)")).otherwise(F.col(value).cast("bigint").cast("decimal(38,0)"))
+
+
 def _products(df: DataFrame, keys: list[str], value: str, wanted: Column, extra: list[Column]) -> DataFrame:
     """Per group: ``_prod`` where ``wanted`` (an expression over the aggregates ``extra``) holds.
 
@@ -59,7 +67,7 @@ def _products(df: DataFrame, keys: list[str], value: str, wanted: Column, extra:
     DECIMAL(38,0), is an error and never a NULL.
     """
     v, n = F.col("_v"), F.col("_c")
-    counts = df.groupBy(*keys, F.col(value).cast("bigint").alias("_v")).agg(F.count(F.lit(1)).alias("_c"), *extra[:1])
+    counts = df.groupBy(*keys, _integer(df, value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"), *extra[:1])
     rest = extra[1:]
     big = F.coalesce(F.abs("_v") >= 2, F.lit(False))
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(big.desc(), "_v"))
@@ -147,8 +155,8 @@ def worksheet_rows(sheets: DataFrame, sheet: str, row: str, line: str, out: str
     """Numbers stand side by side, one problem a column of tokens.
 
     Token p of the footer is the operator ('*' or '+') of the p-th tokens of all other lines.
-    Returns ``(sheet, problem, op, out)``; an operator without numbers has no row.  A token that
-    is no integer is an error, as is a product beyond DECIMAL(38,0).
+    Returns ``(sheet, problem, op, out)``; an operator without numbers has no row.  A number has up to
+    38 digits.  A token that is no integer is an error, as is a number, sum or product beyond DECIMAL(38,0).
     """
     body, footer = footer_split(sheets, sheet, row, line)
     op = tokens(footer, line, [sheet], "op", "problem")

@@ -3,6 +3,8 @@
 import math
 import random
 
+import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from stratum.operators import reshape
@@ -70,3 +72,30 @@ def test_edges_of_worksheets(spark):
     for f in (reshape.worksheet_rows, reshape.worksheet_columns):
         assert answers(f(df, "sheet", "row", "line")) == {"a": {(1, "+", 2), (2, "*", 3)}}
         assert f(df.where(F.lit(False)), "sheet", "row", "line").count() == 0
+
+
+def test_numbers_longer_than_a_bigint(spark):
+    """A column of 20 lines is a number of 20 digits; a product of two such columns still fits at 38 digits."""
+    sheets = {"sum": ["98 7"] * 20 + ["+  *"], "product": ["99 1"] * 19 + ["*  +"], "few": ["12 3"] * 3 + ["*  +"]}
+    got = answers(reshape.worksheet_columns(frame(spark, sheets), "sheet", "row", "line"))
+    assert got == {k: by_hand(v, True) for k, v in sheets.items()}
+    wide = {"rows": ["9" * 38 + " -" + "9" * 19, "0 " + "1" * 20, "+ +"], "times": ["1" * 20, "7", "*"]}
+    assert answers(reshape.worksheet_rows(frame(spark, wide), "sheet", "row", "line")) == {k: by_hand(v, False) for k, v in wide.items()}
+
+
+@pytest.mark.parametrize("lines", [["1.5", "2", "+"], ["1" * 20 + ".5", "2", "+"], ["9" * 39, "+"], ["9" * 20, "9" * 20, "*"]])
+def test_what_is_no_integer_or_does_not_fit_is_an_error(spark, lines):
+    with pytest.raises(PySparkException):
+        reshape.worksheet_rows(frame(spark, {"a": lines}), "sheet", "row", "line").collect()
+
+
+def test_an_order_of_twenty_lines(spark, tmp_path):
+    """The query's own sheets: 20 lines of one order, answers by hand from the text."""
+    from stratum.catalog.reshape import q_worksheet_columns, worksheets
+    rows = [(o, 999_999, 1099, 2, 9.0, 0.09) for o in (4, 6) for _ in range(20)] + [(5, 7, 9, 3, 50.0, 0.1)] * 3
+    spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                                "l_discount double").write.parquet(str(tmp_path / "lineitem.parquet"))
+    sheets = {}
+    for r in worksheets(spark, str(tmp_path)).orderBy("sheet", "row").collect():
+        sheets.setdefault(r["sheet"], []).append(r["line"])
+    assert answers(q_worksheet_columns(spark, str(tmp_path))) == {k: by_hand(v, True) for k, v in sheets.items()}
