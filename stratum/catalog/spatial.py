@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stratum.functions import cents
 from stratum.operators import spatial as op
+from stratum.plans import spread
 from stratum.sources.tables import load
 
 
@@ -26,12 +27,15 @@ def skyline(spark, sf_dir):
     o = load(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("poly"),
         (F.year("o_orderdate") * 12 + F.month("o_orderdate") - 1).cast("bigint").alias("mi"))
-    lo = o.select(F.min("mi")).scalar()
-    hi = o.select(F.max("mi")).scalar()
+    lo, hi, polys = o.agg(F.min("mi"), F.max("mi"), F.approx_count_distinct("poly")).first()
     counts = o.groupBy("poly", "mi").agg(F.count(F.lit(1)).alias("n"))
-    months = o.select("poly").distinct().select("poly", F.explode(F.sequence(lo, hi)).alias("mi"))
-    h = (months.join(counts, ["poly", "mi"], "left")
-         .select("poly", (F.col("mi") - lo).alias("m"), (F.coalesce("n", F.lit(0)) + 1).cast("bigint").alias("h")))
+    # a customer's months come from one row: the windows below stay in the parts that are made here
+    known = F.when(F.col("poly").isNotNull() & F.col("mi").isNotNull(), F.struct("mi", "n"))
+    counts = spread(counts, polys * (hi - lo + 1) if polys and lo is not None else 0, "poly").groupBy("poly").agg(
+        F.map_from_entries(F.collect_list(known)).alias("n"))
+    months = counts.select("poly", "n", F.explode(F.sequence(F.lit(lo).cast("bigint"), F.lit(hi).cast("bigint"))).alias("mi"))
+    h = months.select("poly", (F.col("mi") - F.lit(lo).cast("bigint")).alias("m"),
+                      (F.coalesce(F.col("n")[F.col("mi")], F.lit(0)) + 1).cast("bigint").alias("h"))
     w = Window.partitionBy("poly").orderBy("m")
     runs = (h.withColumn("_new", F.when(F.lag("h").over(w) == F.col("h"), 0).otherwise(1))
             .withColumn("run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))

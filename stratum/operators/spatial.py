@@ -243,7 +243,100 @@ def polygon_cells(vertices: DataFrame, poly: str, order: str, x: str = "x", y: s
     return g.select(poly, "cx", "cy", (F.col("tx") * F.col("ty")).alias("tiles"), inside.alias("inside"))
 
 
-def inside_runs(vertices: DataFrame, poly: str, order: str, x: str = "x", y: str = "y") -> DataFrame:
+WHOLE_RING = 1024     # vertices of a ring that stays in one task; longer ones are dealt out by their rows
+
+
+def _by_length(vertices: DataFrame, poly: str, whole: int) -> tuple[DataFrame, DataFrame | None]:
+    """The vertices of rings of up to ``whole`` vertices, and those of longer ones (None without any)."""
+    long = vertices.groupBy(poly).agg(F.count(F.lit(1)).alias("_m")).where(F.col("_m") > whole).select(poly)
+    long = Lineage(vertices.sparkSession, 1).cut(long, force=True)
+    if long.isEmpty():
+        return vertices, None
+    return vertices.join(long, poly, "left_anti"), vertices.join(long, poly, "left_semi")
+
+
+def _rings(vertices: DataFrame, poly: str, order: str, x: str, y: str) -> DataFrame:
+    """One row a ring: its vertices ``(n, x, y)`` in order, ``n`` from 1."""
+    ring = F.array_sort(F.collect_list(F.struct(F.col(order).alias("_k"), F.col(x).alias("x"), F.col(y).alias("y"))))
+    return spread(vertices, vertices.count(), poly).groupBy(poly).agg(ring.alias("_ring")).select(
+        poly, F.transform("_ring", lambda p, i: F.struct((i + 1).cast("bigint").alias("n"), p["x"].alias("x"),
+                                                         p["y"].alias("y"))).alias("ring"))
+
+
+def _edges_of(rings: DataFrame, poly: str, along: str, line: str) -> DataFrame:
+    """``rings`` with the sorted coordinates of their rows, ``_at``, and their ``_edges`` (vertices ``p`` and
+    ``q``, from ``a`` to ``b`` along the rows, from row ``r0`` to ``r1``)."""
+    rings = rings.withColumn("_at", F.array_sort(F.array_distinct(F.transform("ring", lambda p: p[line]))))
+    ends = F.transform("ring", lambda p, i: F.struct(p.alias("p"), F.get("ring", (i + 1) % F.size("ring")).alias("q")))
+    row = lambda v: F.array_position("_at", v[line]) * 2 - 1
+    return rings.withColumn("_edges", F.transform(ends, lambda e: F.struct(
+        e["p"], e["p"][along].alias("a"), e["q"][along].alias("b"), row(e["p"]).alias("r0"), row(e["q"]).alias("r1"))))
+
+
+def _span_count(rings: DataFrame, poly: str, along: str, line: str) -> int:
+    """A bound on the rows of ``_runs_of_rings`` before they are joined to runs."""
+    rows = F.transform("_edges", lambda e: F.abs(e["r1"] - e["r0"]) + 2)
+    return _edges_of(rings, poly, along, line).agg(
+        F.sum(F.aggregate(rows, F.lit(0).cast("bigint"), lambda n, r: n + r))).first()[0] or 0
+
+
+def _spans(rings: DataFrame, poly: str, along: str, line: str) -> DataFrame:
+    """The spans of the rings' rows, one a row: walls (they end at the next one), edges and vertices (``mark``).
+
+    A row of a ring is a line of vertices (odd ``c``) or a strip between two, ``rows`` tiles from ``y``; strips
+    without tiles are left out.
+    """
+    def row(c, at):
+        this, beyond = F.get(at, F.shiftright(c - 1, 1).cast("int")), F.get(at, F.shiftright(c + 1, 1).cast("int"))
+        return F.struct(c.alias("c"), F.when(c % 2 == 1, this).otherwise(this + 1).alias("y"),
+                        F.when(c % 2 == 1, F.lit(1).cast("bigint")).otherwise(beyond - this - 1).alias("rows"))
+
+    rings = _edges_of(rings, poly, along, line)
+    rings = rings.withColumn("_rows", F.transform(
+        F.sequence(F.lit(1).cast("bigint"), F.size("_at").cast("bigint") * 2 - 1), lambda c: row(c, F.col("_at"))))
+
+    def span(r, lo, hi, wall: bool, mark):
+        return F.struct(r["c"].alias("c"), r["y"].alias("y"), r["rows"].alias("rows"), lo.alias("lo"),
+                        hi.alias("hi"), F.lit(wall).alias("wall"), mark.alias("mark"))
+
+    def of_edge(e):
+        nothing = F.get("ring", F.lit(-1))           # a vertex that is not there
+        line_of = lambda c: F.get("_rows", (c - 1).cast("int"))
+        top, bottom = F.least(e["r0"], e["r1"]), F.greatest(e["r0"], e["r1"])
+        crossed = F.filter(F.slice("_rows", top.cast("int"), (bottom - top).cast("int")), lambda r: r["rows"] > 0)
+        walls = F.transform(crossed, lambda r: span(r, e["a"], e["a"], True, nothing))
+        vertex = span(line_of(e["r0"]), e["a"], e["a"], False, e["p"])
+        foot = span(line_of(bottom), e["a"], e["a"], False, nothing)
+        flat = span(line_of(e["r0"]), F.least(e["a"], e["b"]), F.greatest(e["a"], e["b"]), False, nothing)
+        return F.when((e["a"] == e["b"]) & (e["r0"] != e["r1"]), F.concat(walls, F.array(vertex, foot))) \
+            .when(e["r0"] == e["r1"], F.array(vertex, flat)).otherwise(F.array(vertex))
+
+    # every ring has a span; plain inline would have the optimizer test that it has, by making all spans once more
+    return rings.withColumn("_spans", F.flatten(F.transform("_edges", of_edge))).select(poly, F.inline_outer("_spans"))
+
+
+def _runs_of_rings(rings: DataFrame, poly: str, along: str, line: str) -> DataFrame:
+    """The runs of inside tiles of whole rings (``_rings``), with the vertices on each as ``marks``.
+
+    With ``rings`` partitioned by ``poly``, every window and aggregate is made inside these parts.
+    """
+    spans = _spans(rings, poly, along, line)
+    in_row = Window.partitionBy(poly, "c", "wall").orderBy("lo")
+    spans = spans.withColumn("_next", F.lead("lo").over(in_row)).withColumn("_nth", F.row_number().over(in_row)) \
+        .where(~F.col("wall") | (F.col("_nth") % 2 == 1)) \
+        .withColumn("hi", F.when(F.col("wall"), F.col("_next")).otherwise(F.col("hi")))
+    in_row = Window.partitionBy(poly, "c").orderBy("lo", "hi")
+    reach = F.max("hi").over(in_row.rowsBetween(Window.unboundedPreceding, -1))
+    return spans.withColumn("_new", F.when(F.col("lo") <= reach + 1, 0).otherwise(1)) \
+        .withColumn("_run", F.sum("_new").over(in_row.rowsBetween(Window.unboundedPreceding, 0))) \
+        .groupBy(poly, "c", "_run").agg(
+            F.min("y").alias("y"), F.min("rows").alias("rows"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+            F.collect_list("mark").alias("marks")) \
+        .select(poly, "y", "rows", (F.col("c") % 2 == 1).alias("is_line"), "lo", "hi", "marks")
+
+
+def inside_runs(vertices: DataFrame, poly: str, order: str, x: str = "x", y: str = "y",
+                whole: int = WHOLE_RING) -> DataFrame:
     """The runs of inside tiles of every ring, ``(poly, y, rows, is_line, lo, hi)``.
 
     A row is the line of a vertex (``rows`` 1) or the strip between two such lines, of ``rows`` tiles
@@ -252,12 +345,24 @@ def inside_runs(vertices: DataFrame, poly: str, order: str, x: str = "x", y: str
     spans become one run.  There is a row per crossing, not per cell of a grid, and no window is
     wider than one row of one ring.
 
+    A ring of up to ``whole`` vertices stays in one task, so that its rows are shuffled once; the
+    rows of longer rings are dealt to all tasks.
+
     Defined cases: edges run along an axis; vertices with a NULL and rings without an id are left
     out; repeated vertices and edges that run back on themselves are boundary.
     """
     lineage = Lineage(vertices.sparkSession, 1)
     v = lineage.cut(vertices.select(poly, order, x, y).where(
         F.col(poly).isNotNull() & F.col(x).isNotNull() & F.col(y).isNotNull()), force=True)
+    short, long = _by_length(v, poly, whole)
+    rings = lineage.cut(_rings(short, poly, order, x, y), force=True)
+    runs = _runs_of_rings(spread(rings, _span_count(rings, poly, "x", "y"), poly), poly, "x", "y").drop("marks")
+    return runs if long is None else runs.unionByName(_runs_of_long(lineage.cut(long, force=True), poly, order, x, y))
+
+
+def _runs_of_long(v: DataFrame, poly: str, order: str, x: str, y: str) -> DataFrame:
+    """``inside_runs`` of rings whose rows are dealt to all tasks; no vertex has a NULL."""
+    lineage = Lineage(v.sparkSession, 1)
     rows = lineage.cut(compressed_axis(v, poly, y), force=True)
     line = rows.where("is_line")
     n = v.count()
@@ -292,17 +397,20 @@ def pockets(runs: DataFrame, poly: str) -> DataFrame | None:
 
     Gaps between the runs of a row join those that they touch in the next row.  A group of gaps is
     open when one of them touches the tiles beside the outermost runs.  Rings that do not touch
-    themselves have open gaps only; where no gap is covered from above, nothing more is done.
+    themselves have open gaps only.  A pocket's first row is covered from above and its last from below,
+    so where no gap is covered from one of these sides, nothing more is done.
     """
     lineage = Lineage(runs.sparkSession, 1)
     runs = lineage.cut(runs, force=True)
     in_row = Window.partitionBy(poly, "y").orderBy("lo")
     gaps = runs.select(poly, "y", "rows", (F.col("hi") + 1).alias("lo"), (F.lead("lo").over(in_row) - 1).alias("hi")) \
         .where(F.col("hi").isNotNull())
-    above = runs.select(poly, (F.col("y") + F.col("rows")).alias("y"), F.col("lo").alias("_lo"), F.col("hi").alias("_hi"))
     covered = (F.col("_lo") <= F.col("lo")) & (F.col("hi") <= F.col("_hi"))
-    if gaps.join(above, [poly, "y"]).where(covered).isEmpty():
-        return None
+    beyond = F.col("y") + F.col("rows")
+    for gap_side, run_side in ((beyond, F.col("y")), (F.col("y"), beyond)):
+        cover = runs.select(poly, run_side.alias("_at"), F.col("lo").alias("_lo"), F.col("hi").alias("_hi"))
+        if gaps.withColumn("_at", gap_side).join(cover, [poly, "_at"]).where(covered).isEmpty():
+            return None
     gaps = lineage.cut(gaps.withColumn("gap", F.struct(poly, "y", "lo")), force=True)
     upper = gaps.select(poly, (F.col("y") + F.col("rows")).alias("y"), F.col("lo").alias("_lo"),
                         F.col("hi").alias("_hi"), F.col("gap").alias("_gap"))
@@ -332,11 +440,37 @@ def _sight(vertices: DataFrame, runs: DataFrame, poly: str, line: str, along: st
     return both.withColumn(out, F.last("_run", ignorenulls=True).over(before)).where(F.col("_run").isNull()).drop("_run")
 
 
+def _sight_of_rings(vertices: DataFrame, poly: str, order: str, lineage: Lineage) -> tuple[DataFrame, DataFrame]:
+    """The level runs of whole rings, and their vertices ``(n, x, y)`` with both runs, ``h`` and ``v``,
+    partitioned by ``poly``: the vertices on a run come with it."""
+    rings = lineage.cut(_rings(vertices, poly, order, "x", "y"), force=True)
+    level = lineage.cut(_runs_of_rings(spread(rings, _span_count(rings, poly, "x", "y"), poly), poly, "x", "y"), force=True)
+    run = F.struct("lo", "hi")
+    level_sight = level.select(poly, F.inline(F.transform("marks", lambda p: F.struct(p["n"], p["x"], p["y"], run.alias("h")))))
+    rings = spread(level_sight, _span_count(rings, poly, "y", "x"), poly).groupBy(poly).agg(
+        F.array_sort(F.collect_list(F.struct("n", "x", "y", "h"))).alias("ring"))
+    plumb = _runs_of_rings(rings, poly, "y", "x").select(poly, F.inline(F.transform(
+        "marks", lambda p: F.struct(p["n"], p["x"], p["y"], p["h"], run.alias("v")))))
+    return level.drop("marks"), plumb
+
+
+def _sight_of_long(vertices: DataFrame, poly: str, order: str, lineage: Lineage) -> tuple[DataFrame, DataFrame]:
+    """As ``_sight_of_rings``, for rings whose rows are dealt to all tasks."""
+    v = lineage.cut(ordered_scan(vertices.withColumn("_one", F.lit(1).cast("bigint")), [order], "_one", "n", "sum", [poly], True)
+                    .drop("_one"), force=True)
+    n = v.count()
+    level = lineage.cut(_runs_of_long(v, poly, "n", "x", "y"), force=True)
+    plumb = _runs_of_long(v, poly, "n", "y", "x").where("is_line")
+    seen = _sight(v.drop(order), level.where("is_line"), poly, "y", "x", "h", n)
+    seen = _sight(seen, plumb, poly, "x", "y", "v", n)
+    return level, seen
+
+
 VERTEX_BLOCK = 64     # consecutive vertices of a ring that meet another block's in one row
 
 
 def max_interior_rectangle(vertices: DataFrame, poly: str, order: str, x: str = "x", y: str = "y",
-                           out: str = "area", block: int = VERTEX_BLOCK) -> DataFrame:
+                           out: str = "area", block: int = VERTEX_BLOCK, whole: int = WHOLE_RING) -> DataFrame:
     """Per ring, the largest (|dx|+1)(|dy|+1) rectangle with two vertices as opposite corners
     and no outside tile.
 
@@ -345,6 +479,9 @@ def max_interior_rectangle(vertices: DataFrame, poly: str, order: str, x: str =
     along either axis).  With its sides inside, a rectangle holds an outside tile only if it holds a
     whole pocket of the ring (``pockets``; most rings have none).
 
+    A ring of up to ``whole`` vertices stays in one task: both runs of its vertices, and its blocks, are
+    found with one shuffle each way.  The rows of longer rings are dealt to all tasks.
+
     Vertices are cut into blocks along the ring.  Two blocks meet if their ranges of sight do and if
     the rectangle that these allow is larger than the best of blocks that lie side by side, which
     are searched first.  A pair of blocks is one row, so a large ring's work is dealt to all tasks,
@@ -353,23 +490,30 @@ def max_interior_rectangle(vertices: DataFrame, poly: str, order: str, x: str =
     Defined cases: as for ``inside_runs``; a ring of one vertex has no row.
     """
     lineage = Lineage(vertices.sparkSession, 1)
-    v = vertices.select(poly, order, F.col(x).cast("bigint").alias("x"), F.col(y).cast("bigint").alias("y")).where(
-        F.col(poly).isNotNull() & F.col("x").isNotNull() & F.col("y").isNotNull())
-    v = lineage.cut(ordered_scan(v.withColumn("_one", F.lit(1).cast("bigint")), [order], "_one", "n", "sum", [poly], True)
-                    .drop("_one"), force=True)
-    n = v.count()
-    level = lineage.cut(inside_runs(v, poly, "n"), force=True)
-    plumb = inside_runs(v, poly, "n", "y", "x").where("is_line")
-    seen = _sight(v.drop(order), level.where("is_line"), poly, "y", "x", "h", n)
-    seen = _sight(seen, plumb, poly, "x", "y", "v", n).withColumn("b", F.floor((F.col("n") - 1) / block))
-    blocks = lineage.cut(spread(seen, n, poly, "b").groupBy(poly, "b").agg(
-        F.collect_list(F.struct("n", "x", "y", "h", "v")).alias("all"),          # ``block`` of them
-        F.min("x").alias("x1"), F.max("x").alias("x2"), F.min("y").alias("y1"), F.max("y").alias("y2"),
-        F.max("h.hi").alias("hx"), F.max("v.hi").alias("vy")), force=True)
+    v = lineage.cut(vertices.select(poly, order, F.col(x).cast("bigint").alias("x"), F.col(y).cast("bigint").alias("y")).where(
+        F.col(poly).isNotNull() & F.col("x").isNotNull() & F.col("y").isNotNull()), force=True)
+    short, long = _by_length(v, poly, whole)
+
+    def blocks_of(seen: DataFrame) -> DataFrame:
+        return seen.groupBy(poly, "b").agg(
+            F.collect_list(F.struct("n", "x", "y", "h", "v")).alias("all"),          # ``block`` of them
+            F.min("x").alias("x1"), F.max("x").alias("x2"), F.min("y").alias("y1"), F.max("y").alias("y2"),
+            F.max("h.hi").alias("hx"), F.max("v.hi").alias("vy"))
+
+    in_block = F.floor((F.col("n") - 1) / block)
+    level, seen = _sight_of_rings(short, poly, order, lineage)
+    others = F.max("b").over(Window.partitionBy(poly)) > 0           # the ring has more than one block
+    blocks = lineage.cut(blocks_of(seen.withColumn("b", in_block)).withColumn("others", others), force=True)
+    if long is not None:
+        long = lineage.cut(long, force=True)
+        long_level, seen = _sight_of_long(long, poly, order, lineage)
+        level = level.unionByName(long_level)
+        seen = spread(seen.withColumn("b", in_block), long.count(), poly, "b")
+        blocks = blocks.unionByName(lineage.cut(blocks_of(seen).withColumn("others", F.lit(True)), force=True))
     inner = pockets(level, poly)
 
     def side(name: str, *cols: str) -> DataFrame:
-        return blocks.select(poly, *[F.col(c).alias(f"{name}_{c}") for c in ("b", *cols)])
+        return blocks.where("others").select(poly, *[F.col(c).alias(f"{name}_{c}") for c in ("b", *cols)])
 
     def extent(lo: str, hi: str, reach: str):
         return F.greatest(F.least(f"q_{hi}", f"p_{reach}") - F.col(f"p_{lo}"),

@@ -119,3 +119,39 @@ def test_empty(spark):
     none = spark.createDataFrame([], "poly string, k long, x long, y long")
     assert spatial.inside_runs(none, "poly", "k").count() == 0
     assert spatial.max_interior_rectangle(none, "poly", "k").count() == 0
+
+
+@pytest.mark.parametrize("whole", [0, 10])
+def test_whole_and_dealt_rings(rings, whole):
+    """Rings that stay in one task and rings whose rows are dealt out have the same runs and rectangles."""
+    got = {}
+    for r in spatial.inside_runs(rings, "poly", "k", whole=whole).collect():
+        got.setdefault(r["poly"], []).extend((x, y) for y in range(r["y"], r["y"] + r["rows"]) for x in range(r["lo"], r["hi"] + 1))
+    assert {name: sorted(tiles) for name, tiles in got.items()} == {name: sorted(tiles_of(ring)) for name, ring in RINGS.items()}
+    areas = {r["poly"]: r["area"] for r in spatial.max_interior_rectangle(rings, "poly", "k", block=5, whole=whole).collect()}
+    assert areas == {name: largest(ring, tiles_of(ring)) for name, ring in RINGS.items() if len(ring) > 1}
+
+
+def test_runs_of_short_rings_are_shuffled_once(spark):
+    """Once dealt out by ring, the runs are made without another exchange, and so are the rings of the query."""
+    from stratum.catalog.spatial import skyline
+    from stratum.plans import physical_plan
+    rows = [(n, k, x, y) for n in range(50) for k, (x, y) in enumerate(walk(n, 6, 3))]
+    v = spark.createDataFrame(rows, "poly long, k long, x long, y long")
+    assert physical_plan(spatial.inside_runs(v, "poly", "k")).count("Exchange hashpartitioning") == 1
+    assert physical_plan(skyline(spark, "/root/testdata/sf0.001")).count("Exchange hashpartitioning") == 2
+
+
+def test_skyline_of_odd_orders(spark, tmp_path):
+    """Customers without dates and orders without a customer have a ring too; the latter's is flat."""
+    from datetime import date
+    from stratum.catalog.spatial import skyline
+    rows = [(1, date(2000, 1, 5)), (1, date(2000, 1, 9)), (1, date(2000, 3, 1)), (2, None), (None, date(2000, 2, 1))]
+    spark.createDataFrame(rows, "o_custkey long, o_orderdate date").write.parquet(str(tmp_path / "orders.parquet"))
+    got = {}
+    for r in skyline(spark, str(tmp_path)).orderBy("poly", "k").collect():
+        got.setdefault(r["poly"], []).append((r["x"], r["y"]))
+    flat = [(0, 0), (0, 1), (3, 1), (3, 0)]
+    assert got == {1: [(0, 0), (0, 3), (1, 3), (1, 1), (2, 1), (2, 2), (3, 2), (3, 0)], 2: flat, None: flat}
+    spark.createDataFrame([], "o_custkey long, o_orderdate date").write.parquet(str(tmp_path / "none" / "orders.parquet"))
+    assert skyline(spark, str(tmp_path / "none")).count() == 0
