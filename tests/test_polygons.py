@@ -132,14 +132,16 @@ def test_whole_and_dealt_rings(rings, whole):
     assert areas == {name: largest(ring, tiles_of(ring)) for name, ring in RINGS.items() if len(ring) > 1}
 
 
-def test_runs_of_short_rings_are_shuffled_once(spark):
+def test_runs_of_short_rings_are_shuffled_once(spark, tmp_path):
     """Once dealt out by ring, the runs are made without another exchange, and so are the rings of the query."""
     from stratum.catalog.spatial import skyline
     from stratum.plans import physical_plan
     rows = [(n, k, x, y) for n in range(50) for k, (x, y) in enumerate(walk(n, 6, 3))]
     v = spark.createDataFrame(rows, "poly long, k long, x long, y long")
     assert physical_plan(spatial.inside_runs(v, "poly", "k")).count("Exchange hashpartitioning") == 1
-    assert physical_plan(skyline(spark, "/root/testdata/sf0.001")).count("Exchange hashpartitioning") == 2
+    orders = spark.range(300).selectExpr("id % 40 o_custkey", "date_add(date'2000-01-01', cast(id * 7 as int)) o_orderdate")
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    assert physical_plan(skyline(spark, str(tmp_path))).count("Exchange hashpartitioning") == 2
 
 
 def test_skyline_of_odd_orders(spark, tmp_path):
